@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: The white space that separates words: blank, and the characters from tab to carriage return.
-BLANKS = " \t\n\x0b\x0c\r"
+#: The white space that separates words, as the inside of a character class: blank, and tab to carriage return.
+BLANK = r"\x20\x09-\x0D"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import BLANKS, without
+from pricefold.llm.common import BLANK, without
 
 #: Share of good documents that one rule may reject in a stratum, and the chance that any of the bounds fails.
 RISK, DELTA = 0.01, 0.05
@@ -32,45 +32,56 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _removed(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _count(text: Column, characters: str) -> Column:
+    """Code points that the character class matches."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))
+
+
+def _adjacent_equal(s: Column, value) -> Column:
+    """For a sorted array: ``value(a, b)`` of each two neighbours, nulls removed."""
+    less = F.greatest(F.size(s) - 1, F.lit(0))
+    return F.filter(F.zip_with(F.slice(s, 1, less), F.slice(s, 2, less), value), lambda x: x.isNotNull())
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus the base statistics (long) and the rules' ratios ``r_<rule>`` (double), each over the whole text.
 
-    Repeated words: hashes of the 3-word windows are sorted with their places, equal neighbours give the places that
-    occur again, and the gaps between those places say how many words they cover. Sorting keeps long texts at n log n."""
+    Repeated words: hashes of the 3-word windows are sorted; most texts then show no equal neighbours and are done. In
+    the others hashes are sorted with their places, equal neighbours give the places that occur again, and the gaps
+    between those places say how many words they cover. Sorting keeps long texts at n log n."""
     names = (*BASE, *[f"r_{r}" for r in RULES])
     df = without(docs.withColumn("__text", F.coalesce(F.col(f"`{text}`"), F.lit(""))), *names)
     t = F.col("__text")
-    df = df.withColumn("__w", F.filter(F.split(F.translate(t, BLANKS[1:], " " * 5), " "), lambda w: w != ""))
-    n = F.size("__w")
-    df = df.withColumn("n_words", n.cast("long"))
-    shifted = lambda i: F.slice("__w", i, F.greatest(n - 2, F.lit(0)))
-    df = df.withColumn("__h", F.zip_with(F.zip_with(shifted(1), shifted(2), lambda a, b: F.struct(a, b)), shifted(3), lambda ab, c: F.xxhash64(ab, c)))
-    df = df.withColumn("__s", F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    m = F.size("__s")
-    less = F.greatest(m - 1, F.lit(0))
-    twice = F.zip_with(F.slice("__s", 1, less), F.slice("__s", 2, less), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-    df = df.withColumn("__r", F.sort_array(F.array_distinct(F.flatten(F.filter(twice, lambda x: x.isNotNull())))))
-    k = F.size("__r")
-    less = F.greatest(k - 1, F.lit(0))
+    df = df.withColumn("__w", F.array_remove(F.split(t, f"[{BLANK}]+"), ""))
+    n = F.greatest(F.size("__w") - 2, F.lit(0))
+    pairs = F.zip_with(F.slice("__w", 1, n), F.slice("__w", 2, n), lambda a, b: F.xxhash64(a, b))
+    df = df.withColumn("__h", F.zip_with(pairs, F.slice("__w", 3, n), lambda ab, c: F.xxhash64(ab, c)))
+    df = df.withColumn("__sorted", F.sort_array("__h"))
+    twice = F.size(F.array_distinct("__sorted")) < F.size("__sorted")
+    placed = F.when(twice, F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    df = df.withColumn("__s", placed)
+    places = _adjacent_equal(F.col("__s"), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
+    df = df.withColumn("__r", F.when(F.col("__s").isNotNull(), F.sort_array(F.array_distinct(F.flatten(places)))))
+    less = F.greatest(F.size("__r") - 1, F.lit(0))
     gaps = F.zip_with(F.slice("__r", 1, less), F.slice("__r", 2, less), lambda a, b: F.least(b - a, F.lit(3)))
-    df = df.withColumn("n_repeat_words", F.when(k > 0, F.aggregate(gaps, F.lit(3), lambda x, g: x + g)).otherwise(F.lit(0)).cast("long"))
-    df = df.withColumn("__lines", F.filter(F.split(t, "\n"), lambda x: F.translate(x, BLANKS, "") != ""))
-    df = df.withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
-    df = df.withColumn("word_chars", F.length(F.translate(t, BLANKS, "")).cast("long"))
-    df = df.withColumn("n_symbols", _removed(t, SYMBOLS).cast("long"))
+    repeats = F.when(F.size("__r") > 0, F.aggregate(gaps, F.lit(3), lambda x, g: x + g)).otherwise(F.lit(0))
+    df = df.withColumn("__lines", F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{BLANK}]")))
+    df = df.withColumns({
+        "n_words": F.size("__w").cast("long"),
+        "word_chars": F.length(F.array_join("__w", "")).cast("long"),
+        "n_symbols": _count(t, SYMBOLS).cast("long"),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_repeat_words": repeats.cast("long"),
+    })
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     df = df.withColumns({
         "r_symbols": ratio(F.col("n_symbols"), F.col("word_chars")),
-        "r_marks": ratio(_removed(t, "!?"), F.col("word_chars")),
+        "r_marks": ratio(_count(t, "!?"), F.col("word_chars")),
         "r_capitals": ratio(F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")), F.col("word_chars")),
         "r_lines": ratio(F.col("n_dup_lines"), F.size("__lines")),
         "r_repeats": ratio(F.col("n_repeat_words"), F.col("n_words")),
     })
-    return df.drop("__text", "__w", "__h", "__s", "__r", "__lines")
+    return df.drop("__text", "__w", "__h", "__sorted", "__s", "__r", "__lines")
 
 
 def base_failed(max_repeat: int = MAX_REPEAT_PERCENT, min_words: int = MIN_WORDS) -> Column:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import byte_bpe, quality_rules, reshard, url_filter
-from pricefold.llm.common import table
+from pricefold.llm import byte_bpe, chat_format, language_id, quality_rules, quality_vote, reshard, url_filter
+from pricefold.llm.common import stored, table
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 BPE_FILE = "byte_bpe_50k.tiktoken"
@@ -47,6 +47,11 @@ SELECT page_id, host, path, rule,
 """
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the probe, formatted by the standard template and read back."""
+    return chat_format.digests(chat_format.format_conversations(chat_format.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document by the public rank file, as digests."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
@@ -54,14 +59,25 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, computed once and stored; cutoffs from all labelled ones; verdicts."""
-    from pricefold.llm.common import stored
-
     numbers = stored(quality_rules.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "rules")
     labelled = numbers.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
     out = quality_rules.judge(numbers, quality_rules.calibrate(labelled))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
 
 
+def op8_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by its nearest labelled neighbours."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    voters = quality_vote.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality_vote.with_score(docs, voters).drop("text")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.with_language(docs.select("doc_id", "text"), language_id.fit(docs)).drop("text")
+
+
 def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 16 shards by source, of which one is far too large, to 24 of equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -70,8 +86,11 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_chat_format": op2_chat_format,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_vote": op8_quality_vote,
+    "op9_language_id": op9_language_id,
     "op10_reshard": op10_reshard,
 }
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
