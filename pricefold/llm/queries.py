@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import byte_bpe, chat_format, language_id, quality_rules, quality_vote, reshard, url_filter
+from pricefold.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, quality_rules, quality_vote, reshard, url_filter
 from pricefold.llm.common import stored, table
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -52,11 +52,21 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(chat_format.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaked benchmark item of every document."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document by the public rank file, as digests."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets link."""
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, computed once and stored; cutoffs from all labelled ones; verdicts."""
     numbers = stored(quality_rules.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "rules")
@@ -87,7 +97,9 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
+    "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_vote": op8_quality_vote,
     "op9_language_id": op9_language_id,
