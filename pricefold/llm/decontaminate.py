@@ -3,7 +3,8 @@
 1. Words are compared in a normal form: letters and digits only, lower case. Document frequencies of the benchmark's
    words are counted over all documents.
 2. The benchmark's passages (windows of up to ``WINDOW`` words) are TF-IDF rows; a distributed randomised SVD of them
-   gives a latent space of ``RANK`` dimensions.
+   gives a latent space of ``RANK`` dimensions. Weights are log((1 + documents) / (1 + frequency)), so a word that all
+   documents have counts nothing.
 3. Every document is cut into overlapping windows, whole texts, no word left out. A window whose idf mass has too small
    a part in the benchmark's words can't be near any passage; the others are placed in the latent space and compared
    with all passages of the block by exact cosine products. Those at ``COSINE`` or more are candidates.
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 from pricefold.llm import latent
 from pricefold.llm.common import stored
 
-WINDOW, STEP = 32, 8
+WINDOW, STEP = 32, 16
 RANK, COSINE = 128, 0.5
 #: The least part of a window's idf mass that lies in the benchmark's words.
-MASS = 0.3
+MASS = 0.35
 CERTAIN, LIKELY, ANSWER = 0.8, 0.5, 0.8
 TELLING, FEW = 0.02, 3
 LEAST, ANSWER_WORDS = 8, 6
@@ -105,7 +106,7 @@ class Index:
             for start in range(0, max(1, len(ids) - WINDOW // 2), WINDOW // 2):
                 idx, tf = np.unique(np.array(ids[start : start + WINDOW], np.uint32), return_counts=True)
                 val = (tf * self.idf[idx]).astype(np.float32)
-                out.append((at, idx, val / np.linalg.norm(val)))
+                out.append((at, idx, val / max(1e-9, float(np.linalg.norm(val)))))
         return out
 
     def candidates(self, ids: np.ndarray) -> dict[int, list[tuple[int, float]]]:
@@ -134,13 +135,11 @@ class Index:
 
     def share(self, words: list[int], room: np.ndarray) -> float:
         """Part of an item's words, and of its telling words, that a stretch of text has in order: the smaller of the two."""
-        every = common_subsequence(words, room.tolist()) / len(words)
         telling = [w for w in words if self.telling[w]]
-        if every < LIKELY:
-            return every
         if len(telling) < FEW:
-            return every if every == 1 and _inside(words, room.tolist()) else 0.0
-        return min(every, common_subsequence(telling, room[self.telling[room]].tolist()) / len(telling))
+            return float(_inside(words, room.tolist()))
+        share = common_subsequence(telling, room[self.telling[room]].tolist()) / len(telling)
+        return share if share < LIKELY else min(share, common_subsequence(words, room.tolist()) / len(words))
 
     def leaks(self, ids: np.ndarray) -> list[tuple[int, float, float, float]]:
         """(item_id, best cosine, share of common subsequence, share of the answer) of each leaked item."""
@@ -205,7 +204,7 @@ def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
     counts[0] = 0  # a word that the benchmark hasn't counts as a rare one
     telling = counts <= TELLING * n
     telling[0] = False
-    index = Index(vocabulary, latent.idf(counts, n), telling, [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows])
+    index = Index(vocabulary, np.log((1.0 + n) / (1.0 + counts)).astype(np.float32), telling, [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows])
     passages = index.passage_rows()
     data = [(int(at), bytearray(i.tobytes()), bytearray(v.tobytes())) for at, i, v in passages]
     table = stored(spark.createDataFrame(data, "item int, idx binary, val binary").repartition(min(64, 1 + len(data) // 200)), "passages")

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, quality_rules, quality_vote, reshard, url_filter
-from pricefold.llm.common import stored, table
+from pricefold.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, quality_rules, quality_vote, reshard, training_order, url_filter
+from pricefold.llm.common import new_path, stored, table
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 BPE_FILE = "byte_bpe_50k.tiktoken"
 OLD_SHARDS = 16
+TRAINING_KEY = b"epoch 1"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(chat_format.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as shards in training order; the rows are read back from the shards."""
+    tokens = training_order.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
+    manifest = stored(training_order.write_shards(tokens, new_path(spark, "shards"), TRAINING_KEY), "manifest")
+    return training_order.read_shards(spark, manifest.repartition("shard")).drop("ids")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leaked benchmark item of every document."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -97,6 +105,7 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
+    "op3_training_order": op3_training_order,
     "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_ngram_join": op6_ngram_join,
