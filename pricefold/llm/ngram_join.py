@@ -3,22 +3,24 @@
 1. Equal sets become one node, so exact copies cost one row each from then on.
 2. All sets are ordered the same way: by how common a shingle is (levels of a count sketch over all documents), then by
    hash. Two sets that link share a shingle among the first tenth of each (prefix filter), and common passages come last.
-3. For every shared prefix shingle each node is compared with the smallest node that has it, its leader. Links found so
-   join most near copies in a number of comparisons that is linear in their number.
-4. What a prefix shingle still shares between different components goes to tasks of bounded size. A task stores the
-   ordered prefixes in a trie and walks it once for each probe: partial overlaps are counted once for a whole subtree,
-   and a subtree goes when its remaining lengths can't reach the needed overlap, when it belongs to the probe's own
-   component, or when the pair has an earlier common shingle, under which another task finds it.
-5. Every candidate is checked on its whole sets by built-in functions.
+3. The least node of each prefix shingle leads it. A node is compared with the leader that it shares most shingles
+   with. This joins most near copies in a number of comparisons that is linear in their number.
+4. What a prefix shingle still shares between different components goes to tasks in groups of bounded size. A task
+   stores the ordered prefixes of a group in a trie and walks it once for each probe: partial overlaps are counted once
+   for a whole subtree, and a subtree goes when its remaining lengths can't reach the needed overlap, when it belongs to
+   the probe's own component, or when the pair has an earlier common shingle, under which another task finds it.
+5. Every candidate is checked on its whole sets, which meet at one of the two nodes; hot nodes are split.
 
 No link between different sets is lost and none is false (shingles are compared by 58- and 64-bit hashes, sets by a
 64-bit hash of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
-and is its own component; fewer than three words make one shingle; repeated rows have equal sets and share a component.
+and is its own component, and so is a row without a doc_id; fewer than three words make one shingle; repeated rows have
+equal sets and share a component.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,16 +28,15 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from pricefold.llm.common import stored, without
+from pricefold.llm.common import stored
 from pricefold.llm.components import connected_components
 
 WORDS = 3
-#: Counters of the sketch (4 MB in all) and of one of its blocks.
-COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 14
-#: Sets of one trie; larger groups are split and their parts met two by two.
-TRIE = 1000
+#: Counters of the sketch (16 MB for each task that counts) and of one of its blocks.
+COUNTERS, COUNTER_BLOCK = 1 << 22, 1 << 16
+#: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
+TRIE, MEETING = 1000, 500
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
 MEMO = 400_000
@@ -74,19 +75,21 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def _sketch(docs: DataFrame) -> np.ndarray:
-    """Counters over the shingles of all documents."""
+    """Counters over the shingles of all documents. Blocks travel compressed; most counters of one task are small."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, np.uint32)
         for pdf in batches:
             for text in pdf["text"]:
-                np.add.at(total, shingles(text) & np.uint64(COUNTERS - 1), 1)
+                np.add.at(total, shingles(text) & np.uint64(COUNTERS - 1), np.uint32(1))
         blocks = total.reshape(-1, COUNTER_BLOCK)
         used = [i for i in range(len(blocks)) if blocks[i].any()]
-        yield pd.DataFrame({"block": np.array(used, np.int32), "part": [blocks[i].tobytes() for i in used]})
+        yield pd.DataFrame({"block": np.array(used, np.int32), "part": [zlib.compress(blocks[i].tobytes(), 1) for i in used]})
 
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.uint32).astype(np.float64) for x in pdf["part"]], axis=0)
+        total = np.zeros(COUNTER_BLOCK)
+        for x in pdf["part"]:
+            total += np.frombuffer(zlib.decompress(x), np.uint32)
         return pd.DataFrame({"block": [key[0]], "part": [total.astype(np.float32).tobytes()]})
 
     out = np.zeros(COUNTERS, np.float32)
@@ -97,9 +100,9 @@ def _sketch(docs: DataFrame) -> np.ndarray:
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
-    """How common a counter's shingles are: 0 up to four times the mean, then one more for each doubling; at most 31."""
-    usual = 4 * max(1.0, float(counts.mean()))
-    return np.clip(np.floor(np.log2(np.maximum(counts / usual, 0.5))) + 1, 0, 31).astype(np.uint64)
+    """How common a counter's shingles are: 0 up to the mean, then one more for each quarter of a doubling; at most 31 (keys stay positive)."""
+    mean = max(1.0, float(counts.mean()))
+    return np.clip(np.floor(4 * np.log2(np.maximum(counts / mean, 1))), 0, 31).astype(np.uint8)
 
 
 def _signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -109,52 +112,61 @@ def _signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n, node, prefix = [], [], []
-            for text in pdf["text"]:
+            for text, doc_id in zip(pdf["text"], pdf["doc_id"], strict=True):
                 h = shingles(text)
-                keys = (shared.value[h & np.uint64(COUNTERS - 1)] << np.uint64(58)) | (h >> np.uint64(6))
+                keys = (shared.value[h & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
                 size = len(h) // 10 + 1
                 if size < len(keys):
                     keys = np.partition(keys, size - 1)[:size]
                 n.append(len(h))
-                node.append(node_of(h) if len(h) else None)
+                node.append(node_of(h) if len(h) and doc_id == doc_id and doc_id is not None else None)
                 prefix.append(np.sort(keys).astype(np.int64))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "node": pd.array(node, "Int64"), "prefix": prefix})
 
     return stored(docs.select("doc_id", "text").mapInPandas(work, "doc_id long, n long, node long, prefix array<long>"), "signatures")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the wanted (doc_id, node), made again from the texts; a doc_id with several texts gives its node's only."""
-    wanted = wanted.persist(StorageLevel.MEMORY_AND_DISK)
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b), those that link, checked on whole sets made again from the texts.
+
+    The set of b travels to a, once for each pair; a's set to as many places as it has ``MEETING`` partners."""
+    pairs = stored(pairs, "pairs")
+    places = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEETING).cast("int").alias("places"))
+    guests = pairs.join(places, "a").select(F.col("b").alias("node"), F.struct(F.col("a").alias("at"), F.pmod(F.xxhash64("b"), F.col("places")).cast("int").alias("place"), F.lit(1).alias("guest")).alias("to"))
+    hosts = places.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place")).select("node", F.struct(F.col("node").alias("at"), "place", F.lit(0).alias("guest")).alias("to"))
+    wanted = guests.unionByName(hosts).groupBy("node").agg(F.collect_list("to").alias("to"))
+    wanted = stored(wanted.join(nodes.select("node", "doc_id"), "node"), "wanted")
     few = wanted.count() <= BROADCAST_IDS
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            node, sets = [], []
-            for text, x in zip(pdf["text"], pdf["node"], strict=True):
+            out = []
+            for text, node, to in zip(pdf["text"], pdf["node"], pdf["to"], strict=True):
                 h = shingles(text)
-                if node_of(h) == x:
-                    node.append(x)
-                    sets.append(h.astype(np.int64))
-            yield pd.DataFrame({"node": np.array(node, np.int64), "set": sets})
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
-    out = stored(rows.mapInPandas(work, "node long, set array<long>"), "sets")
-    wanted.unpersist()
-    return out
+                if node_of(h) == node:  # a doc_id with several texts gives its node's only
+                    raw = h.tobytes()
+                    out += [(x["at"], x["place"], x["guest"], node, raw) for x in to]
+            yield pd.DataFrame(out, columns=["at", "place", "guest", "node", "set"])
 
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, host = None, np.zeros(0, np.uint64)
+        for pdf in batches:
+            a, b = [], []
+            for at, place, guest, node, raw in zip(pdf["at"].tolist(), pdf["place"].tolist(), pdf["guest"].tolist(), pdf["node"].tolist(), pdf["set"], strict=True):
+                if not guest:
+                    where, host = (at, place), np.frombuffer(raw, np.uint64)
+                elif where == (at, place):
+                    own = np.frombuffer(raw, np.uint64)
+                    both = len(np.intersect1d(host, own, assume_unique=True))
+                    if 100 * both >= 90 * (len(host) + len(own) - both):
+                        a.append(at)
+                        b.append(node)
+            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those that link, checked on whole sets."""
-    pairs = stored(pairs, "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _sets(docs, involved.join(nodes.select("node", "doc_id"), "node"))
-    sets = sets.dropDuplicates(["node"])
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    both = both.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total"))
-    return stored(both.where("100 * shared >= 90 * (total - shared)").select("a", "b"), "links")
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
+    sets = rows.select("text", "node", "to").mapInPandas(send, "at long, place int, guest int, node long, set binary")
+    met = sets.repartition("at", "place").sortWithinPartitions("at", "place", "guest").mapInPandas(meet, "a long, b long")
+    return stored(met.distinct(), "links")
 
 
 class Trie:
@@ -213,27 +225,46 @@ def _reach(common: int, n: int, seen: int, size: int, other_seen: int) -> bool:
 
 
 def _trie_pairs(rest: DataFrame) -> DataFrame:
-    """(a, b) from groups (token, i, j); rows: node, n, component, prefix, part."""
+    """(a, b) from groups (token, i, j); rows: node, n, component, prefix, part. Groups are read as runs of a sorted stream."""
 
-    def work(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        token, i, j = (int(x) for x in key)
-        pdf = pdf.sort_values(["n", "node"])
+    def join(key: tuple, rows: list[tuple]) -> tuple[list[int], list[int]]:
+        token, i, j = key
         trie, a, b = Trie(), [], []
-        rows = [([int(t) for t in p], int(x), int(n), int(c), int(part)) for p, x, n, c, part in zip(pdf["prefix"], pdf["node"], pdf["n"], pdf["component"], pdf["part"], strict=True)]
         if i != j:
-            for prefix, node, n, component, part in rows:
+            for part, node, n, component, prefix in rows:
                 if part == j:
                     trie.insert(prefix, node, n, component)
-        for prefix, node, n, component, part in rows:
+        for part, node, n, component, prefix in rows:
             if part == i:
-                found = list(trie.candidates(token, prefix, n, component))
-                a += [min(node, x) for x in found]
-                b += [max(node, x) for x in found]
+                for x in trie.candidates(token, prefix, n, component):
+                    a.append(min(node, x))
+                    b.append(max(node, x))
                 if i == j:
                     trie.insert(prefix, node, n, component)
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        return a, b
 
-    return rest.groupBy("token", "i", "j").applyInPandas(work, "a long, b long")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, rows = None, []
+        a: list[int] = []
+        b: list[int] = []
+        for pdf in batches:
+            for token, i, j, *row, prefix in zip(*[pdf[c].tolist() for c in ("token", "i", "j", "part", "node", "n", "component")], pdf["prefix"], strict=True):
+                if (token, i, j) != current:
+                    if len(rows) > 1:
+                        more = join(current, rows)
+                        a += more[0]
+                        b += more[1]
+                    current, rows = (token, i, j), []
+                rows.append((*row, prefix.tolist()))
+            if len(a) > 10_000:
+                yield pd.DataFrame({"a": a, "b": b})
+                a, b = [], []
+        if len(rows) > 1:
+            more = join(current, rows)
+            a, b = a + more[0], b + more[1]
+        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    return rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long")
 
 
 def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -241,23 +272,24 @@ def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     signatures = _signatures(docs, _levels(_sketch(docs)))
     full = signatures.where("node IS NOT NULL")
-    nodes = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "nodes")
+    nodes = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix")), "nodes")
 
     entries = nodes.select("node", "n", F.explode("prefix").alias("token"))
-    leaders = entries.groupBy("token").agg(F.min(F.struct("n", "node")).alias("lead"), F.count("*").alias("m")).where("m > 1")
+    leaders = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").drop("last")
     shared = stored(entries.join(leaders, "token"), "shared")
-    pairs = shared.where("node <> lead.node AND 10 * lead.n >= 9 * n").select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+    votes = shared.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("votes"))
+    pairs = votes.groupBy("node").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
     links = _verified(docs, nodes, pairs)
 
     merged = connected_components(links)
-    labelled = shared.select("token", "node", "n", "m").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("m")
+    labelled = shared.select("token", "node", "n").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = stored(labelled, "labelled")
     open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("token", F.ceil(F.col("m") / TRIE).cast("int").alias("parts"))
     rest = labelled.join(open_tokens, "token").join(nodes.select("node", "prefix"), "node")
     rest = rest.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "parts")
-    late = _verified(docs, nodes, _trie_pairs(rest).distinct())
+    late = _verified(docs, nodes, _trie_pairs(rest))
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
     place = nodes.select("node", "doc_id").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
