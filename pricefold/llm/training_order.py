@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +86,7 @@ def encode(docs: DataFrame, path: str, pattern: str, length: int = LENGTH) -> Da
         for pdf in batches:
             ids, firsts = [], []
             for text in pdf["text"]:
-                ids.append(np.array(enc.encode_ordinary(text or ""), np.uint16).tobytes())
+                ids.append(array("H", enc.encode_ordinary(text or "")).tobytes())
                 firsts.append(first)
                 first += -(-len(ids[-1]) // (2 * length))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": ids, "task": task, "first": firsts})
@@ -96,14 +97,36 @@ def encode(docs: DataFrame, path: str, pattern: str, length: int = LENGTH) -> Da
     return docs.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+#: Tasks whose offsets may be broadcast (16 bytes each); beyond it a shuffle join does the same.
+BROADCAST_TASKS = 1_000_000
+
+
 def offsets(tokens: DataFrame, length: int = LENGTH) -> tuple[DataFrame, int]:
-    """(task, start) and the number of sequences; a row for each task that encoded, which Spark joins as it sees fit."""
+    """(task, start), marked for broadcast if its size allows it, and the number of sequences."""
     counts = tokens.groupBy("task").agg(F.max(F.col("first") + F.ceil(F.octet_length("ids") / (2 * length))).alias("n")).collect()
     rows, total = [], 0
     for r in sorted(counts, key=lambda r: r.task):
         rows.append((r.task, total))
         total += r.n
-    return tokens.sparkSession.createDataFrame(rows, "task int, start long"), total
+    starts = tokens.sparkSession.createDataFrame(rows, "task int, start long")
+    return F.broadcast(starts) if len(rows) <= BROADCAST_TASKS else starts, total
+
+
+def records_of(doc_ids: list, ids: list[bytes], length: int, pad: int) -> np.ndarray:
+    """The records of documents that have tokens, in order."""
+    sizes = np.array([len(x) // 2 for x in ids])
+    parts = -(-sizes // length)
+    first = np.concatenate([[0], np.cumsum(parts)[:-1]])
+    rows = np.zeros(int(parts.sum()), record_type(length))
+    stream = np.full(len(rows) * length, pad, np.uint16)
+    for at, x in zip((first * length).tolist(), ids, strict=True):
+        stream[at : at + len(x) // 2] = np.frombuffer(x, "<u2")
+    rows["ids"] = stream.reshape(-1, length)
+    rows["doc_id"] = np.repeat(np.array([NO_ID if d is None or d != d else int(d) for d in doc_ids], np.int64), parts)
+    rows["part"] = np.arange(len(rows)) - np.repeat(first, parts)
+    rows["n"] = length
+    rows["n"][first + parts - 1] = sizes - (parts - 1) * length
+    return rows
 
 
 def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGTH, records: int = RECORDS, pad: int = PAD) -> DataFrame:
@@ -113,40 +136,31 @@ def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGT
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdCompressor(level=3)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: list[tuple] = []
         held = 0
 
-        def blocks() -> Iterator[pd.DataFrame]:
-            slots, rows = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            by = np.argsort(slots, kind="stable")
-            shards = slots[by] // records
-            cuts = np.flatnonzero(np.append(True, shards[1:] != shards[:-1]))
-            out = []
-            for a, b in zip(cuts, np.append(cuts[1:], len(by)), strict=True):
-                part = by[a:b]
-                out.append((int(shards[a]), len(part), press.compress(slots[part].astype("<i8").tobytes() + rows[part].tobytes())))
-            yield pd.DataFrame(out, columns=["shard", "n", "block"])
+        def blocks() -> pd.DataFrame:
+            docs, ids, numbers = zip(*waiting, strict=True)
+            rows = records_of(list(docs), list(ids), length, pad)
+            slots = order.slots(np.repeat(np.array(numbers, np.int64), [-(-len(x) // (2 * length)) for x in ids]) + rows["part"])
+            by = np.argsort(slots)
+            slots = slots[by]
+            shards = slots // records
+            cuts = np.append(np.flatnonzero(np.append(True, shards[1:] != shards[:-1])), len(by)).tolist()
+            out = [(int(shards[a]), b - a, press.compress(slots[a:b].astype("<i8").tobytes() + rows[by[a:b]].tobytes())) for a, b in zip(cuts, cuts[1:], strict=False)]
+            return pd.DataFrame(out, columns=["shard", "n", "block"])
 
         for pdf in batches:
-            for doc_id, ids, number in zip(pdf["doc_id"], pdf["ids"], pdf["number"], strict=True):
-                ids = np.frombuffer(ids, "<u2")
-                if not len(ids):
-                    continue
-                n = -(-len(ids) // length)
-                rows = np.zeros(n, kind)
-                rows["doc_id"] = NO_ID if doc_id is None or doc_id != doc_id else int(doc_id)
-                rows["part"] = np.arange(n)
-                rows["n"] = length
-                rows["n"][-1] = len(ids) - (n - 1) * length
-                rows["ids"] = np.concatenate([ids, np.full(n * length - len(ids), pad, np.uint16)]).reshape(n, length)
-                waiting.append((order.slots(np.arange(number, number + n)), rows))
-                held += n
-                if held >= 1 << 17:  # 70 MB
-                    yield from blocks()
-                    waiting.clear()
-                    held = 0
+            for row in zip(pdf["doc_id"].tolist(), pdf["ids"], pdf["number"].tolist(), strict=True):
+                if row[1]:
+                    waiting.append(row)
+                    held += len(row[1])
+            if held >= 1 << 26:  # 64 MB
+                yield blocks()
+                waiting.clear()
+                held = 0
         if waiting:
-            yield from blocks()
+            yield blocks()
 
     def write(key_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(key_[0])
