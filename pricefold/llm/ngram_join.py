@@ -1,17 +1,19 @@
 """N-gram Jaccard join by prefix trees: which documents' sets of word shingles have a Jaccard similarity of 0.9 or more.
 
 1. Equal sets become one node, so exact copies cost one row each from then on.
-2. All sets are ordered the same way: by how common a shingle is (levels of a count sketch over all documents), then by
-   hash. Two sets that link share a shingle among the first tenth of each (prefix filter), and common passages come last.
-3. The least node of each prefix shingle leads it. A node is compared with the leader that it shares most shingles
-   with. This joins most near copies in a number of comparisons that is linear in their number.
+2. A set that links shares nine tenths of its shingles with its partner. So a node goes if more than a tenth of its
+   shingles, all of them from a fixed part ``POOL`` of the hash range, occur in no other node. That is exact, needs one
+   aggregation, and leaves near copies and texts without much of their own.
+3. The others' sets are ordered by hash. Two sets that link share a shingle among the first tenth of each (prefix
+   filter). The least node of each prefix shingle leads it; a node is compared with the leader that it shares most
+   shingles with. This joins most near copies in a number of comparisons that is linear in their number.
 4. What a prefix shingle still shares between different components goes to tasks in groups of bounded size. A task
    stores the ordered prefixes of a group in a trie and walks it once for each probe: partial overlaps are counted once
    for a whole subtree, and a subtree goes when its remaining lengths can't reach the needed overlap, when it belongs to
    the probe's own component, or when the pair has an earlier common shingle, under which another task finds it.
 5. Every candidate is checked on its whole sets, which meet at one of the two nodes; hot nodes are split.
 
-No link between different sets is lost and none is false (shingles are compared by 58- and 64-bit hashes, sets by a
+No link between different sets is lost and none is false (shingles are compared by 63- and 64-bit hashes, sets by a
 64-bit hash of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
 and is its own component, and so is a row without a doc_id; fewer than three words make one shingle; repeated rows have
 equal sets and share a component.
@@ -20,7 +22,6 @@ equal sets and share a component.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,8 @@ from pricefold.llm.common import stored
 from pricefold.llm.components import connected_components
 
 WORDS = 3
-#: Counters of the sketch (16 MB for each task that counts) and of one of its blocks.
-COUNTERS, COUNTER_BLOCK = 1 << 22, 1 << 16
+#: The part of the hash range whose shingles tell which nodes have too much of their own.
+POOL = 0.2
 #: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
 TRIE, MEETING = 1000, 500
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
@@ -74,56 +75,31 @@ def node_of(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sketch(docs: DataFrame) -> np.ndarray:
-    """Counters over the shingles of all documents. Blocks travel compressed; most counters of one task are small."""
+def _signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, node, low) of every row; low: the set's smallest hashes, those of the pool and the first n // 10 + 1 at least."""
+    limit = np.uint64(int(POOL * 2**64))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNTERS, np.uint32)
         for pdf in batches:
-            for text in pdf["text"]:
-                np.add.at(total, shingles(text) & np.uint64(COUNTERS - 1), np.uint32(1))
-        blocks = total.reshape(-1, COUNTER_BLOCK)
-        used = [i for i in range(len(blocks)) if blocks[i].any()]
-        yield pd.DataFrame({"block": np.array(used, np.int32), "part": [zlib.compress(blocks[i].tobytes(), 1) for i in used]})
-
-    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTER_BLOCK)
-        for x in pdf["part"]:
-            total += np.frombuffer(zlib.decompress(x), np.uint32)
-        return pd.DataFrame({"block": [key[0]], "part": [total.astype(np.float32).tobytes()]})
-
-    out = np.zeros(COUNTERS, np.float32)
-    parts = docs.select("text").mapInPandas(work, "block int, part binary").groupBy("block").applyInPandas(add, "block int, part binary")
-    for r in parts.collect():  # COUNTERS numbers in all
-        out[r.block * COUNTER_BLOCK : (r.block + 1) * COUNTER_BLOCK] = np.frombuffer(r.part, np.float32)
-    return out
-
-
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """How common a counter's shingles are: 0 up to the mean, then one more for each quarter of a doubling; at most 31 (keys stay positive)."""
-    mean = max(1.0, float(counts.mean()))
-    return np.clip(np.floor(4 * np.log2(np.maximum(counts / mean, 1))), 0, 31).astype(np.uint8)
-
-
-def _signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, prefix) of every row; prefix: the first n // 10 + 1 shingles in the common order."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            n, node, prefix = [], [], []
+            n, node, low = [], [], []
             for text, doc_id in zip(pdf["text"], pdf["doc_id"], strict=True):
                 h = shingles(text)
-                keys = (shared.value[h & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
-                size = len(h) // 10 + 1
-                if size < len(keys):
-                    keys = np.partition(keys, size - 1)[:size]
                 n.append(len(h))
                 node.append(node_of(h) if len(h) and doc_id == doc_id and doc_id is not None else None)
-                prefix.append(np.sort(keys).astype(np.int64))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "node": pd.array(node, "Int64"), "prefix": prefix})
+                low.append((h[: max(int(np.searchsorted(h, limit)), len(h) // 10 + 1)] >> np.uint64(1)).astype(np.int64))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "node": pd.array(node, "Int64"), "low": low})
+
+    return stored(docs.select("doc_id", "text").mapInPandas(work, "doc_id long, n long, node long, low array<long>"), "signatures")
+
 
-    return stored(docs.select("doc_id", "text").mapInPandas(work, "doc_id long, n long, node long, prefix array<long>"), "signatures")
+def _open_nodes(full: DataFrame) -> DataFrame:
+    """Nodes that may link: at most a tenth of their shingles is known to be in no other node."""
+    limit = int(POOL * 2**64) >> 1
+    entries = full.select("node", F.explode("low").alias("token")).where(F.col("token") < limit)
+    owners = entries.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    own = owners.groupBy("node").agg(F.count("*").alias("own"))
+    sizes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"))
+    return sizes.join(own, "node", "left").where("coalesce(own, 0) <= floor(n / 10)").select("node", "doc_id", "n")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -270,9 +246,11 @@ def _trie_pairs(rest: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signatures = _signatures(docs, _levels(_sketch(docs)))
+    signatures = _signatures(docs)
     full = signatures.where("node IS NOT NULL")
-    nodes = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix")), "nodes")
+    alive = stored(_open_nodes(full), "open")
+    prefix = full.select("doc_id", "node", F.slice("low", 1, (F.floor(F.col("n") / 10) + 1).cast("int")).alias("prefix"))
+    nodes = stored(alive.join(prefix, ["doc_id", "node"]).dropDuplicates(["node"]), "nodes")
 
     entries = nodes.select("node", "n", F.explode("prefix").alias("token"))
     leaders = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").drop("last")
@@ -292,7 +270,8 @@ def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     late = _verified(docs, nodes, _trie_pairs(rest))
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
-    place = nodes.select("node", "doc_id").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    everyone = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    place = everyone.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = place.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     place = place.select("node", "component").join(smallest, "component").select("node", "component_id")
     out = full.select("doc_id", "n", "node").join(place, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
