@@ -93,7 +93,7 @@ def encode(docs: DataFrame, path: str, pattern: str, length: int = LENGTH) -> Da
 
     folder = new_path(docs.sparkSession, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(work, "doc_id long, ids binary, task int, first long")
-    rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(folder)
+    rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "10").parquet(folder)
     return docs.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
@@ -135,7 +135,7 @@ def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGT
     kind, order = record_type(length), Feistel(total, key)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         waiting: list[tuple] = []
         held = 0
 
