@@ -37,7 +37,7 @@ WORDS = 3
 #: The part of the hash range whose shingles tell which nodes have too much of their own.
 POOL = 0.2
 #: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
-TRIE, MEETING = 1000, 500
+TRIE, MEETING, DENSE = 1000, 500, 60
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
 MEMO = 400_000
@@ -93,13 +93,28 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _open_nodes(full: DataFrame) -> DataFrame:
-    """Nodes that may link: at most a tenth of their shingles is known to be in no other node."""
+    """Nodes that may link: at most a tenth of their shingles is known to be in no other node; ``small``: also as the smaller of a pair."""
     limit = int(POOL * 2**64) >> 1
     entries = full.select("node", F.explode("low").alias("token")).where(F.col("token") < limit)
     owners = entries.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
     own = owners.groupBy("node").agg(F.count("*").alias("own"))
     sizes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"))
-    return sizes.join(own, "node", "left").where("coalesce(own, 0) <= floor(n / 10)").select("node", "doc_id", "n")
+    df = sizes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where("own <= floor(n / 10)")
+    return df.select("node", "doc_id", "n", F.expr("own <= floor(n / 19)").alias("small"))
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the wanted (doc_id, node), made again from the texts."""
+    wanted = stored(wanted, "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            made = [(node, shingles(text)) for text, node in zip(pdf["text"], pdf["node"].tolist(), strict=True)]
+            yield pd.DataFrame([(x, h.tobytes()) for x, h in made if node_of(h) == x], columns=["node", "set"])
+
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
+    return stored(rows.mapInPandas(work, "node long, set binary").dropDuplicates(["node"]), "sets")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -112,7 +127,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     hosts = places.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place")).select("node", F.struct(F.col("node").alias("at"), "place", F.lit(0).alias("guest")).alias("to"))
     wanted = guests.unionByName(hosts).groupBy("node").agg(F.collect_list("to").alias("to"))
     wanted = stored(wanted.join(nodes.select("node", "doc_id"), "node"), "wanted")
-    few = wanted.count() <= BROADCAST_IDS
+    few = pairs.count() <= BROADCAST_IDS
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -154,9 +169,9 @@ class Trie:
         self.children: dict[int, Trie] = {}
         self.component: int | None = None
         self.least, self.most = 1 << 60, 0
-        self.ends: list[tuple[int, int, int]] = []
+        self.ends: list[tuple[int, int, int, bool]] = []
 
-    def insert(self, prefix: list[int], node: int, n: int, component: int) -> None:
+    def insert(self, prefix: list[int], node: int, n: int, component: int, small: bool = True) -> None:
         at = self
         for token in [None, *prefix]:
             if token is not None:
@@ -165,9 +180,9 @@ class Trie:
                 at = at.children[token]
             at.component = component if at.most == 0 or at.component == component else None
             at.least, at.most = min(at.least, n), max(at.most, n)
-        at.ends.append((node, n, component))
+        at.ends.append((node, n, component, small))
 
-    def candidates(self, token: int, prefix: list[int], n: int, component: int) -> Iterator[int]:
+    def candidates(self, token: int, prefix: list[int], n: int, component: int, small: bool = True) -> Iterator[int]:
         """Nodes of other components that may link and whose first common prefix shingle is ``token``."""
         m = len(prefix)
         stack = [(self, 0, 0, 0)]  # subtree, its depth, place in the probe's prefix, common so far
@@ -175,9 +190,9 @@ class Trie:
             at, depth, i, common = stack.pop()
             if at.component == component:
                 continue
-            for node, size, other in at.ends:
+            for node, size, other, fits in at.ends:
                 # all elements up to the smaller last one have been seen on both sides
-                if other != component and common and _reach(common, n, i, size, depth) and 10 * min(n, size) >= 9 * max(n, size):
+                if other != component and common and (fits and size <= n or small and n <= size) and _reach(common, n, i, size, depth) and 10 * min(n, size) >= 9 * max(n, size):
                     yield node
             for t, child in at.children.items():
                 if not common and t > token:
@@ -200,47 +215,73 @@ def _reach(common: int, n: int, seen: int, size: int, other_seen: int) -> bool:
     return 19 * (common + min(n - seen, size - other_seen)) >= 9 * (n + size)
 
 
+class _Groups:
+    """Components within one group, joined as links are found."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (y := self.above.get(x, x)) != x:
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.top(x)] = self.top(y)
+
+
+def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple[int, int, bool]]:
+    """Pairs (a, b, sure) of one group; rows are (part, node, n, component, small, prefix, set or None). Sure pairs are links."""
+    token, i, j = key
+    trie, groups = Trie(), _Groups()
+    sets = {r[1]: np.frombuffer(r[6], np.uint64) for r in rows if r[6] is not None}
+    whole = {x: frozenset(h.tolist()) for x, h in sets.items()}
+    of = {r[1]: r[3] for r in rows}
+
+    def insert(r: tuple) -> None:
+        trie.insert(r[5], r[1], r[2], r[3], r[4])
+
+    if i != j:
+        for r in rows:
+            if r[0] == j:
+                insert(r)
+    for r in rows:
+        if r[0] != i:
+            continue
+        _, node, n, component, small, prefix, _ = r
+        for x in trie.candidates(token, prefix, n, component, small):
+            if node not in whole or x not in whole:
+                yield min(node, x), max(node, x), False
+            elif groups.top(component) != groups.top(of[x]):
+                both = len(whole[node] & whole[x])
+                if 100 * both >= 90 * (len(whole[node]) + len(whole[x]) - both):
+                    groups.join(component, of[x])
+                    yield min(node, x), max(node, x), True
+        if i == j:
+            insert(r)
+
+
 def _trie_pairs(rest: DataFrame) -> DataFrame:
-    """(a, b) from groups (token, i, j); rows: node, n, component, prefix, part. Groups are read as runs of a sorted stream."""
-
-    def join(key: tuple, rows: list[tuple]) -> tuple[list[int], list[int]]:
-        token, i, j = key
-        trie, a, b = Trie(), [], []
-        if i != j:
-            for part, node, n, component, prefix in rows:
-                if part == j:
-                    trie.insert(prefix, node, n, component)
-        for part, node, n, component, prefix in rows:
-            if part == i:
-                for x in trie.candidates(token, prefix, n, component):
-                    a.append(min(node, x))
-                    b.append(max(node, x))
-                if i == j:
-                    trie.insert(prefix, node, n, component)
-        return a, b
+    """(a, b, sure) from groups (token, i, j). Groups are read as runs of a sorted stream."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, rows = None, []
-        a: list[int] = []
-        b: list[int] = []
+        current, rows, out = None, [], []
+        columns = ("token", "i", "j", "part", "node", "n", "component", "small", "prefix", "set")
         for pdf in batches:
-            for token, i, j, *row, prefix in zip(*[pdf[c].tolist() for c in ("token", "i", "j", "part", "node", "n", "component")], pdf["prefix"], strict=True):
+            for token, i, j, *row, prefix, whole in zip(*[pdf[c].tolist() for c in columns], strict=True):
                 if (token, i, j) != current:
                     if len(rows) > 1:
-                        more = join(current, rows)
-                        a += more[0]
-                        b += more[1]
+                        out += _group_pairs(current, rows)
                     current, rows = (token, i, j), []
-                rows.append((*row, prefix.tolist()))
-            if len(a) > 10_000:
-                yield pd.DataFrame({"a": a, "b": b})
-                a, b = [], []
+                rows.append((*row, prefix.tolist(), whole))
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=["a", "b", "sure"])
+                out = []
         if len(rows) > 1:
-            more = join(current, rows)
-            a, b = a + more[0], b + more[1]
-        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+            out += _group_pairs(current, rows)
+        yield pd.DataFrame(out, columns=["a", "b", "sure"])
 
-    return rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long")
+    return rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long, sure boolean")
 
 
 def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -252,22 +293,27 @@ def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     prefix = full.select("doc_id", "node", F.slice("low", 1, (F.floor(F.col("n") / 10) + 1).cast("int")).alias("prefix"))
     nodes = stored(alive.join(prefix, ["doc_id", "node"]).dropDuplicates(["node"]), "nodes")
 
-    entries = nodes.select("node", "n", F.explode("prefix").alias("token"))
-    leaders = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").drop("last")
+    entries = nodes.select("node", "n", "small", F.explode("prefix").alias("token"))
+    leaders = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.bool_or("small").alias("any")).where("lead <> last AND any").drop("last", "any")
     shared = stored(entries.join(leaders, "token"), "shared")
-    votes = shared.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("votes"))
+    votes = shared.where("node <> lead AND small").groupBy("node", "lead").agg(F.count("*").alias("votes"))
     pairs = votes.groupBy("node").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
     links = _verified(docs, nodes, pairs)
 
     merged = connected_components(links)
-    labelled = shared.select("token", "node", "n").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = shared.select("token", "node", "n", "small").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = stored(labelled, "labelled")
-    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("token", F.ceil(F.col("m") / TRIE).cast("int").alias("parts"))
-    rest = labelled.join(open_tokens, "token").join(nodes.select("node", "prefix"), "node")
+    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("token", "m", F.ceil(F.col("m") / TRIE).cast("int").alias("parts"))
+    rest = labelled.join(open_tokens, "token")
     rest = rest.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "parts")
-    late = _verified(docs, nodes, _trie_pairs(rest))
+    rest = stored(rest.join(nodes.select("node", "prefix"), "node"), "rest")
+    dense = rest.where(F.col("m") > DENSE)
+    sets = _sets(docs, dense.select("node").distinct().join(nodes.select("node", "doc_id"), "node"))
+    both = rest.where(F.col("m") <= DENSE).withColumn("set", F.lit(None).cast("binary")).unionByName(dense.join(sets, "node"))
+    found = stored(_trie_pairs(both.drop("m")), "found")
+    late = _verified(docs, nodes, found.where("NOT sure").select("a", "b")).unionByName(found.where("sure").select("a", "b"))
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
     everyone = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
