@@ -7,7 +7,7 @@
    fills a shard, which has a fixed size, and writes it in one piece (under another name first, then renamed, so a
    repeated task does no harm). Record i of shard s is slot ``s * RECORDS + i``: reading can start at any slot.
 
-A record is doc_id (8 bytes, signed), part and number of tokens (4 bytes each), then ``LENGTH`` ids of 2 bytes, padded.
+A record is doc_id (8 bytes, signed), part (4 bytes), number of tokens (2 bytes), then ``LENGTH`` ids of 2 bytes, padded.
 Little-endian throughout. A document's sequences are cut every ``LENGTH`` ids. Defined results: null and empty texts
 have no sequence; a null doc_id is stored as the least 64-bit integer and read as null; repeated rows have sequences of
 their own; an empty table gives no shard.
@@ -38,7 +38,7 @@ NO_ID = -(1 << 63)
 
 
 def record_type(length: int = LENGTH) -> np.dtype:
-    return np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u4"), ("ids", "<u2", (length,))])
+    return np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u2"), ("ids", "<u2", (length,))])
 
 
 class Feistel:
@@ -135,7 +135,7 @@ def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGT
     kind, order = record_type(length), Feistel(total, key)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=6)
+        press = zstandard.ZstdCompressor(level=9)
         waiting: list[tuple] = []
         held = 0
 
