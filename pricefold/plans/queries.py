@@ -321,9 +321,9 @@ def w9_latest_probes(s, d):
 
 
 @query("""WITH c AS (SELECT ccn, count(DISTINCT case_id) AS cases FROM enforcement GROUP BY ccn), a AS (SELECT s.ccn, s.mrf_url AS url, http_status, alive, 'seed' AS source, 0 AS score FROM seeds s LEFT JOIN latest l ON s.ccn = l.ccn AND s.mrf_url = l.mrf_url
-  UNION ALL SELECT ccn, candidate_url, head_status, alive, 'rediscovered', score FROM rediscovered) SELECT a.ccn, url, http_status, coalesce(alive, false) AS alive, source, score, coalesce(name, '') AS name, state, coalesce(cases, 0) AS cases FROM a LEFT JOIN registry r ON r.ccn = a.ccn LEFT JOIN c ON c.ccn = a.ccn""", "registry", "seeds", "rediscovered", "latest", "enforcement")
+  UNION ALL SELECT ccn, candidate_url, head_status, alive, 'rediscovered', score FROM rediscovered) SELECT a.ccn, url, coalesce(http_status, 0) AS http_status, coalesce(alive, false) AS alive, source, score, coalesce(name, '') AS name, state, coalesce(cases, 0) AS cases FROM a LEFT JOIN registry r ON r.ccn = a.ccn LEFT JOIN c ON c.ccn = a.ccn""", "registry", "seeds", "rediscovered", "latest", "enforcement")
 def j3_scoreboard(s, d):
-    return registry.scoreboard(T.seeds(s, d), T.rediscovered(s, d), T.probes(s, d), T.registry(s, d), T.enforcement(s, d))
+    return registry.scoreboard(T.seeds(s, d), T.rediscovered(s, d), T.probes(s, d), T.registry(s, d), T.enforcement(s, d)).withColumn("http_status", F.coalesce("http_status", F.lit(0)))
 
 
 @query("SELECT ccn FROM live", "live")
