@@ -97,3 +97,13 @@ def compliance(slim_items: DataFrame, facilities: DataFrame | None = None) -> Da
     score = reduce(lambda a, b: a + b, [F.when(got[k], w).otherwise(0) for k, w in WEIGHTS.items()])
     df = df.withColumn("score", F.when(F.col("item_count") == 0, 0).otherwise(score).cast("int"))
     return df.withColumn("grade", X.grade_for(F.col("score")))
+
+
+def normalized_document(items: DataFrame) -> DataFrame:
+    """Items in three levels: (ccn, item key, charges), where charges has an element for each distinct set of prices with its distinct payer facts.
+
+    Nothing is merged that differs: a payer named twice under two rates keeps both."""
+    item = ["ccn", "code", "code_type", "setting", "billing_class", "description"]
+    prices = ["gross", "cash", "min_rate", "max_rate"]
+    charges = items.groupBy(*item, *prices).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("payers")))).alias("payers"))
+    return charges.groupBy(*item).agg(F.sort_array(F.collect_list(F.struct(*prices, "payers"))).alias("charges"))

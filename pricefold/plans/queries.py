@@ -753,3 +753,149 @@ def t1_latest_states(s, d):
 @query("WITH w AS (SELECT mrf_url, sha256, lag(sha256) OVER (PARTITION BY mrf_url ORDER BY probed_at, event_id) AS before FROM probes WHERE http_status = 200) SELECT mrf_url, count(*) AS n, count_if(before IS NOT NULL AND before <> sha256) AS changes FROM w GROUP BY mrf_url", "probes")
 def t2_change_counts(s, d):
     return changes.change_counts(T.probes(s, d))
+
+
+# ---- more of the inventory -----------------------------------------------------------------------------------------
+
+
+@query("WITH c AS (SELECT ccn, code, code_type, setting, billing_class, description, gross, cash, min_rate, max_rate FROM items GROUP BY ALL) SELECT ccn, code, code_type, setting, billing_class, description, count(*) AS n_charges FROM c GROUP BY ALL", "items")
+def a32_normalized_document(s, d):
+    return standardize.normalized_document(T.items(s, d)).select("ccn", "code", "code_type", "setting", "billing_class", "description", F.size("charges").cast("long").alias("n_charges"))
+
+
+@query("SELECT ccn, code, code_type, setting, billing_class, sum(len(facts))::BIGINT AS n_facts FROM (SELECT ccn, code, code_type, setting, billing_class, description, gross, cash, min_rate, max_rate, list_distinct(flatten(list(list_transform(payers, lambda x: x.payer || '=' || coalesce(x.rate_dollar::VARCHAR, '-'))))) AS facts FROM items GROUP BY ALL) GROUP BY ALL HAVING sum(len(facts)) > 0", "items")
+def a32_payer_facts(s, d):
+    facts = F.aggregate("charges", F.lit(0), lambda a, c: a + F.size(c["payers"]))
+    return standardize.normalized_document(T.items(s, d)).groupBy("ccn", "code", "code_type", "setting", "billing_class").agg(F.sum(facts).alias("n_facts")).where("n_facts > 0")
+
+
+@query("SELECT 'failures' AS check_id, count(*) FILTER (http_status <> 200)::VARCHAR AS observed, 100 * count(*) FILTER (http_status <> 200) <= 30 * count(*) AS ok FROM probes", "probes")
+def d19_failure_rate(s, d):
+    results = T.probes(s, d).select(F.when(F.col("http_status") != 200, F.col("http_status").cast("string")).alias("error"))
+    return quality.failure_rate(results).select("check_id", "observed", "ok")
+
+
+def page_outputs(s, d):
+    """Pages as outputs with bytes and hash."""
+    return T.read(s, d, "pages").select("page_id", F.concat(F.lit("p/"), "page_id").alias("path"), F.octet_length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("sha256"))
+
+
+@query("SELECT 'p/' || page_id::VARCHAR AS subject, page_id % 5 <> 0 AND page_id % 7 <> 0 AS ok, CASE WHEN page_id % 7 <> 0 THEN strlen(html)::VARCHAR || ' ' || sha256(html) ELSE '' END AS observed FROM pages")
+def d12_manifest_checks(s, d):
+    found = page_outputs(s, d)
+    manifest = found.withColumn("bytes", F.when(F.col("page_id") % 5 == 0, F.col("bytes") + 1).otherwise(F.col("bytes")))
+    return quality.manifest_checks(manifest, found.where("page_id % 7 <> 0")).select("subject", "ok", "observed")
+
+
+@query("SELECT 'p/' || page_id::VARCHAR AS path, CASE WHEN page_id % 7 = 0 THEN 'vanished' WHEN page_id % 11 = 0 THEN 'new' WHEN page_id % 5 = 0 THEN 'changed' ELSE 'same' END AS state FROM pages")
+def u10_drift(s, d):
+    df = page_outputs(s, d)
+    recorded = df.where("page_id % 11 <> 0 OR page_id % 7 = 0").withColumn("sha256", F.when(F.col("page_id") % 5 == 0, F.lit("old")).otherwise(F.col("sha256")))
+    return merges.drift(recorded, df.where("page_id % 7 <> 0"))
+
+
+@query("SELECT ccn, code, count(*) AS n FROM slim WHERE code LIKE 'J00%' AND regexp_matches(code, '^[A-Z0-9]{5}$') GROUP BY ALL", "slim")
+def p5_code_prefix(s, d):
+    return slim(s, d).where(F.col("code").startswith("J00") & F.col("code").rlike("^[A-Z0-9]{5}$")).groupBy("ccn", "code").agg(F.count("*").alias("n"))
+
+
+@query("SELECT ccn, code, true AS ccn_ok, regexp_matches(code, '^[A-Za-z0-9.-]{1,16}$') AS code_ok, true AS slug_ok FROM slim GROUP BY ALL", "slim")
+def p6_valid_ids(s, d):
+    df = slim(s, d).select("ccn", "code").distinct().withColumn("slug", X.slugify(F.col("ccn")))
+    return search.valid_ids(df).drop("slug")
+
+
+@query("SELECT ccn, count(*) AS n FROM items WHERE ccn IN (SELECT ccn FROM registry WHERE hospital_type = 'Psychiatric') GROUP BY ccn", "items", "registry")
+def p7_key_list(s, d):
+    keys = T.registry(s, d).where("hospital_type = 'Psychiatric'").select("ccn")
+    return T.items(s, d).join(keys, "ccn", "left_semi").groupBy("ccn").agg(F.count("*").alias("n"))
+
+
+@query("SELECT r.ccn, url, len(list_filter(list_distinct(list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda t: length(t) >= 3)), lambda t: contains(lower(url), t)))::INT AS hits FROM best b JOIN registry r USING (ccn)", "best")
+def j10_words_in_url(s, d):
+    return matching.words_in_url(best(s, d).join(T.registry(s, d).select("ccn", "name"), "ccn")).select("ccn", "url", "hits")
+
+
+@query("SELECT 'S' || ccn AS submission_id, ccn FROM best WHERE ccn::INT % 3 <> 0 AND contains(url, 'example.org')", "best")
+def j16_bound_domains(s, d):
+    sources = best(s, d)
+    domain = F.when(F.expr("cast(ccn AS int) % 3 = 0"), F.lit("other.example.org")).otherwise(X.url_host(F.col("url")))
+    return matching.bound_domains(sources.select(F.concat(F.lit("S"), "ccn").alias("submission_id"), "ccn", domain.alias("domain")), sources).select("submission_id", "ccn")
+
+
+def failures(s, d):
+    """Failed probes as ingest failures."""
+    error = F.when(F.col("http_status") == 404, "no_live_mrf").when(F.col("http_status") == -1, "timeout:60").otherwise("seed:-:probe_html:503")
+    return T.probes(s, d).where("http_status NOT IN (200, 304)").select("ccn", error.alias("error"), F.concat(F.lit("log"), F.col("event_id") % 4).alias("log"), F.col("event_id").alias("at"))
+
+
+_FAILURES = "f AS (SELECT ccn, event_id AS a, 'log' || (event_id % 4)::VARCHAR AS log, CASE http_status WHEN 404 THEN 'no_live_mrf_after_rediscovery' WHEN -1 THEN 'mrf_fetch_timeout' ELSE 'mrf_url_returns_html_wrapper' END AS reason FROM probes WHERE http_status NOT IN (200, 304))"
+
+
+@query(f"WITH {_FAILURES}, m AS (SELECT ccn, reason, min(a) AS a FROM f GROUP BY ALL), l AS (SELECT ccn, count(DISTINCT log) AS logs FROM f GROUP BY ccn) SELECT ccn, logs, string_agg(reason, '|' ORDER BY a) AS reasons FROM m JOIN l USING (ccn) GROUP BY ALL", "probes")
+def a23_failures_by_facility(s, d):
+    return registry.failures_by_facility(failures(s, d)).select("ccn", "logs", F.array_join("reasons", "|").alias("reasons"))
+
+
+@query(f"WITH {_FAILURES} SELECT ccn, arg_max(reason, a) AS reason FROM f WHERE ccn IN (SELECT ccn FROM registry) AND ccn::INT % 4 <> 0 GROUP BY ccn", "registry", "probes")
+def u4_terminal_exceptions(s, d):
+    r = T.registry(s, d)
+    found = merges.terminal_exceptions(r, failures(s, d), r.where("cast(ccn AS int) % 4 = 0"), registry.probe_history(T.probes(s, d)))
+    return found.select("ccn", "reason")
+
+
+@query("WITH x AS (SELECT count(*) AS total, count_if(has_live) AS live FROM facts) SELECT total, live, 'kept' AS note FROM x", "facts")
+def u8_summary_overlay(s, d):
+    fresh = registry.site_summary(facts(s, d)).select("total", "live")
+    old = fresh.select(F.lit(0).cast("long").alias("total"), F.lit("kept").alias("note"), F.lit(1).alias("cohort"))
+    return merges.overlaid(old, fresh, ["cohort"]).select("total", "live", "note")
+
+
+@query("SELECT ccn, code, gross, count(*) AS n, sum(len(payers))::BIGINT AS n_rates FROM items WHERE gross IS NOT NULL GROUP BY ALL", "items")
+def s3_ingest_documents(s, d):
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    paid = F.transform("payers", lambda p: F.struct(p["payer"].alias("payer_name"), none.alias("plan_name"), none.alias("payer"), none.alias("plan"), p["rate_dollar"].cast("string").alias("standard_charge_dollar"), none.alias("standard_charge"), none.alias("methodology")))
+    charge = F.array(F.struct(F.col("setting"), F.col("billing_class"), text("gross").alias("gross_charge"), text("cash").alias("discounted_cash"), text("min_rate").alias("minimum"), text("max_rate").alias("maximum"), paid.alias("payers_information")))
+    coded = F.array(F.struct(F.col("code"), F.lit("CDM").alias("type"), none.alias("billing_code"), none.alias("code_type")))
+    entry = F.struct("description", none.alias("code"), none.alias("code_type"), coded.alias("code_information"), charge.alias("standard_charges"))
+    docs = T.items(s, d).where("gross IS NOT NULL").select(F.col("ccn").alias("hospital_name"), F.array(entry).alias("standard_charge_information"))
+    return files.ingest_documents(docs).groupBy(F.col("hospital_name").alias("ccn"), "code", "gross").agg(F.count("*").alias("n"), F.sum(F.size("payers")).alias("n_rates"))
+
+
+@query("SELECT 'K' || seq::VARCHAR AS code, description, count(*) FILTER (cash > 0) AS n_rates FROM items GROUP BY ALL", "items")
+def s4_ingest_vendor_rows(s, d):
+    row = F.create_map(F.lit("Charge Code"), F.concat(F.lit("K"), "seq"), F.lit("Description"), F.col("description"), F.lit("Payer"), F.lit("Aetna"), F.lit("Rate"), F.col("cash").cast("string"))
+    return files.ingest_vendor_rows(T.items(s, d).select(row.alias("row"))).select("code", "description", F.size("payers").cast("long").alias("n_rates"))
+
+
+@query("SELECT ccn AS id, mrf_url AS url FROM seeds", "registry", "seeds")
+def s16_location_blocks(s, d):
+    block = F.concat(F.lit("location-name: Facility "), "ccn", F.lit("\nmrf-url: "), "mrf_url", F.lit("\ncontact-email: a@b.org"))
+    text = T.seeds(s, d).groupBy(F.col("ccn").alias("id")).agg(F.array_join(F.sort_array(F.collect_list(block)), "\n\n").alias("text"))
+    return web.location_blocks(text).select("id", "url")
+
+
+@query("SELECT page_id, sum(CASE WHEN regexp_matches(lower(h), 'transparency') THEN 2 ELSE 0 END)::BIGINT AS points FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\s+[^>]*?href\\s*=\\s*[\"'']([^\"'']+)[\"''][^>]*>(.*?)</a>', 1)) AS h FROM pages) WHERE NOT regexp_matches(lower(h), '\\.(csv|json|xlsx?|zip|xml)|standard|readable|chargemaster') GROUP BY page_id")
+def f15_link_scores(s, d):
+    df = web.anchors(T.read(s, d, "pages")).withColumn("points", X.score_link(F.col("href"), F.lit("")))
+    return df.groupBy("page_id").agg(F.sum("points").alias("points"))
+
+
+@query("WITH r AS (SELECT slug, ccn, sum(n_items)::BIGINT AS n_items, percentile_disc(0.5) WITHIN GROUP (ORDER BY median DESC) AS median FROM stats GROUP BY ALL) SELECT slug, ccn, row_number() OVER (PARTITION BY slug ORDER BY CASE grade WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 WHEN 'D' THEN 3 ELSE 4 END, ccn) AS place FROM r JOIN scores USING (ccn)", "stats", "scores")
+def o8_payer_page_by_grade(s, d):
+    from pyspark.sql.window import Window
+
+    rows = search.ordered_payer_page(indexes.payer_facilities(stats(s, d), standardize.compliance(slim(s, d))).withColumn("state", F.lit("")), "grade")
+    return rows.select("slug", "ccn", F.row_number().over(Window.partitionBy("slug").orderBy(X.grade_rank(F.col("grade")).asc_nulls_last(), "ccn")).alias("place"))
+
+
+@query("SELECT ccn, name FROM registry ORDER BY ccn LIMIT 10 OFFSET 5", "registry")
+def o5_page(s, d):
+    return search.page(T.registry(s, d).select("ccn", "name"), ["ccn"], 10, 5)
+
+
+@query("SELECT ccn, code, bc, s, payer_max FROM entries WHERE payer_max IS NOT NULL ORDER BY code, payer_max ASC NULLS LAST, ccn, bc, s LIMIT 200", "entries")
+def o2_by_payer_rate(s, d):
+    rows = indexes.with_outliers(entries(s, d)).where("payer_max IS NOT NULL").withColumn("median_cash", F.col("cash_median"))
+    return search.ordered_procedure(rows, "payer").select("ccn", "code", "bc", "s", "payer_max").limit(200)
