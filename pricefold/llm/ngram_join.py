@@ -22,6 +22,7 @@ equal sets and share a component.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ WORDS = 3
 #: The part of the hash range whose shingles tell which nodes have too much of their own.
 POOL = 0.2
 #: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
-TRIE, MEETING, DENSE = 1000, 500, 60
+TRIE, MEETING, DENSE = 1000, 500, 150
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
 MEMO = 400_000
@@ -161,47 +162,60 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 class Trie:
-    """Ordered prefixes; each node knows the least and greatest set size below it, and their component if it is one."""
+    """Ordered prefixes; each node knows the least and greatest set size below it, and their component if it is one.
 
-    __slots__ = ("children", "component", "least", "most", "ends")
+    A node without children keeps the rest of its only prefix as a tail, so a prefix makes nodes only as far as others
+    share it."""
+
+    __slots__ = ("children", "component", "ends", "least", "most")
 
     def __init__(self) -> None:
         self.children: dict[int, Trie] = {}
         self.component: int | None = None
         self.least, self.most = 1 << 60, 0
-        self.ends: list[tuple[int, int, int, bool]] = []
+        self.ends: list[tuple[list[int], int, int, int, bool]] = []  # tail, node, size, component, small
 
-    def insert(self, prefix: list[int], node: int, n: int, component: int, small: bool = True) -> None:
+    def insert(self, tail: list[int], node: int, n: int, component: int, small: bool = True) -> None:
         at = self
-        for token in [None, *prefix]:
-            if token is not None:
-                if token not in at.children:
-                    at.children[token] = Trie()
-                at = at.children[token]
+        while True:
             at.component = component if at.most == 0 or at.component == component else None
             at.least, at.most = min(at.least, n), max(at.most, n)
-        at.ends.append((node, n, component, small))
+            if not tail or (not at.children and not at.ends):
+                break
+            if moved := next((e for e in at.ends if e[0]), None):  # a tail moves one level down to make room
+                at.ends.remove(moved)
+                below = at.children[moved[0][0]] = Trie()
+                below.component, below.least, below.most = moved[3], moved[2], moved[2]
+                below.ends.append((moved[0][1:], *moved[1:]))
+            if tail[0] not in at.children:
+                at.children[tail[0]] = Trie()
+            at, tail = at.children[tail[0]], tail[1:]
+        at.ends.append((tail, node, n, component, small))
 
     def candidates(self, token: int, prefix: list[int], n: int, component: int, small: bool = True) -> Iterator[int]:
         """Nodes of other components that may link and whose first common prefix shingle is ``token``."""
-        m = len(prefix)
+        m, own = len(prefix), frozenset(prefix)
         stack = [(self, 0, 0, 0)]  # subtree, its depth, place in the probe's prefix, common so far
         while stack:
             at, depth, i, common = stack.pop()
             if at.component == component:
                 continue
-            for node, size, other, fits in at.ends:
+            for tail, node, size, other, fits in at.ends:
+                if other == component or not (fits and size <= n or small and n <= size) or 10 * min(n, size) < 9 * max(n, size):
+                    continue
+                c, seen = common, i
+                if tail:
+                    more = own.intersection(tail)
+                    if not c and (not more or min(more) != token):
+                        continue
+                    c, seen = c + len(more), bisect_right(prefix, tail[-1])
                 # all elements up to the smaller last one have been seen on both sides
-                if other != component and common and (fits and size <= n or small and n <= size) and _reach(common, n, i, size, depth) and 10 * min(n, size) >= 9 * max(n, size):
+                if c and _reach(c, n, seen, size, depth + len(tail)):
                     yield node
             for t, child in at.children.items():
-                if not common and t > token:
-                    continue
-                if 10 * child.most < 9 * n or 9 * child.least > 10 * n:
+                if not common and t > token or 10 * child.most < 9 * n or 9 * child.least > 10 * n:
                     continue
-                j = i
-                while j < m and prefix[j] < t:
-                    j += 1
+                j = bisect_left(prefix, t, i)
                 hit = j < m and prefix[j] == t
                 if hit and not common and t != token:
                     continue
@@ -261,6 +275,12 @@ def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple
             insert(r)
 
 
+def _first(whole: bytes) -> list[int]:
+    """The ordered prefix of a whole set, as :func:`_signatures` makes it."""
+    h = np.frombuffer(whole, np.uint64)
+    return (h[: len(h) // 10 + 1] >> np.uint64(1)).tolist()
+
+
 def _trie_pairs(rest: DataFrame) -> DataFrame:
     """(a, b, sure) from groups (token, i, j). Groups are read as runs of a sorted stream."""
 
@@ -273,7 +293,7 @@ def _trie_pairs(rest: DataFrame) -> DataFrame:
                     if len(rows) > 1:
                         out += _group_pairs(current, rows)
                     current, rows = (token, i, j), []
-                rows.append((*row, prefix.tolist(), whole))
+                rows.append((*row, _first(whole) if prefix is None else prefix.tolist(), whole))
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["a", "b", "sure"])
                 out = []
@@ -308,10 +328,11 @@ def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rest = rest.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "parts")
-    rest = stored(rest.join(nodes.select("node", "prefix"), "node"), "rest")
+    rest = stored(rest, "rest")
     dense = rest.where(F.col("m") > DENSE)
     sets = _sets(docs, dense.select("node").distinct().join(nodes.select("node", "doc_id"), "node"))
-    both = rest.where(F.col("m") <= DENSE).withColumn("set", F.lit(None).cast("binary")).unionByName(dense.join(sets, "node"))
+    sparse = rest.where(F.col("m") <= DENSE).join(nodes.select("node", "prefix"), "node").withColumn("set", F.lit(None).cast("binary"))
+    both = sparse.unionByName(dense.join(sets, "node").withColumn("prefix", F.lit(None).cast("array<long>")))
     found = stored(_trie_pairs(both.drop("m")), "found")
     late = _verified(docs, nodes, found.where("NOT sure").select("a", "b")).unionByName(found.where("sure").select("a", "b"))
 
