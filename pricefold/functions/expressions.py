@@ -77,13 +77,19 @@ def detect_code_type(c: Column, shapes: Sequence[tuple[str, str]] = CODE_SHAPES)
 
 
 def _label(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.upper(F.trim(F.coalesce(c, F.lit("")))), " ", ""), "_", "-")
+    """Upper case, underscores as dashes, no blanks."""
+    return F.translate(F.upper(F.trim(F.coalesce(c, F.lit("")))), "_ ", "-")
+
+
+def lookup(table: dict[str, str], key: Column) -> Column:
+    """The table's value for a key, else null. One map literal; the key is worked out once."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
 def canon_code_type(c: Column) -> Column:
     """A type label in its usual form; unknown labels stay, in upper case."""
     label = _label(c)
-    return choose([(label == k, v) for k, v in TYPE_ALIASES.items()], label)
+    return F.coalesce(lookup(TYPE_ALIASES, label), label)
 
 
 def normalize_code(code: Column, code_type: Column) -> Column:
@@ -108,7 +114,7 @@ def display_code_type(code: Column, code_type: Column, description: Column, pric
     named = F.when(named == "", "CDM").otherwise(named)
     label = _label(named)
     shape = F.when(c == "", "CDM").otherwise(detect_code_type(c, CODE_SHAPES[:4]))
-    kind = choose([(label == k, v) for k, v in DISPLAY_ALIASES.items()] + [(label.isin(UNTYPED), shape)], named)
+    kind = F.coalesce(lookup(DISPLAY_ALIASES, label), F.when(label.isin(UNTYPED), shape), named)
     by_text = (c == "") & (d != "") & priced
     shown = F.when(by_text, F.substring(d, 1, 48)).otherwise(c)
     return F.struct(shown.alias("code"), F.when(by_text | ((c != "") & ~kind.isin(DISPLAY_TYPES) & priced), "CDM").otherwise(kind).alias("type"))
