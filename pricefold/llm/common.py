@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Python tasks that are planned within get at most ``rows`` rows at once, as theirs may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bucket_of(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id has bucket 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(0)).cast("int")

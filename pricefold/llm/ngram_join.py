@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import stored
+from pricefold.llm.common import small_batches, stored
 from pricefold.llm.components import connected_components
 
 WORDS = 3
@@ -41,7 +41,7 @@ POOL = 0.2
 TRIE, MEETING, DENSE = 1000, 500, 150
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
-MEMO = 400_000
+MEMO = 200_000
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -249,7 +249,6 @@ def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple
     token, i, j = key
     trie, groups = Trie(), _Groups()
     sets = {r[1]: np.frombuffer(r[6], np.uint64) for r in rows if r[6] is not None}
-    whole = {x: frozenset(h.tolist()) for x, h in sets.items()}
     of = {r[1]: r[3] for r in rows}
 
     def insert(r: tuple) -> None:
@@ -264,11 +263,11 @@ def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple
             continue
         _, node, n, component, small, prefix, _ = r
         for x in trie.candidates(token, prefix, n, component, small):
-            if node not in whole or x not in whole:
+            if node not in sets or x not in sets:
                 yield min(node, x), max(node, x), False
             elif groups.top(component) != groups.top(of[x]):
-                both = len(whole[node] & whole[x])
-                if 100 * both >= 90 * (len(whole[node]) + len(whole[x]) - both):
+                both = len(np.intersect1d(sets[node], sets[x], assume_unique=True))
+                if 100 * both >= 90 * (len(sets[node]) + len(sets[x]) - both):
                     groups.join(component, of[x])
                     yield min(node, x), max(node, x), True
         if i == j:
@@ -306,7 +305,11 @@ def _trie_pairs(rest: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
-    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    with small_batches(docs.sparkSession):
+        return _link_components(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")))
+
+
+def _link_components(docs: DataFrame) -> DataFrame:
     signatures = _signatures(docs)
     full = signatures.where("node IS NOT NULL")
     alive = stored(_open_nodes(full), "open")
