@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pricefold.llm.common import without
 
 #: Pre-tokens kept by a Python worker before its cache starts anew.
-CACHE = 600_000
+CACHE = 450_000
 WORD = 256
 
 
