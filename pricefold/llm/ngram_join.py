@@ -195,22 +195,25 @@ class Trie:
     def candidates(self, token: int, prefix: list[int], n: int, component: int, small: bool = True) -> Iterator[int]:
         """Nodes of other components that may link and whose first common prefix shingle is ``token``."""
         m, own = len(prefix), frozenset(prefix)
-        stack = [(self, 0, 0, 0)]  # subtree, its depth, place in the probe's prefix, common so far
+        # subtree, its depth, place in the probe's prefix, common so far, stored elements not above the probe's last
+        stack = [(self, 0, 0, 0, 0)]
         while stack:
-            at, depth, i, common = stack.pop()
+            at, depth, i, common, passed = stack.pop()
             if at.component == component:
                 continue
             for tail, node, size, other, fits in at.ends:
                 if other == component or not (fits and size <= n or small and n <= size) or 10 * min(n, size) < 9 * max(n, size):
                     continue
-                c, seen = common, i
+                c, seen, below = common, i, passed
                 if tail:
                     more = own.intersection(tail)
                     if not c and (not more or min(more) != token):
                         continue
                     c, seen = c + len(more), bisect_right(prefix, tail[-1])
+                    if passed == depth:
+                        below += bisect_right(tail, prefix[-1])
                 # all elements up to the smaller last one have been seen on both sides
-                if c and _reach(c, n, seen, size, depth + len(tail)):
+                if c and _reach(c, n, seen, size, below):
                     yield node
             for t, child in at.children.items():
                 if not common and t > token or 10 * child.most < 9 * n or 9 * child.least > 10 * n:
@@ -221,8 +224,9 @@ class Trie:
                     continue
                 c, j = common + hit, j + hit
                 # with the probe's prefix used up, later elements of the other side may still be common
-                if 19 * (c + min(n - j, child.most - depth - 1)) >= 9 * (n + child.least):
-                    stack.append((child, depth + 1, j, c))
+                below = depth + 1 if t <= prefix[-1] else passed
+                if 19 * (c + min(n - j, child.most - below)) >= 9 * (n + child.least):
+                    stack.append((child, depth + 1, j, c, below))
 
 
 def _reach(common: int, n: int, seen: int, size: int, other_seen: int) -> bool:

@@ -90,6 +90,26 @@ def test_trie_and_bounds_lose_nothing():
     assert want and want <= got
 
 
+def test_trie_keeps_subsets():
+    """A set and the set with a few more, J from 0.90 to 0.92, the additions below, among and above its hashes."""
+    rng = random.Random(9)
+    for k in range(400):
+        n = rng.randint(30, 300)
+        more = next(x for x in range(n // 9, 0, -1) if 100 * n >= 90 * (n + x))
+        assert 0.9 <= n / (n + more) < 0.94
+        small = sorted(rng.sample(range(1000, 2000), n))
+        low, high = [(0, 1000), (1000, 2000), (2000, 3000), (0, 1100), (0, 3000)][k % 5]
+        large = sorted(small + rng.sample([x for x in range(low, high) if x not in small], more))
+        others = [sorted(rng.sample(range(1000, 2000), n)) for _ in range(k % 3)]
+        for stored, probe in ((small, large), (large, small)):
+            first = [s[: len(s) // 10 + 1] for s in (stored, probe)]
+            token = min(set(first[0]) & set(first[1]))
+            trie = g.Trie()
+            for i, s in enumerate([*[[token, *o] for o in others], stored]):
+                trie.insert(s[: len(s) // 10 + 1], i, len(s), i)
+            assert len(others) in set(trie.candidates(token, first[1], len(probe), 99)), (k, n, more)
+
+
 def test_empty(spark):
     assert g.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
