@@ -14,6 +14,8 @@ from pricefold.llm import byte_bpe, decontaminate, ngram_join, quality_rules, qu
 from pricefold.llm.common import stored, table
 from pricefold.llm.queries import BPE_FILE
 
+NEAR = ngram_join.Rule(words=5, over=4, under=5)
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the labelled neighbours take for good ones."""
@@ -33,8 +35,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    return ngram_join.one_of_each(docs, ngram_join.link_components(docs))
+    """One document of each group of near copies (five-word shingles, J of 0.8 or more): the one with the smallest id."""
+    return ngram_join.one_of_each(docs, ngram_join.link_components(docs, rule=NEAR))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

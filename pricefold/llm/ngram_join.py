@@ -1,8 +1,11 @@
-"""N-gram Jaccard join by prefix trees: which documents' sets of word shingles have a Jaccard similarity of 0.9 or more.
+"""N-gram Jaccard join by prefix trees: which documents' sets of word shingles have a Jaccard similarity of a threshold or more.
+
+A :class:`Rule` gives the shingles' width and the threshold t, and what follows from them; the numbers below are those of
+the default, three words and 0.9.
 
 1. Equal sets become one node, so exact copies cost one row each from then on.
 2. A set that links shares nine tenths of its shingles with its partner. So a node goes if more than a tenth of its
-   shingles, all of them from a fixed part ``POOL`` of the hash range, occur in no other node. That is exact, needs one
+   shingles, all of them from a fixed part ``pool`` of the hash range, occur in no other node. That is exact, needs one
    aggregation, and leaves near copies and texts without much of their own.
 3. The others' sets are ordered by hash. Two sets that link share a shingle among the first tenth of each (prefix
    filter). The least node of each prefix shingle leads it; a node is compared with the leader that it shares most
@@ -15,7 +18,7 @@
 
 No link between different sets is lost and none is false (shingles are compared by 63- and 64-bit hashes, sets by a
 64-bit hash of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
-and is its own component, and so is a row without a doc_id; fewer than three words make one shingle; repeated rows have
+and is its own component, and so is a row without a doc_id; fewer words than a shingle has make one; repeated rows have
 equal sets and share a component.
 """
 
@@ -24,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,9 +38,6 @@ from pyspark.sql import functions as F
 from pricefold.llm.common import small_batches, stored
 from pricefold.llm.components import connected_components
 
-WORDS = 3
-#: The part of the hash range whose shingles tell which nodes have too much of their own.
-POOL = 0.2
 #: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
 TRIE, MEETING, DENSE = 1000, 500, 150
 #: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
@@ -45,6 +46,41 @@ MEMO = 200_000
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Shingles of ``words`` words link at a Jaccard similarity of ``over`` / ``under`` or more."""
+
+    words: int = 3
+    over: int = 9
+    under: int = 10
+
+    @property
+    def pool(self) -> float:
+        """The part of the hash range whose shingles tell which nodes have too much of their own: twice what they may have."""
+        return min(1.0, 2 * (self.under - self.over) / self.under)
+
+    def own(self, n: int) -> int:
+        """Shingles that a set of n may have beside those of its partner."""
+        return (self.under - self.over) * n // self.under
+
+    def own_sql(self, small: bool = False) -> str:
+        """The same in SQL; ``small``: as the smaller set of the pair."""
+        return f"{self.under - self.over} * n div {self.under + self.over if small else self.under}"
+
+    def prefix(self, n: int) -> int:
+        return self.own(n) + 1
+
+    def sizes(self, n: int, m: int) -> bool:
+        return self.under * min(n, m) >= self.over * max(n, m)
+
+    def enough(self, both: int, total: int) -> bool:
+        """Whether ``both`` common shingles are enough for two sets of ``total`` shingles together."""
+        return (self.under + self.over) * both >= self.over * total
+
+
+RULE = Rule()
+
+
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO:
@@ -56,17 +92,19 @@ class _WordHash(dict):
 _memo = _WordHash()
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's 3-word shingles. ``bytes`` lower-cases and splits by ASCII alone."""
+def _factor(i: int) -> np.uint64:
+    return _K[i] if i < 3 else np.uint64(xxhash.xxh3_64_intdigest(b"%d" % i) | 1)
+
+
+def shingles(text: str | None, width: int = RULE.words) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's shingles of ``width`` words. ``bytes`` lower-cases and splits by ASCII alone."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(_memo.__getitem__, words), np.uint64, n)
-    if n < WORDS:
-        h = h[:1] * _K[0] + (h[1:] * _K[1] if n > 1 else np.uint64(0)) + np.uint64(n)
-    else:
-        h = h[:-2] * _K[0] + h[1:-1] * _K[1] + h[2:] * _K[2]
+    span = min(n, width)
+    h = sum((h[i : n - span + 1 + i] * _factor(i) for i in range(span)), np.uint64(n if n < width else 0))
     h = (h ^ (h >> np.uint64(31))) * _K[3]
     h = (h ^ (h >> np.uint64(29))) * _K[4]
     return np.unique(h ^ (h >> np.uint64(32)))
@@ -76,49 +114,49 @@ def node_of(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, low) of every row; low: the set's smallest hashes, those of the pool and the first n // 10 + 1 at least."""
-    limit = np.uint64(int(POOL * 2**64))
+def _signatures(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(doc_id, n, node, low) of every row; low: the set's smallest hashes, those of the pool and of the prefix at least."""
+    limit = np.uint64(min(int(rule.pool * 2**64), 2**64 - 1))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n, node, low = [], [], []
             for text, doc_id in zip(pdf["text"], pdf["doc_id"], strict=True):
-                h = shingles(text)
+                h = shingles(text, rule.words)
                 n.append(len(h))
                 node.append(node_of(h) if len(h) and doc_id == doc_id and doc_id is not None else None)
-                low.append((h[: max(int(np.searchsorted(h, limit)), len(h) // 10 + 1)] >> np.uint64(1)).astype(np.int64))
+                low.append((h[: max(int(np.searchsorted(h, limit)), rule.prefix(len(h)))] >> np.uint64(1)).astype(np.int64))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "node": pd.array(node, "Int64"), "low": low})
 
     return stored(docs.select("doc_id", "text").mapInPandas(work, "doc_id long, n long, node long, low array<long>"), "signatures")
 
 
-def _open_nodes(full: DataFrame) -> DataFrame:
-    """Nodes that may link: at most a tenth of their shingles is known to be in no other node; ``small``: also as the smaller of a pair."""
-    limit = int(POOL * 2**64) >> 1
+def _open_nodes(full: DataFrame, rule: Rule) -> DataFrame:
+    """Nodes that may link: at most the rule's part of their shingles is known to be in no other node; ``small``: also as the smaller of a pair."""
+    limit = min(int(rule.pool * 2**64), 2**64 - 1) >> 1
     entries = full.select("node", F.explode("low").alias("token")).where(F.col("token") < limit)
     owners = entries.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
     own = owners.groupBy("node").agg(F.count("*").alias("own"))
     sizes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"))
-    df = sizes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where("own <= floor(n / 10)")
-    return df.select("node", "doc_id", "n", F.expr("own <= floor(n / 19)").alias("small"))
+    df = sizes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(f"own <= {rule.own_sql()}")
+    return df.select("node", "doc_id", "n", F.expr(f"own <= {rule.own_sql(small=True)}").alias("small"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(node, set) of the wanted (doc_id, node), made again from the texts."""
     wanted = stored(wanted, "wanted")
     few = wanted.count() <= BROADCAST_IDS
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [(node, shingles(text)) for text, node in zip(pdf["text"], pdf["node"].tolist(), strict=True)]
+            made = [(node, shingles(text, rule.words)) for text, node in zip(pdf["text"], pdf["node"].tolist(), strict=True)]
             yield pd.DataFrame([(x, h.tobytes()) for x, h in made if node_of(h) == x], columns=["node", "set"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
     return stored(rows.mapInPandas(work, "node long, set binary").dropDuplicates(["node"]), "sets")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Of the pairs (a, b), those that link, checked on whole sets made again from the texts.
 
     The set of b travels to a, once for each pair; a's set to as many places as it has ``MEETING`` partners."""
@@ -134,7 +172,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         for pdf in batches:
             out = []
             for text, node, to in zip(pdf["text"], pdf["node"], pdf["to"], strict=True):
-                h = shingles(text)
+                h = shingles(text, rule.words)
                 if node_of(h) == node:  # a doc_id with several texts gives its node's only
                     raw = h.tobytes()
                     out += [(x["at"], x["place"], x["guest"], node, raw) for x in to]
@@ -150,7 +188,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
                 elif where == (at, place):
                     own = np.frombuffer(raw, np.uint64)
                     both = len(np.intersect1d(host, own, assume_unique=True))
-                    if 100 * both >= 90 * (len(host) + len(own) - both):
+                    if rule.enough(both, len(host) + len(own)):
                         a.append(at)
                         b.append(node)
             yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -167,9 +205,10 @@ class Trie:
     A node without children keeps the rest of its only prefix as a tail, so a prefix makes nodes only as far as others
     share it."""
 
-    __slots__ = ("children", "component", "ends", "least", "most")
+    __slots__ = ("children", "component", "ends", "least", "most", "rule")
 
-    def __init__(self) -> None:
+    def __init__(self, rule: Rule = RULE) -> None:
+        self.rule = rule
         self.children: dict[int, Trie] = {}
         self.component: int | None = None
         self.least, self.most = 1 << 60, 0
@@ -184,17 +223,17 @@ class Trie:
                 break
             if moved := next((e for e in at.ends if e[0]), None):  # a tail moves one level down to make room
                 at.ends.remove(moved)
-                below = at.children[moved[0][0]] = Trie()
+                below = at.children[moved[0][0]] = Trie(self.rule)
                 below.component, below.least, below.most = moved[3], moved[2], moved[2]
                 below.ends.append((moved[0][1:], *moved[1:]))
             if tail[0] not in at.children:
-                at.children[tail[0]] = Trie()
+                at.children[tail[0]] = Trie(self.rule)
             at, tail = at.children[tail[0]], tail[1:]
         at.ends.append((tail, node, n, component, small))
 
     def candidates(self, token: int, prefix: list[int], n: int, component: int, small: bool = True) -> Iterator[int]:
         """Nodes of other components that may link and whose first common prefix shingle is ``token``."""
-        m, own = len(prefix), frozenset(prefix)
+        m, own, rule = len(prefix), frozenset(prefix), self.rule
         # subtree, its depth, place in the probe's prefix, common so far, stored elements not above the probe's last
         stack = [(self, 0, 0, 0, 0)]
         while stack:
@@ -202,7 +241,7 @@ class Trie:
             if at.component == component:
                 continue
             for tail, node, size, other, fits in at.ends:
-                if other == component or not (fits and size <= n or small and n <= size) or 10 * min(n, size) < 9 * max(n, size):
+                if other == component or not (fits and size <= n or small and n <= size) or not rule.sizes(n, size):
                     continue
                 c, seen, below = common, i, passed
                 if tail:
@@ -213,10 +252,10 @@ class Trie:
                     if passed == depth:
                         below += bisect_right(tail, prefix[-1])
                 # all elements up to the smaller last one have been seen on both sides
-                if c and _reach(c, n, seen, size, below):
+                if c and rule.enough(c + min(n - seen, size - below), n + size):
                     yield node
             for t, child in at.children.items():
-                if not common and t > token or 10 * child.most < 9 * n or 9 * child.least > 10 * n:
+                if not common and t > token or rule.under * child.most < rule.over * n or rule.over * child.least > rule.under * n:
                     continue
                 j = bisect_left(prefix, t, i)
                 hit = j < m and prefix[j] == t
@@ -225,14 +264,10 @@ class Trie:
                 c, j = common + hit, j + hit
                 # with the probe's prefix used up, later elements of the other side may still be common
                 below = depth + 1 if t <= prefix[-1] else passed
-                if 19 * (c + min(n - j, child.most - below)) >= 9 * (n + child.least):
+                if rule.enough(c + min(n - j, child.most - below), n + child.least):
                     stack.append((child, depth + 1, j, c, below))
 
 
-def _reach(common: int, n: int, seen: int, size: int, other_seen: int) -> bool:
-    return 19 * (common + min(n - seen, size - other_seen)) >= 9 * (n + size)
-
-
 class _Groups:
     """Components within one group, joined as links are found."""
 
@@ -248,10 +283,10 @@ class _Groups:
         self.above[self.top(x)] = self.top(y)
 
 
-def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple[int, int, bool]]:
+def _group_pairs(key: tuple[int, int, int], rows: list[tuple], rule: Rule) -> Iterator[tuple[int, int, bool]]:
     """Pairs (a, b, sure) of one group; rows are (part, node, n, component, small, prefix, set or None). Sure pairs are links."""
     token, i, j = key
-    trie, groups = Trie(), _Groups()
+    trie, groups = Trie(rule), _Groups()
     sets = {r[1]: np.frombuffer(r[6], np.uint64) for r in rows if r[6] is not None}
     of = {r[1]: r[3] for r in rows}
 
@@ -271,20 +306,20 @@ def _group_pairs(key: tuple[int, int, int], rows: list[tuple]) -> Iterator[tuple
                 yield min(node, x), max(node, x), False
             elif groups.top(component) != groups.top(of[x]):
                 both = len(np.intersect1d(sets[node], sets[x], assume_unique=True))
-                if 100 * both >= 90 * (len(sets[node]) + len(sets[x]) - both):
+                if rule.enough(both, len(sets[node]) + len(sets[x])):
                     groups.join(component, of[x])
                     yield min(node, x), max(node, x), True
         if i == j:
             insert(r)
 
 
-def _first(whole: bytes) -> list[int]:
+def _first(whole: bytes, rule: Rule) -> list[int]:
     """The ordered prefix of a whole set, as :func:`_signatures` makes it."""
     h = np.frombuffer(whole, np.uint64)
-    return (h[: len(h) // 10 + 1] >> np.uint64(1)).tolist()
+    return (h[: rule.prefix(len(h))] >> np.uint64(1)).tolist()
 
 
-def _trie_pairs(rest: DataFrame) -> DataFrame:
+def _trie_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
     """(a, b, sure) from groups (token, i, j). Groups are read as runs of a sorted stream."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,30 +329,30 @@ def _trie_pairs(rest: DataFrame) -> DataFrame:
             for token, i, j, *row, prefix, whole in zip(*[pdf[c].tolist() for c in columns], strict=True):
                 if (token, i, j) != current:
                     if len(rows) > 1:
-                        out += _group_pairs(current, rows)
+                        out += _group_pairs(current, rows, rule)
                     current, rows = (token, i, j), []
-                rows.append((*row, _first(whole) if prefix is None else prefix.tolist(), whole))
+                rows.append((*row, _first(whole, rule) if prefix is None else prefix.tolist(), whole))
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["a", "b", "sure"])
                 out = []
         if len(rows) > 1:
-            out += _group_pairs(current, rows)
+            out += _group_pairs(current, rows, rule)
         yield pd.DataFrame(out, columns=["a", "b", "sure"])
 
     return rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long, sure boolean")
 
 
-def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     with small_batches(docs.sparkSession):
-        return _link_components(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")))
+        return _link_components(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), rule)
 
 
-def _link_components(docs: DataFrame) -> DataFrame:
-    signatures = _signatures(docs)
+def _link_components(docs: DataFrame, rule: Rule) -> DataFrame:
+    signatures = _signatures(docs, rule)
     full = signatures.where("node IS NOT NULL")
-    alive = stored(_open_nodes(full), "open")
-    prefix = full.select("doc_id", "node", F.slice("low", 1, (F.floor(F.col("n") / 10) + 1).cast("int")).alias("prefix"))
+    alive = stored(_open_nodes(full, rule), "open")
+    prefix = full.select("doc_id", "node", F.slice("low", 1, F.expr(f"int({rule.own_sql()} + 1)")).alias("prefix"))
     nodes = stored(alive.join(prefix, ["doc_id", "node"]).dropDuplicates(["node"]), "nodes")
 
     entries = nodes.select("node", "n", "small", F.explode("prefix").alias("token"))
@@ -325,7 +360,7 @@ def _link_components(docs: DataFrame) -> DataFrame:
     shared = stored(entries.join(leaders, "token"), "shared")
     votes = shared.where("node <> lead AND small").groupBy("node", "lead").agg(F.count("*").alias("votes"))
     pairs = votes.groupBy("node").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    links = _verified(docs, nodes, pairs)
+    links = _verified(docs, nodes, pairs, rule)
 
     merged = connected_components(links)
     labelled = shared.select("token", "node", "n", "small").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -337,11 +372,11 @@ def _link_components(docs: DataFrame) -> DataFrame:
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "parts")
     rest = stored(rest, "rest")
     dense = rest.where(F.col("m") > DENSE)
-    sets = _sets(docs, dense.select("node").distinct().join(nodes.select("node", "doc_id"), "node"))
+    sets = _sets(docs, dense.select("node").distinct().join(nodes.select("node", "doc_id"), "node"), rule)
     sparse = rest.where(F.col("m") <= DENSE).join(nodes.select("node", "prefix"), "node").withColumn("set", F.lit(None).cast("binary"))
     both = sparse.unionByName(dense.join(sets, "node").withColumn("prefix", F.lit(None).cast("array<long>")))
-    found = stored(_trie_pairs(both.drop("m")), "found")
-    late = _verified(docs, nodes, found.where("NOT sure").select("a", "b")).unionByName(found.where("sure").select("a", "b"))
+    found = stored(_trie_pairs(both.drop("m"), rule), "found")
+    late = _verified(docs, nodes, found.where("NOT sure").select("a", "b"), rule).unionByName(found.where("sure").select("a", "b"))
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
     everyone = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))

@@ -11,11 +11,11 @@ from pricefold.llm import ngram_join as g
 from pricefold.llm.components import connected_components
 
 
-def plain(docs):
+def plain(docs, width=3, percent=90):
     sets = []
     for _, text in docs:
         words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-        sets.append(frozenset([tuple(words)] if 0 < len(words) < 3 else [tuple(words[i : i + 3]) for i in range(len(words) - 2)]))
+        sets.append(frozenset([tuple(words)] if 0 < len(words) < width else [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]))
     group = list(range(len(docs)))
 
     def find(x):
@@ -26,7 +26,7 @@ def plain(docs):
     for i in range(len(docs)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 group[find(i)] = find(j)
     least = {}
     for i, (doc_id, _) in enumerate(docs):
@@ -61,6 +61,23 @@ def test_components(spark, monkeypatch, size):
     assert sorted(tuple(r) for r in g.link_components(frame).collect()) == plain(docs)
 
 
+@pytest.mark.parametrize("size", [4, 1000])
+def test_five_words_and_eight_tenths(spark, monkeypatch, size):
+    import corpus_pipeline
+
+    monkeypatch.setattr(g, "TRIE", size)
+    monkeypatch.setattr(g, "DENSE", 3 if size == 4 else 60)
+    rng = random.Random(20 + size)
+    docs = corpus(rng)
+    text = " ".join(f"w{i}" for i in range(104))
+    docs += [(9001, text), (9002, text + "".join(f" x{i}" for i in range(15))), (9003, "p q r s"), (9004, "P q r s"), (9005, "p q r")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = plain(docs, 5, 80)
+    assert sorted(tuple(r) for r in g.link_components(frame, rule=corpus_pipeline.NEAR).collect()) == want
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, frame, "").collect()}
+    assert kept == {c for _, _, c in want} and 9001 in kept and 9002 not in kept
+
+
 def test_shuffled_fetch_and_one_of_each(spark, monkeypatch):
     monkeypatch.setattr(g, "BROADCAST_IDS", 0)
     docs = corpus(random.Random(3))
