@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from pricefold.llm import latent
 from pricefold.llm.common import stored
 
-WINDOW, STEP = 32, 16
+WINDOW, STEP = 32, 8
 RANK, COSINE = 128, 0.5
 #: The least part of a window's idf mass that lies in the benchmark's words.
-MASS = 0.35
+MASS = 0.3
 CERTAIN, LIKELY, ANSWER = 0.8, 0.5, 0.8
 TELLING, FEW = 0.02, 3
 LEAST, ANSWER_WORDS = 8, 6

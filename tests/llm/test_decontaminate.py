@@ -65,3 +65,27 @@ def test_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert d.find_leaks(docs, bench).count() == 0
     assert d.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_paraphrases_exactly(spark):
+    """All planted leaks, paraphrases included, and nothing else, also in blocks of 15 items."""
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choice(COMMON) if rng.random() < 0.4 else rng.choice(WORDS[:4000]) for _ in range(rng.randint(15, 60))) + ".") for i in range(40)]
+    items += [(90, None), (91, ""), (92, "the of and"), (0, "the of and to in is was for on with the of and")]
+    docs, want = [], set()
+    for k in range(240):
+        words = [rng.choice(COMMON) if rng.random() < 0.4 else rng.choice(WORDS[:4000]) for _ in range(rng.randint(40, 900))]
+        if k % 4 == 0:
+            i = rng.randrange(40)
+            inner = items[i][1].split()
+            if k % 8 == 0:
+                inner = [w if j >= len(inner) - 8 or rng.random() > 0.25 else rng.choice(WORDS[:4000]) for j, w in enumerate(inner)]
+                inner = [w.upper() + "," if rng.random() < 0.2 else w for w in inner]
+            at = rng.randrange(len(words))
+            words[at:at] = inner
+            want.add((k, i))
+        docs.append((k, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for size in (d.ITEMS, 15):
+        assert {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, items=size).collect()} == want
