@@ -5,17 +5,21 @@
 2. The benchmark's passages (windows of up to ``WINDOW`` words) are TF-IDF rows; a distributed randomised SVD of them
    gives a latent space of ``RANK`` dimensions. Weights are log((1 + documents) / (1 + frequency)), so a word that all
    documents have counts nothing.
-3. Every document is cut into overlapping windows, whole texts, no word left out. A window whose idf mass has too small
-   a part in the benchmark's words can't be near any passage; the others are placed in the latent space and compared
-   with all passages of the block by exact cosine products. Those at ``COSINE`` or more are candidates.
+3. Words of an item in at most ``TELLING`` of all documents tell of it; where fewer than ``FEW`` do, as for an item that
+   leaked into many documents, those in at most ``HALF`` of them, or else all its words. A document that hasn't enough of
+   them anywhere can't leak the item by the rule in 4; that bound is exact. All windows of the others, whole texts, are
+   placed in the latent space and compared with the item's passages by exact cosine products. Windows at ``COSINE`` or
+   more are candidates, and so are stretches with enough telling words, whatever surrounds them.
 4. A candidate's surroundings are checked word by word: longest common subsequence with the whole item, of all words and
-   of the telling ones (in at most ``TELLING`` of all documents) alone; the smaller share counts, so that an item's
-   common words don't make a leak. From ``CERTAIN`` on it is one; from ``LIKELY`` on it is one if the item's answer (its
-   last sentence, or its last words) is there too. An item with fewer than ``FEW`` telling words must be there whole.
+   of the telling ones alone; the smaller share counts, so that an item's common words don't make a leak. From
+   ``CERTAIN`` on it is one; from ``LIKELY`` on it is one if the item's answer (its last sentence, or its last words) is
+   there too. An item with few telling words is looked for in stretches of about its own length; without any words that
+   half of the documents lack, it needs ``CERTAIN``.
 
 Work grows with the documents; the benchmark goes to tasks in blocks of ``ITEMS`` items, one pass for each block, so
 what is broadcast has a fixed bound. Defined results: null or blank texts and items match nothing; an item of fewer
-than ``LEAST`` words is too common to judge and matches nothing; repeated rows are judged alike; an empty benchmark
+than ``LEAST`` words matches where it stands without a gap, but nothing if all its words are in more than ``HALF`` of the
+documents (of one or two words: more than ``TELLING``); repeated rows are judged alike; an empty benchmark
 leaves all documents clean.
 """
 
@@ -34,12 +38,12 @@ from pricefold.llm.common import stored
 
 WINDOW, STEP = 32, 8
 RANK, COSINE = 128, 0.5
-#: The least part of a window's idf mass that lies in the benchmark's words.
-MASS = 0.3
 CERTAIN, LIKELY, ANSWER = 0.8, 0.5, 0.8
-TELLING, FEW = 0.02, 3
+TELLING, HALF, FEW = 0.02, 0.5, 3
 LEAST, ANSWER_WORDS = 8, 6
 ITEMS = 20_000
+#: Words of a text that are placed at once.
+PART = 1 << 14
 MEMO = 400_000
 
 
@@ -92,12 +96,43 @@ class _Ids(dict):
         return i
 
 
+class Item:
+    """One item: ``tell`` are the words that tell of it, ``need`` how many of them a document must have."""
+
+    def __init__(self, item_id: int, words: list[int], answer: list[int], frequency: np.ndarray) -> None:
+        self.item_id, self.words, self.answer = item_id, words, answer
+        self.exact = len(words) < LEAST
+        self.level = 0
+        for self.level, limit in enumerate((TELLING, HALF, np.inf)):
+            self.tell = [w for w in words if frequency[w] <= limit]
+            if len(self.tell) >= FEW:
+                break
+        self.need = (CERTAIN if self.level == 2 else LIKELY) * len(self.tell)
+        if self.exact:
+            rare = min(words, key=lambda w: frequency[w])
+            self.tell, self.need = [rare], 1 if frequency[rare] <= (HALF if len(words) >= FEW else TELLING) else np.inf
+
+
 class Index:
     """A block of the benchmark as tasks need it."""
 
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, telling: np.ndarray, items: list[tuple[int, list[int], list[int]]]) -> None:
-        self.vocabulary, self.idf, self.telling, self.items = vocabulary, idf, telling, items
+    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, frequency: np.ndarray, items: list[tuple[int, list[int], list[int]]]) -> None:
+        self.vocabulary, self.idf, self.items = vocabulary, idf, items
         self.basis = self.passages = self.owner = None
+        self.judged = [Item(*x, frequency) for x in items]
+        self.need = np.array([x.need for x in self.judged])
+        entries = sorted((w, at, x.tell.count(w)) for at, x in enumerate(self.judged) for w in set(x.tell))
+        word, self.of, self.times = (np.array(x, np.int64) for x in zip(*entries, strict=True))
+        self.first = np.searchsorted(word, np.arange(len(idf) + 1))
+
+    def possible(self, ids: np.ndarray) -> np.ndarray:
+        """Places of the items of which a text has as many telling words as a leak must."""
+        some = np.unique(ids[self.first[ids + 1] > self.first[ids]])
+        if not len(some):
+            return some
+        n = self.first[some + 1] - self.first[some]
+        at = np.repeat(self.first[some] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return np.flatnonzero(np.bincount(self.of[at], self.times[at], len(self.items)) >= self.need)
 
     def passage_rows(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(item's place, word numbers, unit TF-IDF values) of each passage."""
@@ -109,62 +144,82 @@ class Index:
                 out.append((at, idx, val / max(1e-9, float(np.linalg.norm(val)))))
         return out
 
-    def candidates(self, ids: np.ndarray) -> dict[int, list[tuple[int, float]]]:
-        """Item's place to (window's start, cosine), for the word numbers of one text."""
+    def windows(self, ids: np.ndarray) -> np.ndarray:
+        """Unit vectors of all windows of a text, one for each ``STEP`` words."""
         n = len(ids)
-        weight = self.idf[ids]
-        known = ids > 0
-        starts = np.arange(0, max(1, n - WINDOW + STEP), STEP)
-        stops = np.minimum(starts + WINDOW, n)
-        every, inside = (np.concatenate([[0.0], np.cumsum(x)]) for x in (weight, weight * known))
-        near = np.flatnonzero(inside[stops] - inside[starts] >= MASS * (every[stops] - every[starts]))
-        out: dict[int, list[tuple[int, float]]] = {}
-        if not len(near):
-            return out
-        # only the words of those windows are placed
-        lengths = stops[near] - starts[near]
-        at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        words = np.repeat(starts[near] - at, lengths) + np.arange(lengths.sum())
-        # the numbers of a window are summed in the latent space; other words have no part in it
-        placed = np.add.reduceat(self.basis[ids[words]] * (weight * known)[words, None], at, axis=0)
-        placed /= np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-9)
-        cosines = placed @ self.passages.T
-        for i, j in zip(*np.nonzero(cosines >= COSINE), strict=True):
-            out.setdefault(int(self.owner[j]), []).append((int(starts[near[i]]), float(cosines[i, j])))
-        return out
-
-    def share(self, words: list[int], room: np.ndarray) -> float:
+        steps = []
+        for start in range(0, n, PART):
+            part = ids[start : start + PART]
+            steps.append(np.add.reduceat(self.basis[part] * self.idf[part][:, None], np.arange(0, len(part), STEP), axis=0))
+        steps = np.concatenate([*steps, np.zeros((WINDOW // STEP, self.basis.shape[1]), self.basis.dtype)])
+        count = len(range(0, max(1, n - WINDOW + STEP), STEP))
+        placed = sum(steps[k : k + count] for k in range(WINDOW // STEP))
+        return placed / np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-9)
+
+    def stretches(self, item: Item, ids: np.ndarray, span: int) -> np.ndarray:
+        """Where in a text a telling word stands that begins a stretch of ``span`` words with enough of them."""
+        places = np.flatnonzero(np.isin(ids, item.tell))
+        k = int(np.ceil(item.need - 1e-9))
+        last = places[k - 1 :]
+        return places[: len(last)][last - places[: len(last)] < span]
+
+    def rooms(self, item: Item, ids: np.ndarray, near: list[int]) -> Iterator[np.ndarray]:
+        """Stretches of a text in which the item may stand; ``near``: starts of windows with a high cosine."""
+        n = len(item.words)
+        if item.level:
+            slack, where = max(2, n // 4), {}
+            for i, w in enumerate(item.words):
+                where.setdefault(w, []).append(i)
+            starts = {int(p) - i for p in self.stretches(item, ids, n + 2 * slack) for i in where[int(ids[p])]}
+            for start in sorted(starts):
+                yield ids[max(0, start - slack) : max(0, start + n + slack)]
+            return
+        todo = sorted({*near, *self.stretches(item, ids, 2 * n + WINDOW).tolist()})
+        at = 0
+        while at < len(todo):
+            # neighbouring places are read together, with an item's room before and after
+            first = last = todo[at]
+            at += 1
+            while at < len(todo) and todo[at] - last <= WINDOW and todo[at] - first <= WINDOW + n:
+                last = todo[at]
+                at += 1
+            yield ids[max(0, first - n) : last + max(WINDOW, n) + n // 2]
+
+    def share(self, item: Item, room: list[int]) -> float:
         """Part of an item's words, and of its telling words, that a stretch of text has in order: the smaller of the two."""
-        telling = [w for w in words if self.telling[w]]
-        if len(telling) < FEW:
-            return float(_inside(words, room.tolist()))
-        share = common_subsequence(telling, room[self.telling[room]].tolist()) / len(telling)
-        return share if share < LIKELY else min(share, common_subsequence(words, room.tolist()) / len(words))
+        share = common_subsequence(item.tell, room) / len(item.tell)
+        return share if share < LIKELY else min(share, common_subsequence(item.words, room) / len(item.words))
 
     def leaks(self, ids: np.ndarray) -> list[tuple[int, float, float, float]]:
         """(item_id, best cosine, share of common subsequence, share of the answer) of each leaked item."""
         out = []
-        for place, found in self.candidates(ids).items():
-            item_id, words, answer = self.items[place]
-            best, cosine, answered = 0.0, max(c for _, c in found), 0.0
-            todo = sorted({s for s, _ in found})
-            while todo:
-                # neighbouring windows are read together, with half an item's room on both sides
-                first = last = todo.pop(0)
-                while todo and todo[0] - last <= WINDOW and todo[0] - first <= WINDOW + len(words):
-                    last = todo.pop(0)
-                room = ids[max(0, first - len(words) // 2) : last + WINDOW + len(words) // 2]
-                share = self.share(words, room)
-                if share > best:
-                    best, answered = share, common_subsequence(answer, room.tolist()) / len(answer)
-            if best >= CERTAIN or best >= LIKELY and answered >= ANSWER:
-                out.append((item_id, cosine, best, answered))
+        possible = self.possible(ids)
+        placed = self.windows(ids) if len(possible) else None
+        for place in possible.tolist():
+            item = self.judged[place]
+            cosines = (placed @ self.passages[slice(*np.searchsorted(self.owner, [place, place + 1]))].T).max(axis=1)
+            if item.exact or item.level:
+                if _inside(item.words, ids.tolist()):
+                    out.append((item.item_id, float(cosines.max()), 1.0, 1.0))
+                continue
+            best = answered = 0.0
+            leaked = False
+            for room in self.rooms(item, ids, (np.flatnonzero(cosines >= COSINE) * STEP).tolist()):
+                room = room.tolist()
+                share = self.share(item, room)
+                if share < LIKELY:
+                    continue
+                found = common_subsequence(item.answer, room) / len(item.answer)
+                leaked = leaked or share >= CERTAIN or item.level < 2 and found >= ANSWER
+                best, answered = max((best, answered), (share, found))
+            if leaked:
+                out.append((item.item_id, float(cosines.max()), best, answered))
         return out
 
 
 def _vocabulary(block: DataFrame) -> tuple[list, dict[str, int]]:
     """Items of one block, which ``ITEMS`` bounds, and the numbers of their words from 1."""
-    rows = [r for r in block.collect() if len(words_of(r.text)) >= LEAST]
+    rows = [r for r in block.collect() if words_of(r.text)]
     names = sorted({w for r in rows for w in words_of(r.text)})
     return rows, {w: i + 1 for i, w in enumerate(names)}
 
@@ -202,9 +257,7 @@ def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
         return None
     counts, n = _frequencies(docs, vocabulary)
     counts[0] = 0  # a word that the benchmark hasn't counts as a rare one
-    telling = counts <= TELLING * n
-    telling[0] = False
-    index = Index(vocabulary, np.log((1.0 + n) / (1.0 + counts)).astype(np.float32), telling, [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows])
+    index = Index(vocabulary, np.log((1.0 + n) / (1.0 + counts)).astype(np.float32), counts / max(1, n), [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows])
     passages = index.passage_rows()
     data = [(int(at), bytearray(i.tobytes()), bytearray(v.tobytes())) for at, i, v in passages]
     table = stored(spark.createDataFrame(data, "item int, idx binary, val binary").repartition(min(64, 1 + len(data) // 200)), "passages")

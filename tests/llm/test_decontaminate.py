@@ -89,3 +89,24 @@ def test_paraphrases_exactly(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     for size in (d.ITEMS, 15):
         assert {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, items=size).collect()} == want
+
+
+def test_short_items_in_foreign_text(spark):
+    """Items of 4 to 20 words among words that the benchmark lacks, wherever they stand, at two sizes of the corpus."""
+    rng = random.Random(21)
+    items = [(i, " ".join(prose(8 + i % 13, rng))) for i in range(26)] + [(80, "zebra quartz of lantern"), (81, "the of and")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    foreign = [f"ж{i}" for i in range(3000)]
+    for size in (300, 3000):
+        docs, want = [], set()
+        for k in range(size):
+            words = rng.choices(foreign, k=rng.randint(60, 120))
+            if k < 2 * len(items):
+                item_id, text = items[k % len(items)]
+                at = rng.randrange(len(words))
+                words[at:at] = text.split()
+                want.add((k, item_id))
+            docs.append((k, " ".join(words)))
+        got = {(r.doc_id, r.item_id) for r in d.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+        # item 81 can also stand in another item
+        assert {x for x in want if x[1] != 81} <= got and {x for x in got - want if x[1] != 81} == set()
