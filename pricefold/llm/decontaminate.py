@@ -198,7 +198,7 @@ class Index:
         for place in possible.tolist():
             item = self.judged[place]
             cosines = (placed @ self.passages[slice(*np.searchsorted(self.owner, [place, place + 1]))].T).max(axis=1)
-            if item.exact or item.level:
+            if item.exact:
                 if _inside(item.words, ids.tolist()):
                     out.append((item.item_id, float(cosines.max()), 1.0, 1.0))
                 continue

@@ -110,3 +110,35 @@ def test_short_items_in_foreign_text(spark):
         got = {(r.doc_id, r.item_id) for r in d.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
         # item 81 can also stand in another item
         assert {x for x in want if x[1] != 81} <= got and {x for x in got - want if x[1] != 81} == set()
+
+
+def test_items_in_many_documents(spark):
+    """An item in 5% and in 33% of the documents, with a word changed, dropped or added, or cut at an end."""
+    rng = random.Random(31)
+    for part in (0.05, 0.33):
+        items = [(1, " ".join(prose(24, rng))), (2, " ".join(prose(12, rng))), (3, "the of and to in is was for on with the of and")]
+        docs, want = [], set()
+        for k in range(300):
+            words = prose(rng.randint(60, 200), rng)
+            if k < 300 * part:
+                i = k % 2
+                inner = items[i][1].split()
+                at = rng.randrange(1, len(inner) - 1)
+                change = k // 2 % 6
+                if change == 0:
+                    inner[at] = "changed"
+                elif change == 1:
+                    del inner[at]
+                elif change == 2:
+                    inner.insert(at, "added")
+                elif change == 3:
+                    inner = inner[1:]
+                elif change == 4:
+                    inner = inner[:-1]
+                at = rng.randrange(len(words))
+                words[at:at] = inner
+                want.add((k, items[i][0]))
+            docs.append((k, " ".join(words)))
+        frame = spark.createDataFrame(docs, "doc_id long, text string")
+        got = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+        assert got == want
