@@ -128,15 +128,44 @@ def rewrite_affected(docs: DataFrame, plan: DataFrame, old_folder: str, new_fold
     """Writes ``docs`` of the affected shards, those that lose or gain rows, as ``shard=<n>`` folders under ``new_folder``.
 
     Unaffected shards are named by the returned list and stay where they are (``old_folder``); a reader takes each shard
-    from one of the two. ``plan`` is :func:`reshard`'s result; ``docs`` has unique ids. Rows are dealt by shard and slot
-    range, so a shard is written by several tasks, in slot order."""
+    from one of the two. ``plan`` is :func:`reshard`'s result; rows that repeat an id and a text take its places in turn.
+    Rows are dealt by shard and slot range, so a shard is written by several tasks, in slot order."""
     spark = docs.sparkSession
     new_folder = new_folder or new_path(spark, "resharded")
-    moved = plan.where("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
-    affected = sorted(r.s for r in moved.collect())  # at most the number of shards
-    everything = {r.shard for r in plan.select("shard").distinct().collect()}
-    chosen = plan.where(F.col("shard").isin(affected)).select("doc_id", "shard", "slot")
-    body = without(docs, "shard", "slot").join(chosen, "doc_id")
+    affected, left = _affected(plan)
+    # documents and their places meet in one shuffle: both are numbered within a key, and equal numbers belong together
+    key = ["_id", "_size", "_crc"]
+    body = without(docs, "shard", "slot")
+    names = body.columns
+    rows = body.select(F.col("doc_id").alias("_id"), row_size(F.col("text")).alias("_size"), F.crc32(F.coalesce("text", F.lit(""))).alias("_crc"), F.lit(1).alias("_kind"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+    places = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("text_crc32").alias("_crc"), F.lit(0).alias("_kind"), "shard", "slot")
+    both = rows.unionByName(places, allowMissingColumns=True).repartition(*key)
+    both = both.withColumn("_turn", F.row_number().over(Window.partitionBy(*key, "_kind").orderBy(F.lit(0))))
+    met = Window.partitionBy(*key, "_turn").orderBy("_kind")
+    both = both.withColumns({"shard": F.first("shard", ignorenulls=True).over(met), "slot": F.first("slot", ignorenulls=True).over(met)})
+    body = both.where((F.col("_kind") == 1) & F.col("shard").isin(affected)).select(*[F.col("_row")[c].alias(c) for c in names], "shard", "slot")
     n = max(1, len(affected)) * 4
     body.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(new_folder)
-    return new_folder, sorted(everything - set(affected))
+    return new_folder, left
+
+
+def _affected(plan: DataFrame) -> tuple[list[int], list[int]]:
+    """Shards that lose or gain rows, and the others; at most the number of shards."""
+    moved = plan.where("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
+    affected = {r.s for r in moved.collect()}
+    return sorted(affected), sorted({r.shard for r in plan.select("shard").distinct().collect()} - affected)
+
+
+def resharded(docs: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
+    """:func:`reshard` carried out: affected shards are written anew and their rows read back from the files.
+
+    Rows of unaffected shards stay where ``docs`` has them and are numbered by the plan. ``docs`` has doc_id and text."""
+    spark = docs.sparkSession
+    old = F.pmod(F.coalesce(old_shard, F.lit(0)), F.lit(shards)).cast("int")
+    docs = docs.withColumn("old_shard", old)
+    plan = stored(reshard(docs, F.col("old_shard"), shards), "reshard-plan")
+    folder, left = rewrite_affected(docs, plan, "")
+    schema = without(docs, "shard", "slot").schema.add("slot", "long").add("shard", "integer")
+    back = spark.read.schema(schema).parquet(folder)
+    back = back.select("doc_id", row_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    return back.unionByName(plan.where(F.col("shard").isin(left)))

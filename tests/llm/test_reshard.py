@@ -65,5 +65,27 @@ def test_rewrites_affected_shards(spark):
     assert left == [2, 3] and {x.shard for x in spark.read.parquet(folder).select("shard").distinct().collect()} == {0}
 
 
+def test_query_reads_rewritten_shards(spark, tmp_path, monkeypatch):
+    """Every row comes back from the written shards once, rows with repeated or missing ids too."""
+    from pricefold.llm import queries
+
+    docs = documents(random.Random(2))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    folders = []
+    write = r.rewrite_affected
+    monkeypatch.setattr(r, "rewrite_affected", lambda *a: folders.append(write(*a)) or folders[-1])
+    rows = queries.op10_reshard(spark, str(tmp_path)).collect()
+    assert Counter((x.doc_id, x.text_crc32) for x in rows) == Counter((d, zlib.crc32((t or "").encode())) for d, t, _ in docs)
+    slots = defaultdict(list)
+    for x in rows:
+        slots[x.shard].append(x.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    ((folder, left),) = folders
+    written = Counter((x.doc_id, x.text, x.source) for x in spark.read.parquet(folder).collect())
+    assert sum(written.values()) == sum(x.shard not in left for x in rows) > 0 and not written - Counter(docs)
+
+
 def test_empty(spark):
+    assert r.resharded(spark.createDataFrame([], "doc_id long, text string"), F.lit(0)).count() == 0
     assert r.reshard(spark.createDataFrame([], "doc_id long, text string"), F.lit(0)).count() == 0
