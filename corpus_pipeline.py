@@ -36,7 +36,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, J of 0.8 or more): the one with the smallest id."""
-    return ngram_join.one_of_each(docs, ngram_join.link_components(docs, rule=NEAR))
+    return ngram_join.one_of_each(docs, ngram_join.link_components(docs, rule=NEAR, content=True))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,42 +5,48 @@ the default, three words and 0.9.
 
 1. Equal sets become one node, so exact copies cost one row each from then on.
 2. A set that links shares nine tenths of its shingles with its partner. So a node goes if more than a tenth of its
-   shingles, all of them from a fixed part ``pool`` of the hash range, occur in no other node. That is exact, needs one
-   aggregation, and leaves near copies and texts without much of their own.
-3. The others' sets are ordered by hash. Two sets that link share a shingle among the first tenth of each (prefix
-   filter). The least node of each prefix shingle leads it; a node is compared with the leader that it shares most
-   shingles with. This joins most near copies in a number of comparisons that is linear in their number.
-4. What a prefix shingle still shares between different components goes to tasks in groups of bounded size. A task
-   stores the ordered prefixes of a group in a trie and walks it once for each probe: partial overlaps are counted once
-   for a whole subtree, and a subtree goes when its remaining lengths can't reach the needed overlap, when it belongs to
-   the probe's own component, or when the pair has an earlier common shingle, under which another task finds it.
-5. Every candidate is checked on its whole sets, which meet at one of the two nodes; hot nodes are split.
-
-No link between different sets is lost and none is false (shingles are compared by 63- and 64-bit hashes, sets by a
-64-bit hash of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
+   shingles occur in no other node: first by those of a fixed part ``pool`` of the hash range, then, for what is left, by
+   all. Both steps are exact and need one aggregation each.
+3. The others' sets are put in a global order, rare shingles first (by the power of two of their number, then by hash).
+   Two sets that link share a shingle among the first tenth of each (prefix filter). The shingles of one prefix place
+   that the very same nodes share give one group: the first of them stands for all.
+4. Groups go to tasks in parts of bounded size. A task stores what follows the group's shingle in each ordered prefix in
+   a trie and walks it once for each probe: partial overlaps are counted once for a whole subtree, and a subtree goes
+   when its remaining lengths can't reach the needed overlap or when it belongs to the probe's own component. The pair is
+   found in the group of its first common shingle, where all that comes before is known to differ.
+5. There are two rounds. In the first each node gives its best partner in every group, and the group's least node all of
+   its own: a linear number of pairs, which joins most near copies. In the second only groups that still have several
+   components are walked, now for every candidate between components; rows of a group's largest component never meet
+   each other.
+6. Every candidate is checked on its whole sets.
+
+No link between different sets is lost and none is false (shingles are compared by 58-bit hashes, sets by a 128-bit hash
+of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
 and is its own component, and so is a row without a doc_id; fewer words than a shingle has make one; repeated rows have
-equal sets and share a component.
+equal sets and share a component; rows that share a doc_id but not the text are judged each by its own text.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.common import small_batches, stored
 from pricefold.llm.components import connected_components
 
-#: Sets of one trie, and of one meeting; larger groups are split and their parts met two by two.
-TRIE, MEETING, DENSE = 1000, 500, 150
-#: Ids that may be broadcast to fetch sets; beyond it a shuffle join does the same.
+#: Sets of one trie in the second and in the first round; larger groups are split and their parts met two by two.
+TRIE, FIRST = 1000, 128
+#: Elements of a prefix that travel to a group; what follows them counts as unknown.
+SPAN = 256
+#: Ids that may be broadcast to fetch texts; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
 MEMO = 200_000
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -56,19 +62,13 @@ class Rule:
 
     @property
     def pool(self) -> float:
-        """The part of the hash range whose shingles tell which nodes have too much of their own: twice what they may have."""
+        """The part of the hash range whose shingles tell first which nodes have too much of their own: twice what they may have."""
         return min(1.0, 2 * (self.under - self.over) / self.under)
 
-    def own(self, n: int) -> int:
+    @property
+    def own_sql(self) -> str:
         """Shingles that a set of n may have beside those of its partner."""
-        return (self.under - self.over) * n // self.under
-
-    def own_sql(self, small: bool = False) -> str:
-        """The same in SQL; ``small``: as the smaller set of the pair."""
-        return f"{self.under - self.over} * n div {self.under + self.over if small else self.under}"
-
-    def prefix(self, n: int) -> int:
-        return self.own(n) + 1
+        return f"{self.under - self.over} * n div {self.under}"
 
     def sizes(self, n: int, m: int) -> bool:
         return self.under * min(n, m) >= self.over * max(n, m)
@@ -110,285 +110,295 @@ def shingles(text: str | None, width: int = RULE.words) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(32)))
 
 
-def node_of(hashes: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest_of(hashes: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit halves of a set's digest."""
+    raw = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
 def _signatures(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, node, low) of every row; low: the set's smallest hashes, those of the pool and of the prefix at least."""
+    """(doc_id, content, n, hi, lo, low) of every row; low: the set's hashes in the pool. Null digests: links with nothing."""
     limit = np.uint64(min(int(rule.pool * 2**64), 2**64 - 1))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n, node, low = [], [], []
+            n, hi, lo, low = [], [], [], []
             for text, doc_id in zip(pdf["text"], pdf["doc_id"], strict=True):
                 h = shingles(text, rule.words)
                 n.append(len(h))
-                node.append(node_of(h) if len(h) and doc_id == doc_id and doc_id is not None else None)
-                low.append((h[: max(int(np.searchsorted(h, limit)), rule.prefix(len(h)))] >> np.uint64(1)).astype(np.int64))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "node": pd.array(node, "Int64"), "low": low})
+                one, two = digest_of(h) if len(h) and doc_id == doc_id and doc_id is not None else (None, None)
+                hi.append(one)
+                lo.append(two)
+                low.append((h[: int(np.searchsorted(h, limit))] >> np.uint64(1)).astype(np.int64))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "content": pdf["content"], "n": np.array(n, np.int64), "hi": pd.array(hi, "Int64"), "lo": pd.array(lo, "Int64"), "low": low})
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("content"))
+    return stored(rows.mapInPandas(work, "doc_id long, content long, n long, hi long, lo long, low array<long>"), "signatures")
 
-    return stored(docs.select("doc_id", "text").mapInPandas(work, "doc_id long, n long, node long, low array<long>"), "signatures")
+
+def _shared(entries: DataFrame, by: str) -> DataFrame:
+    """(token, n_sets) of the tokens of more than one ``by``."""
+    df = entries.groupBy("token").agg(F.min(by).alias("a"), F.max(by).alias("b"), F.count("*").alias("n_sets"))
+    return df.where("a < b").select("token", "n_sets")
 
 
 def _open_nodes(full: DataFrame, rule: Rule) -> DataFrame:
-    """Nodes that may link: at most the rule's part of their shingles is known to be in no other node; ``small``: also as the smaller of a pair."""
-    limit = min(int(rule.pool * 2**64), 2**64 - 1) >> 1
-    entries = full.select("node", F.explode("low").alias("token")).where(F.col("token") < limit)
-    owners = entries.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
-    own = owners.groupBy("node").agg(F.count("*").alias("own"))
-    sizes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"))
-    df = sizes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(f"own <= {rule.own_sql()}")
-    return df.select("node", "doc_id", "n", F.expr(f"own <= {rule.own_sql(small=True)}").alias("small"))
+    """(node, hi, lo, doc_id, n) of the sets that may link: at most the rule's part of their shingles is known to be in no other set.
+
+    Numbers are given as the table is written, so they are unique and stay as they are. Sets that agree in one half of
+    their digest only would hide each other's shingles from this filter; that needs near copies with equal 64 bits."""
+    entries = full.select("hi", F.explode("low").alias("token"))
+    owners = entries.groupBy("token").agg(F.min("hi").alias("hi"), F.max("hi").alias("last")).where("hi = last")
+    own = owners.groupBy("hi").agg(F.count("*").alias("own"))
+    sizes = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    df = sizes.join(own, "hi", "left").where(f"coalesce(own, 0) <= {rule.own_sql}")
+    return stored(df.select(F.monotonically_increasing_id().alias("node"), "hi", "lo", "doc_id", "n"), "open")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(node, set) of the wanted (doc_id, node), made again from the texts."""
-    wanted = stored(wanted, "wanted")
-    few = wanted.count() <= BROADCAST_IDS
+def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(node, n, tokens) of the open nodes, made again from the texts; a row for each repeated document."""
+    few = nodes.count() <= BROADCAST_IDS
+    wanted = nodes.select("doc_id", "node", "hi", "lo")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [(node, shingles(text, rule.words)) for text, node in zip(pdf["text"], pdf["node"].tolist(), strict=True)]
-            yield pd.DataFrame([(x, h.tobytes()) for x, h in made if node_of(h) == x], columns=["node", "set"])
+            node, n, tokens = [], [], []
+            for text, at, *digest in zip(pdf["text"], pdf["node"].tolist(), pdf["hi"].tolist(), pdf["lo"].tolist(), strict=True):
+                h = shingles(text, rule.words)
+                if digest_of(h) == tuple(digest):  # a doc_id with several texts gives each node its own
+                    node.append(at)
+                    n.append(len(h))
+                    tokens.append((h >> np.uint64(1)).astype(np.int64))
+            yield pd.DataFrame({"node": np.array(node, np.int64), "n": np.array(n, np.int64), "tokens": tokens})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
-    return stored(rows.mapInPandas(work, "node long, set binary").dropDuplicates(["node"]), "sets")
+    return stored(rows.mapInPandas(work, "node long, n long, tokens array<long>"), "sets")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Of the pairs (a, b), those that link, checked on whole sets made again from the texts.
+def _ordered(sets: DataFrame, rule: Rule) -> DataFrame:
+    """(node, n, own, tokens): the shingles that other sets have too, in the global order; sets with too many of their own go.
 
-    The set of b travels to a, once for each pair; a's set to as many places as it has ``MEETING`` partners."""
-    pairs = stored(pairs, "pairs")
-    places = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEETING).cast("int").alias("places"))
-    guests = pairs.join(places, "a").select(F.col("b").alias("node"), F.struct(F.col("a").alias("at"), F.pmod(F.xxhash64("b"), F.col("places")).cast("int").alias("place"), F.lit(1).alias("guest")).alias("to"))
-    hosts = places.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place")).select("node", F.struct(F.col("node").alias("at"), "place", F.lit(0).alias("guest")).alias("to"))
-    wanted = guests.unionByName(hosts).groupBy("node").agg(F.collect_list("to").alias("to"))
-    wanted = stored(wanted.join(nodes.select("node", "doc_id"), "node"), "wanted")
-    few = pairs.count() <= BROADCAST_IDS
+    An element is the power of two of its number of sets (5 bits), then its hash (58 bits)."""
+    entries = sets.select("node", "n", F.explode("tokens").alias("token"))
+    power = F.floor(F.log2("n_sets")).cast("long")
+    key = F.shiftleft(F.least(power, F.lit(31)), 58).bitwiseOR(F.shiftright("token", 5))
+    tokens = _shared(entries, "node").select("token", key.alias("key"))
+    df = entries.join(tokens, "token").groupBy("node", "n").agg(F.sort_array(F.collect_set("key")).alias("tokens"))
+    return stored(df.withColumn("own", F.col("n") - F.size("tokens")).where(f"own <= {rule.own_sql}"), "ordered")
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text, node, to in zip(pdf["text"], pdf["node"], pdf["to"], strict=True):
-                h = shingles(text, rule.words)
-                if node_of(h) == node:  # a doc_id with several texts gives its node's only
-                    raw = h.tobytes()
-                    out += [(x["at"], x["place"], x["guest"], node, raw) for x in to]
-            yield pd.DataFrame(out, columns=["at", "place", "guest", "node", "set"])
 
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, host = None, np.zeros(0, np.uint64)
-        for pdf in batches:
-            a, b = [], []
-            for at, place, guest, node, raw in zip(pdf["at"].tolist(), pdf["place"].tolist(), pdf["guest"].tolist(), pdf["node"].tolist(), pdf["set"], strict=True):
-                if not guest:
-                    where, host = (at, place), np.frombuffer(raw, np.uint64)
-                elif where == (at, place):
-                    own = np.frombuffer(raw, np.uint64)
-                    both = len(np.intersect1d(host, own, assume_unique=True))
-                    if rule.enough(both, len(host) + len(own)):
-                        a.append(at)
-                        b.append(node)
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+def _hash(c: str, seed: int = 0) -> Column:
+    return F.xxhash64(F.col(c), F.lit(seed))
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
-    sets = rows.select("text", "node", "to").mapInPandas(send, "at long, place int, guest int, node long, set binary")
-    met = sets.repartition("at", "place").sortWithinPartitions("at", "place", "guest").mapInPandas(meet, "a long, b long")
-    return stored(met.distinct(), "links")
+
+def _groups(ordered: DataFrame, rule: Rule) -> DataFrame:
+    """(token, m, lead, node, n, at, suffix): each group's nodes, the shingle's place in the node's order and what follows it.
+
+    Of shingles with the same nodes (by number and two 64-bit sums of hashes) the least stands for all: every pair's first
+    common shingle is among those that stay."""
+    prefix = stored(ordered.select("node", "n", "own", F.slice("tokens", F.lit(1), F.expr(f"int({rule.own_sql} + 1 - own)")).alias("prefix")), "prefixes")
+    entries = prefix.select("node", F.posexplode("prefix").alias("i", "token"))
+    groups = entries.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(_hash("node")).alias("x"), F.bit_xor(_hash("node", 1)).alias("y"), F.min("node").alias("lead")).where("m > 1")
+    first = groups.groupBy("m", "x", "y").agg(F.min("token").alias("token"), F.first("lead").alias("lead")).select("token", "m", "lead")
+    members = entries.join(first, "token").join(prefix, "node")
+    return stored(members.select("token", "m", "lead", "node", "n", (F.col("own") + F.col("i")).alias("at"), F.slice("prefix", F.col("i") + 2, F.lit(SPAN)).alias("suffix")), "groups")
+
+
+def _linked(ordered: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Of the pairs (a, b), those that link, by their whole sets: what no other set has can't be common."""
+    one = ordered.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("x"))
+    two = ordered.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("y"))
+    df = stored(pairs.select("a", "b").distinct(), "pairs").join(one, "a").join(two, "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return stored(df.where((rule.under + rule.over) * both >= rule.over * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "links")
 
 
 class Trie:
-    """Ordered prefixes; each node knows the least and greatest set size below it, and their component if it is one.
+    """What follows a group's shingle in ordered prefixes; each trie node knows the least and greatest set size below it, the
+    most elements that any of its sets still has, and their component if it is one.
 
-    A node without children keeps the rest of its only prefix as a tail, so a prefix makes nodes only as far as others
-    share it."""
+    A trie node without children keeps the rest of its only prefix as a tail, so a prefix makes nodes only as far as
+    others share it."""
 
-    __slots__ = ("children", "component", "ends", "least", "most", "rule")
+    __slots__ = ("children", "component", "ends", "least", "most", "rest", "rule")
 
     def __init__(self, rule: Rule = RULE) -> None:
         self.rule = rule
         self.children: dict[int, Trie] = {}
         self.component: int | None = None
-        self.least, self.most = 1 << 60, 0
-        self.ends: list[tuple[list[int], int, int, int, bool]] = []  # tail, node, size, component, small
+        self.least, self.most, self.rest = 1 << 60, 0, 0
+        self.ends: list[tuple[list[int], int, int, int, int]] = []  # tail, node, size, elements from the group's shingle on, component
 
-    def insert(self, tail: list[int], node: int, n: int, component: int, small: bool = True) -> None:
-        at = self
+    def insert(self, suffix: list[int], node: int, n: int, place: int, component: int) -> None:
+        """Stores a set of size ``n`` whose element at ``place`` is the group's shingle; ``suffix`` follows it."""
+        at, tail, rest = self, suffix, n - place
         while True:
             at.component = component if at.most == 0 or at.component == component else None
-            at.least, at.most = min(at.least, n), max(at.most, n)
+            at.least, at.most, at.rest = min(at.least, n), max(at.most, n), max(at.rest, rest)
             if not tail or (not at.children and not at.ends):
                 break
             if moved := next((e for e in at.ends if e[0]), None):  # a tail moves one level down to make room
                 at.ends.remove(moved)
                 below = at.children[moved[0][0]] = Trie(self.rule)
-                below.component, below.least, below.most = moved[3], moved[2], moved[2]
+                below.component, below.least, below.most, below.rest = moved[4], moved[2], moved[2], moved[3]
                 below.ends.append((moved[0][1:], *moved[1:]))
             if tail[0] not in at.children:
                 at.children[tail[0]] = Trie(self.rule)
             at, tail = at.children[tail[0]], tail[1:]
-        at.ends.append((tail, node, n, component, small))
+        at.ends.append((tail, node, n, rest, component))
+
+    def candidates(self, suffix: list[int], n: int, place: int, component: int) -> Iterator[tuple[int, int]]:
+        """(node, common prefix elements) of the stored sets of other components that may link.
 
-    def candidates(self, token: int, prefix: list[int], n: int, component: int, small: bool = True) -> Iterator[int]:
-        """Nodes of other components that may link and whose first common prefix shingle is ``token``."""
-        m, own, rule = len(prefix), frozenset(prefix), self.rule
-        # subtree, its depth, place in the probe's prefix, common so far, stored elements not above the probe's last
-        stack = [(self, 0, 0, 0, 0)]
+        Bounds hold for pairs whose first common shingle is the group's: what comes before it differs."""
+        m, own, rule, left = len(suffix), frozenset(suffix), self.rule, n - place - 1
+        last = suffix[-1] if suffix else -1
+        # subtree, place in the probe's suffix, common so far, stored elements that the probe is past
+        stack = [(self, 0, 1, 1)]
         while stack:
-            at, depth, i, common, passed = stack.pop()
+            at, i, common, passed = stack.pop()
             if at.component == component:
                 continue
-            for tail, node, size, other, fits in at.ends:
-                if other == component or not (fits and size <= n or small and n <= size) or not rule.sizes(n, size):
+            for tail, node, size, rest, other in at.ends:
+                if other == component or not rule.sizes(n, size):
                     continue
                 c, seen, below = common, i, passed
                 if tail:
-                    more = own.intersection(tail)
-                    if not c and (not more or min(more) != token):
-                        continue
-                    c, seen = c + len(more), bisect_right(prefix, tail[-1])
-                    if passed == depth:
-                        below += bisect_right(tail, prefix[-1])
+                    c += len(own.intersection(tail))
+                    seen = max(i, bisect_right(suffix, tail[-1]))
+                    below += bisect_right(tail, last)
                 # all elements up to the smaller last one have been seen on both sides
-                if c and rule.enough(c + min(n - seen, size - below), n + size):
-                    yield node
+                if rule.enough(c + min(left - seen, rest - below), n + size):
+                    yield node, c
             for t, child in at.children.items():
-                if not common and t > token or rule.under * child.most < rule.over * n or rule.over * child.least > rule.under * n:
-                    continue
-                j = bisect_left(prefix, t, i)
-                hit = j < m and prefix[j] == t
-                if hit and not common and t != token:
+                if rule.under * child.most < rule.over * n or rule.over * child.least > rule.under * n:
                     continue
+                j = bisect_left(suffix, t, i)
+                hit = j < m and suffix[j] == t
                 c, j = common + hit, j + hit
-                # with the probe's prefix used up, later elements of the other side may still be common
-                below = depth + 1 if t <= prefix[-1] else passed
-                if rule.enough(c + min(n - j, child.most - below), n + child.least):
-                    stack.append((child, depth + 1, j, c, below))
-
-
-class _Groups:
-    """Components within one group, joined as links are found."""
-
-    def __init__(self) -> None:
-        self.above: dict[int, int] = {}
-
-    def top(self, x: int) -> int:
-        while (y := self.above.get(x, x)) != x:
-            x = y
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        self.above[self.top(x)] = self.top(y)
-
-
-def _group_pairs(key: tuple[int, int, int], rows: list[tuple], rule: Rule) -> Iterator[tuple[int, int, bool]]:
-    """Pairs (a, b, sure) of one group; rows are (part, node, n, component, small, prefix, set or None). Sure pairs are links."""
-    token, i, j = key
-    trie, groups = Trie(rule), _Groups()
-    sets = {r[1]: np.frombuffer(r[6], np.uint64) for r in rows if r[6] is not None}
-    of = {r[1]: r[3] for r in rows}
-
-    def insert(r: tuple) -> None:
-        trie.insert(r[5], r[1], r[2], r[3], r[4])
-
-    if i != j:
-        for r in rows:
-            if r[0] == j:
-                insert(r)
-    for r in rows:
-        if r[0] != i:
+                # past the probe's last element, those of the other side may still be common
+                below = passed + (t <= last)
+                if rule.enough(c + min(left - j, child.rest - below), n + child.least):
+                    stack.append((child, j, c, below))
+
+
+Row = tuple[int, int, int, int, list[int], int]  # part, node, n, place, suffix, component or leader
+
+
+def best_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int]]:
+    """First round: each node with its best partner among the smaller ones, and the leader with all of its own."""
+    trie = Trie(rule)
+    for _, node, n, place, suffix, lead in rows:
+        best = (0, 0)
+        for x, c in trie.candidates(suffix, n, place, node):
+            if lead in (x, node):
+                yield min(node, x), max(node, x)
+            best = max(best, (c, -x))
+        if best[0]:
+            yield min(node, -best[1]), max(node, -best[1])
+        trie.insert(suffix, node, n, place, node)
+
+
+def open_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int]]:
+    """Second round: all candidates between components, of one part with itself or of two parts with each other."""
+    trie, parts = Trie(rule), {r[0] for r in rows}
+    if len(parts) > 1:
+        for part, node, n, place, suffix, component in rows:
+            if part == max(parts):
+                trie.insert(suffix, node, n, place, component)
+    for part, node, n, place, suffix, component in rows:
+        if len(parts) > 1 and part == max(parts):
             continue
-        _, node, n, component, small, prefix, _ = r
-        for x in trie.candidates(token, prefix, n, component, small):
-            if node not in sets or x not in sets:
-                yield min(node, x), max(node, x), False
-            elif groups.top(component) != groups.top(of[x]):
-                both = len(np.intersect1d(sets[node], sets[x], assume_unique=True))
-                if rule.enough(both, len(sets[node]) + len(sets[x])):
-                    groups.join(component, of[x])
-                    yield min(node, x), max(node, x), True
-        if i == j:
-            insert(r)
-
-
-def _first(whole: bytes, rule: Rule) -> list[int]:
-    """The ordered prefix of a whole set, as :func:`_signatures` makes it."""
-    h = np.frombuffer(whole, np.uint64)
-    return (h[: rule.prefix(len(h))] >> np.uint64(1)).tolist()
+        for x, _ in trie.candidates(suffix, n, place, component):
+            yield min(node, x), max(node, x)
+        if len(parts) == 1:
+            trie.insert(suffix, node, n, place, component)
 
 
-def _trie_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b, sure) from groups (token, i, j). Groups are read as runs of a sorted stream."""
+def _walked(groups: DataFrame, walk: Callable[[list[Row], Rule], Iterator[tuple[int, int]]], rule: Rule) -> DataFrame:
+    """(a, b) from groups (token, i, j) of rows (part, node, n, at, suffix, mark). Groups are read as runs of a sorted stream."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, rows, out = None, [], []
-        columns = ("token", "i", "j", "part", "node", "n", "component", "small", "prefix", "set")
+        columns = ("token", "i", "j", "part", "node", "n", "at", "suffix", "mark")
         for pdf in batches:
-            for token, i, j, *row, prefix, whole in zip(*[pdf[c].tolist() for c in columns], strict=True):
+            for token, i, j, part, node, n, at, suffix, mark in zip(*[pdf[c].tolist() for c in columns], strict=True):
                 if (token, i, j) != current:
                     if len(rows) > 1:
-                        out += _group_pairs(current, rows, rule)
+                        out += walk(rows, rule)
                     current, rows = (token, i, j), []
-                rows.append((*row, _first(whole, rule) if prefix is None else prefix.tolist(), whole))
+                rows.append((part, node, n, at, suffix.tolist(), mark))
             if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["a", "b", "sure"])
+                yield pd.DataFrame(out, columns=["a", "b"])
                 out = []
         if len(rows) > 1:
-            out += _group_pairs(current, rows, rule)
-        yield pd.DataFrame(out, columns=["a", "b", "sure"])
-
-    return rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long, sure boolean")
-
-
-def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
+            out += walk(rows, rule)
+        yield pd.DataFrame(out, columns=["a", "b"])
+
+    return groups.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long")
+
+
+def _first_round(groups: DataFrame) -> DataFrame:
+    """Groups in parts of ``FIRST`` nodes, the leader in each."""
+    parts = F.ceil(F.col("m") / FIRST).cast("int")
+    mine = F.array(F.pmod(_hash("node", 2), parts).cast("int"))
+    everywhere = F.when(F.col("node") == F.col("lead"), F.sequence(F.lit(0), parts - 1)).otherwise(mine)
+    return groups.withColumn("i", F.explode(everywhere)).select("token", "i", F.lit(0).alias("j"), F.lit(0).alias("part"), "node", "n", "at", "suffix", F.col("lead").alias("mark"))
+
+
+def _second_round(groups: DataFrame, merged: DataFrame) -> DataFrame:
+    """Groups of several components, in pairs of parts; parts of a group's largest component meet the other ones only."""
+    df = groups.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    df = stored(df, "labelled")
+    sizes = df.groupBy("token", "component").agg(F.count("*").alias("k"))
+    open_tokens = sizes.groupBy("token").agg(F.count("*").alias("components"), F.sum("k").alias("m"), F.max(F.struct("k", "component")).alias("top")).where("components > 1")
+    few = F.col("m") <= TRIE
+    open_tokens = open_tokens.select(
+        "token", F.col("top.component").alias("largest"), F.when(few, 1).otherwise(F.ceil((F.col("m") - F.col("top.k")) / TRIE)).cast("int").alias("others"),
+        F.when(few, 0).otherwise(F.ceil(F.col("top.k") / TRIE)).cast("int").alias("main"),
+    )
+    df = df.join(open_tokens, "token")
+    within = (F.col("main") > 0) & (F.col("component") == F.col("largest"))
+    part = F.when(within, F.col("others") + F.pmod(_hash("node", 2), F.greatest("main", F.lit(1)))).otherwise(F.pmod(_hash("node", 2), F.greatest("others", F.lit(1))))
+    df = df.withColumn("part", part.cast("int"))
+    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(within, F.col("others")).otherwise(F.col("others") + F.col("main")) - 1)))
+    return df.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "n", "at", "suffix", F.col("component").alias("mark"))
+
+
+def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE, content: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id): one row for each row of ``docs``; ``content``: with xxhash64 of its text too."""
     with small_batches(docs.sparkSession):
-        return _link_components(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), rule)
+        out = _link_components(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), rule)
+    return out if content else out.drop("content")
 
 
 def _link_components(docs: DataFrame, rule: Rule) -> DataFrame:
     signatures = _signatures(docs, rule)
-    full = signatures.where("node IS NOT NULL")
-    alive = stored(_open_nodes(full, rule), "open")
-    prefix = full.select("doc_id", "node", F.slice("low", 1, F.expr(f"int({rule.own_sql()} + 1)")).alias("prefix"))
-    nodes = stored(alive.join(prefix, ["doc_id", "node"]).dropDuplicates(["node"]), "nodes")
-
-    entries = nodes.select("node", "n", "small", F.explode("prefix").alias("token"))
-    leaders = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.bool_or("small").alias("any")).where("lead <> last AND any").drop("last", "any")
-    shared = stored(entries.join(leaders, "token"), "shared")
-    votes = shared.where("node <> lead AND small").groupBy("node", "lead").agg(F.count("*").alias("votes"))
-    pairs = votes.groupBy("node").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    links = _verified(docs, nodes, pairs, rule)
+    full = signatures.where("hi IS NOT NULL")
+    nodes = _open_nodes(full, rule)
+    ordered = _ordered(_sets(docs, nodes, rule), rule)
+    groups = _groups(ordered, rule)
 
+    links = _linked(ordered, _walked(_first_round(groups), best_pairs, rule), rule)
     merged = connected_components(links)
-    labelled = shared.select("token", "node", "n", "small").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stored(labelled, "labelled")
-    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("token", "m", F.ceil(F.col("m") / TRIE).cast("int").alias("parts"))
-    rest = labelled.join(open_tokens, "token")
-    rest = rest.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "parts")
-    rest = stored(rest, "rest")
-    dense = rest.where(F.col("m") > DENSE)
-    sets = _sets(docs, dense.select("node").distinct().join(nodes.select("node", "doc_id"), "node"), rule)
-    sparse = rest.where(F.col("m") <= DENSE).join(nodes.select("node", "prefix"), "node").withColumn("set", F.lit(None).cast("binary"))
-    both = sparse.unionByName(dense.join(sets, "node").withColumn("prefix", F.lit(None).cast("array<long>")))
-    found = stored(_trie_pairs(both.drop("m"), rule), "found")
-    late = _verified(docs, nodes, found.where("NOT sure").select("a", "b"), rule).unionByName(found.where("sure").select("a", "b"))
+    late = _linked(ordered, _walked(_second_round(groups, merged), open_pairs, rule), rule)
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
-    everyone = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    place = everyone.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = place.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    place = place.select("node", "component").join(smallest, "component").select("node", "component_id")
-    out = full.select("doc_id", "n", "node").join(place, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(signatures.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    sets = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"))
+    linked = nodes.join(final, "node").select("hi", "lo", "component")
+    first = linked.join(sets, ["hi", "lo"]).groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    place = sets.join(linked.join(first, "component"), ["hi", "lo"], "left").select("hi", "lo", F.coalesce("component_id", "doc_id").alias("component_id"))
+    columns = ["doc_id", "content", F.col("n").alias("n_shingles")]
+    out = full.join(place, ["hi", "lo"]).select(*columns, "component_id")
+    return out.unionByName(signatures.where("hi IS NULL").select(*columns, F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, components: DataFrame) -> DataFrame:
-    """``docs`` with the smallest doc_id of each component only; rows that repeat a doc_id count as one document, rows without one stay."""
-    stay = components.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """``docs`` with the smallest doc_id of each component only; ``components`` of the same rows, made with ``content``.
+
+    Rows that repeat a doc_id and a text count as one document, rows without a doc_id stay. Rows that share an id but not
+    the text are told apart: each stays if it has its own component's smallest id."""
+    stay = components.where("doc_id = component_id").select("doc_id", F.col("content").alias("__content")).distinct()
+    rows = docs.withColumn("__content", F.xxhash64("text"))
+    kept = rows.join(stay, ["doc_id", "__content"], "left_semi").dropDuplicates(["doc_id", "__content"]).select(*docs.columns)
     return kept.unionByName(docs.where("doc_id IS NULL"))

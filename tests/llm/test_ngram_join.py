@@ -55,7 +55,8 @@ def corpus(rng):
 @pytest.mark.parametrize("size", [4, 1000])
 def test_components(spark, monkeypatch, size):
     monkeypatch.setattr(g, "TRIE", size)
-    monkeypatch.setattr(g, "DENSE", 3 if size == 4 else 60)
+    monkeypatch.setattr(g, "FIRST", 3 if size == 4 else 60)
+    monkeypatch.setattr(g, "SPAN", 2 if size == 4 else 256)
     docs = corpus(random.Random(size))
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(tuple(r) for r in g.link_components(frame).collect()) == plain(docs)
@@ -66,7 +67,8 @@ def test_five_words_and_eight_tenths(spark, monkeypatch, size):
     import corpus_pipeline
 
     monkeypatch.setattr(g, "TRIE", size)
-    monkeypatch.setattr(g, "DENSE", 3 if size == 4 else 60)
+    monkeypatch.setattr(g, "FIRST", 3 if size == 4 else 60)
+    monkeypatch.setattr(g, "SPAN", 2 if size == 4 else 256)
     rng = random.Random(20 + size)
     docs = corpus(rng)
     text = " ".join(f"w{i}" for i in range(104))
@@ -82,13 +84,19 @@ def test_shuffled_fetch_and_one_of_each(spark, monkeypatch):
     monkeypatch.setattr(g, "BROADCAST_IDS", 0)
     docs = corpus(random.Random(3))
     frame = spark.createDataFrame([(*d, "x") for d in docs] + [(None, "one of none", "x"), (*docs[0], "x")], "doc_id long, text string, n string")
-    found = g.link_components(frame)
+    found = g.link_components(frame, content=True)
     kept = g.one_of_each(frame, found)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for _, _, c in plain(docs)})
     assert kept.where("doc_id IS NULL").count() == 1
 
 
+def grouped(prefix, token):
+    """Place and what follows it of a group's shingle."""
+    place = prefix.index(token)
+    return prefix[place + 1 :], place
+
+
 def test_trie_and_bounds_lose_nothing():
     rng = random.Random(8)
     sets = [sorted(rng.sample(range(400), 60))]
@@ -100,10 +108,11 @@ def test_trie_and_bounds_lose_nothing():
     for token in {t for p in prefix for t in p}:
         trie = g.Trie()
         for i in [i for i in range(len(sets)) if token in prefix[i]]:
-            found = [(x, i) for x in trie.candidates(token, prefix[i], len(sets[i]), i)]
-            assert len(found) == len(set(found)) and not got & set(found)
-            got |= set(found)
-            trie.insert(prefix[i], i, len(sets[i]), i)
+            suffix, place = grouped(prefix[i], token)
+            found = [(x, i) for x, _ in trie.candidates(suffix, len(sets[i]), place, i)]
+            assert len(found) == len(set(found))
+            got |= {(x, y) for x, y in found if min(set(sets[x]) & set(sets[y])) == token}  # each in its own group
+            trie.insert(suffix, i, len(sets[i]), place, i)
     assert want and want <= got
 
 
@@ -121,10 +130,40 @@ def test_trie_keeps_subsets():
         for stored, probe in ((small, large), (large, small)):
             first = [s[: len(s) // 10 + 1] for s in (stored, probe)]
             token = min(set(first[0]) & set(first[1]))
-            trie = g.Trie()
-            for i, s in enumerate([*[[token, *o] for o in others], stored]):
-                trie.insert(s[: len(s) // 10 + 1], i, len(s), i)
-            assert len(others) in set(trie.candidates(token, first[1], len(probe), 99)), (k, n, more)
+            for cut in (300, k % 4):  # what is cut off counts as unknown
+                trie = g.Trie()
+                for i, s in enumerate(others):
+                    trie.insert(s[: n // 10][:cut], i, len(s), k % 2, i)
+                suffix, place = grouped(first[0], token)
+                trie.insert(suffix[:cut], len(others), len(stored), place, len(others))
+                suffix, place = grouped(first[1], token)
+                assert len(others) in {x for x, _ in trie.candidates(suffix[:cut], len(probe), place, 99)}, (k, n, more, cut)
+
+
+def test_first_round_is_linear_and_second_finds_the_rest():
+    """A group of near copies: few pairs at first; then all that cross components, and none within one."""
+    base = list(range(200))
+    sets = [sorted(base[:i] + base[i + 1 :]) for i in range(1, 60)]
+    rows = [(0, i, len(s), 0, s[1 : len(s) // 10 + 1], 0) for i, s in enumerate(sets)]
+    first = set(g.best_pairs(rows, g.RULE))
+    assert len(first) < 2 * len(rows) and {(0, i) for i in range(1, len(rows))} <= first
+    half = [(*r[:5], r[1] % 2) for r in rows]
+    assert set(g.open_pairs(half, g.RULE)) == {(i, j) for j in range(len(rows)) for i in range(j) if i % 2 != j % 2}
+    parts = [(int(r[1] >= 30), *r[1:5], r[1]) for r in rows]
+    assert set(g.open_pairs(parts, g.RULE)) == {(i, j) for j in range(30, len(rows)) for i in range(30)}
+
+
+def test_repeated_ids_long_texts_and_clashing_columns(spark):
+    """Texts that share an id are judged each by its own; a text of 60,000 words is read whole."""
+    long = " ".join(f"w{i}" for i in range(60_000))
+    other = " ".join(f"u{i}" for i in range(50))
+    rows = [(1, long, 5, "a"), (2, long + " more", 5, "b"), (2, other, 5, "c"), (3, other + " x", 5, "d"), (2, other, 5, "c"), (4, None, 5, "e"), (4, "", 5, "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n long, node string")
+    got = sorted(tuple(r) for r in g.link_components(frame).collect())
+    assert got == [(1, 59_998, 1), (2, 48, 2), (2, 48, 2), (2, 59_999, 1), (3, 49, 2), (4, 0, 4), (4, 0, 4)]
+    kept = g.one_of_each(frame, g.link_components(frame, content=True))
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r.node) for r in kept.collect()) == [(1, "a"), (2, "c"), (4, "e"), (4, "f")]
 
 
 def test_empty(spark):
