@@ -10,15 +10,16 @@ the default, three words and 0.9.
 3. The others' sets are put in a global order, rare shingles first (by the power of two of their number, then by hash).
    Two sets that link share a shingle among the first tenth of each (prefix filter). The shingles of one prefix place
    that the very same nodes share give one group: the first of them stands for all.
-4. Groups go to tasks in parts of bounded size. A task stores what follows the group's shingle in each ordered prefix in
-   a trie and walks it once for each probe: partial overlaps are counted once for a whole subtree, and a subtree goes
-   when its remaining lengths can't reach the needed overlap or when it belongs to the probe's own component. The pair is
-   found in the group of its first common shingle, where all that comes before is known to differ.
-5. There are two rounds. In the first each node gives its best partner in every group, and the group's least node all of
-   its own: a linear number of pairs, which joins most near copies. In the second only groups that still have several
-   components are walked, now for every candidate between components; rows of a group's largest component never meet
-   each other.
-6. Every candidate is checked on its whole sets.
+4. Groups go to tasks in parts of bounded size. A task stores what follows the group's shingle in each ordered set, up to
+   ``SPAN`` shingles, in a trie and walks it once for each probe: partial overlaps are counted once for a whole subtree,
+   and a subtree goes when its remaining lengths can't reach the needed overlap or when it belongs to the probe's own
+   component. The pair is found in the group of its first common shingle, where all that comes before is known to differ.
+5. There are two rounds. In the first each node goes to one place: that of the least node (leader) of most of its groups.
+   A trie of whole prefixes gives each its best partner there, and the leader all of its own: two pairs a node at most,
+   which join most near copies. In the second only groups that still have several components are walked, now for every
+   candidate between components; rows of a group's largest component never meet each other. A link that the trie has
+   counted in full joins its components at once, so further pairs between them aren't given.
+6. Every other candidate is checked on its whole sets.
 
 No link between different sets is lost and none is false (shingles are compared by 58-bit hashes, sets by a 128-bit hash
 of their hashes). Defined results: a null text or one without words has an empty set, links with nothing
@@ -44,7 +45,7 @@ from pricefold.llm.components import connected_components
 
 #: Sets of one trie in the second and in the first round; larger groups are split and their parts met two by two.
 TRIE, FIRST = 1000, 128
-#: Elements of a prefix that travel to a group; what follows them counts as unknown.
+#: Elements of a set that travel to a group; what follows them counts as unknown.
 SPAN = 256
 #: Ids that may be broadcast to fetch texts; beyond it a shuffle join does the same.
 BROADCAST_IDS = 300_000
@@ -191,26 +192,27 @@ def _hash(c: str, seed: int = 0) -> Column:
     return F.xxhash64(F.col(c), F.lit(seed))
 
 
-def _groups(ordered: DataFrame, rule: Rule) -> DataFrame:
-    """(token, m, lead, node, n, at, suffix): each group's nodes, the shingle's place in the node's order and what follows it.
+def _groups(ordered: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Each node's prefix (node, n, own, prefix), and the groups (token, lead, node, i): each group's nodes and the shingle's
+    place in the node's prefix.
 
     Of shingles with the same nodes (by number and two 64-bit sums of hashes) the least stands for all: every pair's first
     common shingle is among those that stay."""
     prefix = stored(ordered.select("node", "n", "own", F.slice("tokens", F.lit(1), F.expr(f"int({rule.own_sql} + 1 - own)")).alias("prefix")), "prefixes")
     entries = prefix.select("node", F.posexplode("prefix").alias("i", "token"))
     groups = entries.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(_hash("node")).alias("x"), F.bit_xor(_hash("node", 1)).alias("y"), F.min("node").alias("lead")).where("m > 1")
-    first = groups.groupBy("m", "x", "y").agg(F.min("token").alias("token"), F.first("lead").alias("lead")).select("token", "m", "lead")
-    members = entries.join(first, "token").join(prefix, "node")
-    return stored(members.select("token", "m", "lead", "node", "n", (F.col("own") + F.col("i")).alias("at"), F.slice("prefix", F.col("i") + 2, F.lit(SPAN)).alias("suffix")), "groups")
+    first = groups.groupBy("m", "x", "y").agg(F.min("token").alias("token"), F.first("lead").alias("lead")).select("token", "lead")
+    return prefix, stored(entries.join(first, "token").select("token", "lead", "node", "i"), "groups")
 
 
-def _linked(ordered: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Of the pairs (a, b), those that link, by their whole sets: what no other set has can't be common."""
+def _linked(ordered: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
+    """Of the pairs (a, b, sure), those that link, by their whole sets unless they are sure: what no other set has can't be common."""
+    found = stored(found.groupBy("a", "b").agg(F.bool_or("sure").alias("sure")), "pairs")
     one = ordered.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("x"))
     two = ordered.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("y"))
-    df = stored(pairs.select("a", "b").distinct(), "pairs").join(one, "a").join(two, "b")
     both = F.size(F.array_intersect("x", "y"))
-    return stored(df.where((rule.under + rule.over) * both >= rule.over * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "links")
+    checked = found.where("NOT sure").join(one, "a").join(two, "b").where((rule.under + rule.over) * both >= rule.over * (F.col("n_a") + F.col("n_b")))
+    return stored(checked.select("a", "b").unionByName(found.where("sure").select("a", "b")), "links")
 
 
 class Trie:
@@ -247,14 +249,15 @@ class Trie:
             at, tail = at.children[tail[0]], tail[1:]
         at.ends.append((tail, node, n, rest, component))
 
-    def candidates(self, suffix: list[int], n: int, place: int, component: int) -> Iterator[tuple[int, int]]:
-        """(node, common prefix elements) of the stored sets of other components that may link.
+    def candidates(self, suffix: list[int], n: int, place: int, component: int, common: int = 1) -> Iterator[tuple[int, int, int]]:
+        """(node, size, known common elements) of the stored sets of other components that may link.
 
-        Bounds hold for pairs whose first common shingle is the group's: what comes before it differs."""
+        Bounds hold for pairs whose first common shingle is the group's: what comes before it differs. Whole prefixes have
+        no such shingle: ``common`` is 0 and ``place`` the last one of what no other set has."""
         m, own, rule, left = len(suffix), frozenset(suffix), self.rule, n - place - 1
         last = suffix[-1] if suffix else -1
         # subtree, place in the probe's suffix, common so far, stored elements that the probe is past
-        stack = [(self, 0, 1, 1)]
+        stack = [(self, 0, common, 1)]
         while stack:
             at, i, common, passed = stack.pop()
             if at.component == component:
@@ -269,7 +272,7 @@ class Trie:
                     below += bisect_right(tail, last)
                 # all elements up to the smaller last one have been seen on both sides
                 if rule.enough(c + min(left - seen, rest - below), n + size):
-                    yield node, c
+                    yield node, size, c
             for t, child in at.children.items():
                 if rule.under * child.most < rule.over * n or rule.over * child.least > rule.under * n:
                     continue
@@ -285,23 +288,42 @@ class Trie:
 Row = tuple[int, int, int, int, list[int], int]  # part, node, n, place, suffix, component or leader
 
 
-def best_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int]]:
+def best_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int, bool]]:
     """First round: each node with its best partner among the smaller ones, and the leader with all of its own."""
     trie = Trie(rule)
-    for _, node, n, place, suffix, lead in rows:
+    for _, node, n, place, prefix, lead in rows:
         best = (0, 0)
-        for x, c in trie.candidates(suffix, n, place, node):
+        for x, _, c in trie.candidates(prefix, n, place, node, 0):
             if lead in (x, node):
-                yield min(node, x), max(node, x)
-            best = max(best, (c, -x))
+                yield min(node, x), max(node, x), False
+            elif c:
+                best = max(best, (c, -x))
         if best[0]:
-            yield min(node, -best[1]), max(node, -best[1])
-        trie.insert(suffix, node, n, place, node)
+            yield min(node, -best[1]), max(node, -best[1]), False
+        trie.insert(prefix, node, n, place, node)
 
 
-def open_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int]]:
-    """Second round: all candidates between components, of one part with itself or of two parts with each other."""
-    trie, parts = Trie(rule), {r[0] for r in rows}
+class _Joined:
+    """Components within one group, joined as links are found."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (y := self.above.get(x, x)) != x:
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.top(x)] = self.top(y)
+
+
+def open_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int, bool]]:
+    """Second round: candidates between components, of one part with itself or of two parts with each other.
+
+    Links that are sure join their components."""
+    trie, joined, parts = Trie(rule), _Joined(), {r[0] for r in rows}
+    of = {r[1]: r[5] for r in rows}
     if len(parts) > 1:
         for part, node, n, place, suffix, component in rows:
             if part == max(parts):
@@ -309,14 +331,18 @@ def open_pairs(rows: list[Row], rule: Rule) -> Iterator[tuple[int, int]]:
     for part, node, n, place, suffix, component in rows:
         if len(parts) > 1 and part == max(parts):
             continue
-        for x, _ in trie.candidates(suffix, n, place, component):
-            yield min(node, x), max(node, x)
+        for x, size, common in trie.candidates(suffix, n, place, component):
+            if joined.top(component) == joined.top(of[x]):
+                continue
+            if sure := rule.enough(common, n + size):
+                joined.join(component, of[x])
+            yield min(node, x), max(node, x), sure
         if len(parts) == 1:
             trie.insert(suffix, node, n, place, component)
 
 
-def _walked(groups: DataFrame, walk: Callable[[list[Row], Rule], Iterator[tuple[int, int]]], rule: Rule) -> DataFrame:
-    """(a, b) from groups (token, i, j) of rows (part, node, n, at, suffix, mark). Groups are read as runs of a sorted stream."""
+def _walked(groups: DataFrame, walk: Callable[[list[Row], Rule], Iterator[tuple[int, int, bool]]], rule: Rule) -> DataFrame:
+    """(a, b, sure) from groups (token, i, j) of rows (part, node, n, at, suffix, mark). Groups are read as runs of a sorted stream."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, rows, out = None, [], []
@@ -329,40 +355,47 @@ def _walked(groups: DataFrame, walk: Callable[[list[Row], Rule], Iterator[tuple[
                     current, rows = (token, i, j), []
                 rows.append((part, node, n, at, suffix.tolist(), mark))
             if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["a", "b"])
+                yield pd.DataFrame(out, columns=["a", "b", "sure"])
                 out = []
         if len(rows) > 1:
             out += walk(rows, rule)
-        yield pd.DataFrame(out, columns=["a", "b"])
+        yield pd.DataFrame(out, columns=["a", "b", "sure"])
 
-    return groups.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long")
+    return groups.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node").mapInPandas(work, "a long, b long, sure boolean")
 
 
-def _first_round(groups: DataFrame) -> DataFrame:
-    """Groups in parts of ``FIRST`` nodes, the leader in each."""
-    parts = F.ceil(F.col("m") / FIRST).cast("int")
-    mine = F.array(F.pmod(_hash("node", 2), parts).cast("int"))
-    everywhere = F.when(F.col("node") == F.col("lead"), F.sequence(F.lit(0), parts - 1)).otherwise(mine)
-    return groups.withColumn("i", F.explode(everywhere)).select("token", "i", F.lit(0).alias("j"), F.lit(0).alias("part"), "node", "n", "at", "suffix", F.col("lead").alias("mark"))
+def _first_round(prefix: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each node at its leader's, in parts of ``FIRST`` nodes, and the leader in each part."""
+    votes = groups.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("votes"))
+    chosen = votes.groupBy("node").agg(F.max(F.struct("votes", "lead")).alias("best")).select("node", F.col("best.lead").alias("mark"))
+    parts = chosen.groupBy("mark").agg(F.ceil(F.count("*") / FIRST).cast("int").alias("parts"))
+    mine = chosen.join(parts, "mark").select("node", "mark", F.pmod(_hash("node", 2), F.col("parts")).cast("int").alias("i"))
+    leaders = parts.select(F.col("mark").alias("node"), "mark", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    rows = mine.unionByName(leaders).join(prefix, "node")
+    return rows.select(F.col("mark").alias("token"), "i", F.lit(0).alias("j"), F.lit(0).alias("part"), "node", "n", (F.col("own") - 1).alias("at"), F.slice("prefix", 1, SPAN).alias("suffix"), "mark")
 
 
-def _second_round(groups: DataFrame, merged: DataFrame) -> DataFrame:
+def _second_round(ordered: DataFrame, groups: DataFrame, merged: DataFrame) -> DataFrame:
     """Groups of several components, in pairs of parts; parts of a group's largest component meet the other ones only."""
-    df = groups.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    df = groups.join(merged, "node", "left").select("token", "node", "i", F.coalesce("component", "node").alias("mark"))
     df = stored(df, "labelled")
-    sizes = df.groupBy("token", "component").agg(F.count("*").alias("k"))
-    open_tokens = sizes.groupBy("token").agg(F.count("*").alias("components"), F.sum("k").alias("m"), F.max(F.struct("k", "component")).alias("top")).where("components > 1")
+    sizes = df.groupBy("token", "mark").agg(F.count("*").alias("k"))
+    open_tokens = sizes.groupBy("token").agg(F.count("*").alias("components"), F.sum("k").alias("m"), F.max(F.struct("k", "mark")).alias("top")).where("components > 1")
     few = F.col("m") <= TRIE
     open_tokens = open_tokens.select(
-        "token", F.col("top.component").alias("largest"), F.when(few, 1).otherwise(F.ceil((F.col("m") - F.col("top.k")) / TRIE)).cast("int").alias("others"),
+        "token", F.col("top.mark").alias("largest"), F.when(few, 1).otherwise(F.ceil((F.col("m") - F.col("top.k")) / TRIE)).cast("int").alias("others"),
         F.when(few, 0).otherwise(F.ceil(F.col("top.k") / TRIE)).cast("int").alias("main"),
     )
     df = df.join(open_tokens, "token")
-    within = (F.col("main") > 0) & (F.col("component") == F.col("largest"))
-    part = F.when(within, F.col("others") + F.pmod(_hash("node", 2), F.greatest("main", F.lit(1)))).otherwise(F.pmod(_hash("node", 2), F.greatest("others", F.lit(1))))
-    df = df.withColumn("part", part.cast("int"))
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(within, F.col("others")).otherwise(F.col("others") + F.col("main")) - 1)))
-    return df.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "n", "at", "suffix", F.col("component").alias("mark"))
+    within = (F.col("main") > 0) & (F.col("mark") == F.col("largest"))
+    place = lambda c: F.pmod(_hash("node", 2), F.greatest(c, F.lit(1)))
+    df = df.withColumn("part", F.when(within, F.col("others") + place("main")).otherwise(place("others")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.when(within, F.col("others")).otherwise(F.col("others") + F.col("main")) - 1))
+    df = df.select("token", "node", "mark", "part", F.col("i").alias("k"), other.alias("other")).join(ordered, "node")
+    return df.select(
+        "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "n",
+        (F.col("own") + F.col("k")).alias("at"), F.slice("tokens", F.col("k") + 2, F.lit(SPAN)).alias("suffix"), "mark",
+    )
 
 
 def link_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE, content: bool = False) -> DataFrame:
@@ -377,11 +410,11 @@ def _link_components(docs: DataFrame, rule: Rule) -> DataFrame:
     full = signatures.where("hi IS NOT NULL")
     nodes = _open_nodes(full, rule)
     ordered = _ordered(_sets(docs, nodes, rule), rule)
-    groups = _groups(ordered, rule)
+    prefix, groups = _groups(ordered, rule)
 
-    links = _linked(ordered, _walked(_first_round(groups), best_pairs, rule), rule)
+    links = _linked(ordered, _walked(_first_round(prefix, groups), best_pairs, rule), rule)
     merged = connected_components(links)
-    late = _linked(ordered, _walked(_second_round(groups, merged), open_pairs, rule), rule)
+    late = _linked(ordered, _walked(_second_round(ordered, groups, merged), open_pairs, rule), rule)
 
     final = connected_components(links.unionByName(late)) if late.take(1) else merged
     sets = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"))

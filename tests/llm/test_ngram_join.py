@@ -109,7 +109,7 @@ def test_trie_and_bounds_lose_nothing():
         trie = g.Trie()
         for i in [i for i in range(len(sets)) if token in prefix[i]]:
             suffix, place = grouped(prefix[i], token)
-            found = [(x, i) for x, _ in trie.candidates(suffix, len(sets[i]), place, i)]
+            found = [(x, i) for x, _, _ in trie.candidates(suffix, len(sets[i]), place, i)]
             assert len(found) == len(set(found))
             got |= {(x, y) for x, y in found if min(set(sets[x]) & set(sets[y])) == token}  # each in its own group
             trie.insert(suffix, i, len(sets[i]), place, i)
@@ -137,20 +137,23 @@ def test_trie_keeps_subsets():
                 suffix, place = grouped(first[0], token)
                 trie.insert(suffix[:cut], len(others), len(stored), place, len(others))
                 suffix, place = grouped(first[1], token)
-                assert len(others) in {x for x, _ in trie.candidates(suffix[:cut], len(probe), place, 99)}, (k, n, more, cut)
+                assert len(others) in {x for x, _, _ in trie.candidates(suffix[:cut], len(probe), place, 99)}, (k, n, more, cut)
 
 
 def test_first_round_is_linear_and_second_finds_the_rest():
     """A group of near copies: few pairs at first; then all that cross components, and none within one."""
     base = list(range(200))
     sets = [sorted(base[:i] + base[i + 1 :]) for i in range(1, 60)]
+    whole = [(0, i, len(s), -1, s[: len(s) // 10 + 1], 0) for i, s in enumerate(sets)]
+    first = set(g.best_pairs(whole, g.RULE))
+    assert len(first) < 2 * len(whole) and {(0, i) for i in range(1, len(whole))} <= first
     rows = [(0, i, len(s), 0, s[1 : len(s) // 10 + 1], 0) for i, s in enumerate(sets)]
-    first = set(g.best_pairs(rows, g.RULE))
-    assert len(first) < 2 * len(rows) and {(0, i) for i in range(1, len(rows))} <= first
     half = [(*r[:5], r[1] % 2) for r in rows]
-    assert set(g.open_pairs(half, g.RULE)) == {(i, j) for j in range(len(rows)) for i in range(j) if i % 2 != j % 2}
+    assert set(g.open_pairs(half, g.RULE)) == {(i, j, False) for j in range(len(rows)) for i in range(j) if i % 2 != j % 2}
     parts = [(int(r[1] >= 30), *r[1:5], r[1]) for r in rows]
-    assert set(g.open_pairs(parts, g.RULE)) == {(i, j) for j in range(30, len(rows)) for i in range(30)}
+    assert set(g.open_pairs(parts, g.RULE)) == {(i, j, False) for j in range(30, len(rows)) for i in range(30)}
+    known = [(0, i, len(s), 0, s[1:], i % 3) for i, s in enumerate(sets)]  # whole sets: links are sure, and two join three components
+    assert [x[2] for x in g.open_pairs(known, g.RULE)] == [True, True]
 
 
 def test_repeated_ids_long_texts_and_clashing_columns(spark):
