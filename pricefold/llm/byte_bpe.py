@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from pricefold.llm.common import without
 
-#: Pre-tokens kept by a Python worker before its cache starts anew.
-CACHE = 450_000
+#: Pre-tokens kept by a Python worker: two generations of half as many, the older one dropped when the younger is full.
+CACHE = 600_000
 WORD = 256
 
 
@@ -42,18 +42,27 @@ class BytePairEncoder:
     """Ranks and a splitting pattern; encodes and decodes whole texts without special tokens."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = CACHE) -> None:
-        self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
+        self.ranks, self.tokens = ranks, [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.sizes = [len(t) for t in self.tokens]
+        self.pairs = [ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
+        self.queue = RankQueue(len(self.tokens))
         encoder, packs = self, [struct.Struct(f"<{n}I").pack for n in range(65)]
 
         class Cache(dict):
+            older: dict[str, bytes] = {}
+
             def __missing__(self, piece: str) -> bytes:
-                if len(self) >= cache:
-                    self.clear()
-                ids = encoder.merge(piece.encode("utf-8", "replace"))
-                out = packs[len(ids)](*ids) if len(ids) <= 64 else struct.pack(f"<{len(ids)}I", *ids)
+                out = self.older.get(piece)
+                if out is None:
+                    ids = encoder.merge(piece.encode("utf-8", "replace"))
+                    out = packs[len(ids)](*ids) if len(ids) <= 64 else struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) <= 64:
+                    if len(self) >= cache // 2:
+                        self.older = dict(self)
+                        self.clear()
                     self[piece] = out
                 return out
 
@@ -64,12 +73,12 @@ class BytePairEncoder:
         get = self.ranks.get
         if (whole := get(piece)) is not None:
             return [whole]
-        buckets, words, bit = self.queue.buckets, self.queue.words, self.queue.bit
+        buckets, words, bit, sizes, pairs = self.queue.buckets, self.queue.words, self.queue.bit, self.sizes, self.pairs
         n, summary = len(piece), 0
         end = list(range(1, n + 1))  # where the part that starts here ends; 0: merged into the part before
         before = list(range(-1, n))
-        for i in range(n - 1):
-            if (r := get(piece[i : i + 2])) is not None:
+        for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False)):
+            if (r := pairs[a << 8 | b]) is not None:
                 if buckets[r]:
                     buckets[r].append(i)
                 else:
@@ -85,6 +94,7 @@ class BytePairEncoder:
                 summary ^= 1 << w
             words[w] = word ^ low
             positions, buckets[rank] = buckets[rank], None
+            size = sizes[rank]
             if len(positions) > 1:
                 positions.sort()
             for k, i in enumerate(positions):
@@ -92,8 +102,8 @@ class BytePairEncoder:
                 if not middle or middle >= n:
                     continue
                 stop = end[middle]
-                if get(piece[i:stop]) != rank:
-                    continue  # stale
+                if stop - i != size:
+                    continue  # stale: the bytes from i on are those of the rank only at its size
                 end[i], end[middle], before[stop] = stop, 0, i
                 again = False
                 if stop < n and (r := get(piece[i : end[stop]])) is not None:

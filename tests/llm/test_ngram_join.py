@@ -146,7 +146,7 @@ def test_first_round_is_linear_and_second_finds_the_rest():
     sets = [sorted(base[:i] + base[i + 1 :]) for i in range(1, 60)]
     whole = [(0, i, len(s), -1, s[: len(s) // 10 + 1], 0) for i, s in enumerate(sets)]
     first = set(g.best_pairs(whole, g.RULE))
-    assert len(first) < 2 * len(whole) and {(0, i) for i in range(1, len(whole))} <= first
+    assert len(first) < 2 * len(whole) and {(0, i, False) for i in range(1, len(whole))} <= first
     rows = [(0, i, len(s), 0, s[1 : len(s) // 10 + 1], 0) for i, s in enumerate(sets)]
     half = [(*r[:5], r[1] % 2) for r in rows]
     assert set(g.open_pairs(half, g.RULE)) == {(i, j, False) for j in range(len(rows)) for i in range(j) if i % 2 != j % 2}
