@@ -1,29 +1,37 @@
 """Resharding by minimum-cost flow: from old shard sizes and new capacities, the block transfers that move the fewest bytes.
 
-Every document belongs to an old shard and, within it, to one of ``BUCKETS`` blocks by the hash of its text, so equal
-texts share a block. A block that would hold a large part of a new shard (a hot group of equal texts, say) is split by
-the hash of the document's id, again and again in one step sized by the block's bytes, so blocks stay small whatever
-the data. The driver sees block sizes only: a number of rows that shards and ``BUCKETS`` bound. It solves the flow
-between shards (a few hundred edges) and deals each old shard's blocks to the flow's targets, largest first.
+1. Equal texts form a group. A group lies in the old shard that holds most of its bytes: there it counts, and from there
+   it moves as one. Groups of more than ``WHOLE`` of a new shard are the only ones that are split, by document id.
+2. The rows of an old shard are dealt to ``BUCKETS`` blocks by the hash of their text; a block of more than ``LARGEST`` of
+   a new shard is divided by further bits of that hash, so equal texts always share a block.
+3. The driver sees block sizes only: a number of rows that shards, ``BUCKETS`` and ``LARGEST`` bound. It places blocks of
+   single groups that are large, solves the flow between shards (a few hundred edges) for the rest and deals each old
+   shard's blocks to the flow's targets, largest first.
+4. Rows of affected shards travel once, with their texts, to the task of their block, get their slots there and are
+   written; the result is read back from these files. Rows of other shards stay where they are.
 
 Law: ``bytes``. Sizes of new shards are near equal (to within about a block). Defined results: a null text has size 8
-and crc32 of the empty text; a null old shard is 0; repeated rows each get a slot of their own, in an order that
-doesn't matter as they are equal; an empty table gives an empty result.
+and crc32 of the empty text, and null and empty texts are one group; a null old shard is 0; repeated rows each get a slot
+of their own, in an order that doesn't matter as they are equal; an empty table gives an empty result; columns of the
+input named shard, slot or like an internal one (``__``) don't count.
 """
 
 from __future__ import annotations
 
 import heapq
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pricefold.llm.common import new_path, stored, without
 
 SHARDS, BUCKETS = 24, 1024
-#: Blocks above this part of a new shard's capacity are split.
-LARGEST = 1 / 64
+#: Parts of a new shard's capacity: blocks above the first are divided between texts, groups of equal texts above the second by id.
+LARGEST, WHOLE = 1 / 64, 1 / 8
 ROW_BYTES = 8
 
 
@@ -69,103 +77,154 @@ def cheapest_transfers(sizes: list[int], capacities: list[int]) -> dict[tuple[in
     return {k: v for k, v in flow.items() if v}
 
 
-def deal_blocks(blocks: list[tuple], shards: int) -> dict[tuple, int]:
-    """New shard of every block (key, old shard, bytes): the flow's amounts, each block to the target with most room left."""
+def deal_blocks(blocks: list[tuple], shards: int, largest: int) -> dict[tuple, int]:
+    """New shard of every block (key, old shard, bytes): the flow's amounts, each block to the target with most room left.
+
+    Blocks above ``largest`` come first: they stay if their shard has room, else they go where most is."""
     total = sum(b[2] for b in blocks)
+    room = [total // shards + (j < total % shards) for j in range(shards)]
+    order = sorted(blocks, key=lambda b: (-b[2], b[0]))
+    out = {}
+    for key, old, size in order:
+        if size <= largest:
+            break
+        out[key] = j = old if room[old] >= size else max(range(shards), key=lambda j: (room[j], -j))
+        room[j] -= size
+    over = -sum(min(0, x) for x in room)  # what single blocks put above a capacity is taken off the others'
+    room = [max(0, x) for x in room]
+    while over:
+        j = max(range(shards), key=lambda j: (room[j], -j))
+        take = min(over, max(1, room[j] // 2))
+        room[j] -= take
+        over -= take
     sizes = [0] * shards
-    for _, old, size in blocks:
-        sizes[old] += size
-    capacities = [total // shards + (j < total % shards) for j in range(shards)]
+    for key, old, size in order:
+        if key not in out:
+            sizes[old] += size
     want: dict[int, list] = {}
-    for (i, j), much in cheapest_transfers(sizes, capacities).items():
+    for (i, j), much in cheapest_transfers(sizes, room).items():
         want.setdefault(i, []).append((-much, j))
     for targets in want.values():
         heapq.heapify(targets)
-    out = {}
-    for key, old, size in sorted(blocks, key=lambda b: (-b[2], b[0])):
-        room, j = heapq.heappop(want[old])
-        out[key] = j
-        heapq.heappush(want[old], (room + size, j))
+    for key, old, size in order:
+        if key not in out:
+            left, j = heapq.heappop(want[old])
+            out[key] = j
+            heapq.heappush(want[old], (left + size, j))
     return out
 
 
-def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard), one row for each document.
+@dataclass
+class Plan:
+    """Where rows go: ``groups`` (__hash, __home, __parts) of texts with a home of their own, ``blocks`` with the new shard and
+    first slot of each, and the shards that lose or gain rows."""
+
+    shards: int
+    buckets: int
+    groups: DataFrame
+    fine: DataFrame
+    blocks: DataFrame
+    affected: list[int]
+    left: list[int]
+
+
+_KEY = ["__home", "__bucket", "__sub", "__part"]
 
-    ``old_shard`` numbers at most ``shards`` old shards from 0. Texts are read once; later steps carry ids, sizes and
-    hashes only. Slots are the sum of what the blocks before hold plus the rank within the block, so no shard is ever
-    numbered by one task."""
+
+def _rows(docs: DataFrame, old_shard: Column, shards: int, text: str, doc_id: str) -> DataFrame:
+    """``docs`` with doc_id, size, text_crc32, old_shard and the text's hash."""
+    t, names = F.col(f"`{text}`"), ("shard", "slot", "__id", "__size", "__crc", "__old", "__hash")
+    df = docs.withColumns({
+        "__id": F.col(f"`{doc_id}`"), "__size": row_size(t), "__crc": F.crc32(F.coalesce(t, F.lit(""))),
+        "__old": F.pmod(F.coalesce(old_shard, F.lit(0)), F.lit(shards)).cast("int"), "__hash": F.xxhash64(F.coalesce(t, F.lit(""))),
+    })
+    return df.select(*without(docs, *names).columns, *names[2:])
+
+
+def _placed(rows: DataFrame, groups: DataFrame, buckets: int, fine: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the columns of their block's key."""
+    df = rows.join(groups, "__hash", "left")
+    df = df.withColumn("__part", F.when(F.col("__parts") > 1, F.pmod(F.xxhash64("__id", F.lit("part")), F.col("__parts"))).otherwise(-1).cast("int"))
+    df = df.withColumn("__bucket", F.pmod("__hash", F.lit(buckets)).cast("int")).withColumn("__home", F.coalesce("__home", "__old")).drop("__parts")
+    if fine is None:
+        return df
+    df = df.join(F.broadcast(fine), ["__home", "__bucket"], "left")  # shards * buckets rows at most
+    sub = F.when((F.col("__part") < 0) & (F.col("__subs") > 1), F.pmod(F.xxhash64("__hash", F.lit("sub")), F.col("__subs"))).otherwise(0)
+    return df.withColumn("__sub", sub.cast("int")).drop("__subs")
+
+
+def plan_blocks(docs: DataFrame, old_shard: Column, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS) -> Plan:
+    """The plan for ``docs``; ``old_shard`` numbers at most ``shards`` old shards from 0. Ids, sizes and hashes travel, texts don't."""
     spark: SparkSession = docs.sparkSession
-    t = F.col(f"`{text}`")
-    rows = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), row_size(t).alias("size"), F.crc32(F.coalesce(t, F.lit(""))).alias("text_crc32"),
-        F.pmod(F.coalesce(old_shard, F.lit(0)), F.lit(shards)).cast("int").alias("old_shard"),
-        F.pmod(F.xxhash64(F.coalesce(t, F.lit(""))), F.lit(buckets)).cast("int").alias("bucket"),
-    )
-    rows = stored(rows, "reshard-rows")
-    coarse = rows.groupBy("old_shard", "bucket").agg(F.sum("size").alias("bytes")).collect()  # shards * buckets rows at most
-    largest = max(1, int(sum(r.bytes for r in coarse) / shards * LARGEST))
-    hot = [(r.old_shard, r.bucket, -(-r.bytes // largest)) for r in coarse if r.bytes > largest]  # shards / LARGEST rows at most
-    parts = spark.createDataFrame(hot, "old_shard int, bucket int, parts long")
-    rows = rows.join(F.broadcast(parts), ["old_shard", "bucket"], "left")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-    key = ["old_shard", "bucket", "part"]
-    fine = rows.groupBy(*key).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
-    shard_of = deal_blocks([((r.old_shard, r.bucket, r.part), r.old_shard, r.bytes) for r in fine], shards)
-    plan, filled = [], [0] * shards
-    for r in sorted(fine, key=lambda r: (r.old_shard, r.bucket, r.part)):
-        j = shard_of[(r.old_shard, r.bucket, r.part)]
-        plan.append((r.old_shard, r.bucket, r.part, j, filled[j]))
+    names = ["__id", "__size", "__old", "__hash"]
+    rows = stored(_rows(docs, old_shard, shards, text, doc_id).select(*names), "reshard-rows")
+    total = rows.agg(F.sum("__size").alias("bytes")).first().bytes or 0
+    largest, whole = max(1, int(total / shards * LARGEST)), max(1, int(total / shards * WHOLE))
+    held = rows.groupBy("__hash", "__old").agg(F.sum("__size").alias("bytes"))
+    groups = held.groupBy("__hash").agg(F.max(F.struct("bytes", (-F.col("__old")).alias("o"))).alias("top"), F.sum("bytes").alias("bytes"), F.count("*").alias("k"))
+    parts = F.when(F.col("bytes") > whole, F.ceil(F.col("bytes") / largest)).otherwise(1).cast("int")
+    groups = stored(groups.where((F.col("k") > 1) | (F.col("bytes") > whole)).select("__hash", (-F.col("top.o")).alias("__home"), parts.alias("__parts")), "reshard-groups")
+    rows = stored(_placed(rows, groups, buckets), "reshard-placed")
+    subs = F.ceil(F.sum(F.when(F.col("__part") < 0, F.col("__size"))) / largest).cast("int")
+    fine = stored(rows.groupBy("__home", "__bucket").agg(subs.alias("__subs")).where("__subs > 1"), "reshard-fine")
+    rows = rows.join(F.broadcast(fine), ["__home", "__bucket"], "left").withColumn("__sub", F.when(F.col("__part") < 0, F.pmod(F.xxhash64("__hash", F.lit("sub")), F.coalesce("__subs", F.lit(1)))).otherwise(0).cast("int"))
+    # at most shards * (buckets + a few / LARGEST) rows
+    found = rows.groupBy(*_KEY).agg(F.sum("__size").alias("bytes"), F.count("*").alias("n"), F.collect_set("__old").alias("olds")).collect()
+    key = lambda r: tuple(r[c] for c in _KEY)
+    shard_of = deal_blocks([(key(r), r["__home"], r.bytes) for r in found], shards, largest)
+    plan, filled, affected = [], [0] * shards, set()
+    for r in sorted(found, key=key):
+        j = shard_of[key(r)]
+        plan.append((*key(r), j, filled[j]))
         filled[j] += r.n
-    placed = spark.createDataFrame(plan, "old_shard int, bucket int, part int, shard int, start long")
-    # at most shards * (buckets + 1 / LARGEST) rows of 28 bytes: bounded by parameters
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("doc_id", "text_crc32", "size"))
-    out = rows.withColumn("rank", rank).join(F.broadcast(placed), key)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard")
-
-
-def rewrite_affected(docs: DataFrame, plan: DataFrame, old_folder: str, new_folder: str | None = None) -> tuple[str, list[int]]:
-    """Writes ``docs`` of the affected shards, those that lose or gain rows, as ``shard=<n>`` folders under ``new_folder``.
-
-    Unaffected shards are named by the returned list and stay where they are (``old_folder``); a reader takes each shard
-    from one of the two. ``plan`` is :func:`reshard`'s result; rows that repeat an id and a text take its places in turn.
-    Rows are dealt by shard and slot range, so a shard is written by several tasks, in slot order."""
-    spark = docs.sparkSession
-    new_folder = new_folder or new_path(spark, "resharded")
-    affected, left = _affected(plan)
-    # documents and their places meet in one shuffle: both are numbered within a key, and equal numbers belong together
-    key = ["_id", "_size", "_crc"]
-    body = without(docs, "shard", "slot")
-    names = body.columns
-    rows = body.select(F.col("doc_id").alias("_id"), row_size(F.col("text")).alias("_size"), F.crc32(F.coalesce("text", F.lit(""))).alias("_crc"), F.lit(1).alias("_kind"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    places = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("text_crc32").alias("_crc"), F.lit(0).alias("_kind"), "shard", "slot")
-    both = rows.unionByName(places, allowMissingColumns=True).repartition(*key)
-    both = both.withColumn("_turn", F.row_number().over(Window.partitionBy(*key, "_kind").orderBy(F.lit(0))))
-    met = Window.partitionBy(*key, "_turn").orderBy("_kind")
-    both = both.withColumns({"shard": F.first("shard", ignorenulls=True).over(met), "slot": F.first("slot", ignorenulls=True).over(met)})
-    body = both.where((F.col("_kind") == 1) & F.col("shard").isin(affected)).select(*[F.col("_row")[c].alias(c) for c in names], "shard", "slot")
-    n = max(1, len(affected)) * 4
-    body.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(new_folder)
-    return new_folder, left
-
-
-def _affected(plan: DataFrame) -> tuple[list[int], list[int]]:
-    """Shards that lose or gain rows, and the others; at most the number of shards."""
-    moved = plan.where("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
-    affected = {r.s for r in moved.collect()}
-    return sorted(affected), sorted({r.shard for r in plan.select("shard").distinct().collect()} - affected)
-
-
-def resharded(docs: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
-    """:func:`reshard` carried out: affected shards are written anew and their rows read back from the files.
-
-    Rows of unaffected shards stay where ``docs`` has them and are numbered by the plan. ``docs`` has doc_id and text."""
-    spark = docs.sparkSession
-    old = F.pmod(F.coalesce(old_shard, F.lit(0)), F.lit(shards)).cast("int")
-    docs = docs.withColumn("old_shard", old)
-    plan = stored(reshard(docs, F.col("old_shard"), shards), "reshard-plan")
-    folder, left = rewrite_affected(docs, plan, "")
-    schema = without(docs, "shard", "slot").schema.add("slot", "long").add("shard", "integer")
-    back = spark.read.schema(schema).parquet(folder)
-    back = back.select("doc_id", row_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
-    return back.unionByName(plan.where(F.col("shard").isin(left)))
+        affected |= {x for o in r.olds if o != j for x in (o, j)}
+    blocks = spark.createDataFrame(plan, "__home int, __bucket int, __sub int, __part int, shard int, __start long")
+    return Plan(shards, buckets, groups, fine, blocks, sorted(affected), sorted({j for j in range(shards) if filled[j]} - affected))
+
+
+def numbered(docs: DataFrame, old_shard: Column, plan: Plan, of: list[int], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` of the new shards ``of``, with shard, slot and ``__old``; one shuffle by ranges of shard and block.
+
+    A slot is what the blocks before hold plus the rank within the block, so no shard is numbered by one task."""
+    rows = _placed(_rows(docs, old_shard, plan.shards, text, doc_id), plan.groups, plan.buckets, plan.fine)
+    rows = rows.join(F.broadcast(plan.blocks), _KEY).where(F.col("shard").isin(of))
+    rows = rows.repartitionByRange("shard", *_KEY)
+    rank = F.row_number().over(Window.partitionBy("shard", *_KEY).orderBy("__id", "__crc", "__size"))
+    return rows.withColumn("slot", F.col("__start") + rank - 1).drop("__start", "__hash", *_KEY)
+
+
+def _result(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("__id").alias("doc_id"), F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), F.col("__old").alias("old_shard"),
+    )
+
+
+def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard): the plan, one row for each document; nothing is written."""
+    plan = plan_blocks(docs, old_shard, shards, text, doc_id, buckets)
+    return _result(numbered(docs.select(doc_id, text, old_shard.alias("__shard")), F.col("__shard"), plan, list(range(shards)), text, doc_id))
+
+
+def rewrite(rows: DataFrame, folder: str) -> DataFrame:
+    """Writes rows with shard and slot as ``shard=<n>`` folders and reads them back; all but a few tasks write into one shard."""
+    rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    fields = [f for f in rows.schema.fields if f.name != "shard"]
+    return rows.sparkSession.read.schema(T.StructType([*fields, rows.schema["shard"]])).parquet(folder)
+
+
+def resharded(docs: DataFrame, old_shard: Column, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", folder: str | None = None) -> DataFrame:
+    """:func:`reshard` carried out: affected shards, those that lose or gain rows, are written anew with all columns of
+    ``docs`` below ``folder``, and their rows read back from the files. Rows of other shards stay where ``docs`` has them."""
+    docs = docs.withColumn("__shard", old_shard)
+    old = F.col("__shard")
+    plan = plan_blocks(docs, old, shards, text, doc_id)
+    t = F.col(f"`{text}`")
+    out = docs.sparkSession.createDataFrame([], "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, old_shard int")
+    if plan.affected:
+        body = numbered(docs, old, plan, plan.affected, text, doc_id).drop("__id", "__size", "__crc", "__shard")
+        back = rewrite(body, folder or new_path(docs.sparkSession, "resharded"))
+        out = out.unionByName(_result(back.withColumns({"__id": F.col(f"`{doc_id}`").cast("long"), "__size": row_size(t), "__crc": F.crc32(F.coalesce(t, F.lit("")))})))
+    if plan.left:
+        out = out.unionByName(_result(numbered(docs.select(doc_id, text, "__shard"), old, plan, plan.left, text, doc_id)))
+    return out
