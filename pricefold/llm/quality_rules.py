@@ -2,9 +2,12 @@
 
 Each rule compares a ratio of a document with a cutoff and rejects what lies above it. Cutoffs come from labelled
 holdouts: for each stratum (a band of document length) and rule, the lowest cutoff of a fixed grid is taken at which
-the exact binomial (Clopper-Pearson) upper bound on the share of good documents rejected stays within ``risk``. All
-bounds of one calibration hold together with probability ``1 - delta`` (Bonferroni over strata, rules and cutoffs; the
-cutoffs of one rule are nested, so the choice among them needs no more). A rule without such a cutoff rejects nothing.
+the exact binomial (Clopper-Pearson) upper bound on the share of good documents rejected stays within the rule's part of
+``risk``. The rules share ``risk`` equally, so all of them together reject at most ``risk`` of a stratum's good
+documents; this holds for all strata at once with probability ``1 - delta``. Multiple testing: Bonferroni over strata and
+rules. The cutoffs of one rule are nested, and are tested as a fixed sequence from the loosest down to the first failure;
+as fewer rejections never make a bound worse, that is the lowest cutoff that passes, and the sequence costs no more than
+one test. A rule without such a cutoff rejects nothing.
 
 Defined results: a null or blank text has no words and fails the base rules; repeated documents are judged alike;
 labels that are null or have no document don't count; without labels only the base rules reject.
@@ -19,8 +22,8 @@ from pyspark.sql import functions as F
 
 from pricefold.llm.common import BLANK, without
 
-#: Share of good documents that one rule may reject in a stratum, and the chance that any of the bounds fails.
-RISK, DELTA = 0.01, 0.05
+#: Share of good documents that the rules may reject in a stratum, and the chance that any of the bounds fails.
+RISK, DELTA = 0.04, 0.05
 #: Upper ends of the strata, in words.
 BANDS = (200, 1000, 5000)
 #: Cutoffs tried for every rule.
@@ -124,12 +127,12 @@ def calibrate(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) ->
     """(stratum, cut_<rule>...), at most one row for each band, from documents with statistics and a column ``quality``.
 
     A cutoff is safe if its k rejected of n good documents would be as few with chance ``delta / tests`` at most, were
-    the true rate ``risk``; that is the Clopper-Pearson bound read the other way round."""
-    tests = (len(BANDS) + 1) * len(RULES) * len(GRID)
+    the true rate the rule's part of ``risk``; that is the Clopper-Pearson bound read the other way round."""
+    tests, part = (len(BANDS) + 1) * len(RULES), risk / len(RULES)
     good = labelled.where((F.col("quality") == 1) & ~base_failed()).withColumn("stratum", stratum())
     counts = good.groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(F.col(f"r_{r}") > c).alias(f"k_{r}_{i}") for r in RULES for i, c in enumerate(GRID)])
     tried = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cut"), F.col(f"k_{r}_{i}").alias("k")) for r in RULES for i, c in enumerate(GRID)])).alias("t")
-    safe = counts.select("stratum", "n", tried).select("stratum", "n", "t.*").where(binomial_tail(F.col("k"), F.col("n"), risk) <= delta / tests)
+    safe = counts.select("stratum", "n", tried).select("stratum", "n", "t.*").where(binomial_tail(F.col("k"), F.col("n"), part) <= delta / tests)
     return safe.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cut"))).alias(f"cut_{r}") for r in RULES])
 
 

@@ -83,6 +83,29 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
 
 
+def op7_sql() -> str:
+    """The statistics from word lists and windows, the binomial tail as a sum of its terms."""
+    q = quality_rules
+    word, bands = r"[^\x20\x09-\x0D]", "".join(f"WHEN n_words < {b} THEN {i} " for i, b in enumerate(q.BANDS))
+    count = lambda pattern: f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+    share = lambda a, b: f"CASE WHEN {b} > 0 THEN ({a})::DOUBLE / {b} ELSE 0 END"
+    ratios = {"symbols": share("n_symbols", "word_chars"), "marks": share(count("[!?]"), "word_chars"), "capitals": share(r"length(regexp_replace(t, '[^\p{Lu}]+', '', 'g'))", "word_chars"), "lines": share("n_dup_lines", "len(ls)"), "repeats": share("n_repeat_words", "n_words")}
+    part, level = q.RISK / len(q.RULES), q.DELTA / ((len(q.BANDS) + 1) * len(q.RULES))
+    return rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}+') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls FROM documents),
+g AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS three, unnest(range(1, len(ws) - 1)) AS i FROM w),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, three) AS c FROM g), (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY doc_id),
+a AS (SELECT w.*, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, ({count("[" + q.SYMBOLS + "]")})::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed, CASE {bands}ELSE {len(q.BANDS)} END AS stratum, {", ".join(f"{v} AS r_{k}" for k, v in ratios.items())} FROM a),
+good AS (SELECT stratum, unnest([{", ".join(f"{{'rule': '{k}', 'v': r_{k}}}" for k in q.RULES)}]) AS x FROM b JOIN labels USING (doc_id) WHERE quality = 1 AND NOT base_failed),
+tried AS (SELECT stratum, x.rule AS rule, cut, count(*) AS n, count(CASE WHEN x.v > cut THEN 1 END) AS k FROM good, (SELECT unnest([{", ".join(f"{c}::DOUBLE" for c in q.GRID)}]) AS cut) GROUP BY ALL),
+tail AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - CASE WHEN i < n THEN lgamma(n - i + 1) ELSE 0 END + i * ln({part}::DOUBLE) + (n - i) * ln(1 - {part}::DOUBLE)))) AS p FROM tried),
+cuts AS (SELECT stratum, {", ".join(f"min(cut) FILTER (rule = '{k}') AS cut_{k}" for k in q.RULES)} FROM tail WHERE p <= {level}::DOUBLE GROUP BY stratum),
+j AS (SELECT b.*, CASE {" ".join(f"WHEN r_{k} > cut_{k} THEN '{k}'" for k in q.RULES)} END AS rejected_by FROM b LEFT JOIN cuts USING (stratum))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected_by IS NULL AS kept, rejected_by FROM j
+"""
+
+
 def op8_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document by its nearest labelled neighbours."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -114,4 +137,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_reshard": op10_reshard,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op7_quality_rules": op7_sql()}
