@@ -5,8 +5,9 @@
 2. The benchmark's passages (windows of up to ``WINDOW`` words) are TF-IDF rows; a distributed randomised SVD of them
    gives a latent space of ``RANK`` dimensions. Weights are log((1 + documents) / (1 + frequency)), so a word that all
    documents have counts nothing.
-3. Words of an item in at most ``TELLING`` of all documents tell of it; where fewer than ``FEW`` do, as for an item that
-   leaked into many documents, those in at most ``HALF`` of them, or else all its words. A document that hasn't enough of
+3. Words of an item in at most ``TELLING`` of all documents tell of it; where fewer than ``FEW`` do, or fewer than half of
+   those in at most ``HALF`` of the documents (as for an item that leaked into many of them, or in a table of few), the
+   latter tell, or else all its words. A document that hasn't enough of
    them anywhere can't leak the item by the rule in 4; that bound is exact. All windows of the others, whole texts, are
    placed in the latent space and compared with the item's passages by exact cosine products. Windows at ``COSINE`` or
    more are candidates, and so are stretches with enough telling words, whatever surrounds them.
@@ -103,9 +104,10 @@ class Item:
         self.item_id, self.words, self.answer = item_id, words, answer
         self.exact = len(words) < LEAST
         self.level = 0
+        half = sum(frequency[w] <= HALF for w in words)
         for self.level, limit in enumerate((TELLING, HALF, np.inf)):
             self.tell = [w for w in words if frequency[w] <= limit]
-            if len(self.tell) >= FEW:
+            if len(self.tell) >= FEW and (self.level or 2 * len(self.tell) >= half):
                 break
         self.need = (CERTAIN if self.level == 2 else LIKELY) * len(self.tell)
         if self.exact:

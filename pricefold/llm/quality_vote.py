@@ -6,6 +6,8 @@ from all documents. A bounded, deterministic sample of ``SAMPLE`` labelled rows
 SVD) and the voters. Every document is compared with every voter by exact cosine products in blocks, and its ``K``
 nearest voters vote with their similarity's power ``SHARPNESS``.
 
+Of voters that are equally near at the ``K``-th place, those earlier in the voters' order (by vector, then label) vote.
+
 Defined results: null and empty texts have the same features (those of no words) and get a score as any text; repeated
 rows get equal scores; without usable labels every score is 0.5.
 """
@@ -79,6 +81,10 @@ class Voters:
         near = self.embed(texts) @ self.vectors.T
         k = min(K, near.shape[1])
         best = np.argpartition(near, near.shape[1] - k, axis=1)[:, -k:]
+        last = np.take_along_axis(near, best, 1).min(axis=1, keepdims=True)
+        for row in np.flatnonzero((near >= last).sum(axis=1) > k):  # ties
+            above = np.flatnonzero(near[row] > last[row])
+            best[row] = np.concatenate([above, np.flatnonzero(near[row] == last[row])[: k - len(above)]])
         weight = np.maximum(np.take_along_axis(near, best, 1), 1e-6).astype(np.float64) ** SHARPNESS
         return np.clip((weight * self.labels[best]).sum(1) / weight.sum(1), 0.0, 1.0)
 

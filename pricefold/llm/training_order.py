@@ -3,8 +3,9 @@
 1. Documents are encoded once and stored, with their place among the sequences of the task that encoded them.
 2. Sequences get dense numbers (the task's offset plus that place). A keyed Feistel network over the next power of four,
    with cycle-walking, permutes [0, N): every sequence has a global slot, computed without any sort or state.
-3. A shard is a range of ``RECORDS`` slots. Sequences travel to their shard in compressed blocks; one task at a time
-   fills a shard, which has a fixed size, and writes it in one piece (under another name first, then renamed, so a
+3. A shard is a range of ``RECORDS`` slots. Slots are range partitioned: each task gets neighbouring shards, in order, as
+   compressed blocks. The ranges are known beforehand, as slots are dense, so no sample of the rows is taken. A task fills
+   one shard at a time, which has a fixed size, and writes it in one piece (under another name first, then renamed, so a
    repeated task does no harm). Record i of shard s is slot ``s * RECORDS + i``: reading can start at any slot.
 
 A record is doc_id (8 bytes, signed), part (4 bytes), number of tokens (2 bytes), then ``LENGTH`` ids of 2 bytes, padded.
@@ -34,6 +35,8 @@ from pricefold.llm.common import new_path
 
 LENGTH, RECORDS, PAD = 256, 1 << 15, 50256
 ROUNDS = 6
+#: Ranges of slots that are written at once, at most.
+RANGES = 20_000
 NO_ID = -(1 << 63)
 
 
@@ -162,25 +165,35 @@ def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGT
         if waiting:
             yield blocks()
 
-    def write(key_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        shard = int(key_[0])
-        size = min(records, total - shard * records)
-        rows = np.zeros(size, kind)
-        for n, block in zip(pdf["n"], pdf["block"], strict=True):
-            raw = zstandard.ZstdDecompressor().decompress(block)
-            slots = np.frombuffer(raw, "<i8", int(n))
-            rows[slots - shard * records] = np.frombuffer(raw, kind, int(n), 8 * int(n))
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = fs.FileSystem.from_uri(folder)
-        store.create_dir(top, recursive=True)
-        name = f"{top}/shard-{shard:08d}.bin"
-        with store.open_output_stream(mine := f"{name}.{TaskContext.get().taskAttemptId()}") as f:
-            f.write(rows.tobytes())
-        store.move(mine, name)
-        return pd.DataFrame({"shard": [shard], "path": [f"{folder}/shard-{shard:08d}.bin"], "records": [size]})
+        press, current, rows = zstandard.ZstdDecompressor(), -1, np.zeros(0, kind)
+
+        def finished() -> Iterator[pd.DataFrame]:
+            if current < 0:
+                return
+            store.create_dir(top, recursive=True)
+            name = f"{top}/shard-{current:08d}.bin"
+            with store.open_output_stream(mine := f"{name}.{TaskContext.get().taskAttemptId()}") as f:
+                f.write(rows.tobytes())
+            store.move(mine, name)
+            yield pd.DataFrame({"shard": [current], "path": [f"{folder}/shard-{current:08d}.bin"], "records": [len(rows)]})
+
+        for pdf in batches:
+            for shard, n, block in zip(pdf["shard"].tolist(), pdf["n"].tolist(), pdf["block"], strict=True):
+                if shard != current:
+                    yield from finished()
+                    current, rows = shard, np.zeros(min(records, total - shard * records), kind)
+                raw = press.decompress(block)
+                rows[np.frombuffer(raw, "<i8", n) - shard * records] = np.frombuffer(raw, kind, n, 8 * n)
+        yield from finished()
 
     placed = tokens.join(starts, "task").select("doc_id", "ids", (F.col("start") + F.col("first")).alias("number"))
     blocks = placed.mapInPandas(spread, "shard long, n long, block binary")
-    return blocks.groupBy("shard").applyInPandas(write, "shard long, path string, records long")
+    shards = max(1, -(-total // records))
+    each = -(-shards // RANGES)
+    ranges = blocks.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("shard")
+    return ranges.mapInPandas(write, "shard long, path string, records long")
 
 
 def read_shards(spark: SparkSession, manifest: DataFrame, from_slot: int = 0, length: int = LENGTH, records: int = RECORDS) -> DataFrame:

@@ -92,7 +92,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     for j, mask in enumerate(_masks(F.col("__canonical"))):
         possible = possible & (F.coalesce(F.col(f"__w{j}"), F.lit(0)).bitwiseAND(mask) == mask)
     probe = probe.drop(*[f"__w{j}" for j in range(LANES)], "__block")
-    hits = probe.where(possible).join(exact.withColumnRenamed("canonical", "__canonical"), "__canonical", "left")
+    hits = probe.where(possible).join(exact.withColumnRenamed("canonical", "__canonical").hint("shuffle_hash"), "__canonical", "left")
     both = hits.unionByName(probe.where(~possible).withColumn("__listed", F.lit(False)))
     both = both.withColumn("listed", F.coalesce("__listed", F.lit(False)))
     both = both.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules, 0))

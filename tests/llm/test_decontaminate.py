@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -91,6 +92,42 @@ def test_paraphrases_exactly(spark):
         assert {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, items=size).collect()} == want
 
 
+@pytest.mark.parametrize("replaced", [0.1, 0.2, 0.3])
+@pytest.mark.parametrize(("size", "leaks"), [(45, 40), (240, 120), (1600, 80)])
+def test_recall(spark, replaced, size, leaks):
+    """Paraphrases in a small table, with items in a fortieth to a tenth of all documents: nine of ten at least, no other."""
+    rng = random.Random(41)
+    items = [(i, " ".join(prose(rng.randint(20, 60), rng))) for i in range(min(40, leaks // 3 + 1) if size == 240 else 40)]
+    docs, want = [], set()
+    for k in range(size):
+        words = prose(rng.randint(60, 300), rng)
+        if k < leaks:
+            i = k % (10 if size == 240 else len(items))  # ten items in twelve documents each
+            inner = items[i][1].split()
+            inner = [w if j >= len(inner) - 8 or rng.random() > replaced else rng.choice(WORDS) for j, w in enumerate(inner)]
+            at = rng.randrange(len(words))
+            words[at:at] = inner
+            want.add((k, i))
+        docs.append((k, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    print("recall", size, replaced, len(got & want) / len(want))
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    rng = random.Random(51)
+    items = [(i, " ".join(prose(40, rng))) for i in range(30)]
+    words = prose(1_000_000, rng)
+    words[700_000:700_000] = items[7][1].split()
+    docs = [(1, " ".join(words), 5), (2, " ".join(prose(50, rng)), 6)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, item_id int")
+    found = d.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 7)]
+    kept = d.without_leaks(frame, found)
+    assert kept.columns == frame.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
 def test_short_items_in_foreign_text(spark):
     """Items of 4 to 20 words among words that the benchmark lacks, wherever they stand, at two sizes of the corpus."""
     rng = random.Random(21)

@@ -74,3 +74,58 @@ def test_quality(spark):
     blank = quality_vote.with_score(frame, quality_vote.fit(frame, known.limit(0))).collect()
     assert {r.score for r in blank} == {0.5}
     assert quality_vote.with_score(frame.limit(0), voters).count() == 0
+
+
+def test_vote_against_brute_force(spark):
+    """Scores from a loop over all voters, sorted; repeated voters make ties."""
+    rng = random.Random(6)
+    texts = [prose("en", rng.randint(5, 60), rng) for _ in range(80)] + ["one text"] * 40 + ["x" * 3_000_000]
+    labels = [(i, i % 3 % 2) for i in range(len(texts))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    voters = quality_vote.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+    for text, got in zip(texts, voters.score(texts), strict=True):
+        v = quality_vote.vector(text, voters.weights) @ voters.basis
+        v = v / max(np.linalg.norm(v), 1e-9)
+        near = sorted(((float(np.float32(voters.vectors[i] @ v)), -i) for i in range(len(voters.labels))), reverse=True)
+        top, total = 0.0, 0.0
+        for cosine, i in near[: quality_vote.K]:
+            weight = max(cosine, 1e-6) ** quality_vote.SHARPNESS
+            top, total = top + weight * voters.labels[-i], total + weight
+        kth = near[quality_vote.K - 1][0]
+        if sum(abs(c - kth) < 1e-6 for c, _ in near) == 1:
+            assert abs(got - top / total) < 1e-4
+        assert 0 <= got <= 1
+    assert len(set(voters.score(["one text"] * 3))) == 1
+
+
+def test_ftrl_against_plain_loops():
+    """A pass of the learner against the per-coordinate rule written out."""
+    rng = np.random.default_rng(3)
+    model = language_id.Ftrl(3)
+    z, n = np.zeros((50, 3)), np.zeros((50, 3))
+    for _ in range(60):
+        idx, y = np.sort(rng.choice(50, 8, replace=False)), int(rng.integers(3))
+        val = rng.random(8).astype(np.float32)
+        w = np.zeros((50, 3))
+        for i in range(50):
+            for c in range(3):
+                if abs(z[i, c]) > language_id.L1:
+                    w[i, c] = -(z[i, c] - np.sign(z[i, c]) * language_id.L1) / ((language_id.BETA + n[i, c] ** 0.5) / language_id.ALPHA + language_id.L2)
+        e = np.exp([sum(v * w[i, c] for i, v in zip(idx, val, strict=True)) for c in range(3)])
+        for i, v in zip(idx, val, strict=True):
+            for c in range(3):
+                g = v * (e[c] / e.sum() - (c == y))
+                z[i, c] += g - ((n[i, c] + g * g) ** 0.5 - n[i, c] ** 0.5) / language_id.ALPHA * w[i, c]
+                n[i, c] += g * g
+        model.learn(idx, val, y)
+    assert np.allclose(model.z[:50], z, atol=1e-3) and np.allclose(model.n[:50], n, atol=1e-3)
+
+
+def test_language_of_repeated_rows_long_texts_and_clashing_columns(spark):
+    rng = random.Random(9)
+    docs = [(i, prose(lang := rng.choice(list(SYLLABLES)), 40, rng), lang, "a") for i in range(300)]
+    docs += [docs[1], docs[1], (900, prose("fr", 200_000, rng), None, "b")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, SCORE string")
+    got = language_id.with_language(frame, language_id.fit(frame)).collect()
+    assert len(got) == len(docs) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 1}) == 1
+    assert [r.lang_pred for r in got if r.doc_id == 900] == ["fr"] and all(isinstance(r.score, float) for r in got)

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from pricefold.llm import training_order as t
 from pricefold.llm.common import new_path, stored
@@ -24,7 +25,9 @@ def test_permutation(n):
         assert abs(np.corrcoef(slots, np.arange(n))[0, 1]) < 0.15
 
 
-def test_shards(spark):
+@pytest.mark.parametrize("ranges", [1, 3, 20_000])
+def test_shards(spark, monkeypatch, ranges):
+    monkeypatch.setattr(t, "RANGES", ranges)
     with open(PATH, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     library = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -42,10 +45,24 @@ def test_shards(spark):
     assert sorted(got, key=key) == sorted(want, key=key)
     assert sorted(r.slot for r in rows) == list(range(len(want)))
     assert all(r.slot == r.shard * 64 + r.record for r in rows)
+    shards = -(-len(want) // 64)
+    spread = t.write_shards(tokens, new_path(spark, "shards"), b"key", length=16, records=64).withColumn("p", F.spark_partition_id()).collect()
+    by = sorted((r.shard, r.p, r.records) for r in spread)
+    assert [x[0] for x in by] == list(range(shards)) and [x[1] for x in by] == sorted(x[1] for x in by)
+    assert len({x[1] for x in by}) <= min(ranges, shards) and all(x[2] == 64 for x in by[:-1])
     later = t.read_shards(spark, manifest, from_slot=100, length=16, records=64).collect()
     assert sorted(r.slot for r in later) == list(range(100, len(want)))
 
 
+def test_long_text_and_clashing_columns(spark):
+    text = "one two three " * 40_000
+    docs = spark.createDataFrame([(1, text, 5, "x")], "doc_id long, text string, task int, ids string")
+    tokens = t.encode(docs, PATH, P.PATTERN)
+    rows = t.read_shards(spark, stored(t.write_shards(tokens, new_path(spark, "shards"), b"k", records=100), "manifest"), records=100).collect()
+    ids = [x for r in sorted(rows, key=lambda r: r.part) for x in np.frombuffer(r.ids, "<u2").tolist()]
+    assert t._encoding(PATH, P.PATTERN).decode(ids) == text and len({r.shard for r in rows}) > 3
+
+
 def test_no_documents(spark):
     tokens = t.encode(spark.createDataFrame([(1, None)], "doc_id long, text string"), PATH, P.PATTERN)
     assert t.write_shards(tokens, new_path(spark, "shards"), b"k").count() == 0
