@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -229,21 +230,32 @@ def is_file_type(content_type: Column) -> Column:
     return _has(F.lower(F.coalesce(content_type, F.lit(""))), FILE_TYPES)
 
 
-def is_rejected(url: Column, content_type: Column) -> Column:
-    """Candidates that are never price files of a facility."""
-    low, kind = F.lower(norm_url(url)), F.lower(F.coalesce(content_type, F.lit("")))
-    html = kind.contains("text/html")
-    other = _has(kind, ["application/json", "text/html", "spreadsheetml", "openxmlformats", "ms-excel"])
-    return any_of([
-        low.contains("cms.gov/hospital-price-transparency"),
-        low.contains(".pdf") | kind.contains("application/pdf"),
-        _has(low, ["/innetwork/", "cms_in-network-rates", "in-network-rates"]),
-        low.endswith(".xml") | low.contains("/feed.xml"),
-        low.contains("chargemaster-submission-guide"),
-        html & is_direct_file(url) & ~is_html_wrapper(url),
-        kind.contains("xml") & ~other,
-        low.contains("search.hospitalpriceindex.com/hpi2/machinereadable/") & html,
-    ])
+# What is never a price file of a facility. Each rule: marks in the URL, marks in the content type, and marks
+# in either that lift it; empty: anything.
+_DIRECT, _WRAPPER = "|".join(map(re.escape, FILE_SUFFIXES + DIRECT_MARKS)), "|".join(map(re.escape, WRAPPER_MARKS))
+REJECTED = [
+    (r"cms\.gov/hospital-price-transparency", "", "", ""),
+    (r"\.pdf", "", "", ""),
+    ("", r"application/pdf", "", ""),
+    (r"/innetwork/|in-network-rates", "", "", ""),
+    (r"\.xml$|/feed\.xml", "", "", ""),
+    (r"chargemaster-submission-guide", "", "", ""),
+    (_DIRECT, r"text/html", _WRAPPER, ""),
+    ("", r"xml", "", r"application/json|text/html|spreadsheetml|openxmlformats|ms-excel"),
+    (r"search\.hospitalpriceindex\.com/hpi2/machinereadable/", r"text/html", "", ""),
+]
+
+
+def is_rejected(url: Column, content_type: Column, rules: Sequence[tuple[str, str, str, str]] = REJECTED) -> Column:
+    """Candidates that are never price files of a facility, by a table of rules."""
+    texts = (F.lower(norm_url(url)), F.lower(F.coalesce(content_type, F.lit(""))))
+
+    def holds(rule: tuple[str, str, str, str]) -> Column:
+        wanted = [t.rlike(p) for t, p in zip(texts, rule[:2], strict=True) if p]
+        lifted = [~t.rlike(p) for t, p in zip(texts, rule[2:], strict=True) if p]
+        return reduce(lambda a, b: a & b, wanted + lifted)
+
+    return any_of(map(holds, rules))
 
 
 def content_rank(content_type: Column) -> Column:
@@ -271,16 +283,20 @@ def name_signature(c: Column) -> Column:
     return F.array_distinct(F.filter(_tokens(c), lambda t: (F.length(t) >= 3) & ~t.isin(SOFT_STOP)))
 
 
+# The bases of addresses. Each takes some of a name's words (all, or the telling ones), how many (0: each), and an ending.
+NAME_BASES = [("all", 0, ""), ("telling", 0, ""), ("telling", 1, ""), ("telling", 2, ""), ("telling", 3, ""), *[("telling", n, x) for n in (1, 2) for x in ("hospital", "health")]]
+BASE_LENGTH = (4, 60)
+
+
 def name_domains(c: Column, endings: Sequence[str] = (".org", ".com"), most: int = 24) -> Column:
-    """Web addresses that a facility of this name might have: joined words, some with ``hospital`` or ``health``."""
+    """Web addresses that a facility of this name might have, from a table of bases."""
     words = F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z]+", " "), " "), lambda t: t != "")
-    telling = F.filter(words, lambda t: (F.length(t) >= 3) & ~t.isin(STOP))
-    telling = F.when(F.size(telling) > 0, telling).otherwise(F.slice(words, 1, 3))
-    first, two = F.array_join(F.slice(telling, 1, 1), ""), F.array_join(F.slice(telling, 1, 2), "")
-    plus = lambda x: [x, F.concat(x, F.lit("hospital")), F.concat(x, F.lit("health"))]
-    bases = F.array(F.array_join(words, ""), F.array_join(telling, ""), *plus(two), *plus(first), F.array_join(F.slice(telling, 1, 3), ""))
-    bases = F.array_sort(F.array_distinct(F.filter(bases, lambda b: F.length(b).between(4, 60))))
-    urls = F.flatten(F.transform(bases, lambda b: F.array(*[F.concat(F.lit(p), b, F.lit(e)) for e in endings for p in ("https://www.", "https://")])))
+    long = F.filter(words, lambda t: (F.length(t) >= 3) & ~t.isin(STOP))
+    of = {"all": words, "telling": F.when(F.size(long) > 0, long).otherwise(F.slice(words, 1, 3))}
+    made = [F.concat(F.array_join(F.slice(of[kind], 1, n) if n else of[kind], ""), F.lit(end)) for kind, n, end in NAME_BASES]
+    bases = F.array_sort(F.array_distinct(F.filter(F.array(*made), lambda b: F.length(b).between(*BASE_LENGTH))))
+    forms = [(start, end) for end in endings for start in ("https://www.", "https://")]
+    urls = F.flatten(F.transform(bases, lambda b: F.array(*[F.concat(F.lit(start), b, F.lit(end)) for start, end in forms])))
     return F.when(F.size(words) > 0, F.slice(urls, 1, most)).otherwise(F.array().cast("array<string>"))
 
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricefold.functions import expressions as X
 
@@ -38,18 +39,15 @@ def skipped_counts(items: DataFrame) -> DataFrame:
     return df.groupBy("ccn").agg(F.count("*").alias("n_raw"), F.count_if(F.col("skipped").isNull()).alias("n_usable"), count("no code").alias("no_code"), count("no price").alias("no_price"), count("type").alias("other_type"))
 
 
-def _preference() -> Column:
+def _preference() -> list[Column]:
     """More payers, then earlier in the file; rows alike in both are told apart by their content."""
-    number = lambda c: F.coalesce(F.col(c), F.lit(-1.0))
-    return F.struct(F.col("n_payers"), -F.col("seq"), F.col("description"), number("gross"), number("cash"), number("min_rate"), number("max_rate"), F.col("history"))
+    number = lambda c: F.coalesce(F.col(c), F.lit(-1.0)).desc()
+    return [F.desc("n_payers"), F.asc("seq"), F.desc("description"), number("gross"), number("cash"), number("min_rate"), number("max_rate"), F.desc("history")]
 
 
 def deduplicated(usable_items: DataFrame) -> DataFrame:
-    """One item for each (facility, code, billing class, setting): most payers, then first, then least by content.
-
-    An aggregate, not a window: partial maxima go before the shuffle."""
-    rest = [c for c in usable_items.columns if c not in KEY]
-    return usable_items.groupBy(*KEY).agg(F.max_by(F.struct(*rest), _preference()).alias("row")).select(*KEY, "row.*")
+    """One item for each (facility, code, billing class, setting): most payers, then first, then least by content."""
+    return usable_items.withColumn("__rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(*_preference()))).where("__rank = 1").drop("__rank")
 
 
 def conflicts(usable_items: DataFrame) -> DataFrame:
@@ -59,11 +57,14 @@ def conflicts(usable_items: DataFrame) -> DataFrame:
 
 
 def without_conflicts(usable_items: DataFrame) -> DataFrame:
-    """De-duplicated items whose key has no conflict, in one aggregation."""
-    rest = [c for c in usable_items.columns if c not in KEY]
-    differ = F.coalesce(F.min("gross") != F.max("gross"), F.lit(False)) | F.count("gross").between(1, F.count("*") - 1)
-    df = usable_items.groupBy(*KEY).agg(F.max_by(F.struct(*rest), _preference()).alias("row"), (F.bool_or("history") & differ).alias("conflict"))
-    return df.where("NOT conflict").select(*KEY, "row.*")
+    """De-duplicated items whose key has no conflict: one shuffle and one sort by key.
+
+    Keys repeat little, so partial aggregates would save little, and those of whole rows would be sorted anyway."""
+    w = Window.partitionBy(*KEY)
+    over = lambda c: c.over(w)
+    differ = F.coalesce(over(F.min("gross")) != over(F.max("gross")), F.lit(False)) | over(F.count("gross")).between(1, over(F.count("*")) - 1)
+    df = usable_items.withColumns({"__conflict": over(F.bool_or("history")) & differ, "__rank": F.row_number().over(w.orderBy(*_preference()))})
+    return df.where("__rank = 1 AND NOT __conflict").drop("__rank", "__conflict")
 
 
 def top_payers(payers: Column, k: int = 5) -> Column:
