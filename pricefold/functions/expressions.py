@@ -34,6 +34,11 @@ def norm_header(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(c)), r"[ \-]", "_")
 
 
+def header_fingerprint(headers: Column) -> Column:
+    """Fingerprint of a header layout, given as an array of names; the order counts."""
+    return F.substring(F.sha2(F.array_join(F.transform(headers, norm_header), "|"), 256), 1, 16)
+
+
 def keyword_match(c: Column, hints: Sequence[str]) -> Column:
     """Whether a header's normal form has one of the hints in it."""
     name = F.regexp_replace(F.lower(c), r"[ \-]", "_")

@@ -17,6 +17,6 @@ def true_median(c: str) -> Column:
 
 
 def at_share(c: str, share: float) -> Column:
-    """The value at place floor(n * share) of the ascending list, the last place at most."""
-    ordered = F.sort_array(F.collect_list(c))
-    return F.try_element_at(ordered, F.least(F.floor(F.size(ordered) * share) + 1, F.size(ordered)).cast("int"))
+    """The value at place floor(n * share) of the ascending list, for a share below 1: counted from above, so that whole
+    multiples fall on the next place. The state is a count for each distinct value, never a list of all."""
+    return F.expr(f"percentile_disc({1 - share:.10g}) WITHIN GROUP (ORDER BY {c} DESC)")

@@ -109,10 +109,10 @@ def code_ranges(entries: DataFrame) -> DataFrame:
     return entries.groupBy("code").agg(F.count("*").alias("n_entries"), F.min("gross").alias("gross_min"), F.max("gross").alias("gross_max"))
 
 
-def code_percentiles(entries: DataFrame) -> DataFrame:
-    """Values of the cash list at fixed shares of its length."""
-    priced = entries.where("cash IS NOT NULL")
-    return priced.groupBy("code").agg(F.count("*").alias("n"), *[at_share("cash", p / 100).alias(f"p{p}") for p in (10, 25, 50, 75, 90)])
+def code_percentiles(entries: DataFrame, least: float = 10.0, shares: tuple[float, ...] = (0.05, 0.5, 0.95)) -> DataFrame:
+    """The robust spread of each code: gross charges above ``least`` at fixed shares of their ordered list."""
+    priced = entries.where(F.col("gross") > least)
+    return priced.groupBy("code").agg(F.count("*").alias("n"), *[at_share("gross", x).alias(f"p{round(100 * x)}") for x in shares])
 
 
 def spreads(entries: DataFrame) -> DataFrame:
@@ -120,12 +120,21 @@ def spreads(entries: DataFrame) -> DataFrame:
     return entries.where("cash > 0").groupBy("code").agg((F.max("cash") / F.min("cash")).alias("spread"), F.count("*").alias("n")).where("n > 1")
 
 
-def price_histogram(entries: DataFrame, bins: int = 12) -> DataFrame:
-    """(code, bin, n): cash prices in logarithmic bins of equal width over all positive prices of the code."""
-    df = entries.where("cash > 0").withColumn("x", F.log10("cash"))
-    ends = df.groupBy("code").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    place = F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("a")) * bins / (F.col("b") - F.col("a"))))
-    return df.join(ends, "code").withColumn("bin", F.when(F.col("b") > F.col("a"), place).otherwise(0).cast("int")).groupBy("code", "bin").agg(F.count("*").alias("n"))
+def price_histogram(entries: DataFrame, bins: int = 32, least: int = 5) -> DataFrame:
+    """(code, bin, n, is_median, n_low, n_high): cash prices of normal rows in logarithmic bins of equal width, for codes
+    with ``least`` of them; the bin of their median, and how many rows lie in the outlier strip on either side.
+
+    Bins begin at 1 at the least. One price alone is bin 0."""
+    df = with_outliers(entries)
+    normal = (F.col("quality") == "normal") & (F.col("cash") > 0)
+    ends = df.withColumn("c", F.when(normal, F.col("cash"))).groupBy("code").agg(
+        F.count("c").alias("k"), F.log10(F.greatest(F.lit(1.0), F.min("c"))).alias("a"), F.log10(F.max("c")).alias("b"), F.log10(true_median("c")).alias("m"),
+        F.count_if(F.col("quality") == "low").alias("n_low"), F.count_if(F.col("quality") == "high").alias("n_high"),
+    )
+    place = lambda x: F.when(F.col("b") > F.col("a"), F.least(F.lit(bins - 1), F.floor((x - F.col("a")) * bins / (F.col("b") - F.col("a"))))).otherwise(0).cast("int")
+    df = df.where(normal).join(ends.where(F.col("k") >= least), "code").withColumns({"bin": place(F.log10("cash")), "is_median": place(F.col("m"))})
+    df = df.withColumn("is_median", F.col("bin") == F.col("is_median"))
+    return df.groupBy("code", "bin", "is_median", "n_low", "n_high").agg(F.count("*").alias("n"))
 
 
 def payer_totals(stats: DataFrame) -> DataFrame:
@@ -133,10 +142,10 @@ def payer_totals(stats: DataFrame) -> DataFrame:
 
 
 def facility_pages(items: DataFrame, slim: DataFrame) -> DataFrame:
-    """For each facility: codes, distinct payers shown, and whether it has historical charges."""
+    """For each facility: codes, distinct payers shown, historical charges and the date of the newest one."""
     payers = slim.select("ccn", F.explode("top.p").alias("p")).groupBy("ccn").agg(F.count_distinct("p").alias("payers"))
     codes = slim.groupBy("ccn").agg(F.count_distinct("code").alias("codes"), F.count("*").alias("n_items"))
-    dated = items.groupBy("ccn").agg(F.count_if("history").alias("n_history"))
+    dated = items.groupBy("ccn").agg(F.count_if("history").alias("n_history"), F.max("effective_date").alias("newest"))
     return codes.join(payers, "ccn", "left").join(dated, "ccn", "left").fillna(0)
 
 

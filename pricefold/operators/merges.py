@@ -44,10 +44,16 @@ def upserted(old: DataFrame, new: DataFrame, keys: DataFrame | None = None) -> D
 
 
 def merged_waves(shards: list[DataFrame], k_codes: int = 5000, k_entries: int = 25) -> DataFrame:
-    """Code entries of all shards, grouped anew: ranked codes with their packed top entries."""
-    entries = reduce(DataFrame.unionByName, shards)
+    """Code entries of all shards, grouped anew: ranked codes with their packed top entries.
+
+    A facility that several shards have is an error, raised when the result is computed."""
+    entries = reduce(DataFrame.unionByName, [x.withColumn("__shard", F.lit(i)) for i, x in enumerate(shards)])
+    owners = entries.groupBy("ccn").agg((F.min("__shard") < F.max("__shard")).alias("twice"))
+    twice = owners.agg(F.count_if("twice").alias("k")).select(F.when(F.col("k") > 0, F.raise_error(F.concat("k", F.lit(" facilities are in several shards")))).cast("boolean").alias("__error"))
+    entries = entries.drop("__shard")
     ranked = ranked_codes(code_coverage(entries), k_codes)
-    return ranked.join(packed_entries(top_entries(entries.join(ranked.select("code"), "code", "left_semi"), k_entries)), "code")
+    merged = ranked.join(packed_entries(top_entries(entries.join(ranked.select("code"), "code", "left_semi"), k_entries)), "code")
+    return merged.crossJoin(twice).where("__error IS NULL").drop("__error")  # one row
 
 
 def overlaid(old: DataFrame, fresh: DataFrame, dropped: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricefold.functions import expressions as X
+from pricefold.functions.medians import upper_median
 
 
 def latest_probes(probes: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def coverage_by(facts: DataFrame, column: str, least: int = 0) -> DataFrame:
     return df.withColumn("live_per_mille", per_mille(F.col("live"), F.col("total")))
 
 
-def worst_states(facts: DataFrame, least: int = 3, k: int = 10) -> DataFrame:
+def worst_states(facts: DataFrame, least: int = 10, k: int = 10) -> DataFrame:
     df = facts.where("required").groupBy("state").agg(F.count("*").alias("total"), F.count_if(~F.col("has_live")).alias("missing")).where(F.col("total") >= least)
     return df.withColumn("missing_per_mille", per_mille(F.col("missing"), F.col("total"))).orderBy(F.desc("missing_per_mille"), F.desc("total"), "state").limit(k)
 
@@ -196,8 +197,10 @@ def probe_history(probes: DataFrame, k: int = 10) -> DataFrame:
 
 
 def sample_facilities(index: DataFrame) -> DataFrame:
-    """The smallest, the middle and the largest facility by number of items; the index has one small row for each facility."""
-    ordered = index.where("n > 0").agg(F.sort_array(F.collect_list(F.struct("n", "ccn"))).alias("o"))
-    size = F.size("o")
-    at = lambda i: F.try_element_at("o", i.cast("int"))
-    return ordered.select(F.explode(F.array_distinct(F.array(at(F.lit(1)), at(F.floor(size / 2) + 1), at(size)))).alias("x")).where("x IS NOT NULL").select("x.ccn", "x.n")
+    """The smallest, the middle (upper one of two) and the largest facility by (items, ccn), in two aggregations."""
+    df = index.where("n > 0").select("n", "ccn")
+    ends = df.agg(F.min(F.struct("n", "ccn")).alias("first"), F.max(F.struct("n", "ccn")).alias("last"), F.count("*").alias("size"), upper_median("n").alias("middle"))
+    below = df.crossJoin(F.broadcast(ends.select("middle", "size"))).where("n <= middle").groupBy("middle", "size").agg(F.count_if(F.col("n") < F.col("middle")).alias("below"))  # one row
+    ties = df.join(F.broadcast(below), F.col("n") == F.col("middle")).withColumn("at", F.row_number().over(Window.partitionBy("n").orderBy("ccn")))
+    middle = ties.where("below + at = size div 2 + 1").select("ccn", "n")
+    return ends.select(F.explode(F.array("first", "last")).alias("x")).where("x IS NOT NULL").select("x.ccn", "x.n").unionByName(middle).distinct()

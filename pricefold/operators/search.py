@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricefold.functions import expressions as X
 from pricefold.operators.indexes import code_ranges
@@ -55,9 +56,18 @@ def similar_payers(rollup: DataFrame, slug: str, k: int = 5) -> DataFrame:
 
 
 def compliance_ranking(scores: DataFrame, facilities: DataFrame) -> DataFrame:
-    """Facilities by score, then items."""
+    """Facilities by score, then items, with their place.
+
+    Places add up: rows of higher scores (as many sums as there are scores, at most 101), rows of the score with more
+    items, and the place among equals; no task sees all rows."""
     df = scores.join(facilities.select("ccn", "name", "state"), "ccn", "left")
-    return df.orderBy(F.desc("score"), F.desc("item_count"), "ccn")
+    sizes = scores.groupBy("score", "item_count").agg(F.count("*").alias("k"))
+    whole = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    higher = sizes.groupBy("score").agg(F.sum("k").alias("k")).select("score", F.coalesce(F.sum("k").over(whole), F.lit(0)).alias("a"))
+    more = sizes.select("score", "item_count", F.coalesce(F.sum("k").over(Window.partitionBy("score").orderBy(F.desc("item_count")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))
+    df = df.join(more, ["score", "item_count"]).join(higher, "score")
+    rank = F.row_number().over(Window.partitionBy("score", "item_count").orderBy("ccn"))
+    return df.withColumn("place", (F.col("a") + F.col("b") + rank).cast("int")).drop("a", "b").orderBy(F.desc("score"), F.desc("item_count"), "ccn")
 
 
 def grade_distribution(scores: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = read(spark, folder, "nation"), read(spark, folder, "region")
     df = read(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     kind = pick(HOSPITAL_TYPES, F.col("s_suppkey") % 5)
-    return df.select(padded(F.col("s_suppkey")).alias("ccn"), F.col("s_name").alias("name"), F.col("n_name").alias("state"), F.col("r_name").alias("city"), kind.alias("hospital_type"), kind.isin(REQUIRED_TYPES).alias("required"))
+    return df.select(padded(F.col("s_suppkey")).alias("ccn"), F.col("s_name").alias("name"), F.col("r_name").alias("state"), F.col("n_name").alias("city"), kind.alias("hospital_type"), kind.isin(REQUIRED_TYPES).alias("required"))
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,7 +54,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
         F.when(p % 10 == 0, "").when(p % 10 == 1, "HCPCS").when(p % 10 == 2, "DRG").when(p % 10 == 3, "LOCAL").otherwise("CPT").alias("code_type"), F.concat(F.lit("Item "), p.cast("string")).alias("description"),
         F.col("l_linestatus").alias("setting"), F.col("l_returnflag").alias("billing_class"), gross.alias("gross"),
         F.when(n % 4 != 0, price * (1 - F.col("l_discount"))).alias("cash"), F.when(n % 2 == 0, price * 0.5).alias("min_rate"), F.when(n % 3 != 0, price * 1.5).alias("max_rate"),
-        (n == 7).alias("history"), F.transform(payers, lambda x: F.struct(x["payer"].alias("payer"), x["rate_dollar"].alias("rate_dollar"))).alias("payers"),
+        (n == 7).alias("history"), F.when(n == 7, F.to_date("l_shipdate")).alias("effective_date"), F.transform(payers, lambda x: F.struct(x["payer"].alias("payer"), x["rate_dollar"].alias("rate_dollar"))).alias("payers"),
     )
 
 
@@ -83,20 +83,20 @@ def rediscovered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enforcement(spark: SparkSession, folder: str) -> DataFrame:
-    """Regulator's actions: one row for each order of every tenth customer."""
-    df = read(spark, folder, "orders").where("o_custkey % 10 = 0")
-    return df.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("case_id"), padded(F.col("o_custkey") % 89).alias("ccn"), F.col("o_orderpriority").alias("action"), F.to_date("o_orderdate").alias("date_of_action"), F.col("o_orderkey").alias("row_id"))
+    """Regulator's actions: one row for each order."""
+    df = read(spark, folder, "orders")
+    return df.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("case_id"), padded(F.col("o_custkey") % 103).alias("ccn"), F.col("o_orderpriority").alias("action"), F.to_date("o_orderdate").alias("date_of_action"), F.col("o_orderkey").alias("row_id"))
 
 
 _SQL = {
-    "registry": """registry AS (SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS ccn, s_name AS name, n_name AS state, r_name AS city,
+    "registry": """registry AS (SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS ccn, s_name AS name, r_name AS state, n_name AS city,
   CASE s_suppkey % 5 WHEN 0 THEN 'Acute Care Hospitals' WHEN 1 THEN 'Critical Access Hospitals' WHEN 2 THEN 'Rural Emergency Hospital' WHEN 3 THEN 'Acute Care - Veterans Administration' ELSE 'Psychiatric' END AS hospital_type,
   s_suppkey % 5 < 4 AS required FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""",
     "items": """items AS (SELECT lpad(l_suppkey::VARCHAR, 6, '0') AS ccn, l_orderkey * 10 + l_linenumber AS seq,
   CASE l_partkey % 10 WHEN 0 THEN '' WHEN 1 THEN 'J' || lpad((l_partkey % 89)::VARCHAR, 4, '0') WHEN 2 THEN lpad((l_partkey % 500)::VARCHAR, 3, '0') WHEN 3 THEN 'X' || (l_partkey % 50)::VARCHAR ELSE lpad((l_partkey % 97)::VARCHAR, 5, '0') END AS code,
   CASE l_partkey % 10 WHEN 0 THEN '' WHEN 1 THEN 'HCPCS' WHEN 2 THEN 'DRG' WHEN 3 THEN 'LOCAL' ELSE 'CPT' END AS code_type, 'Item ' || l_partkey::VARCHAR AS description, l_linestatus AS setting, l_returnflag AS billing_class,
   CASE WHEN l_linenumber % 5 <> 0 AND NOT (l_linenumber = 4 AND l_partkey % 3 = 0) THEN l_extendedprice END AS gross, CASE WHEN l_linenumber % 4 <> 0 THEN l_extendedprice * (1 - l_discount) END AS cash,
-  CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice * 0.5::DOUBLE END AS min_rate, CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice * 1.5::DOUBLE END AS max_rate, l_linenumber = 7 AS history,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice * 0.5::DOUBLE END AS min_rate, CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice * 1.5::DOUBLE END AS max_rate, l_linenumber = 7 AS history, CASE WHEN l_linenumber = 7 THEN l_shipdate::DATE END AS effective_date,
   list_transform(range(0, (l_linenumber % 4)::BIGINT), lambda k: {'payer': ['Aetna PPO', 'standard_charge|Blue Cross HMO', 'Cigna', 'United Healthcare Choice', 'Humana Gold', 'Self Pay', 'Medicare Advantage', 'Acme Regional Plan'][(l_orderkey + k) % 8 + 1],
     'rate_dollar': CASE WHEN (l_orderkey + k) % 11 <> 0 THEN l_extendedprice * (0.25::DOUBLE * (k + 1)) END}) AS payers FROM lineitem)""",
     "usable": """usable AS (SELECT * EXCLUDE (code, code_type), CASE WHEN code = '' THEN description ELSE code END AS code, CASE WHEN code_type IN ('', 'LOCAL') THEN 'CDM' ELSE code_type END AS type, len(payers) AS n_payers
@@ -125,7 +125,7 @@ flagged AS (SELECT e.*, cash_median, CASE WHEN cash IS NULL THEN 'missing' WHEN
     "seeds": """seeds AS (SELECT DISTINCT ccn, mrf_url FROM probes WHERE ccn::INT % 2 = 0 UNION ALL SELECT ccn, 'https://old.example.org/' || ccn || '.json' FROM registry WHERE ccn::INT % 3 = 0)""",
     "rediscovered": """rediscovered AS (SELECT ccn, mrf_url AS candidate_url, (count(*) % 9)::INT AS score, max(probed_at) AS discovered_at, arg_max(http_status, event_id) AS head_status, arg_max(content_type, event_id) AS head_content_type,
   arg_max(alive, event_id) AS alive FROM probes WHERE ccn::INT % 2 = 1 OR ccn::INT % 5 = 0 GROUP BY ALL)""",
-    "enforcement": """enforcement AS (SELECT 'C' || o_custkey::VARCHAR AS case_id, lpad((o_custkey % 89)::VARCHAR, 6, '0') AS ccn, o_orderpriority AS action, o_orderdate::DATE AS date_of_action, o_orderkey AS row_id FROM orders WHERE o_custkey % 10 = 0)""",
+    "enforcement": """enforcement AS (SELECT 'C' || o_custkey::VARCHAR AS case_id, lpad((o_custkey % 103)::VARCHAR, 6, '0') AS ccn, o_orderpriority AS action, o_orderdate::DATE AS date_of_action, o_orderkey AS row_id FROM orders)""",
 }
 _SQL |= {
     "latest": """latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ccn, mrf_url ORDER BY probed_at DESC, event_id DESC) AS rn FROM probes) WHERE rn = 1)""",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +14,23 @@ from pricefold.sources.layout import Layout, gross_charge, profile, resolve
 RATES = "array<struct<payer:string,plan:string,rate_dollar:double>>"
 
 
-def read_csv(spark: SparkSession, path: str, header_row: int = 0, delimiter: str = ",") -> DataFrame:
-    """A delimited file as strings with its header's names; ``header_row`` lines of metadata come before it."""
-    if not header_row:
-        return spark.read.option("header", True).option("sep", delimiter).option("mode", "PERMISSIVE").csv(path)
-    lines = spark.read.text(path, wholetext=False).withColumn("at", F.monotonically_increasing_id())
-    head = lines.orderBy("at").limit(header_row + 1).collect()
-    names = [c.strip().strip('"') for c in head[-1].value.split(delimiter)]
-    skip = [r.value for r in head]
-    body = lines.where(~F.col("value").isin(skip))
-    return body.select(F.from_csv("value", ", ".join(f"`{n}` STRING" for n in names), {"sep": delimiter}).alias("r")).select("r.*")
+def read_csv(spark: SparkSession, path: str, header_row: int = 0, delimiter: str = ",", file: str | None = None, row: str | None = None) -> DataFrame:
+    """Delimited files as strings with the header's names; in each file ``header_row`` lines of metadata come before it.
+
+    Files of a folder share a layout. Lines are told by their place in the file, so data equal to a line above stays.
+    Quoted cells may have line breaks. ``file`` and ``row`` name columns to add: the path, and the place in the file."""
+    meta = ["_metadata.file_path AS __file", "_metadata.file_block_start AS __block"]
+    heads = spark.read.text(path).selectExpr("value", *meta).withColumn("__at", F.monotonically_increasing_id())
+    start = F.min(F.when(F.col("__block") == 0, F.col("__at")))
+    first = heads.groupBy("__file").agg(start.alias("start")).orderBy("__file").first()
+    line = heads.where((F.col("__file") == first["__file"]) & (F.col("__at") == first.start + header_row)).first().value if first else ""
+    names = [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter), [])]
+    reader = spark.read.schema(", ".join(f"`{i}` STRING" for i in range(len(names)))).option("sep", delimiter).option("multiLine", True).option("escape", '"')
+    rows = reader.csv(path).selectExpr("*", *meta).withColumn("__at", F.monotonically_increasing_id())
+    starts = rows.groupBy("__file").agg(F.min("__at").alias("__start"))  # one row for each file
+    at = F.col("__at") - F.col("__start") - header_row - 1
+    more = ([F.col("__file").alias(file)] if file else []) + ([at.alias(row)] if row else [])
+    return rows.join(starts, "__file").where(at >= 0).select(*[F.col(f"`{i}`").alias(n) for i, n in enumerate(names)], *more)
 
 
 def find_header_row(lines: list[str], delimiter: str = ",") -> int:
@@ -36,13 +46,18 @@ def resolve_file(df: DataFrame) -> Layout:
     return resolve(df.columns, profile(df))
 
 
-def _scalars(df: DataFrame, layout: Layout) -> DataFrame:
+def _place(row: str | None) -> Column:
+    """A row's place: the column that says so, else the order of reading."""
+    return F.col(f"`{row}`") if row else F.monotonically_increasing_id()
+
+
+def _scalars(df: DataFrame, layout: Layout, row: str | None = None) -> DataFrame:
     gross, source = gross_charge(layout)
     coded = normalize_code(layout.get("code"), layout.get("code_type"))
     mnemonic = (layout.roles.get("code") or "").strip().lower() == "mnemonic"
     return df.select(
         "*", (F.struct(layout.get("code").alias("code"), F.lit("CDM").alias("code_type")) if mnemonic else coded).alias("__c"), layout.get("desc").alias("__desc"), layout.get("setting").alias("__setting"), layout.get("billing").alias("__billing"),
-        gross.alias("__gross"), source.alias("__source"), to_money(layout.get("cash")).alias("__cash"), to_money(layout.get("min")).alias("__min"), to_money(layout.get("max")).alias("__max"), F.monotonically_increasing_id().alias("__seq"),
+        gross.alias("__gross"), source.alias("__source"), to_money(layout.get("cash")).alias("__cash"), to_money(layout.get("min")).alias("__min"), to_money(layout.get("max")).alias("__max"), _place(row).alias("__seq"),
     )
 
 
@@ -56,17 +71,19 @@ def _named(source: str, target: str) -> Column:
     return (F.substring(c, 1, 300) if target == "description" else c).alias(target)
 
 
-def ingest_tall(raw: DataFrame, layout: Layout | None = None) -> DataFrame:
-    """Items of a tall file (a row for each code and payer): rows fold to (code, description), scalars come from the first row."""
-    layout = layout or resolve_file(raw)
-    df = _scalars(raw, layout)
+def ingest_tall(raw: DataFrame, layout: Layout | None = None, keys: Sequence[str] = (), row: str | None = None) -> DataFrame:
+    """Items of tall files (a row for each code and payer): rows fold to (code, description), scalars come from the first row.
+
+    ``keys`` are columns that tell files or facilities apart: items of different ones never merge. ``row`` is the place in the file."""
+    layout = layout or resolve_file(raw.drop(*keys, *([row] if row else [])))
+    df = _scalars(raw, layout, row)
     rate = to_money(F.col(f"`{layout.rate}`")) if layout.rate else F.lit(None).cast("double")
     payer, plan = F.substring(layout.get("payer"), 1, 100), F.substring(layout.get("plan"), 1, 100)
     cell = F.when((payer != "") & (rate > 0), F.struct("__seq", payer.alias("payer"), plan.alias("plan"), rate.alias("rate_dollar")))
     df = df.withColumn("__cell", cell)
     scalars = F.struct(*[_named(a, b) for a, b in _ITEM])
-    out = df.groupBy(F.col("__c.code").alias("k1"), F.col("__desc").alias("k2")).agg(F.min_by(scalars, "__seq").alias("i"), F.sort_array(F.collect_list("__cell")).alias("cells"))
-    return out.select("i.*", F.transform("cells", lambda x: F.struct(x["payer"].alias("payer"), x["plan"].alias("plan"), x["rate_dollar"].alias("rate_dollar"))).cast(RATES).alias("payers"))
+    out = df.groupBy(*keys, F.col("__c.code").alias("k1"), F.col("__desc").alias("k2")).agg(F.min_by(scalars, "__seq").alias("i"), F.sort_array(F.collect_list("__cell")).alias("cells"))
+    return out.select(*keys, "i.*", F.transform("cells", lambda x: F.struct(x["payer"].alias("payer"), x["plan"].alias("plan"), x["rate_dollar"].alias("rate_dollar"))).cast(RATES).alias("payers"))
 
 
 def ingest_wide(raw: DataFrame, layout: Layout | None = None) -> DataFrame:
@@ -96,9 +113,21 @@ def read_xml(spark: SparkSession, path: str, row_tag: str = "hospital") -> DataF
     return spark.read.schema(_DOCUMENT).option("rowTag", row_tag).xml(path)
 
 
-def ingest_documents(docs: DataFrame) -> DataFrame:
-    """Items of documents: one for each standard charge; the code is the first of the entry. Header of each document is kept by name."""
-    entries = docs.select("hospital_name", F.monotonically_increasing_id().alias("doc"), F.posexplode_outer("standard_charge_information").alias("entry_at", "e"))
+def merged_headers(docs: DataFrame, key: str, order: str) -> DataFrame:
+    """Documents that belong to one ``key`` with the header of the first of them (by ``order``) that has charges.
+
+    Documents without charges are left out. Charges stay where they are: only headers travel, one for each key."""
+    header = [c for c in docs.columns if c not in (key, order, "standard_charge_information")]
+    full = docs.where(F.size("standard_charge_information") > 0)
+    first = full.groupBy(key).agg(F.min_by(F.struct(*header), order).alias("__first"))
+    return full.drop(*header).join(first, key).select(key, order, "__first.*", "standard_charge_information")
+
+
+def ingest_documents(docs: DataFrame, order: str | None = None) -> DataFrame:
+    """Items of documents: one for each standard charge; the code is the first of the entry. Header of each document is kept by name.
+
+    ``order`` numbers the documents; several of one facility go through :func:`merged_headers` first."""
+    entries = docs.select("hospital_name", _place(order).alias("doc"), F.posexplode_outer("standard_charge_information").alias("entry_at", "e"))
     charges = entries.select("*", F.posexplode("e.standard_charges").alias("charge_at", "sc"))
     first = F.try_element_at("e.code_information", F.lit(1))
     coded = normalize_code(F.coalesce(first["code"], first["billing_code"], F.col("e.code")), F.coalesce(first["type"], first["code_type"], F.col("e.code_type")))
@@ -113,29 +142,37 @@ def ingest_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def ingest_vendor_rows(rows: DataFrame) -> DataFrame:
+# Keys of vendors' rows in the order that they count, and words that tell a payer's column.
+VENDOR_CODES = ["code", "Code", "billing_code", "hcpcs", "HCPCS", "cpt", "CPT", "drg", "DRG", "NDC", "Charge Code"]
+VENDOR_KEYS = {
+    "minimum": ["minimum", "Minimum", "Min"], "maximum": ["maximum", "Maximum", "Max"], "payer": ["payer", "Payer", "payer_name", "Payer_Name"], "plan": ["plan", "Plan", "plan_name"],
+    "rate": ["standard_charge_dollar", "standard_charge", "negotiated_rate", "payer_rate", "Rate"], "description": ["description", "Description", "service", "Service"], "setting": ["setting", "Setting"],
+    "billing_class": ["billing_class", "Billing_Class"], "gross": ["gross_charge", "Gross_Charge", "Gross Charge"], "cash": ["cash_discount", "Cash_Discount", "Discounted Cash Price"],
+}
+VENDOR_PAYERS = "(?i)medicare|medicaid|aetna|anthem|blue|cigna|humana|united|health plan|ppo|hmo|advantage|commercial|molina"
+
+
+def ingest_vendor_rows(rows: DataFrame, keys: Sequence[str] = (), row: str | None = None) -> DataFrame:
     """Items of vendors' JSON rows, given as a map from key to text (column ``row``): first present key counts.
 
-    Rows fold to (code, description). Without a rate, equal minimum and maximum are one; without a payer, keys that name
-    payers are."""
-    pick = lambda *keys: F.coalesce(*[F.when(F.trim(F.try_element_at("row", F.lit(k))) != "", F.trim(F.try_element_at("row", F.lit(k)))) for k in keys])
-    codes = ["code", "Code", "billing_code", "hcpcs", "HCPCS", "cpt", "CPT", "drg", "DRG", "NDC", "Charge Code"]
-    label = choose([(pick(k).isNotNull(), F.lit(k)) for k in codes], F.lit(""))
-    df = rows.withColumn("seq", F.monotonically_increasing_id()).withColumn("c", normalize_code(pick(*codes), label))
-    low, high = to_money(pick("minimum", "Minimum", "Min")), to_money(pick("maximum", "Maximum", "Max"))
-    payer = F.coalesce(F.substring(pick("payer", "Payer", "payer_name", "Payer_Name"), 1, 100), F.lit(""))
-    rate = F.coalesce(to_money(pick("standard_charge_dollar", "standard_charge", "negotiated_rate", "payer_rate", "Rate")), F.when((low == high) & (payer != ""), low))
-    named = "(?i)medicare|medicaid|aetna|anthem|blue|cigna|humana|united|health plan|ppo|hmo|advantage|commercial|molina"
-    from_keys = F.transform(F.map_entries(F.map_filter("row", lambda k, v: k.rlike(named) & (to_money(v) > 0))), lambda e: F.struct(F.col("seq").alias("seq"), e["key"].alias("payer"), F.lit("").alias("plan"), to_money(e["value"]).alias("rate_dollar")))
-    own = F.array(F.struct(F.col("seq").alias("seq"), payer.alias("payer"), F.coalesce(F.substring(pick("plan", "Plan", "plan_name"), 1, 100), F.lit("")).alias("plan"), rate.alias("rate_dollar")))
+    Rows fold to (keys, code, description). Without a rate, equal minimum and maximum are one; without a payer, keys that
+    name payers are. ``keys`` and ``row`` as for tall files."""
+    pick = lambda names: F.coalesce(*[F.when(F.trim(F.try_element_at("row", F.lit(k))) != "", F.trim(F.try_element_at("row", F.lit(k)))) for k in names])
+    text = lambda role, most: F.coalesce(F.substring(pick(VENDOR_KEYS[role]), 1, most), F.lit(""))
+    money = lambda role: to_money(pick(VENDOR_KEYS[role]))
+    label = choose([(pick([k]).isNotNull(), F.lit(k)) for k in VENDOR_CODES], F.lit(""))
+    df = rows.withColumn("seq", _place(row)).withColumn("c", normalize_code(pick(VENDOR_CODES), label))
+    low, high, payer = money("minimum"), money("maximum"), text("payer", 100)
+    rate = F.coalesce(money("rate"), F.when((low == high) & (payer != ""), low))
+    cell = lambda who, plan, much: F.struct(F.col("seq").alias("seq"), who.alias("payer"), plan.alias("plan"), much.alias("rate_dollar"))
+    named = F.map_filter("row", lambda k, v: k.rlike(VENDOR_PAYERS) & (to_money(v) > 0))
+    from_keys = F.transform(F.map_entries(named), lambda e: cell(e["key"], F.lit(""), to_money(e["value"])))
+    own = F.array(cell(payer, text("plan", 100), rate))
     cells = F.when((payer != "") & (rate > 0), own).when(payer == "", from_keys).otherwise(F.filter(own, lambda _: F.lit(False)))
-    df = df.select(
-        "seq", "c", F.coalesce(pick("description", "Description", "service", "Service"), F.lit("")).alias("description"), F.coalesce(pick("setting", "Setting"), F.lit("")).alias("setting"), F.coalesce(pick("billing_class", "Billing_Class"), F.lit("")).alias("billing_class"),
-        to_money(pick("gross_charge", "Gross_Charge", "Gross Charge")).alias("gross"), to_money(pick("cash_discount", "Cash_Discount", "Discounted Cash Price")).alias("cash"), low.alias("min_rate"), high.alias("max_rate"), cells.alias("cells"),
-    )
+    df = df.select(*keys, "seq", "c", *[text(x, 300).alias(x) for x in ("description", "setting", "billing_class")], money("gross").alias("gross"), money("cash").alias("cash"), low.alias("min_rate"), high.alias("max_rate"), cells.alias("cells"))
     scalars = F.struct(F.col("c.code").alias("code"), F.col("c.code_type").alias("code_type"), "description", "setting", "billing_class", "gross", "cash", "min_rate", "max_rate", "seq")
-    out = df.groupBy(F.col("c.code").alias("k1"), F.col("description").alias("k2")).agg(F.min_by(scalars, "seq").alias("i"), F.sort_array(F.flatten(F.collect_list("cells"))).alias("cells"))
-    return out.select("i.*", F.transform("cells", lambda x: F.struct(x["payer"].alias("payer"), x["plan"].alias("plan"), x["rate_dollar"].alias("rate_dollar"))).cast(RATES).alias("payers"))
+    out = df.groupBy(*keys, F.col("c.code").alias("k1"), F.col("description").alias("k2")).agg(F.min_by(scalars, "seq").alias("i"), F.sort_array(F.flatten(F.collect_list("cells"))).alias("cells"))
+    return out.select(*keys, "i.*", F.transform("cells", lambda x: F.struct(x["payer"].alias("payer"), x["plan"].alias("plan"), x["rate_dollar"].alias("rate_dollar"))).cast(RATES).alias("payers"))
 
 
 def sniff_format(content: Column, name: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +28,13 @@ def build_manifest(spark: SparkSession, folder: str, pattern: str = "*") -> Data
     """(path, bytes, sha256) of the files below a folder."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
     return df.select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary one in a local session without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="pricefold-")
+    return f"{base.rstrip('/')}/pricefold/{name}-{uuid.uuid4().hex}"

@@ -46,7 +46,7 @@ def detect_changes(events: DataFrame) -> DataFrame:
         out = []
         for r in rows.itertuples():
             sha = r.sha256 if isinstance(r.sha256, str) else None
-            now, verdict = _step(now, r.kind, r.probed_at.value, int(r.status), sha, bool(r.indexed))
+            now, verdict = _step(now, r.kind, r.probed_at.value, -1 if r.status is None or r.status != r.status else int(r.status), sha, bool(r.indexed))
             out.append((key[0], r.probed_at, verdict, sha))
         state.update(now)
         yield pd.DataFrame(out, columns=["url", "probed_at", "verdict", "sha256"])
