@@ -20,7 +20,9 @@ def s5_ingest_xml(s, d):
     code = tag("code_information", tag("code", F.col("code")), tag("type", F.lit("CDM")))
     entry = tag("standard_charge_information", tag("description", F.col("description")), code, tag("standard_charges", tag("gross_charge", F.col("gross").cast("string"))))
     folder = sinks.scratch_path(s, "xml")
-    T.items(s, d).where("gross IS NOT NULL AND code <> ''").select(tag("hospital", tag("hospital_name", F.col("ccn")), entry).alias("value")).write.text(folder)
+    docs = T.items(s, d).where("gross IS NOT NULL AND code <> ''").select("ccn", tag("hospital", tag("hospital_name", F.col("ccn")), entry).alias("doc"))
+    files_ = docs.groupBy("ccn").agg(tag("root", F.array_join(F.sort_array(F.collect_list("doc")), "")).alias("value"))  # a file for each facility
+    files_.select("value").write.option("maxRecordsPerFile", 1).text(folder)
     return files.ingest_documents(files.read_xml(s, folder)).groupBy(F.col("hospital_name").alias("ccn"), "code", "gross").agg(F.count("*").alias("n"))
 
 
