@@ -27,7 +27,8 @@ leaves all documents clean.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -45,15 +46,22 @@ LEAST, ANSWER_WORDS = 8, 6
 ITEMS = 20_000
 #: Words of a text that are placed at once.
 PART = 1 << 14
-MEMO = 400_000
-
-
-def normal(word: str) -> str:
-    return word.lower() if word.isalnum() else "".join(c for c in word if c.isalnum()).lower()
+#: ASCII characters that are neither letters, digits nor white space.
+MARKS = [c for c in map(chr, range(128)) if not c.isalnum() and not c.isspace()]
+_NO_MARKS = dict.fromkeys(map(ord, MARKS))
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w for w in map(normal, (text or "").split()) if w]
+    """The words in normal form. ASCII marks go from the whole text at once, others word by word where there are any."""
+    text = text or ""
+    if text.isascii():
+        return text.translate(_NO_MARKS).lower().split()
+    for c in MARKS:
+        text = text.replace(c, "")
+    words = text.lower().split()
+    if "".join(words).isalnum():
+        return words
+    return [w for w in ("".join(filter(str.isalnum, w)) for w in words) if w]
 
 
 def answer_of(text: str | None) -> list[str]:
@@ -82,19 +90,9 @@ def _inside(a: list[int], b: list[int]) -> bool:
     return any(b[i : i + len(a)] == a for i in range(len(b) - len(a) + 1))
 
 
-class _Ids(dict):
-    """Word, as it stands in a text, to its number in the benchmark's vocabulary; 0: another word, -1: no word."""
-
-    def __init__(self, vocabulary: dict[str, int]) -> None:
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        w = normal(word)
-        self[word] = i = self.vocabulary.get(w, 0) if w else -1
-        return i
+def numbers_of(words: Collection[str], vocabulary: dict[str, int]) -> np.ndarray:
+    """Numbers in the benchmark's vocabulary; 0: another word."""
+    return np.fromiter(map(vocabulary.get, words, repeat(0)), np.int32, len(words))
 
 
 class Item:
@@ -120,16 +118,18 @@ class Index:
 
     def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, frequency: np.ndarray, items: list[tuple[int, list[int], list[int]]]) -> None:
         self.vocabulary, self.idf, self.items = vocabulary, idf, items
-        self.basis = self.passages = self.owner = None
+        self.weighted = self.passages = self.owner = None
         self.judged = [Item(*x, frequency) for x in items]
         self.need = np.array([x.need for x in self.judged])
         entries = sorted((w, at, x.tell.count(w)) for at, x in enumerate(self.judged) for w in set(x.tell))
         word, self.of, self.times = (np.array(x, np.int64) for x in zip(*entries, strict=True))
         self.first = np.searchsorted(word, np.arange(len(idf) + 1))
+        self.tells = self.first[1:] > self.first[:-1]
+        self.marked = np.zeros(len(idf), bool)
 
     def possible(self, ids: np.ndarray) -> np.ndarray:
         """Places of the items of which a text has as many telling words as a leak must."""
-        some = np.unique(ids[self.first[ids + 1] > self.first[ids]])
+        some = np.unique(ids[self.tells[ids]])
         if not len(some):
             return some
         n = self.first[some + 1] - self.first[some]
@@ -152,15 +152,18 @@ class Index:
         steps = []
         for start in range(0, n, PART):
             part = ids[start : start + PART]
-            steps.append(np.add.reduceat(self.basis[part] * self.idf[part][:, None], np.arange(0, len(part), STEP), axis=0))
-        steps = np.concatenate([*steps, np.zeros((WINDOW // STEP, self.basis.shape[1]), self.basis.dtype)])
+            part = np.pad(part, (0, -len(part) % STEP))  # word 0 has no weight
+            steps.append(self.weighted[part].reshape(-1, STEP, self.weighted.shape[1]).sum(axis=1))
+        steps = np.concatenate([*steps, np.zeros((WINDOW // STEP, self.weighted.shape[1]), self.weighted.dtype)])
         count = len(range(0, max(1, n - WINDOW + STEP), STEP))
         placed = sum(steps[k : k + count] for k in range(WINDOW // STEP))
         return placed / np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-9)
 
     def stretches(self, item: Item, ids: np.ndarray, span: int) -> np.ndarray:
         """Where in a text a telling word stands that begins a stretch of ``span`` words with enough of them."""
-        places = np.flatnonzero(np.isin(ids, item.tell))
+        self.marked[item.tell] = True
+        places = np.flatnonzero(self.marked[ids])
+        self.marked[item.tell] = False
         k = int(np.ceil(item.need - 1e-9))
         last = places[k - 1 :]
         return places[: len(last)][last - places[: len(last)] < span]
@@ -170,9 +173,12 @@ class Index:
         n = len(item.words)
         if item.level:
             slack, where = max(2, n // 4), {}
+            begins = self.stretches(item, ids, n + 2 * slack)
+            if not len(begins):
+                return
             for i, w in enumerate(item.words):
                 where.setdefault(w, []).append(i)
-            starts = {int(p) - i for p in self.stretches(item, ids, n + 2 * slack) for i in where[int(ids[p])]}
+            starts = {p - i for p, w in zip(begins.tolist(), ids[begins].tolist(), strict=True) for i in where[w]}
             for start in sorted(starts):
                 yield ids[max(0, start - slack) : max(0, start + n + slack)]
             return
@@ -231,12 +237,10 @@ def _frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarra
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, total, n = _Ids(shared.value), np.zeros(len(shared.value) + 1, np.int64), 0
+        total, n = np.zeros(len(shared.value) + 1, np.int64), 0
         for pdf in batches:
             for text in pdf["text"]:
-                seen = set(map(ids.__getitem__, set((text or "").split())))
-                seen.discard(-1)
-                total[list(seen)] += 1
+                total[numbers_of(set(words_of(text)), shared.value)] += 1
                 n += 1
         if n:
             yield pd.DataFrame({"i": [*range(len(total)), -1], "n": [*total, n]})
@@ -264,9 +268,10 @@ def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
     data = [(int(at), bytearray(i.tobytes()), bytearray(v.tobytes())) for at, i, v in passages]
     table = stored(spark.createDataFrame(data, "item int, idx binary, val binary").repartition(min(64, 1 + len(data) // 200)), "passages")
     width = len(vocabulary) + 1
-    index.basis, _ = latent.randomised_svd(table, width, min(RANK, len(passages), width))
-    index.basis[0] = 0
-    placed = np.stack([v @ index.basis[i] for _, i, v in passages])
+    basis, _ = latent.randomised_svd(table, width, min(RANK, len(passages), width))
+    basis[0] = 0
+    index.weighted = (basis * index.idf[:, None]).astype(np.float32)
+    placed = np.stack([v @ basis[i] for _, i, v in passages])
     index.passages = placed / np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-9)
     index.owner = np.array([at for at, _, _ in passages])
     return index
@@ -294,14 +299,11 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = shared.value
-        ids = _Ids(block.vocabulary)
         for pdf in batches:
             out = []
             names = [None if x is None or x != x else int(x) for x in pdf["doc_id"].tolist()]
             for name, text in zip(names, pdf["text"], strict=True):
-                raw = (text or "").split()
-                numbers = np.fromiter(map(ids.__getitem__, raw), np.int32, len(raw))
-                numbers = numbers[numbers >= 0]
+                numbers = numbers_of(words_of(text), block.vocabulary)
                 if len(numbers):
                     out += [(name, *leak) for leak in block.leaks(numbers)]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "subsequence", "answer"])
