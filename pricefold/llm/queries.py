@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, quality_rules, quality_vote, reshard, training_order, url_filter
+from pricefold.llm import byte_bpe, chat_format, decontaminate, filter_audit, importance, language_id, ngram_join, quality_rules, quality_vote, reshard, training_order, url_filter
 from pricefold.llm.common import new_path, stored, table
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -125,6 +125,50 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshard.resharded(docs, F.crc32(F.col("source")) % OLD_SHARDS)
 
 
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark's words."""
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return importance.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: crc32 is a fold over a word's bytes with a table of 256 remainders, made by the polynomial's rule.
+OP12_SQL = r"""
+WITH tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+src AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM src),
+n AS (SELECT kind, id, word, count(*) AS n FROM w GROUP BY ALL),
+u AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM n)),
+b AS (SELECT word, list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)) AS bytes FROM u),
+h AS (SELECT word, xor(list_reduce(bytes, lambda c, y: xor(c // 256, t[xor(c % 256, y) + 1])), 4294967295) % 10000 AS bucket FROM b, tab),
+k AS (SELECT bucket, sum(n) FILTER (kind = 0) AS s, sum(n) FILTER (kind = 1) AS t FROM n JOIN h USING (word) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE)))::BIGINT AS gain FROM k),
+d AS (SELECT id AS doc_id, sum(n) AS f, sum(n * gain) AS w FROM n JOIN h USING (word) JOIN g USING (bucket) WHERE kind = 0 GROUP BY id),
+a AS (SELECT doc_id, coalesce(f, 0)::BIGINT AS n_features, coalesce(w, 0)::BIGINT AS weight, coalesce(w, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM documents LEFT JOIN d USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS many FROM a WHERE n_features >= 20)
+SELECT a.*, rank FROM a LEFT JOIN r ON a.doc_id = r.doc_id AND rank <= 10 * many // 100
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels")
+    return filter_audit.audited(filter_audit.mask_counts(docs, labels))
+
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic FROM documents LEFT JOIN l USING (doc_id)),
+f AS (SELECT part, good, toxic, [CASE WHEN len(ws) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' END, CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END] AS fails FROM d),
+m AS (SELECT part, array_to_string(list_filter(fails, lambda x: x IS NOT NULL), '') AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+x AS (SELECT unnest(string_split('ABCDE', '')) AS c),
+o AS (SELECT a.c || b.c || p.c || q.c || e.c AS filter_order FROM x a, x b, x p, x q, x e WHERE len(list_distinct([a.c, b.c, p.c, q.c, e.c])) = 5),
+s AS (SELECT filter_order, i AS step, filter_order[i:i] AS c, filter_order[1:i - 1] AS before FROM o, (SELECT unnest(range(1, 6))::INT AS i)),
+y AS (SELECT part, filter_order, step, c, contains(fails, c) AS now, length(translate(fails, before, '')) < length(fails) AS gone, fails = c AS alone, n, good, toxic FROM m, s),
+z AS (SELECT part, filter_order, step, c, sum(CASE WHEN NOT gone AND NOT now THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN NOT gone AND now THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN gone AND now THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails, sum(CASE WHEN NOT gone AND now THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN NOT gone AND now THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM y GROUP BY ALL)
+SELECT * EXCLUDE (c), (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley FROM z
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
@@ -136,5 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_vote": op8_quality_vote,
     "op9_language_id": op9_language_id,
     "op10_reshard": op10_reshard,
+    "op12_importance_resample": op12_importance_resample,
+    "op13_filter_audit": op13_filter_audit,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op7_quality_rules": op7_sql()}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op7_quality_rules": op7_sql(), "op12_importance_resample": OP12_SQL, "op13_filter_audit": OP13_SQL}

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "labels", "pages"):
+    for table in ("documents", "labels", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
