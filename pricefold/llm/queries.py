@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import byte_bpe, chat_format, decontaminate, filter_audit, importance, language_id, ngram_join, quality_rules, quality_vote, reshard, training_order, url_filter
+from pricefold.llm import attention_lm, byte_bpe, chat_format, decontaminate, filter_audit, importance, language_id, ngram_join, quality_rules, quality_vote, reshard, training_order, url_filter
 from pricefold.llm.common import new_path, stored, table
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -125,6 +125,11 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshard.resharded(docs, F.crc32(F.col("source")) % OLD_SHARDS)
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the self-attention model and by the unigram base."""
+    return attention_lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(BPE_FILE))
+
+
 def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and rank of every document, drawn towards the benchmark's words."""
     docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -180,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_vote": op8_quality_vote,
     "op9_language_id": op9_language_id,
     "op10_reshard": op10_reshard,
+    "op11_attention_lm": op11_attention_lm,
     "op12_importance_resample": op12_importance_resample,
     "op13_filter_audit": op13_filter_audit,
 }
