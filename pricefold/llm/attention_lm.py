@@ -46,7 +46,7 @@ UNIFORM = 1e-4
 ROUNDS = ((1, 0.02), (1, 0.02), (2, 0.015), (4, 0.012), (8, 0.01), (16, 0.008), (32, 0.006), (64, 0.004))
 STEP, TASK = 96, 400_000
 #: A small corpus is gone through more than once: until so many ids are trained on, in so many more passes at most.
-LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.012
+LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.02
 HOT = 65_536
 #: Blanks and characters of one pre-token; longer words are cut.
 PIECE = r" ?[^ ]{1,32}"
