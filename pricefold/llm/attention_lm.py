@@ -20,9 +20,11 @@ Columns of the input named like a result are replaced; case doesn't count.
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,10 +45,10 @@ CLASSES, CLASS_SIZE, DECAY = 24, 256, 0.2
 #: Share of the uniform distribution over the whole vocabulary.
 UNIFORM = 1e-4
 #: Rounds as shares of 128 of the texts, with their learning rates; windows in one step; ids that a task trains on at least.
-ROUNDS = ((1, 0.02), (1, 0.02), (2, 0.015), (4, 0.012), (8, 0.01), (16, 0.008), (32, 0.006), (64, 0.004))
-STEP, TASK = 96, 400_000
+ROUNDS = ((1, 0.04), (1, 0.04), (2, 0.03), (4, 0.024), (8, 0.02), (16, 0.016), (32, 0.012), (64, 0.008))
+STEP, TASK = 384, 400_000
 #: A small corpus is gone through more than once: until so many ids are trained on, in so many more passes at most.
-LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.02
+LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.03
 HOT = 65_536
 #: Blanks and characters of one pre-token; longer words are cut.
 PIECE = r" ?[^ ]{1,32}"
@@ -55,10 +57,22 @@ PART, FAN = 4096, 64
 SEED = 20240613
 
 
+@lru_cache(1)
 def subwords(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("words", pat_str=PIECE, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
 
 
+@lru_cache(1)
+def reuse_freed_memory() -> None:
+    """Tells the C library to keep what numpy's temporaries free: asking the system anew costs more than the arithmetic."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 25)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 1 << 25)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def words_in_steps(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words of a text, in lists of those within about ``size`` bytes; bytes.split knows just the six white characters."""
     at = 0
@@ -337,7 +351,7 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
                 out.append((n, n_known, score, [{"word": w.decode("utf-8", "replace"), "n": k} for w, k in rare.items()], len(ids), ids.tobytes()))
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=names[1:])], axis=1)[schema.names]
 
-    with small_batches(docs.sparkSession, 200):
+    with small_batches(docs.sparkSession, 100):
         return rest.mapInPandas(work, schema)
 
 
@@ -380,6 +394,7 @@ def averaged(part: DataFrame, model: Attention, rate: float) -> np.ndarray:
     shared = part.sparkSession.sparkContext.broadcast((model.vocabulary, model.flat))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reuse_freed_memory()
         voc, flat = shared.value
         trainer = Trainer(Attention(voc, flat.copy()), rate)
         for pdf in batches:
@@ -394,7 +409,7 @@ def averaged(part: DataFrame, model: Attention, rate: float) -> np.ndarray:
         return pd.DataFrame({"task": [0], "at": [key[0]], "ids": [pdf["ids"].sum()], "part": [total.tobytes()]})
 
     schema = "task int, at int, ids long, part binary"
-    with small_batches(part.sparkSession):
+    with small_batches(part.sparkSession, 500):
         rows = part.mapInPandas(work, schema)
     sums = rows.groupBy("at", "task").applyInPandas(add, schema).groupBy("at").applyInPandas(add, schema).collect()  # the size of the model
     out = np.zeros_like(model.flat)
@@ -410,13 +425,14 @@ def with_model_score(tokens: DataFrame, model: Attention) -> DataFrame:
     shared = tokens.sparkSession.sparkContext.broadcast((model.vocabulary, model.flat))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reuse_freed_memory()
         voc, flat = shared.value
         own = Attention(voc, flat)
         for pdf in batches:
             ids = [voc.place[np.frombuffer(x, np.uint32)] for x in pdf.pop("ids")]
             yield pdf.assign(score=text_scores(own, ids))
 
-    with small_batches(tokens.sparkSession):
+    with small_batches(tokens.sparkSession, 250):
         return tokens.select(*rest.columns, "ids").mapInPandas(work, schema)
 
 
