@@ -140,6 +140,28 @@ def s1_csv_with_preamble(s, d):
     return raw.where("at > 1").select(F.col("id").cast("long").alias("id"), F.split("cell", "\n")[0].alias("name"), F.split("cell", "\n")[1].alias("mark"))
 
 
+@query("""WITH x AS (SELECT ccn, seq, code, ccn::INT % 3 AS k, description || CASE WHEN ccn::INT % 3 = 1 THEN ', "big"' || chr(10) || 'size' ELSE '' END AS description, round(gross, 2) AS gross, payers FROM items WHERE code <> ''),
+t AS (SELECT ccn, code, description, arg_min(coalesce(gross, -1), seq) AS gross, count_if(p.rate_dollar > 0) AS n FROM (SELECT *, unnest(payers) AS p FROM x WHERE k < 2) GROUP BY ccn, code, description),
+a AS (SELECT ccn, code, description, CASE WHEN gross >= 0 THEN gross END AS gross, n FROM t UNION ALL SELECT ccn, code, description, gross, len(list_filter(payers, lambda y: y.rate_dollar > 0))::BIGINT FROM x WHERE k = 2)
+SELECT ccn, code, description, gross, n, count(*) AS copies FROM a GROUP BY ALL""", "items")
+def s1_many_layouts(s, d):
+    """A file for each facility in one of three layouts: plain, with a preamble, a blank line and line breaks in cells, and wide."""
+    x, k = T.items(s, d).where("code <> ''"), F.col("ccn").cast("int") % 3
+    money, quoted = F.coalesce(F.format_string("%.2f", "gross"), F.lit("")), F.concat(F.lit('"'), "description", F.lit(', ""big""\nsize"'))
+    line = lambda *cells: F.concat_ws(",", *cells)
+    tall = x.where(k < 2).select("ccn", "seq", "code", "description", "gross", F.posexplode("payers").alias("at", "p"))
+    rate, payer = F.coalesce(F.format_string("%.2f", "p.rate_dollar"), F.lit("")), F.col("p.payer")
+    tall = tall.select("ccn", "seq", "at", F.when(k == 0, line("code", "description", money, payer, rate)).otherwise(line(rate, payer, quoted, money, "code")).alias("value"))
+    cell = lambda i: F.coalesce(F.format_string("%.2f", F.try_element_at("payers", F.lit(i))["rate_dollar"]), F.lit(""))
+    wide = x.where(k == 2).select("ccn", "seq", F.lit(0).alias("at"), line("description", cell(1), cell(2), cell(3), "code", money).alias("value"))
+    heads = [["Charge Code,Description,Gross Charge,Payer Name,Negotiated Dollar"], ["made,by", "", '"hand,\nonce",twice', "Negotiated Dollar,Payer Name,Description,Gross Charge,Charge Code"], ["Description,Aetna,Cigna PPO,Medicare Plan,cdm_code,Gross"]]
+    tops = x.select("ccn").distinct().select("ccn", F.posexplode(X.choose([(k == i, F.array(*map(F.lit, h))) for i, h in enumerate(heads)])).alias("seq", "value")).select("ccn", F.col("seq") - 10, F.lit(0), "value")
+    folder = sinks.scratch_path(s, "layouts")
+    tall.unionByName(wide).union(tops).repartition("ccn").sortWithinPartitions("ccn", "seq", "at").select("ccn", "value").write.partitionBy("ccn").text(folder)
+    out = files.ingest_files(s, folder).withColumn("ccn", F.regexp_extract("file", "ccn=([^/]*)/", 1))
+    return out.groupBy("ccn", "code", "description", "gross", F.size("payers").cast("long").alias("n")).agg(F.count("*").alias("copies"))
+
+
 # ---- headers and profiles ------------------------------------------------------------------------------------------
 
 

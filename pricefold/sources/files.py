@@ -2,44 +2,46 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricefold.functions.expressions import choose, normalize_code, to_money
+from pricefold.sources import delimited
 from pricefold.sources.layout import Layout, gross_charge, profile, resolve
 
 RATES = "array<struct<payer:string,plan:string,rate_dollar:double>>"
 
 
 def read_csv(spark: SparkSession, path: str, header_row: int = 0, delimiter: str = ",", file: str | None = None, row: str | None = None) -> DataFrame:
-    """Delimited files as strings with the header's names; in each file ``header_row`` lines of metadata come before it.
-
-    Files of a folder share a layout. Lines are told by their place in the file, so data equal to a line above stays.
-    Quoted cells may have line breaks. ``file`` and ``row`` name columns to add: the path, and the place in the file."""
-    meta = ["_metadata.file_path AS __file", "_metadata.file_block_start AS __block"]
-    heads = spark.read.text(path).selectExpr("value", *meta).withColumn("__at", F.monotonically_increasing_id())
-    start = F.min(F.when(F.col("__block") == 0, F.col("__at")))
-    first = heads.groupBy("__file").agg(start.alias("start")).orderBy("__file").first()
-    line = heads.where((F.col("__file") == first["__file"]) & (F.col("__at") == first.start + header_row)).first().value if first else ""
-    names = [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter), [])]
-    reader = spark.read.schema(", ".join(f"`{i}` STRING" for i in range(len(names)))).option("sep", delimiter).option("multiLine", True).option("escape", '"')
-    rows = reader.csv(path).selectExpr("*", *meta).withColumn("__at", F.monotonically_increasing_id())
-    starts = rows.groupBy("__file").agg(F.min("__at").alias("__start"))  # one row for each file
-    at = F.col("__at") - F.col("__start") - header_row - 1
-    more = ([F.col("__file").alias(file)] if file else []) + ([at.alias(row)] if row else [])
-    return rows.join(starts, "__file").where(at >= 0).select(*[F.col(f"`{i}`").alias(n) for i, n in enumerate(names)], *more)
-
-
-def find_header_row(lines: list[str], delimiter: str = ",") -> int:
-    """Which of the first lines is the header: the one with most cells that name a role."""
-    from pricefold.sources import layout as L
-
-    groups = [L.CODE_HINTS, L.DESC_HINTS, L.GROSS_HINTS, L.CASH_HINTS, L.PAYER_HINTS, L.PLAN_HINTS, L.RATE_HINTS]
-    score = [sum(any(L.matches(c, g) for c in line.split(delimiter)) for g in groups) for line in lines]
-    return score.index(max(score)) if score else 0
+    """Delimited files as strings with their headers' names; in each file ``header_row`` records (blank ones too) come before its header.
+
+    Each file has its own header: a column is picked by its name, and names that a file lacks are null in its rows. Quoted
+    cells may have line breaks; blank lines are left out. ``file`` and ``row`` name columns to add: the path, and the number
+    of the line on which the record begins, counted from the header."""
+    lines = delimited.staged_lines(spark, path, delimiter)
+    recs = delimited.records(lines)
+    heads = delimited._stored(delimited.headers(lines, recs, delimiter, header_row), "headers")
+    layouts = heads.groupBy("layout").agg(F.min_by("header", "file").alias("header"), F.min("file").alias("first")).orderBy("first").collect()  # a row for each layout
+    names = list(dict.fromkeys(n for r in layouts for n in r.header))
+    rows = delimited.data_rows(recs, heads, delimiter).join(heads.select("file", "header", F.col("id").alias("header_id")), "file")
+    if row:
+        blocks = lines.groupBy("file", "block").agg(F.min("id").alias("start"), F.count("*").alias("many"))
+        lines_before = F.sum("many").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+        blocks = blocks.select("file", "block", "start", F.coalesce(lines_before, F.lit(0)).alias("lines_before"))
+        top = blocks.where("block = 0").select("file", F.col("start").alias("top"))
+        rows = rows.join(blocks, ["file", "block"]).join(top, "file")
+    number = lambda: F.col("lines_before") + F.col("id") - F.col("start") - (F.col("header_id") - F.col("top")) - 1
+    cell = lambda n: F.try_element_at("cells", F.nullif(F.array_position("header", F.lit(n)).cast("int"), F.lit(0)))
+    more = ([F.col("file").alias(file)] if file else []) + ([number().alias(row)] if row else [])
+    return rows.select(*[F.when(cell(n) != "", cell(n)).alias(n) for n in names], *more)
+
+
+def ingest_files(spark: SparkSession, path: str, **how) -> DataFrame:
+    """Items of delimited files of any layouts; see :func:`pricefold.sources.delimited.ingest_delimited`."""
+    return delimited.ingest_delimited(spark, path, **how)
 
 
 def resolve_file(df: DataFrame) -> Layout:

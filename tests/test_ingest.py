@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from pricefold.sources import files, layout, sinks, web
+from pricefold.sources import delimited, files, layout, sinks, web
 
 
 def write(path, text):
@@ -27,9 +27,9 @@ def test_tall_file(spark, tmp_path):
 def test_wide_file_with_preamble(spark, tmp_path):
     path = write(tmp_path / "wide.csv", "hospital_name,last_updated_on\nMercy,2025-01-31\nCode,Description,Gross,Cash,Aetna Commercial,Medicare\n99213,Visit,100,50,80,0\n,No code,,,7,\n,Nothing,,,,\n")
     head = (tmp_path / "wide.csv").read_text().splitlines()
-    at = files.find_header_row(head)
-    assert at == 2
-    rows = {r.description: r for r in files.ingest_wide(files.read_csv(spark, path, at)).collect()}
+    lines = delimited.staged_lines(spark, path)
+    assert delimited.headers(lines, delimited.records(lines)).first().header[:2] == ["Code", "Description"]
+    rows = {r.description: r for r in files.ingest_wide(files.read_csv(spark, path, 2)).collect()}
     assert set(rows) == {"Visit", "No code"}
     assert [(p.payer, p.rate_dollar) for p in rows["Visit"].payers] == [("Aetna Commercial", 80.0)]
     text = spark.createDataFrame([("\n".join(head),), ('{"last_updated_on": "1/2/2024"}',), ('{"last_updated_on": "2040-01-01"}',)], "t string")
