@@ -69,7 +69,9 @@ def _after(start: Column) -> Column:
 
 
 def records(lines: DataFrame) -> DataFrame:
-    """file, block, id and value of each record: a line, or several where a quoted cell has line breaks. The place is the first line's."""
+    """file, block, id and value of each record: a line, or several where a quoted cell has line breaks. The place is the first line's.
+
+    Files with such cells are put right once and written; the others' lines are records as they are."""
     broken = lines.groupBy("file").agg(F.max("from_outside").alias("breaks"))  # a row for each file
     lines = lines.join(broken, "file")
     plain = lines.where("NOT breaks").select("file", *PLACE, "value")
@@ -90,7 +92,8 @@ def records(lines: DataFrame) -> DataFrame:
     several = several.withColumn("many", F.count("*").over(Window.partitionBy("file", "begin")))
     joined = several.where(F.col("many") <= MOST_LINES).groupBy("file", "begin").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*PLACE, "value"))), lambda x: x["value"]), "\n").alias("value"))
     stray = several.where(F.col("many") > MOST_LINES).select("file", *PLACE, "value")
-    return plain.unionByName(single).unionByName(joined.select("file", "begin.*", "value")).unionByName(stray)
+    mended = single.unionByName(joined.select("file", "begin.*", "value")).unionByName(stray)
+    return plain.unionByName(_stored(mended, "mended"))
 
 
 def split_cells(value: Column, delimiter: str = ",") -> Column:

@@ -2,7 +2,7 @@
 
 Events have url, ccn, probed_at, status, sha256. Two hashes are kept apart: ``seen`` moves on with every observation,
 ``consumed`` only when a file was parsed, so a change whose processing fails is detected again. Order is (probed_at,
-sha256); events older than the last one are late and ignored; 404 and 410 are final.
+sha256); probes older than the last one and consumptions older than the last one are late and ignored; 404 and 410 are final.
 """
 
 from __future__ import annotations
@@ -15,33 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pricefold.functions.expressions import choose
-from pricefold.operators import merges, quality
+from pricefold.operators import indexes, merges, quality, standardize
 
-STATE = "seen string, consumed string, dead boolean, at long"
+STATE = "seen string, consumed string, dead boolean, at long, consumed_at long"
 VERDICTS = "url string, probed_at timestamp, verdict string, sha256 string"
 
 
 def _step(state: tuple, kind: str, at: int, status: int, sha256: str | None, indexed: bool) -> tuple[tuple, str]:
-    seen, consumed, dead, last = state
+    seen, consumed, dead, last, used = state
     if kind == "consumed":
-        return (seen, sha256, dead, last), "consumed"
+        return ((seen, sha256, dead, last, at), "consumed") if at >= used else (state, "ignored")
     if dead or at < last:
         return state, "ignored"
     if status in (404, 410):
-        return (seen, consumed, True, at), "dead"
+        return (seen, consumed, True, at, used), "dead"
     if status == 304:
-        return (seen, consumed, dead, at), "unchanged"
+        return (seen, consumed, dead, at, used), "unchanged"
     if status != 200 or sha256 is None:
         return state, "error"
     verdict = "changed" if consumed and consumed != sha256 else "same" if consumed else "baseline" if indexed else "new"
-    return (sha256, consumed, dead, at), verdict
+    return (sha256, consumed, dead, at, used), verdict
 
 
 def detect_changes(events: DataFrame) -> DataFrame:
     """Verdict of each event of a stream: columns url, kind (probe or consumed), probed_at, status, sha256, indexed."""
 
     def work(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else (None, None, False, -1)
+        now = state.get if state.exists else (None, None, False, -1, -1)
         rows = pd.concat(list(batches)).sort_values(["probed_at", "kind", "sha256"], na_position="first")
         out = []
         for r in rows.itertuples():
@@ -106,6 +106,39 @@ def guarded_upsert(folder: str, rows_of: Callable[[DataFrame], DataFrame]) -> Ca
     return upsert
 
 
+def stored_by_bucket(items: DataFrame, folder: str, buckets: int = 64) -> None:
+    """Items in folders by the hash of their facility: a changed facility is found without reading the others' buckets."""
+    items.withColumn("bucket", F.pmod(F.xxhash64("ccn"), F.lit(buckets)).cast("int")).repartition("bucket").write.partitionBy("bucket").parquet(folder)
+
+
+def recomputed(items_folder: str, facilities: DataFrame, changed: DataFrame, buckets: int = 64) -> DataFrame:
+    """Index rows of the changed facilities alone, from their items: de-duplication, conflicts, counts and score.
+
+    Only the buckets of changed facilities are read (64 at most are named in the plan); within those, only their rows stay."""
+    spark = changed.sparkSession
+    keys = changed.select("ccn").distinct()
+    touched = [r[0] for r in keys.select(F.pmod(F.xxhash64("ccn"), F.lit(buckets)).cast("int")).distinct().collect()]
+    items = spark.read.parquet(items_folder).where(F.col("bucket").isin(touched)).join(keys, "ccn", "left_semi").drop("bucket")
+    slim = standardize.slim(items)
+    return indexes.facility_index(slim, standardize.compliance(slim), facilities.join(keys, "ccn", "left_semi"))
+
+
+def latest_by_batch(folder: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function for update mode: the rows that a batch changed, in a folder of its own; a replay writes it again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return write
+
+
+def read_latest(spark, folder: str, key: str) -> DataFrame:
+    """The last version of each row that :func:`latest_by_batch` wrote."""
+    df = spark.read.parquet(folder)
+    rest = [c for c in df.columns if c not in (key, "batch")]
+    return df.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(key, "r.*")
+
+
 def current_version(spark, folder: str, before: int | None = None) -> int | None:
     """The newest complete version below ``folder`` (older than ``before`` if given)."""
     jvm = spark.sparkContext._jvm
