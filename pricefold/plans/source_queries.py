@@ -9,7 +9,7 @@ from pricefold.operators import quality, registry, standardize
 from pricefold.plans import tables as T
 from pricefold.plans.queries import index, query, slim, submissions
 from pricefold.sources import files, layout, sinks, web
-from pricefold.streaming import changes
+from pricefold.streaming import changes, stateful
 
 # ---- readers -------------------------------------------------------------------------------------------------------
 
@@ -275,3 +275,62 @@ def t2_consumed_changes(s, d):
     source = changes.bounded_source(s, "url string, kind string, probed_at timestamp, status int, sha256 string, indexed boolean", folder, 1_000_000)
     changes.detect_changes(source).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return s.read.schema(changes.VERDICTS).parquet(out).where("verdict <> 'consumed'").groupBy("url", "verdict").agg(F.count("*").alias("n"))
+
+
+def waves_of(s, df, batch, n, stream):
+    """Writes each batch of ``df`` to a folder and runs ``stream(source)`` to its end before the next one comes: n runs of one query."""
+    folder = sinks.scratch_path(s, "waves-in")
+    rest = df.drop("__batch")
+    for k in range(n):
+        df.withColumn("__batch", batch).where(F.col("__batch") == k).drop("__batch").write.mode("append").parquet(folder)
+        stream(s.readStream.schema(rest.schema).parquet(folder)).trigger(availableNow=True).start().awaitTermination()
+
+
+@query("""WITH e AS (SELECT mrf_url AS url, probed_at + INTERVAL (event_id % 1000) MICROSECOND AS t, http_status AS status, sha256, ccn::INT % 3 AS k, event_id % 5 = 0 AS second FROM probes),
+g AS (SELECT url, min(t) AS gone FROM e WHERE NOT second AND status = 404 GROUP BY url),
+l AS (SELECT e.url, max(t) AS last FROM e LEFT JOIN g USING (url) WHERE NOT second AND status IN (200, 304, 404) AND (gone IS NULL OR t <= gone) GROUP BY e.url),
+h AS (SELECT e.url, min(t) AS gone2 FROM e LEFT JOIN g USING (url) LEFT JOIN l USING (url) WHERE second AND status = 404 AND gone IS NULL AND (last IS NULL OR t >= last) GROUP BY e.url),
+v AS (SELECT e.*, CASE WHEN NOT second AND t > gone OR second AND (gone IS NOT NULL OR t < last OR t > gone2) THEN 'ignored' WHEN status = 404 THEN 'dead' WHEN status = 304 THEN 'unchanged' WHEN status <> 200 THEN 'error'
+    WHEN k = 0 THEN CASE WHEN sha256 = '3' THEN 'same' ELSE 'changed' END WHEN k = 1 THEN 'baseline' ELSE 'new' END AS verdict FROM e LEFT JOIN g USING (url) LEFT JOIN l USING (url) LEFT JOIN h USING (url))
+SELECT url, verdict, count(*) AS n FROM v GROUP BY ALL""", "probes")
+def t1_change_stream(s, d):
+    """Two runs of one query: state begins with the published index, the second run brings late events, dead URLs stay dead."""
+    x, k = T.probes(s, d), F.col("ccn").cast("int") % 3
+    index = x.where(k < 2).select(F.col("mrf_url").alias("url"), F.when(k == 0, "3").alias("consumed"), F.lit(True).alias("indexed")).distinct()
+    events = x.select(F.col("mrf_url").alias("url"), F.lit("probe").alias("kind"), (F.col("probed_at") + F.expr("make_dt_interval(0, 0, 0, event_id % 1000 / 1000000)")).alias("probed_at"), F.col("http_status").alias("status"), "sha256", "event_id")
+    out, state = (sinks.scratch_path(s, n) for n in ("verdicts", "verdicts-state"))
+    with stateful.state_in_rocksdb(s):
+        waves_of(s, events, (F.col("event_id") % 5 == 0).cast("int"), 2, lambda source: stateful.detect_changes(source.drop("event_id"), index).writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+    return s.read.schema(stateful.VERDICTS).parquet(out).groupBy("url", "verdict").agg(F.count("*").alias("n"))
+
+
+@query("""WITH x AS (SELECT (ccn::INT % 8)::INT AS lane, mrf_url AS url, event_id, event_id % 4 + 1 AS came FROM probes),
+r AS (SELECT *, (row_number() OVER (PARTITION BY lane ORDER BY came, event_id) - 1) // 5 + 1 AS wave FROM x)
+SELECT lane, wave, came < wave AS deferred, url, event_id FROM r WHERE wave <= 4""", "probes")
+def t4_deferred_waves(s, d):
+    """Four waves of five rows a lane: what a wave has to defer comes first in the next one, in the order of arrival."""
+    x = T.probes(s, d).select(F.col("mrf_url").alias("url"), "event_id", F.col("ccn").cast("int").alias("facility"))
+    out, state = (sinks.scratch_path(s, n) for n in ("queue", "queue-state"))
+    with stateful.state_in_rocksdb(s):
+        waves_of(s, x, F.col("event_id") % 4, 4, lambda source: stateful.bounded_waves(source, 5, 8, ["event_id"], F.col("facility")).writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+    return s.read.parquet(out).drop("facility")
+
+
+@query("SELECT i.ccn, n, cpt_indexed, score, grade FROM idx i JOIN scores USING (ccn)", "idx", "scores")
+def t3_incremental_index(s, d):
+    """A stream of changed facilities in three waves, of which each recomputes its own facilities' rows: the index equals a rebuild."""
+    items, registry_ = T.items(s, d), T.registry(s, d)
+    store, folder, state = (sinks.scratch_path(s, n) for n in ("items", "index", "index-state"))
+    changes.stored_by_bucket(items, store)
+    upsert = changes.guarded_upsert(folder, lambda batch: changes.recomputed(store, registry_, batch))
+    waves_of(s, items.select("ccn").distinct(), F.col("ccn").cast("int") % 3, 3, lambda source: source.writeStream.foreachBatch(upsert).option("checkpointLocation", state))
+    return s.read.parquet(f"{folder}/v={changes.current_version(s, folder)}").select("ccn", "n", "cpt_indexed", "score", "grade")
+
+
+@query("SELECT mrf_url AS url, max(probed_at) AS probed_at, arg_max(http_status, (probed_at, event_id)) AS status FROM probes GROUP BY mrf_url", "probes")
+def t5_running_stream(s, d):
+    """The latest probe of each URL by a stream in update mode, in three runs; each batch writes the rows that it changed."""
+    events = T.probes(s, d).select(F.col("mrf_url").alias("url"), "probed_at", F.col("http_status").alias("status"), F.lpad(F.col("event_id").cast("string"), 18, "0").alias("sha256"), "event_id")
+    folder, state = sinks.scratch_path(s, "latest"), sinks.scratch_path(s, "latest-state")
+    waves_of(s, events, F.col("event_id") % 3, 3, lambda source: changes.running_latest(source).writeStream.outputMode("update").foreachBatch(changes.latest_by_batch(folder)).option("checkpointLocation", state))
+    return changes.read_latest(s, folder, "url").drop("sha256")

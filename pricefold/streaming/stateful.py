@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
@@ -141,11 +141,13 @@ class Queue(StatefulProcessor):
         yield self.wave(key, [], timerValues.getCurrentProcessingTimeInMs())
 
 
-def bounded_waves(changed: DataFrame, most: int, lanes: int, order: list[str], key: str = "url", timer_ms: int | None = None) -> DataFrame:
+def bounded_waves(changed: DataFrame, most: int, lanes: int, order: list[str], lane: Column | None = None, timer_ms: int | None = None) -> DataFrame:
     """lane, wave, deferred and the columns of ``changed``: at most ``most`` rows of each lane pass in a wave, the rest waits its turn.
 
-    A lane is a share of the keys, so that work is bounded and spread at once: ``lanes * most`` rows a wave."""
+    A lane is a share of the keys (of ``url``, unless ``lane`` says otherwise), so that work is bounded and spread at once:
+    ``lanes * most`` rows a wave."""
     columns = changed.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changed.schema.fields)
-    dealt = changed.withColumn("__lane", F.pmod(F.crc32(F.col(key).cast("string")), F.lit(lanes)).cast("int"))
+    number = lane if lane is not None else F.crc32(F.col("url").cast("string"))
+    dealt = changed.withColumn("__lane", F.pmod(number, F.lit(lanes)).cast("int"))
     return dealt.groupBy("__lane").transformWithStateInPandas(Queue(most, columns, schema, order, timer_ms), f"lane int, wave long, deferred boolean, {schema}", "Append", "None" if timer_ms is None else "ProcessingTime")
