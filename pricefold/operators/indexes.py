@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricefold.functions import expressions as X
-from pricefold.functions.medians import at_share, true_median, upper_median
+from pricefold.functions.medians import exact_medians, exact_shares, true_median, upper_median
 from pricefold.functions.payers import PAYER_RULES, Rules, canon_payer
 
 CODE_TYPES = ["CPT", "HCPCS"]
@@ -112,7 +112,18 @@ def code_ranges(entries: DataFrame) -> DataFrame:
 def code_percentiles(entries: DataFrame, least: float = 10.0, shares: tuple[float, ...] = (0.05, 0.5, 0.95)) -> DataFrame:
     """The robust spread of each code: gross charges above ``least`` at fixed shares of their ordered list."""
     priced = entries.where(F.col("gross") > least)
-    return priced.groupBy("code").agg(F.count("*").alias("n"), *[at_share("gross", x).alias(f"p{round(100 * x)}") for x in shares])
+    return exact_shares(priced, ["code"], "gross", {f"p{round(100 * x)}": x for x in shares})
+
+
+def hot_code_stats(entries: DataFrame) -> DataFrame:
+    """(code, n, cash_median, gross_median, n_low, n_high): medians of all priced rows and the outliers by the cash median,
+    with bounded state for each code; rows of a hot code stay spread over all tasks."""
+    cash = exact_medians(entries, ["code"], "cash").select("code", F.col("upper_median").alias("outlier_median"), F.col("true_median").alias("cash_median"))
+    gross = exact_medians(entries, ["code"], "gross").select("code", F.col("true_median").alias("gross_median"))
+    flagged = entries.select("code", "cash").join(cash, "code", "left").withColumn("low", F.col("cash") < F.greatest(F.lit(LOW_FLOOR), LOW_SHARE * F.col("outlier_median")))
+    high = ~F.col("low") & (F.col("cash") > HIGH_TIMES * F.col("outlier_median"))
+    out = flagged.groupBy("code").agg(F.count("*").alias("n"), F.first("cash_median").alias("cash_median"), F.count_if("low").alias("n_low"), F.count_if(high).alias("n_high"))
+    return out.join(gross, "code", "left")
 
 
 def spreads(entries: DataFrame) -> DataFrame:

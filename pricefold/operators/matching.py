@@ -1,7 +1,14 @@
-"""Fuzzy name joins: equi-joins on exploded name words, never a nested loop."""
+"""Fuzzy name joins: equi-joins on name words, never a nested loop.
+
+Words are ordered from rare to frequent over both sides. Sets of n words that share t of their union must share one of their
+first n - ceil(t n) + 1 words, so only those are joined, and of a pair's common words only the first one makes the pair: words
+that many names have make pairs only where nothing rarer does. Where such a word is hot nevertheless, Spark splits its join.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,37 +26,69 @@ def best_matches(cases: DataFrame, facilities: DataFrame, least: int = 40) -> Da
     80 times the Jaccard similarity of their telling words, and 15 more for the same city. Pairs without a common word
     score 15 at most, so joining on (block, word), and on (block, normal name), loses nothing from ``least`` on. Ties go
     to the smaller ccn."""
-    a, b = _worded(cases, "name", "a").withColumnsRenamed({"name": "a_name", "city": "a_city"}), _worded(facilities, "name", "b").withColumnsRenamed({"name": "b_name", "city": "b_city"})
-    size = lambda c: F.size(c)
-    a, b = a.withColumn("a_n", size("a_sig")), b.withColumn("b_n", size("b_sig"))
-    words_a = a.select("case_id", "block", "a_city", "a_n", "a_norm", F.explode("a_sig").alias("word"))
-    words_b = b.select("ccn", "block", "b_city", "b_n", "b_norm", F.explode("b_sig").alias("word"))
-    shared = words_a.join(words_b, ["block", "word"]).groupBy("case_id", "ccn").agg(F.count("*").alias("common"), *[F.first(c).alias(c) for c in ("a_city", "b_city", "a_n", "b_n", "a_norm", "b_norm")])
-    strength = F.floor(80 * F.col("common") / (F.col("a_n") + F.col("b_n") - F.col("common"))) + F.when(F.lower("a_city") == F.lower("b_city"), 15).otherwise(0)
-    fuzzy = shared.where("a_norm <> b_norm").select("case_id", "ccn", strength.cast("int").alias("strength"))
+    a, b = _worded(cases, "name", "a").withColumnRenamed("city", "a_city"), _worded(facilities, "name", "b").withColumnRenamed("city", "b_city")
+    order = _frequencies(a.select("a_sig"), b.select("b_sig"))
+    ours, theirs = _by_rarity(a, ["case_id", "block", "a_city", "a_norm"], "a_sig", order, "a"), _by_rarity(b, ["ccn", "block", "b_city", "b_norm"], "b_sig", order, "b")
+    same_city = F.lower("a_city") == F.lower("b_city")
+    pairs = _prefix_pairs(ours, theirs, ["block"], max(0, least - 15), 80)
+    strength = F.floor(80 * F.col("common") / F.col("total")) + F.when(same_city, 15).otherwise(0)
+    fuzzy = pairs.where("a_norm <> b_norm").select("case_id", "ccn", strength.cast("int").alias("strength"))
     equal = a.where("a_norm <> ''").join(b, (a.block == b.block) & (F.col("a_norm") == F.col("b_norm"))).select("case_id", "ccn", F.lit(100).alias("strength"))
     both = fuzzy.unionByName(equal).where(F.col("strength") >= least)
     best = both.groupBy("case_id").agg(F.max("strength").alias("strength"), F.min_by("ccn", F.struct(-F.col("strength"), F.col("ccn"))).alias("ccn"))
     return best.select("case_id", "ccn", "strength")
 
 
+def _frequencies(*sides: DataFrame) -> DataFrame:
+    """word, many: in how many names of any side a word occurs; each side has one column of word sets."""
+    words = [df.select(F.explode(df.columns[0]).alias("word")) for df in sides]
+    return reduce(DataFrame.unionByName, words).groupBy("word").agg(F.count("*").alias("many"))
+
+
+def _by_rarity(df: DataFrame, keys: list[str], words: str, order: DataFrame, prefix: str) -> DataFrame:
+    """keys and their words (``a_set``, ``b_set``), rare ones first; keys without words are left out."""
+    exploded = df.select(*keys, F.explode(words).alias("word")).join(order, "word")
+    ordered = F.transform(F.sort_array(F.collect_set(F.struct("many", "word"))), lambda x: x["word"])
+    return exploded.groupBy(*keys).agg(ordered.alias(f"{prefix}_set"))
+
+
+def _prefix_pairs(a: DataFrame, b: DataFrame, on: list[str], share: int, of: int) -> DataFrame:
+    """Pairs of sets with common / total >= share / of and a common word, each once, with common and total."""
+    first = lambda c: F.slice(c, 1, F.size(c) - F.ceil(F.size(c) * share / of).cast("int") + 1)
+    x, y = a.withColumn("word", F.explode(first("a_set"))), b.withColumn("word", F.explode(first("b_set")))
+    n, m = F.size("a_set"), F.size("b_set")
+    pairs = x.join(y, [*on, "word"]).where((n * share <= m * of) & (m * share <= n * of)).withColumn("__both", F.array_intersect("a_set", "b_set"))
+    pairs = pairs.where(F.col("__both")[0] == F.col("word")).withColumn("common", F.size("__both").cast("long")).withColumn("total", n + m - F.col("common"))
+    return pairs.where(of * F.col("common") >= share * F.col("total")).drop("word", "__both", "a_set", "b_set")
+
+
+def _named_sets(left: DataFrame, right: DataFrame, least: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(l_id, a_set) and (r_id, b_set): the telling words of names that have ``least`` of them."""
+    a, b = (df.select(F.col("id").alias(i), X.name_signature(F.col("name")).alias("s")).where(F.size("s") >= least) for df, i in ((left, "l_id"), (right, "r_id")))
+    order = _frequencies(a.select("s"), b.select("s"))
+    return _by_rarity(a, ["l_id"], "s", order, "a"), _by_rarity(b, ["r_id"], "s", order, "b")
+
+
 def jaccard_matches(left: DataFrame, right: DataFrame, least_percent: int = 50) -> DataFrame:
     """(l_id, r_id, common, total): the most similar right name of each left one, from a Jaccard similarity on.
 
-    Both sides have id and name. Ties go to the smaller id."""
-    a = left.select(F.col("id").alias("l_id"), X.name_signature(F.col("name")).alias("s")).select("l_id", F.size("s").alias("l_n"), F.explode("s").alias("word"))
-    b = right.select(F.col("id").alias("r_id"), X.name_signature(F.col("name")).alias("s")).select("r_id", F.size("s").alias("r_n"), F.explode("s").alias("word"))
-    pairs = a.join(b, "word").groupBy("l_id", "l_n", "r_id", "r_n").agg(F.count("*").alias("common"))
-    pairs = pairs.withColumn("total", F.col("l_n") + F.col("r_n") - F.col("common")).where(100 * F.col("common") >= least_percent * F.col("total"))
+    Both sides have id (unique) and name. Ties go to the smaller id."""
+    a, b = _named_sets(left, right)
+    pairs = _prefix_pairs(a, b, [], least_percent, 100)
     best = pairs.groupBy("l_id").agg(F.min_by(F.struct("r_id", "common", "total"), F.struct(-F.col("common") / F.col("total"), F.col("r_id"))).alias("x"))
     return best.select("l_id", "x.r_id", "x.common", "x.total")
 
 
 def consistent_names(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(l_id, r_id): pairs where one name's telling words all occur in the other's; both have two or more."""
-    a = left.select(F.col("id").alias("l_id"), X.name_signature(F.col("name")).alias("s")).where(F.size("s") >= 2).select("l_id", F.size("s").alias("l_n"), F.explode("s").alias("word"))
-    b = right.select(F.col("id").alias("r_id"), X.name_signature(F.col("name")).alias("s")).where(F.size("s") >= 2).select("r_id", F.size("s").alias("r_n"), F.explode("s").alias("word"))
-    return a.join(b, "word").groupBy("l_id", "l_n", "r_id", "r_n").agg(F.count("*").alias("common")).where("common = least(l_n, r_n)").select("l_id", "r_id")
+    """(l_id, r_id): pairs where one name's telling words all occur in the other's; both have two or more.
+
+    The smaller set's rarest word is in the larger one, so that word alone makes its pairs."""
+    a, b = _named_sets(left, right, 2)
+    rarest, every = lambda df, s: df.withColumn("word", F.col(s)[0]), lambda df, s: df.withColumn("word", F.explode(s))
+    n, m, common = F.size("a_set"), F.size("b_set"), F.size(F.array_intersect("a_set", "b_set"))
+    smaller = rarest(a, "a_set").join(every(b, "b_set"), "word").where((n <= m) & (common == n))
+    larger = every(a, "a_set").join(rarest(b, "b_set"), "word").where((m < n) & (common == m))
+    return smaller.select("l_id", "r_id").unionByName(larger.select("l_id", "r_id"))
 
 
 def words_in_url(sources: DataFrame) -> DataFrame:

@@ -243,6 +243,14 @@ def a33_spreads(s, d):
     return indexes.spreads(entries(s, d))
 
 
+@query("""WITH x AS (SELECT code, CASE WHEN ccn::INT % 10 = 0 THEN cash * 40 ELSE cash END AS cash, gross FROM entries), m AS (SELECT code, percentile_disc(0.5) WITHIN GROUP (ORDER BY cash DESC) AS u, median(cash) AS cash_median, median(gross) AS gross_median FROM x GROUP BY code)
+SELECT code, count(*) AS n, any_value(cash_median) AS cash_median, any_value(gross_median) AS gross_median, count_if(cash < greatest(50.0::DOUBLE, 0.05::DOUBLE * u)) AS n_low, count_if(cash > 25.0::DOUBLE * u AND cash >= greatest(50.0::DOUBLE, 0.05::DOUBLE * u)) AS n_high FROM x JOIN m USING (code) GROUP BY code""", "entries")
+def a13_hot_code_stats(s, d):
+    """A tenth of the facilities asks forty times as much, so that high outliers occur."""
+    dear = F.when(F.col("ccn").cast("int") % 10 == 0, F.col("cash") * 40).otherwise(F.col("cash"))
+    return indexes.hot_code_stats(entries(s, d).withColumn("cash", dear))
+
+
 @query("""WITH r AS (SELECT code, log10(greatest(1, min(cash) FILTER (quality = 'normal'))) AS a, log10(max(cash) FILTER (quality = 'normal')) AS b, log10(median(cash) FILTER (quality = 'normal')) AS m, count_if(quality = 'low') AS n_low, count_if(quality = 'high') AS n_high FROM flagged GROUP BY code HAVING count(*) FILTER (quality = 'normal') >= 5),
 h AS (SELECT f.code, n_low, n_high, CASE WHEN b > a THEN least(31, floor((log10(cash) - a) * 32 / (b - a)))::INT ELSE 0 END AS bin, CASE WHEN b > a THEN least(31, floor((m - a) * 32 / (b - a)))::INT ELSE 0 END AS mid FROM flagged f JOIN r USING (code) WHERE quality = 'normal')
 SELECT code, bin, bin = mid AS is_median, n_low, n_high, count(*) AS n FROM h GROUP BY ALL""", "flagged")

@@ -133,3 +133,28 @@ def test_normalized_claims(spark):
     twice = quality.duplicate_keys(claims.union(claims), "metric", "claims").first()
     assert not twice.ok and twice.observed == "3 a"
     assert quality.failure_rate(spark.createDataFrame([(None,), ("x",)], "error string")).first().ok is False
+
+
+def test_prefix_filtered_joins_against_all_pairs(spark):
+    """Every pair of names compared in full, over thresholds; a word that all names have makes no pairs of its own."""
+    import random
+
+    from pricefold.functions import expressions as X
+    from pricefold.operators import matching
+
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(12)]
+    name = lambda: " ".join(["common", *rng.sample(words, rng.randint(0, 5))])
+    left, right = [(i, name()) for i in range(60)], [(1000 + i, name()) for i in range(60)]
+    sides = [spark.createDataFrame(x, "id long, name string") for x in (left, right)]
+    sets = [{r.id: set(r.s) for r in df.select("id", X.name_signature(F.col("name")).alias("s")).collect()} for df in sides]
+    for percent in (20, 50, 80, 100):
+        want = {}
+        for i, a in sets[0].items():
+            found = [(len(a & b) / len(a | b), -j, len(a & b), len(a | b)) for j, b in sets[1].items() if a & b and 100 * len(a & b) >= percent * len(a | b)]
+            if found:
+                _, j, common, total = max(found)
+                want[i] = (-j, common, total)
+        assert {r.l_id: (r.r_id, r.common, r.total) for r in matching.jaccard_matches(*sides, percent).collect()} == want
+    got = {(r.l_id, r.r_id) for r in matching.consistent_names(*sides).collect()}
+    assert got == {(i, j) for i, a in sets[0].items() for j, b in sets[1].items() if min(len(a), len(b)) >= 2 and (a <= b or b <= a)}
