@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 N-grams of one to three code points of the lower-cased text are hashed to ``DIMENSION`` buckets, weighed by
-(1 + log count) times idf (from all documents) and scaled to length one. Training is follow-the-regularised-leader with
+(1 + log count) times idf (from all learnable documents) and scaled to length one. Training is follow-the-regularised-leader with
 elastic-net penalties, on ``SHARDS`` shards of a bounded, deterministic sample of ``SAMPLE`` labelled rows, whose
 weights are averaged; rows of the sample kept apart set the temperature that makes scores calibrated.
 
@@ -102,9 +102,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-    counts, n = latent.sum_counts(docs.select("text"), "text", ngram_counts, DIMENSION)
-    weights = latent.idf(counts, n)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (bucket_of(F.col("doc_id"), FOLDS) != HELD_OUT))
+    counts, n = latent.sum_counts(known.select("text"), "text", ngram_counts, DIMENSION)
+    weights = latent.idf(counts, n)
     languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # one row for each language
     many = known.count()
     if not many:

@@ -129,3 +129,14 @@ def test_language_of_repeated_rows_long_texts_and_clashing_columns(spark):
     got = language_id.with_language(frame, language_id.fit(frame)).collect()
     assert len(got) == len(docs) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 1}) == 1
     assert [r.lang_pred for r in got if r.doc_id == 900] == ["fr"] and all(isinstance(r.score, float) for r in got)
+
+
+def test_held_out_texts_teach_nothing(spark):
+    """Other texts of held-out documents, or of those without a language, change no other prediction."""
+    rng = random.Random(12)
+    docs = [(i, prose(lang := rng.choice(list(SYLLABLES)), 30, rng), lang) for i in range(300)] + [(400 + i, prose("de", 30, rng), None) for i in range(20)]
+    held = lambda i, lang: lang is None or zlib.crc32(str(i).encode()) % 3 == 1
+    other = [(i, "zzz qqq xxx " * 50 if held(i, lang) else t, lang) for i, t, lang in docs]
+    a, b = (spark.createDataFrame(x, "doc_id long, text string, lang string") for x in (docs, other))
+    seen = [{r.doc_id: (r.lang_pred, r.score) for r in language_id.with_language(a, language_id.fit(x)).collect()} for x in (a, b)]
+    assert seen[0] == seen[1]
