@@ -19,9 +19,9 @@
 
 Work grows with the documents; the benchmark goes to tasks in blocks of ``ITEMS`` items, one pass for each block, so
 what is broadcast has a fixed bound. Defined results: null or blank texts and items match nothing; an item of fewer
-than ``LEAST`` words matches where it stands without a gap, but nothing if all its words are in more than ``HALF`` of the
-documents (of one or two words: more than ``TELLING``); repeated rows are judged alike; an empty benchmark
-leaves all documents clean.
+than ``LEAST`` words matches wherever it stands without a gap, however common its words are; one of fewer than ``shortest`` words
+(``SHORTEST`` unless the caller says otherwise) only if a word of it is in at most ``HALF`` of the documents (of one or two
+words: ``TELLING``); repeated rows are judged alike; an empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ RANK, COSINE = 128, 0.5
 CERTAIN, LIKELY, ANSWER = 0.8, 0.5, 0.8
 TELLING, HALF, FEW = 0.02, 0.5, 3
 LEAST, ANSWER_WORDS = 8, 6
+#: Items of fewer words are looked for only if a word of theirs is rare enough to tell of them.
+SHORTEST = 4
 ITEMS = 20_000
 #: Words of a text that are placed at once.
 PART = 1 << 14
@@ -85,9 +87,12 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
-def _inside(a: list[int], b: list[int]) -> bool:
-    """Whether ``a`` stands in ``b`` without a gap."""
-    return any(b[i : i + len(a)] == a for i in range(len(b) - len(a) + 1))
+def _inside(a: list[int], ids: np.ndarray) -> bool:
+    """Whether ``a`` stands in a text without a gap."""
+    at = np.arange(max(0, len(ids) - len(a) + 1))
+    for k, w in enumerate(a):
+        at = at[ids[at + k] == w]
+    return len(at) > 0
 
 
 def numbers_of(words: Collection[str], vocabulary: dict[str, int]) -> np.ndarray:
@@ -98,7 +103,7 @@ def numbers_of(words: Collection[str], vocabulary: dict[str, int]) -> np.ndarray
 class Item:
     """One item: ``tell`` are the words that tell of it, ``need`` how many of them a document must have."""
 
-    def __init__(self, item_id: int, words: list[int], answer: list[int], frequency: np.ndarray) -> None:
+    def __init__(self, item_id: int, words: list[int], answer: list[int], frequency: np.ndarray, shortest: int) -> None:
         self.item_id, self.words, self.answer = item_id, words, answer
         self.exact = len(words) < LEAST
         self.level = 0
@@ -110,16 +115,17 @@ class Item:
         self.need = (CERTAIN if self.level == 2 else LIKELY) * len(self.tell)
         if self.exact:
             rare = min(words, key=lambda w: frequency[w])
-            self.tell, self.need = [rare], 1 if frequency[rare] <= (HALF if len(words) >= FEW else TELLING) else np.inf
+            told = len(words) >= shortest or frequency[rare] <= (HALF if len(words) >= FEW else TELLING)
+            self.tell, self.need = [rare], 1 if told else np.inf
 
 
 class Index:
     """A block of the benchmark as tasks need it."""
 
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, frequency: np.ndarray, items: list[tuple[int, list[int], list[int]]]) -> None:
+    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, frequency: np.ndarray, items: list[tuple[int, list[int], list[int]]], shortest: int) -> None:
         self.vocabulary, self.idf, self.items = vocabulary, idf, items
         self.weighted = self.passages = self.owner = None
-        self.judged = [Item(*x, frequency) for x in items]
+        self.judged = [Item(*x, frequency, shortest) for x in items]
         self.need = np.array([x.need for x in self.judged])
         entries = sorted((w, at, x.tell.count(w)) for at, x in enumerate(self.judged) for w in set(x.tell))
         word, self.of, self.times = (np.array(x, np.int64) for x in zip(*entries, strict=True))
@@ -207,7 +213,7 @@ class Index:
             item = self.judged[place]
             cosines = (placed @ self.passages[slice(*np.searchsorted(self.owner, [place, place + 1]))].T).max(axis=1)
             if item.exact:
-                if _inside(item.words, ids.tolist()):
+                if _inside(item.words, ids):
                     out.append((item.item_id, float(cosines.max()), 1.0, 1.0))
                 continue
             best = answered = 0.0
@@ -255,7 +261,7 @@ def _frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarra
     return out, n
 
 
-def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
+def build_index(docs: DataFrame, block: DataFrame, shortest: int = SHORTEST) -> Index | None:
     """Frequencies, latent space and passages for one block of (item_id, text)."""
     spark = docs.sparkSession
     rows, vocabulary = _vocabulary(block)
@@ -263,7 +269,7 @@ def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
         return None
     counts, n = _frequencies(docs, vocabulary)
     counts[0] = 0  # a word that the benchmark hasn't counts as a rare one
-    index = Index(vocabulary, np.log((1.0 + n) / (1.0 + counts)).astype(np.float32), counts / max(1, n), [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows])
+    index = Index(vocabulary, np.log((1.0 + n) / (1.0 + counts)).astype(np.float32), counts / max(1, n), [(r.item_id, [vocabulary[w] for w in words_of(r.text)], [vocabulary[w] for w in answer_of(r.text)]) for r in rows], shortest)
     passages = index.passage_rows()
     data = [(int(at), bytearray(i.tobytes()), bytearray(v.tobytes())) for at, i, v in passages]
     table = stored(spark.createDataFrame(data, "item int, idx binary, val binary").repartition(min(64, 1 + len(data) // 200)), "passages")
@@ -280,7 +286,7 @@ def build_index(docs: DataFrame, block: DataFrame) -> Index | None:
 LEAK_SCHEMA = "doc_id long, item_id long, cosine double, subsequence double, answer double"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", items: int = ITEMS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", items: int = ITEMS, shortest: int = SHORTEST) -> DataFrame:
     """(doc_id, item_id, cosine, subsequence, answer): the leaked items of each document, in no order."""
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -288,7 +294,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     blocks = max(1, -(-benchmark.count() // items))
     out = spark.createDataFrame([], LEAK_SCHEMA)
     for b in range(blocks):
-        index = build_index(docs, benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text"))
+        index = build_index(docs, benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text"), shortest)
         if index:
             out = out.unionByName(_search(docs, index))
     return out

@@ -52,8 +52,8 @@ def test_leaks(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = [(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench).collect()]
     got = {x for x in rows if x[0] is not None}
-    # verbatim passages are all found and clean documents left alone; of these short, heavy paraphrases most are found
-    assert plain <= got <= want and len(got - plain) >= 0.7 * len(want - plain)
+    # verbatim passages and paraphrases are all found, clean documents left alone
+    assert got == want
     assert len(rows) - len(got) == 1
     blocks = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, items=15).where("doc_id IS NOT NULL").collect()}
     assert plain <= blocks <= want
@@ -179,3 +179,15 @@ def test_items_in_many_documents(spark):
         frame = spark.createDataFrame(docs, "doc_id long, text string")
         got = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
         assert got == want
+
+
+def test_short_items_of_common_words(spark):
+    """An item of few words that many or all documents have is found where it stands, unless the caller leaves such items out."""
+    rng = random.Random(13)
+    docs = [(i, " ".join([*prose(20, rng), "so", "it", "was", "in", "the", "end", *prose(20, rng)])) for i in range(10)] + [(10, "end the in was it so"), (11, "so it was in the")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "So it was, in the end."), (2, "end the")], "item_id long, text string")
+    found = lambda **how: sorted((r.doc_id, r.item_id) for r in d.find_leaks(frame, bench, **how).collect())
+    six = [(i, 1) for i in range(10)]
+    assert found() == six  # two words, one of them in all documents, say nothing
+    assert {*six, (10, 2)} <= set(found(shortest=1))
