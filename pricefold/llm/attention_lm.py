@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tiktoken.load import load_tiktoken_bpe
 
-from pricefold.llm.common import BLANK, ascii_lower, bucket_of, small_batches, stored, without
+from pricefold.llm.common import bucket_of, small_batches, stored, without
 
 FOLDS, HELD_OUT = 7, 2
 #: Width of the model; ids that attend to each other; of those, ids that a window doesn't score again.
@@ -50,6 +50,8 @@ STEP, TASK = 384, 400_000
 #: A small corpus is gone through more than once: until so many ids are trained on, in so many more passes at most.
 LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.03
 HOT = 65_536
+#: Distinct words that a task counts before it passes its counts on.
+COUNTED = 200_000
 #: Blanks and characters of one pre-token; longer words are cut.
 PIECE = r" ?[^ ]{1,32}"
 #: Parameters in one row of a partial sum, and tasks whose sums are added first.
@@ -312,13 +314,31 @@ class Trainer:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """word, c, total: how often each word occurs in learnable texts and in all (columns held_out, text), stored."""
-    inner = F.trim(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(" \t\n\x0b\x0c\r"))
-    words = docs.where(inner != "").select(F.explode(F.split(inner, f"[{BLANK}]+")).alias("word"), (~F.col("held_out")).cast("long").alias("learnt"))
-    return stored(words.groupBy("word").agg(F.sum("learnt").alias("c"), F.count("*").alias("total")), "words")
+    """word, c, total: how often each word occurs in learnable texts and in all (columns held_out, text), stored.
 
+    Tasks count ``COUNTED`` distinct words at a time, Spark adds the counts up."""
 
-TOKENS = "held_out boolean, n_tokens long, n_known long, common_score double, rare array<struct<word:string,n:long>>, n_ids long, ids binary"
+    def counted(learnt: Counter, held: Counter) -> pd.DataFrame:
+        words = list(learnt.keys() | held.keys())
+        return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in words], "c": [learnt[w] for w in words], "total": [learnt[w] + held[w] for w in words]})
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        learnt, held = Counter(), Counter()
+        for pdf in batches:
+            for text, out in zip(pdf["t"], pdf["held_out"], strict=True):
+                for words in words_in_steps(text or b""):
+                    (held if out else learnt).update(words)
+                    if len(learnt) + len(held) > COUNTED:
+                        yield counted(learnt, held)
+                        learnt, held = Counter(), Counter()
+        yield counted(learnt, held)
+
+    with small_batches(docs.sparkSession, 100):
+        rows = docs.select("held_out", F.col("text").cast("binary").alias("t")).mapInPandas(work, "word string, c long, total long")
+    return stored(rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("total").alias("total")), "words")
+
+
+TOKENS = "held_out boolean, n_tokens long, n_known long, common_score double, rare array<string>, n_ids long, ids binary"
 
 
 def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unknown: float) -> DataFrame:
@@ -337,18 +357,18 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
         for pdf in batches:
             out = []
             for text in pdf.pop("__text"):
-                n, n_known, score, rare, ids = 1, int(known[b""] > unknown), known[b""], Counter(), []
+                n, n_known, score, rare, ids = 1, int(known[b""] > unknown), known[b""], [], []
                 for words in words_in_steps(text or b""):
                     values = list(map(known.get, words))
                     found = np.array([v for v in values if v is not None])
                     if len(found) < len(words):
-                        rare.update([w for w, v in zip(words, values, strict=True) if v is None])
+                        rare += [w.decode("utf-8", "replace") for w, v in zip(words, values, strict=True) if v is None]
                     score += float(found.sum())
                     n_known += int((found > unknown).sum())
                     n += len(words)
                     ids.append(encoding.encode_to_numpy(" " + b" ".join(words).decode("utf-8", "replace"), disallowed_special=()))
                 ids = np.concatenate([*ids, end]).astype(np.uint32)
-                out.append((n, n_known, score, [{"word": w.decode("utf-8", "replace"), "n": k} for w, k in rare.items()], len(ids), ids.tobytes()))
+                out.append((n, n_known, score, rare, len(ids), ids.tobytes()))
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=names[1:])], axis=1)[schema.names]
 
     with small_batches(docs.sparkSession, 100):
@@ -456,8 +476,8 @@ def scored(docs: DataFrame, rank_file: str, doc_id: str = "doc_id", text: str =
     tokens = stored(tokens, "tokens")
     model = trained(tokens.select("held_out", "round", "n_ids", "ids"), Vocabulary.of(id_counts(tokens, subwords(rank_file).n_vocab + 1)))
     chance = F.log10((F.col("c") + 1) / F.lit(float(n + distinct + 1)))
-    rare = tokens.select("__row", F.inline("rare")).join(words.select("word", "c"), "word")
-    rare = rare.groupBy("__row").agg(F.sum(F.col("n") * chance).alias("rare_score"), F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("rare_known"))
+    rare = tokens.select("__row", F.explode("rare").alias("word")).join(words.select("word", "c"), "word")
+    rare = rare.groupBy("__row").agg(F.sum(chance).alias("rare_score"), F.count_if(F.col("c") > 0).alias("rare_known"))
     out = with_model_score(tokens.drop("rare", "round", "n_ids"), model).join(rare, "__row", "left")
     return out.withColumns({
         "n_known": F.col("n_known") + F.coalesce("rare_known", F.lit(0)), "train_tokens": F.lit(int(n)).cast("long"), "base_score": F.col("common_score") + F.coalesce("rare_score", F.lit(0.0)),

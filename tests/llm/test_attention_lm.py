@@ -95,6 +95,7 @@ def plain_base(docs):
 def test_table(spark, monkeypatch, hot):
     monkeypatch.setattr(lm, "HOT", hot)
     monkeypatch.setattr(lm, "LEAST", 600_000)
+    monkeypatch.setattr(lm, "COUNTED", 50)
     rng = random.Random(1)
     syllables = "the and ing tion er of th sh wh É ß".split()
     prose = lambda n: rng.choice([" ", "\n", " \t"]).join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(n))
