@@ -51,7 +51,7 @@ STEP, TASK = 384, 400_000
 LEAST, MORE, MORE_RATE = 8_000_000, 8, 0.03
 HOT = 65_536
 #: Distinct words that a task counts before it passes its counts on.
-COUNTED = 200_000
+COUNTED = 50_000
 #: Blanks and characters of one pre-token; longer words are cut.
 PIECE = r" ?[^ ]{1,32}"
 #: Parameters in one row of a partial sum, and tasks whose sums are added first.
@@ -320,7 +320,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def counted(learnt: Counter, held: Counter) -> pd.DataFrame:
         words = list(learnt.keys() | held.keys())
-        return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in words], "c": [learnt[w] for w in words], "total": [learnt[w] + held[w] for w in words]})
+        return pd.DataFrame({"word": pd.Series([w.decode("utf-8", "replace") for w in words], dtype=object), "c": [learnt[w] for w in words], "total": [learnt[w] + held[w] for w in words]})
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         learnt, held = Counter(), Counter()
