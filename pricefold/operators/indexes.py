@@ -46,9 +46,9 @@ def payer_facilities(stats: DataFrame, grades: DataFrame, k: int = 500) -> DataF
 
 
 def code_entries(slim: DataFrame) -> DataFrame:
-    """(code, ccn, prices, payer_max): the price rows of indexed code types."""
-    best = F.array_max(F.transform("top", lambda x: x["r"]))
-    return slim.where(F.col("type").isin(CODE_TYPES)).select("code", "ccn", "desc", "gross", "cash", "min", "max", "pc", best.alias("payer_max"), "bc", "s")
+    """(code, ccn, prices, payer_max, payer_min): the price rows of indexed code types."""
+    rates = F.transform("top", lambda x: x["r"])
+    return slim.where(F.col("type").isin(CODE_TYPES)).select("code", "ccn", "desc", "gross", "cash", "min", "max", "pc", F.array_max(rates).alias("payer_max"), F.array_min(rates).alias("payer_min"), "bc", "s")
 
 
 def code_coverage(entries: DataFrame) -> DataFrame:

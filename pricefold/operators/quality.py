@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricefold.functions import expressions as X
 from pricefold.operators import matching
@@ -128,16 +129,40 @@ def manifest_checks(manifest: DataFrame, found: DataFrame) -> DataFrame:
     return df.select(F.lit("output").alias("check_id"), F.col("path").alias("subject"), F.col("a").eqNullSafe(F.col("b")).alias("ok"), text("b").alias("observed"), text("a").alias("expected"))
 
 
-def file_findings(items: DataFrame) -> DataFrame:
-    """(ccn, severity, rule, n) about the items of each file; rules without a case give no row."""
+def file_findings(items: DataFrame, order: str = "seq", examples: int = 5, kinds: int = 5) -> DataFrame:
+    """(ccn, severity, rule, detail, n) about the items of each file; rules without a case give no row.
+
+    Detail: of items without prices, the descriptions (else codes) of the first ``examples`` by ``order``; of unknown code
+    types, the type, one row for each of the ``kinds`` most frequent (ties by type); of the coverage, priced items and
+    payers. Rates without a methodology are counted where the items' payers have that field."""
     gone = lambda c: F.coalesce(F.col(c), F.lit(0.0)) == 0
-    priceless = gone("gross") & gone("cash") & gone("min_rate") & gone("max_rate") & (F.size("payers") == 0)
-    one = items.groupBy("ccn").agg(F.count("*").alias("coverage"), F.count_if(priceless).alias("items-without-prices"), F.count_if(gone("gross")).alias("gross-charge-missing"), F.count_if(gone("cash")).alias("discounted-cash-missing"), F.count_if(F.size("payers") == 0).alias("payer-rates-missing"))
-    rules = {"coverage": "info", "items-without-prices": "error", "gross-charge-missing": "warning", "discounted-cash-missing": "warning", "payer-rates-missing": "warning"}
-    rows = one.select("ccn", F.explode(F.array(*[F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"), F.col(r).alias("n")) for r, s in rules.items()])).alias("f")).select("ccn", "f.*")
+    unpaid = F.coalesce(F.size("payers"), F.lit(0)) < 1
+    priceless = gone("gross") & gone("cash") & gone("min_rate") & gone("max_rate") & unpaid
+    has_methods = "methodology" in items.schema["payers"].dataType.elementType.names
+    methods = F.sum(F.greatest(F.lit(0), F.size(F.filter("payers", lambda x: F.trim(F.coalesce(x["methodology"], F.lit(""))) == "")))) if has_methods else F.lit(0).cast("long")
+    one = items.groupBy("ccn").agg(
+        F.count("*").alias("coverage"), F.count_if(priceless).alias("items-without-prices"), F.count_if(gone("gross")).alias("gross-charge-missing"),
+        F.count_if(gone("cash")).alias("discounted-cash-missing"), F.count_if(unpaid).alias("payer-rates-missing"), methods.alias("methodology-missing"),
+    )
+    named = items.select("ccn", F.explode("payers.payer").alias("payer")).where("payer <> ''").distinct().groupBy("ccn").agg(F.count("*").alias("named"))
+    nth = F.row_number().over(Window.partitionBy("ccn").orderBy(order, "description", "code"))
+    label = F.coalesce(X.blank_to_null(F.col("description")), X.blank_to_null(F.col("code")), F.lit("?"))
+    first = items.where(priceless).select("ccn", nth.alias("nth"), label.alias("label")).where(F.col("nth") <= examples)
+    shown = first.groupBy("ccn").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "label"))), lambda x: x["label"]), "; ").alias("shown"))
+    one = one.join(named, "ccn", "left").join(shown, "ccn", "left")
+    scope = F.concat_ws(", ", F.concat(F.col("coverage") - F.col("items-without-prices"), F.lit(" priced")), F.concat(F.coalesce("named", F.lit(0)), F.lit(" payers")))
+    rules = [
+        ("info", "coverage", scope), ("error", "items-without-prices", F.col("shown")), ("warning", "gross-charge-missing", None), ("warning", "discounted-cash-missing", None),
+        ("warning", "payer-rates-missing", None), ("warning", "methodology-missing", None),
+    ]
+    cells = [F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"), (F.lit(None) if d is None else d).cast("string").alias("detail"), F.col(r).cast("long").alias("n")) for s, r, d in rules]
+    rows = one.select("ccn", F.explode(F.array(*cells)).alias("f")).select("ccn", "f.*")
     groups = items.groupBy("ccn", "code", "code_type", "setting", F.substring("description", 1, 60)).count().where("count > 1").groupBy("ccn").agg(F.count("*").alias("n"))
-    kinds = items.where(~F.upper(F.coalesce("code_type", F.lit(""))).isin(KNOWN_TYPES)).groupBy("ccn").agg(F.count("*").alias("n"))
-    more = [groups.select("ccn", F.lit("warning").alias("severity"), F.lit("duplicate-items").alias("rule"), "n"), kinds.select("ccn", F.lit("warning").alias("severity"), F.lit("code-type-unrecognized").alias("rule"), "n")]
+    kind = F.upper(F.coalesce("code_type", F.lit("")))
+    unknown = items.where(~kind.isin(KNOWN_TYPES)).groupBy("ccn", kind.alias("detail")).agg(F.count("*").alias("n"))
+    most = unknown.withColumn("nth", F.row_number().over(Window.partitionBy("ccn").orderBy(F.desc("n"), "detail"))).where(F.col("nth") <= kinds)
+    warned = lambda df, rule, detail: df.select("ccn", F.lit("warning").alias("severity"), F.lit(rule).alias("rule"), detail.cast("string").alias("detail"), "n")
+    more = [warned(groups, "duplicate-items", F.lit(None)), warned(most, "code-type-unrecognized", F.col("detail"))]
     return reduce(DataFrame.unionByName, more, rows).where("n > 0")
 
 
@@ -154,18 +179,53 @@ def header_findings(headers: DataFrame) -> DataFrame:
     return headers.select("submission_id", F.explode(found).alias("rule"))
 
 
-def identity_verdicts(submissions: DataFrame, registry: DataFrame) -> DataFrame:
+def submission_findings(files: DataFrame, items: DataFrame, order: str = "seq") -> DataFrame:
+    """All findings about submitted files: (ccn, severity, rule, detail, n).
+
+    ``files`` has one row for each file: ccn, format, the header's fields, and source_count, the entries that the source
+    says it holds (null: it says nothing). A header is judged only in a JSON file. A file without items has that as its
+    finding in place of those on items."""
+    parsed = items.groupBy("ccn").agg(F.count("*").alias("parsed"))
+    about = files.join(parsed, "ccn", "left").withColumn("parsed", F.coalesce("parsed", F.lit(0)))
+    as_rows = lambda df, rule, detail, n: df.select("ccn", F.lit("error").alias("severity"), rule.alias("rule"), detail.cast("string").alias("detail"), n.cast("long").alias("n"))
+    none = F.lit(None)
+    heads = header_findings(files.where("format = 'json'").withColumn("submission_id", F.col("ccn"))).withColumnRenamed("submission_id", "ccn")
+    return (
+        as_rows(heads, F.col("rule"), none, none)
+        .unionByName(as_rows(about.where("source_count <> parsed"), F.lit("completeness-mismatch"), F.col("source_count"), F.col("parsed")))
+        .unionByName(as_rows(about.where("parsed = 0"), F.lit("no-items"), none, none))
+        .unionByName(file_findings(items.join(files.select("ccn"), "ccn", "left_semi"), order))
+    )
+
+
+def identity_verdicts(submissions: DataFrame, registry: DataFrame, seed_names: DataFrame | None = None) -> DataFrame:
     """(submission_id, verdict): VERIFIED, MISMATCH or UNVERIFIABLE for the facility that a file claims.
 
-    Submissions have submission_id, ccn_claimed, hospital_name, state, city, license. The name has to agree, and one
-    more sign with it; a contradicting state, or another name, is a mismatch."""
-    known = submissions.join(registry.select(F.col("ccn").alias("ccn_claimed"), F.col("name").alias("r_name"), F.col("state").alias("r_state"), F.col("city").alias("r_city")), "ccn_claimed", "left")
-    a, b = X.name_signature(F.col("hospital_name")), X.name_signature(F.col("r_name"))
-    agrees = (F.size(a) >= 2) & (F.size(b) >= 2) & (F.size(F.array_intersect(a, b)) == F.least(F.size(a), F.size(b)))
+    Submissions have submission_id, ccn_claimed, hospital_name, state, city, license, and may have meta_cells, the cells of
+    a delimited file's preamble, which count where the file names no hospital. The name has to agree with the registry's
+    or with one of ``seed_names`` (ccn, name; legal and common names, any number for a facility), and one more sign with
+    it; a contradicting state, or another name, is a mismatch. Nulls and empty texts are no sign. One row for each id."""
+    cells = F.array_join("meta_cells", " ") if "meta_cells" in submissions.columns else F.lit(None).cast("string")
+    given = submissions.select("submission_id", "ccn_claimed", "hospital_name", "state", "city", "license", cells.alias("cells"))
+    known = registry.select(F.col("ccn").alias("ccn_claimed"), F.col("name").alias("r_name"), F.col("state").alias("r_state"), F.col("city").alias("r_city"))
+    names = known.select("*", F.col("r_name").alias("candidate"))
+    if seed_names is not None:
+        names = names.unionByName(known.join(seed_names.select(F.col("ccn").alias("ccn_claimed"), F.col("name").alias("candidate")), "ccn_claimed"))
     up = lambda c: F.upper(F.trim(F.coalesce(F.col(c), F.lit(""))))
+
+    def agrees(c: str) -> Column:
+        a, b = X.name_signature(F.col(c)), X.name_signature(F.col("candidate"))
+        return F.coalesce((F.size(a) >= 2) & (F.size(b) >= 2) & (F.size(F.array_intersect(a, b)) == F.least(F.size(a), F.size(b))), F.lit(False))
+
+    keys = [*given.columns, "r_name", "r_state", "r_city"]
+    one = given.join(names, "ccn_claimed", "left").groupBy(*keys).agg(F.bool_or(agrees("hospital_name")).alias("named"), F.bool_or(agrees("cells")).alias("in_cells"))
+    nameless = up("hospital_name") == ""
     sign = ((up("state") != "") & (up("state") == up("r_state"))) | ((up("city") != "") & (up("city") == up("r_city"))) | (up("license") != "")
-    verdict = X.choose([(F.col("r_name").isNull() | (up("hospital_name") == ""), "UNVERIFIABLE"), (~agrees, "MISMATCH"), ((up("state") != "") & (up("r_state") != "") & (up("state") != up("r_state")), "MISMATCH"), (sign, "VERIFIED")], "UNVERIFIABLE")
-    return known.select("submission_id", verdict.alias("verdict"))
+    cases = [
+        (F.col("r_name").isNull() | (nameless & ~F.col("in_cells")), "UNVERIFIABLE"), (~nameless & ~F.col("named"), "MISMATCH"),
+        ((up("state") != "") & (up("r_state") != "") & (up("state") != up("r_state")), "MISMATCH"), (sign, "VERIFIED"),
+    ]
+    return one.select("submission_id", X.choose(cases, "UNVERIFIABLE").alias("verdict"))
 
 
 def misassigned(submissions: DataFrame, registry: DataFrame) -> DataFrame:

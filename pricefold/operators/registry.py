@@ -157,29 +157,37 @@ def host_clusters(gap: DataFrame, best: DataFrame, k: int = 15) -> DataFrame:
     return df.groupBy("host").agg(F.count("*").alias("n"), F.min("ccn").alias("example")).orderBy(F.desc("n"), "host").limit(k)
 
 
+def trial_order(url: str = "url", norm: str = "norm") -> Column:
+    """What decides the order of trying candidates, as a struct that Spark compares from its first field on.
+
+    Each line is one sign: the places that its cases give, first case first, and the place without any; less is better."""
+    u, n = F.col(url), F.col(norm)
+    signs: list[tuple[list[tuple[Column, int]], Column | int]] = [
+        ([(X.has_file_suffix(n), 0), (X.is_direct_file(n), 1)], 2),
+        ([(X.is_protected_wrapper(u), 1), (X.is_html_wrapper(n), 1)], 0),
+        ([], X.content_rank(F.col("content_type"))),
+        ([], -F.col("hits")),
+        ([(F.col("alive"), 0)], 1),
+        ([(F.col("source") == "rediscovered", 0)], 1),
+        ([], -F.col("score")),
+    ]
+    places = [X.choose(cases, rest) if cases else rest for cases, rest in signs]
+    return F.struct(*[p.alias(f"sign_{i}") for i, p in enumerate(places)])
+
+
 def ranked_candidates(seeds: DataFrame, rediscovered: DataFrame, probes: DataFrame, registry: DataFrame) -> DataFrame:
     """All usable candidate URLs of each facility in the order to try them; direct files whose probe failed in transit come as a fallback.
 
     Of equal normalized URLs the better one stays."""
-    last = latest_probes(probes)
-    a = seeds.join(last, ["ccn", "mrf_url"]).select("ccn", F.col("mrf_url").alias("url"), "content_type", F.lit(0).alias("score"), F.lit("seed").alias("source"), "alive", "http_status")
-    b = rediscovered.select("ccn", F.col("candidate_url").alias("url"), F.col("head_content_type").alias("content_type"), "score", F.lit("rediscovered").alias("source"), "alive", F.col("head_status").alias("http_status"))
-    df = a.unionByName(b).join(registry.select("ccn", "name", "city"), "ccn").withColumn("norm", X.norm_url(F.col("url")))
-    low = F.lower("norm")
-    words = F.filter(F.split(F.lower(F.concat_ws(" ", "name", "city")), r"[^a-z0-9]+"), lambda t: F.length(t) >= 4)
-    hits = F.size(F.filter(words, lambda t: F.contains(low, t)))
-    df = df.withColumn("hits", hits).where(F.col("alive") | ((F.col("http_status") == -1) & X.is_direct_file(F.col("url"))))
-    df = df.where(~X.is_rejected(F.col("url"), F.col("content_type")))
-    ranks = {
-        "explicit_rank": F.when(X.has_file_suffix(F.col("norm")), 0).when(X.is_direct_file(F.col("norm")), 1).otherwise(2),
-        "wrapper_rank": F.when(X.is_protected_wrapper(F.col("url")) | X.is_html_wrapper(F.col("norm")), 1).otherwise(0),
-        "content_rank": X.content_rank(F.col("content_type")), "name_rank": -F.col("hits"), "availability_rank": F.when(F.col("alive"), 0).otherwise(1),
-        "source_rank": F.when(F.col("source") == "rediscovered", 0).otherwise(1), "score_rank": -F.col("score"),
-    }
-    df = df.withColumns(ranks)
-    order = [*ranks, "norm"]
-    df = df.groupBy("ccn", "norm").agg(F.min_by(F.struct("url", "source", "score", *ranks), F.struct(*ranks)).alias("x")).select("ccn", "norm", "x.*")
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy("ccn").orderBy(*order))).select("ccn", "rank", "url", "source", "score")
+    seeded = seeds.join(latest_probes(probes), ["ccn", "mrf_url"]).select("ccn", F.col("mrf_url").alias("url"), "content_type", F.lit(0).alias("score"), F.lit("seed").alias("source"), "alive", "http_status")
+    found = rediscovered.select("ccn", F.col("candidate_url").alias("url"), F.col("head_content_type").alias("content_type"), "score", F.lit("rediscovered").alias("source"), "alive", F.col("head_status").alias("http_status"))
+    usable = F.col("alive") | ((F.col("http_status") == -1) & X.is_direct_file(F.col("url")))
+    df = seeded.unionByName(found).where(usable & ~X.is_rejected(F.col("url"), F.col("content_type"))).withColumn("norm", X.norm_url(F.col("url")))
+    names = F.filter(F.split(F.lower(F.concat_ws(" ", "name", "city")), r"[^a-z0-9]+"), lambda t: F.length(t) >= 4)
+    hits = F.size(F.filter(names, lambda t: F.contains(F.lower("norm"), t)))
+    df = df.join(registry.select("ccn", "name", "city"), "ccn").withColumn("hits", hits).withColumn("place", trial_order())
+    each = df.groupBy("ccn", "norm").agg(F.min_by(F.struct("url", "source", "score", "place"), "place").alias("x")).select("ccn", "norm", "x.*")
+    return each.select("ccn", F.row_number().over(Window.partitionBy("ccn").orderBy("place", "norm")).alias("rank"), "url", "source", "score")
 
 
 def first_urls(seeds: DataFrame, rediscovered: DataFrame) -> DataFrame:

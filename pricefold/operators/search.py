@@ -33,9 +33,13 @@ def search_procedures(entries: DataFrame, texts: DataFrame, query: str, limit: i
 
 
 def procedure_prices(entries: DataFrame, facilities: DataFrame, code: str, limit: int = 50, offset: int = 0) -> DataFrame:
-    """The facilities' rows of one code by gross charge, no charge last."""
-    df = entries.where(F.col("code") == code).join(facilities.select("ccn", "name", "state"), "ccn", "left")
-    return page(df, [F.col("gross").asc_nulls_last(), "ccn", "bc", "s"], limit, offset)
+    """The facilities' rows of one code by gross charge, no charge last, each with the number of all rows as ``total``.
+
+    A page beyond the end is one row with the total alone."""
+    df = entries.where(F.col("code") == code.strip().upper())
+    rows = page(df.join(facilities.select("ccn", "name", "state"), "ccn", "left"), [F.col("gross").asc_nulls_last(), "ccn", "bc", "s"], limit, offset)
+    total = df.agg(F.count("*").alias("total"))  # one row
+    return total.join(rows, F.lit(True), "left").orderBy(F.col("gross").asc_nulls_last(), "ccn", "bc", "s")
 
 
 def facility_items(slim: DataFrame, ccn: str, limit: int = 50, offset: int = 0) -> DataFrame:
@@ -97,13 +101,24 @@ def procedure_filter(rows: DataFrame, state: str | None = None, payer: str | Non
     return df
 
 
-def ordered_procedure(rows: DataFrame, by: str = "typical") -> DataFrame:
-    """The orders of a comparison page; no value comes last in all of them."""
-    orders = {
+def _procedure_orders(by: str) -> list[Column]:
+    return {
         "typical": [F.col("quality") != "normal", F.abs(F.col("cash") - F.col("median_cash")).asc_nulls_last()], "state": [F.col("state").asc_nulls_last(), F.col("name").asc_nulls_last()],
-        "cash": [F.col("cash").asc_nulls_last()], "cash desc": [F.col("cash").desc_nulls_last()], "gross": [F.col("gross").asc_nulls_last()], "payer": [F.col("payer_max").asc_nulls_last()],
-    }
-    return rows.orderBy("code", *orders[by], "ccn", "bc", "s")
+        "cash": [F.col("cash").asc_nulls_last()], "cash desc": [F.col("cash").desc_nulls_last()], "gross": [F.col("gross").asc_nulls_last()], "payer": [F.col("payer_min").asc_nulls_last()],
+    }[by] + [F.col(c) for c in ("ccn", "bc", "s")]
+
+
+def ordered_procedure(rows: DataFrame, by: str = "typical") -> DataFrame:
+    """The orders of a comparison page; no value comes last in all of them. Payers: by the lowest of a row's rates."""
+    return rows.orderBy("code", *_procedure_orders(by))
+
+
+def first_of_procedures(rows: DataFrame, by: str = "typical", k: int = 10) -> DataFrame:
+    """The first ``k`` rows of each code's page in an order, with their place.
+
+    Spark keeps ``k`` rows of a code in each task before the shuffle, so a hot code sends few rows."""
+    place = F.row_number().over(Window.partitionBy("code").orderBy(*_procedure_orders(by)))
+    return rows.withColumn("place", place).where(F.col("place") <= k)
 
 
 def ordered_payer_page(rows: DataFrame, by: str = "items") -> DataFrame:

@@ -273,6 +273,12 @@ def q3_procedure_prices(s, d):
     return search.procedure_prices(entries(s, d), T.registry(s, d), "00004", 20, 10).select("code", "ccn", "gross", "bc", "s")
 
 
+@query("SELECT code, ccn, gross, bc, s, total FROM (SELECT *, count(*) OVER () AS total FROM entries WHERE code = '00004') ORDER BY gross ASC NULLS LAST, ccn, bc, s LIMIT 20 OFFSET 10", "entries")
+def q3_prices_with_total(s, d):
+    """A page of a procedure's prices, and how many rows all pages have."""
+    return search.procedure_prices(entries(s, d), T.registry(s, d), " 00004", 20, 10).select("code", "ccn", "gross", "bc", "s", "total")
+
+
 @query("SELECT ccn, code, gross, bc, s FROM slim WHERE ccn = '000007' ORDER BY coalesce(gross, 0) DESC, code, bc, s LIMIT 40", "slim")
 def q5_facility_items(s, d):
     return search.facility_items(slim(s, d), "000007", 40).select("ccn", "code", "gross", "bc", "s")
@@ -574,10 +580,10 @@ def u11_liveness_delta(s, d):
 
 
 @query("""SELECT unnest(['ccn', 'name', 'state', 'flags']) AS check_id, 'registry' AS subject, unnest([a, b, c, e]) = 0 AS ok, unnest([a, b, c, e])::VARCHAR AS observed, '0' AS expected
-FROM (SELECT count_if(ccn::INT % 10 = 0) AS a, count_if(ccn::INT % 6 = 0) AS b, count_if(ccn::INT % 8 = 0) AS c, count_if(required IS NULL) AS e FROM registry)""", "registry")
+FROM (SELECT count_if(ccn::INT % 10 = 0) AS a, count_if(ccn::INT % 6 = 0) AS b, count_if(ccn::INT % 8 = 0) AS c, count_if(ccn::INT % 7 = 0) AS e FROM registry)""", "registry")
 def d1_registry_checks(s, d):
     k = F.col("ccn").cast("int")
-    bad = {"ccn": F.when(k % 10 == 0, F.concat(F.lit("no. "), "ccn")).otherwise(F.col("ccn")), "name": F.when(k % 6 == 0, " ").otherwise(F.col("name")), "state": F.when(k % 8 != 0, F.col("state"))}
+    bad = {"ccn": F.when(k % 10 == 0, F.concat(F.lit("no. "), "ccn")).otherwise(F.col("ccn")), "name": F.when(k % 6 == 0, " ").otherwise(F.col("name")), "state": F.when(k % 8 != 0, F.col("state")), "required": F.when(k % 7 != 0, F.col("required"))}
     return quality.registry_checks(T.registry(s, d).withColumns(bad))
 
 
@@ -613,24 +619,31 @@ def d5_index_totals(s, d):
     return runs[0].unionByName(runs[1])
 
 
-@query("""WITH k AS (SELECT 'codes' AS check_id, count_if(pc = 3 AND bc = 'R') AS n FROM slim UNION ALL SELECT 'types', 0 UNION ALL SELECT 'money', count_if(gross > 50000) FROM slim UNION ALL SELECT 'counts', count_if(ccn::INT % 12 = 0) FROM idx)
+@query("""WITH k AS (SELECT 'codes' AS check_id, count_if(pc = 3 AND bc = 'R') AS n FROM slim UNION ALL SELECT 'types', count_if(pc = 2 AND bc = 'A') FROM slim UNION ALL SELECT 'money', count_if(gross > 50000) FROM slim UNION ALL SELECT 'counts', count_if(ccn::INT % 12 = 0) FROM idx)
 SELECT check_id, n = 0 AS ok, n::VARCHAR AS observed FROM k""", "slim", "idx")
 def d6_item_checks(s, d):
-    """Items of which some have no code or an endless price, and an index that is one off for some facilities."""
-    x = slim(s, d).withColumns({"code": F.when((F.col("pc") == 3) & (F.col("bc") == "R"), "").otherwise(F.col("code")), "gross": F.when(F.col("gross") > 50000, float("inf")).otherwise(F.col("gross"))})
+    """Items of which some have no code, no type or an endless price, and an index that is one off for some facilities."""
+    x = slim(s, d).withColumns({"code": F.when((F.col("pc") == 3) & (F.col("bc") == "R"), "").otherwise(F.col("code")), "gross": F.when(F.col("gross") > 50000, float("inf")).otherwise(F.col("gross")), "type": F.when(~((F.col("pc") == 2) & (F.col("bc") == "A")), F.col("type"))})
     i = index(s, d).withColumn("n", F.col("n") + F.when(F.expr("cast(ccn AS int) % 12 = 0"), 1).otherwise(0))
     return quality.item_checks(x, i).select("check_id", "ok", "observed")
 
 
-@query("WITH c AS (SELECT code, least(25, count(*)) AS k FROM entries GROUP BY code) SELECT 'codes' AS check_id, count(*)::VARCHAR AS observed, count(*) <= 150 AS ok FROM c UNION ALL SELECT 'entries', max(k)::VARCHAR, max(k) <= 20 FROM c UNION ALL SELECT 'shape', '0', count(*) >= 0 FROM c", "entries")
+@query("WITH c AS (SELECT code, least(25, count(*)) AS k FROM entries GROUP BY code) SELECT 'codes' AS check_id, count(*)::VARCHAR AS observed, count(*) <= 150 AS ok FROM c UNION ALL SELECT 'entries', max(k)::VARCHAR, max(k) <= 20 FROM c UNION ALL SELECT 'shape', count_if(code LIKE 'J%')::VARCHAR, count_if(code LIKE 'J%') = 0 FROM c", "entries")
 def d7_code_index_checks(s, d):
-    return quality.code_index_checks(indexes.packed_entries(indexes.top_entries(entries(s, d))), 150, 20).select("check_id", "observed", "ok")
+    """Limits below what is there, and codes with an entry of no facility."""
+    packed = indexes.packed_entries(indexes.top_entries(entries(s, d)))
+    packed = packed.withColumn("entries", F.transform("entries", lambda e: e.withField("ccn", F.when(~F.col("code").startswith("J"), e["ccn"]))))
+    return quality.code_index_checks(packed, 150, 20).select("check_id", "observed", "ok")
 
 
-@query(f"WITH {_TWO}, j AS (SELECT o.ccn AS o, w.ccn AS w, coalesce(o.n, 0) AS a, coalesce(w.n, 0) AS b FROM o FULL JOIN w ON o.ccn = w.ccn) SELECT 'lost' AS check_id, count_if(o IS NOT NULL AND w IS NULL)::VARCHAR AS observed FROM j UNION ALL SELECT 'turned to zero', count_if(a > 0 AND w IS NOT NULL AND b <= 0)::VARCHAR FROM j UNION ALL SELECT 'updated missing', '0' UNION ALL SELECT 'updated without prices', count_if(w IS NOT NULL AND b <= 0)::VARCHAR FROM j", "idx")
+@query(f"""WITH {_TWO}, z AS (SELECT ccn, CASE WHEN ccn::INT % 9 = 0 THEN 0 ELSE n END AS n FROM w), u AS (SELECT ccn FROM idx WHERE ccn::INT % 4 = 0), j AS (SELECT o.ccn AS o, z.ccn AS w, coalesce(o.n, 0) AS a, coalesce(z.n, 0) AS b FROM o FULL JOIN z ON o.ccn = z.ccn)
+SELECT 'lost' AS check_id, count_if(o IS NOT NULL AND w IS NULL)::VARCHAR AS observed FROM j UNION ALL SELECT 'turned to zero', count_if(a > 0 AND w IS NOT NULL AND b <= 0)::VARCHAR FROM j
+UNION ALL SELECT 'updated missing', count(*)::VARCHAR FROM u ANTI JOIN z USING (ccn) UNION ALL SELECT 'updated without prices', count_if(n <= 0)::VARCHAR FROM z SEMI JOIN u USING (ccn)""", "idx")
 def d8_regression_gate(s, d):
+    """A new index without some of the updated facilities, and without prices for others."""
     old, new = two_indexes(s, d)
-    return quality.regression_gate(old, new, new).select("check_id", "observed")
+    new = new.withColumn("n", F.when(F.expr("cast(ccn AS int) % 9 = 0"), 0).otherwise(F.col("n")))
+    return quality.regression_gate(old, new, index(s, d).where("cast(ccn AS int) % 4 = 0")).select("check_id", "observed")
 
 
 @query("WITH t AS (SELECT ccn FROM registry WHERE required AND ccn::INT % 10 <> 0), j AS (SELECT i.ccn AS i, n FROM t LEFT JOIN idx i USING (ccn)) SELECT 'missing' AS check_id, count_if(n IS NULL)::VARCHAR AS observed, 100 * count_if(n IS NULL) <= 20 * count(*) AS ok FROM j UNION ALL SELECT 'empty', count_if(n = 0)::VARCHAR, 100 * count_if(n = 0) <= 5 * count(*) FROM j", "registry", "idx")
@@ -655,7 +668,46 @@ f AS (SELECT ccn, 'info' AS severity, 'coverage' AS rule, count(*) AS n FROM ite
   UNION ALL SELECT ccn, 'warning', 'payer-rates-missing', count_if(len(payers) = 0) FROM items GROUP BY ccn UNION ALL SELECT ccn, 'error', 'items-without-prices', count_if(coalesce(gross, 0) = 0 AND coalesce(cash, 0) = 0 AND coalesce(min_rate, 0) = 0 AND coalesce(max_rate, 0) = 0 AND len(payers) = 0) FROM items GROUP BY ccn
   UNION ALL SELECT ccn, 'warning', 'duplicate-items', n FROM g UNION ALL SELECT ccn, 'warning', 'code-type-unrecognized', count_if(code_type = '') FROM items GROUP BY ccn) SELECT * FROM f WHERE n > 0""", "items")
 def d13_file_findings(s, d):
-    return quality.file_findings(T.items(s, d))
+    return quality.file_findings(T.items(s, d)).select("ccn", "severity", "rule", "n")
+
+
+@query("""WITH it AS (SELECT ccn, seq, code, description, setting, gross, cash, payers, CASE WHEN seq % 10 <> 4 THEN min_rate END AS min_rate, CASE WHEN seq % 10 <> 4 THEN max_rate END AS max_rate,
+  CASE WHEN seq % 17 = 0 THEN 'odd ' || (seq % 7)::VARCHAR ELSE code_type END AS code_type FROM items JOIN registry USING (ccn) WHERE ccn::INT % 13 <> 0),
+f AS (SELECT ccn, ccn::INT AS k, state, coalesce(n, 0) AS parsed, total FROM registry LEFT JOIN (SELECT ccn, count(*) AS n FROM it GROUP BY ccn) USING (ccn) LEFT JOIN (SELECT ccn, count(*) AS total FROM items GROUP BY ccn) USING (ccn)),
+dated AS (SELECT *, CASE WHEN k % 6 = 0 THEN '2999-01-01' WHEN k % 10 = 0 THEN 'soon' WHEN k % 14 <> 0 THEN '2024-05-01' END AS day, CASE WHEN k % 11 <> 0 THEN coalesce(total, 0) + CASE WHEN k % 9 = 0 THEN 1 ELSE 0 END END AS source_count FROM f),
+heads AS (SELECT ccn, unnest([CASE WHEN k % 3 <> 0 AND k % 7 = 0 THEN 'version-missing' END, CASE WHEN k % 3 = 0 THEN 'version-not-current' END, CASE WHEN k % 5 = 0 THEN 'hospital-name-missing' END, CASE WHEN k % 8 = 0 OR state IS NULL THEN 'hospital-address-missing' END,
+  CASE WHEN k % 4 = 0 THEN 'license-missing' END, CASE WHEN day IS NULL THEN 'last-updated-missing' END, CASE WHEN day = 'soon' THEN 'last-updated-invalid' END, CASE WHEN day = '2999-01-01' THEN 'last-updated-future' END]) AS rule FROM dated WHERE k % 2 = 0),
+free AS (SELECT *, row_number() OVER (PARTITION BY ccn ORDER BY seq, description, code) AS nth FROM it WHERE gross IS NULL AND cash IS NULL AND min_rate IS NULL AND max_rate IS NULL AND len(payers) = 0),
+odd AS (SELECT *, row_number() OVER (PARTITION BY ccn ORDER BY n DESC, t) AS nth FROM (SELECT ccn, upper(code_type) AS t, count(*) AS n FROM it WHERE upper(code_type) NOT IN ('CPT', 'HCPCS', 'DRG', 'LOCAL') GROUP BY ccn, upper(code_type))),
+c AS (SELECT ccn, count(*) AS n, count_if(coalesce(gross, 0) = 0) AS g, count_if(coalesce(cash, 0) = 0) AS ca, count_if(len(payers) = 0) AS p, sum(CASE WHEN seq % 3 = 0 THEN len(payers) ELSE 0 END)::BIGINT AS m FROM it GROUP BY ccn),
+fr AS (SELECT ccn, count(*) AS n, string_agg(description, '; ' ORDER BY nth) FILTER (nth <= 5) AS shown FROM free GROUP BY ccn),
+pn AS (SELECT ccn, count(DISTINCT x.payer) AS n FROM (SELECT ccn, unnest(payers) AS x FROM it) GROUP BY ccn)
+SELECT ccn, 'error' AS severity, rule, NULL::VARCHAR AS detail, NULL::BIGINT AS n FROM heads WHERE rule IS NOT NULL
+UNION ALL SELECT ccn, 'error', 'completeness-mismatch', source_count::VARCHAR, parsed FROM dated WHERE source_count <> parsed
+UNION ALL SELECT ccn, 'error', 'no-items', NULL, NULL FROM dated WHERE parsed = 0
+UNION ALL SELECT ccn, 'info', 'coverage', (c.n - coalesce(fr.n, 0))::VARCHAR || ' priced, ' || coalesce(pn.n, 0)::VARCHAR || ' payers', c.n FROM c LEFT JOIN fr USING (ccn) LEFT JOIN pn USING (ccn)
+UNION ALL SELECT ccn, 'error', 'items-without-prices', shown, n FROM fr
+UNION ALL SELECT ccn, 'warning', 'gross-charge-missing', NULL, g FROM c WHERE g > 0 UNION ALL SELECT ccn, 'warning', 'discounted-cash-missing', NULL, ca FROM c WHERE ca > 0
+UNION ALL SELECT ccn, 'warning', 'payer-rates-missing', NULL, p FROM c WHERE p > 0 UNION ALL SELECT ccn, 'warning', 'methodology-missing', NULL, m FROM c WHERE m > 0
+UNION ALL SELECT ccn, 'warning', 'duplicate-items', NULL, count(*) FROM (SELECT ccn FROM it GROUP BY ccn, code, code_type, setting, description HAVING count(*) > 1) GROUP BY ccn
+UNION ALL SELECT ccn, 'warning', 'code-type-unrecognized', t, n FROM odd WHERE nth <= 5""", "registry", "items")
+def d13_submission_findings(s, d):
+    """Every finding on files whose headers, types, methodologies, prices and counts are wrong in different ways."""
+    k = F.col("ccn").cast("int")
+    x = T.items(s, d)
+    method = F.when(F.col("seq") % 3 != 0, "fee schedule").otherwise(" ")
+    spoilt = x.where(k % 13 != 0).withColumns({
+        "payers": F.transform("payers", lambda p: F.struct(p["payer"].alias("payer"), p["rate_dollar"].alias("rate_dollar"), method.alias("methodology"))),
+        "min_rate": F.when(F.col("seq") % 10 != 4, F.col("min_rate")), "max_rate": F.when(F.col("seq") % 10 != 4, F.col("max_rate")),
+        "code_type": F.when(F.col("seq") % 17 == 0, F.concat(F.lit("odd "), (F.col("seq") % 7).cast("string"))).otherwise(F.col("code_type")),
+    })
+    heads = T.registry(s, d).join(x.groupBy("ccn").agg(F.count("*").alias("total")), "ccn", "left").select(
+        "ccn", F.when(k % 2 == 0, "json").otherwise("csv").alias("format"), F.when(k % 3 == 0, "2.0").when(k % 7 == 0, "").otherwise(quality.VERSION).alias("version"),
+        F.when(k % 5 != 0, F.col("name")).alias("hospital_name"), "city", F.when(k % 8 != 0, F.col("state")).alias("state"), F.when(k % 4 != 0, "L1").alias("license"),
+        F.when(k % 6 == 0, "2999-01-01").when(k % 10 == 0, "soon").when(k % 14 != 0, "2024-05-01").alias("last_updated_on"),
+        F.when(k % 11 != 0, F.coalesce("total", F.lit(0)) + F.when(k % 9 == 0, 1).otherwise(0)).alias("source_count"),
+    )
+    return quality.submission_findings(heads, spoilt)
 
 
 def submissions(s, d):
@@ -671,6 +723,18 @@ def d14_identity_verdicts(s, d):
     return quality.identity_verdicts(submissions(s, d), T.registry(s, d))
 
 
+@query("""WITH x AS (SELECT *, ccn::INT AS k, list_distinct(list_filter(string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: length(t) >= 3)) AS sig FROM registry)
+SELECT 'S' || ccn AS submission_id, CASE WHEN k % 5 <> 0 AND k % 7 = 0 AND (k % 14 <> 0 OR len(sig) < 2) THEN 'UNVERIFIABLE' WHEN k % 5 = 0 AND k % 10 <> 0 OR k % 5 <> 0 AND len(sig) < 2 THEN 'MISMATCH' WHEN k % 3 = 0 THEN 'MISMATCH' WHEN k % 2 = 0 OR k % 11 = 0 THEN 'VERIFIED' ELSE 'UNVERIFIABLE' END AS verdict FROM x""", "registry")
+def d14_identity_candidates(s, d):
+    """Names that only a seed has, several for a facility, and files that name their facility only in preamble cells."""
+    k, r = F.col("ccn").cast("int"), T.registry(s, d)
+    legal = r.where(k % 10 == 0).select("ccn", F.lit("Another Facility Entirely").alias("name"))
+    seeds = legal.unionByName(r.select("ccn", F.concat(F.lit("Common Name "), "ccn").alias("name")))
+    cells = F.when(F.substring("ccn_claimed", 1, 6).cast("int") % 14 == 0, F.array(F.lit("hospital_name"), F.col("r_name"))).otherwise(F.array(F.lit("hospital_name"), F.lit(None)))
+    sent = submissions(s, d).join(r.select(F.col("ccn").alias("ccn_claimed"), F.col("name").alias("r_name")), "ccn_claimed").withColumn("meta_cells", cells).drop("r_name")
+    return quality.identity_verdicts(sent, r, seeds)
+
+
 @query("SELECT i.ccn, source_count, coalesce(parsed, 0) AS parsed, source_count = coalesce(parsed, 0) AS ok FROM (SELECT ccn, count(*) AS source_count FROM items GROUP BY ccn) i LEFT JOIN (SELECT ccn, count(*) AS parsed FROM usable GROUP BY ccn) USING (ccn)", "usable")
 def d15_completeness(s, d):
     items = T.items(s, d)
@@ -932,3 +996,23 @@ def o5_page(s, d):
 def o2_by_payer_rate(s, d):
     rows = indexes.with_outliers(entries(s, d)).where("payer_max IS NOT NULL").withColumn("median_cash", F.col("cash_median"))
     return search.ordered_procedure(rows, "payer").select("ccn", "code", "bc", "s", "payer_max")
+
+
+def _first_rows(name: str, by: str, order: str) -> None:
+    """Registers an order of the comparison page: the first ten rows of every code with their places."""
+
+    def first(s, d):
+        rows = indexes.with_outliers(entries(s, d)).withColumn("median_cash", F.col("cash_median"))
+        rows = rows.join(T.registry(s, d).select("ccn", "name", "state"), "ccn", "left") if by == "state" else rows
+        return search.first_of_procedures(rows, by, 10).select("code", "ccn", "bc", "s", "place")
+
+    first.__name__ = name
+    query(f"WITH r AS (SELECT code, f.ccn, bc, s, row_number() OVER (PARTITION BY code ORDER BY {order}, f.ccn, bc, s) AS place FROM flagged f LEFT JOIN registry USING (ccn)) SELECT code, ccn, bc, s, place FROM r WHERE place <= 10", "registry", "flagged")(first)
+
+
+_first_rows("o2_first_typical", "typical", "quality <> 'normal', abs(cash - cash_median) NULLS LAST")
+_first_rows("o2_first_by_state", "state", "state NULLS LAST, name NULLS LAST")
+_first_rows("o2_first_by_cash", "cash", "cash NULLS LAST")
+_first_rows("o2_first_by_cash_desc", "cash desc", "cash DESC NULLS LAST")
+_first_rows("o2_first_by_gross", "gross", "gross NULLS LAST")
+_first_rows("o2_first_by_lowest_rate", "payer", "list_min(list_transform(top, lambda x: x.r)) NULLS LAST")

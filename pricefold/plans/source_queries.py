@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.functions import expressions as X
-from pricefold.operators import quality, registry, standardize
+from pricefold.operators import indexes, quality, registry, standardize
 from pricefold.plans import tables as T
 from pricefold.plans.queries import index, query, slim, submissions
 from pricefold.sources import files, layout, sinks, web
@@ -334,3 +337,33 @@ def t5_running_stream(s, d):
     folder, state = sinks.scratch_path(s, "latest"), sinks.scratch_path(s, "latest-state")
     waves_of(s, events, F.col("event_id") % 3, 3, lambda source: changes.running_latest(source).writeStream.outputMode("update").foreachBatch(changes.latest_by_batch(folder)).option("checkpointLocation", state))
     return changes.read_latest(s, folder, "url").drop("sha256")
+
+
+_KEYED = {
+    "items": ("slim", "ccn", "000007", "pc"), "entries": ("entries", "code", "00004", "pc"), "index": ("idx", "ccn", "000007", "n"), "coverage": ("(SELECT code, count(*) AS n FROM entries GROUP BY code)", "code", "00004", "n"),
+    "registry": ("registry", "ccn", "000007", "length(name)"), "scores": ("scores", "ccn", "000007", "score"),
+}
+
+
+@query("WITH one AS (" + " UNION ALL ".join(f"SELECT '{name}' AS product, count(*) AS n_rows, sum({value})::BIGINT AS total, least(count(*), 1) AS n_files FROM {table} WHERE {key} = '{wanted}'" for name, (table, key, wanted, value) in _KEYED.items()) + """)
+SELECT 1 AS generation, * FROM one UNION ALL SELECT 2, product, CASE WHEN product = 'index' THEN 0 ELSE n_rows END, CASE WHEN product <> 'index' THEN total END, CASE WHEN product = 'index' THEN 0 ELSE n_files END FROM one""", "registry", "entries", "idx", "scores")
+def s18_generations(s, d):
+    """Six products published together, twice; one key of each read from the generation pinned before the second, and from that.
+
+    The second lacks the facility in its index. Files: those that the read of the key found rows in."""
+    folder = sinks.scratch_path(s, "products")
+    x = slim(s, d)
+    x.write.parquet(f"{folder}-slim")
+    x, r = s.read.parquet(f"{folder}-slim"), T.registry(s, d)
+    e, scores = indexes.code_entries(x), standardize.compliance(x)
+    idx = indexes.facility_index(x, scores, r).select("ccn", "n", "cpt_indexed")
+    products = {"items": (x, "ccn"), "entries": (e, "code"), "index": (idx, "ccn"), "coverage": (e.groupBy("code").agg(F.count("*").alias("n")), "code"), "registry": (r, "ccn"), "scores": (scores, "ccn")}
+    sinks.publish(s, products, f"{folder}/published", 16)
+    pinned = sinks.generation(s, f"{folder}/published")
+    sinks.publish(s, products | {"index": (idx.where("ccn <> '000007'"), "ccn")}, f"{folder}/published", 16)
+    parts = []
+    for g in (pinned, sinks.generation(s, f"{folder}/published")):
+        for name, (_, _, wanted, value) in _KEYED.items():
+            one = g.read(name, wanted).select(F.expr(value).cast("long").alias("value"), F.input_file_name().alias("file"))
+            parts.append(one.agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"), F.count_distinct("file").alias("n_files")).select(F.lit(g.number).cast("int").alias("generation"), F.lit(name).alias("product"), "*"))
+    return reduce(DataFrame.unionByName, parts)

@@ -2,17 +2,84 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_products(products: dict[str, tuple[DataFrame, str]], folder: str, buckets: int = 64) -> None:
-    """Writes each product as Parquet below ``folder``, in folders by the hash of its key, so one key is one small read."""
+def write_products(products: dict[str, tuple[DataFrame, str]], folder: str, buckets: int = 64) -> dict[str, int]:
+    """Writes each product as Parquet below ``folder``, in folders by the hash of its key, so one key is one small read.
+
+    Gives each product's rows, observed by the tasks that write them."""
+    rows = {}
     for name, (df, key) in products.items():
-        df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/{name}")
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        df = df.withColumn("bucket", bucket_of(F.col(key), buckets)).repartition("bucket").observe(seen, F.count("*").alias("n"))
+        df.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/{name}")
+        rows[name] = seen.get["n"]
+    return rows
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+MANIFEST = "generation long, path string, product string, key string, buckets int, n long"
+
+
+@dataclass(frozen=True)
+class Generation:
+    """A set of products that were published together. What is published later doesn't change what it reads."""
+
+    spark: SparkSession
+    number: int
+    path: str
+    products: dict[str, tuple[str, int, int]]  # key, buckets, rows
+
+    def read(self, product: str, value: object = None) -> DataFrame:
+        """A product, or its rows of one key, for which only that key's bucket is read."""
+        key, buckets, _ = self.products[product]
+        df = self.spark.read.parquet(f"{self.path}/{product}")
+        if value is not None:
+            wanted = F.lit(value).cast(df.schema[key].dataType)
+            df = df.where((F.col("bucket") == bucket_of(wanted, buckets)) & (F.col(key) == wanted))
+        return df.drop("bucket")
+
+
+def generation(spark: SparkSession, folder: str, number: int | None = None) -> Generation | None:
+    """The newest generation published in ``folder``, or the one of a number; None if there is none.
+
+    Of two that were published at once under one number, all readers take the same."""
+    try:
+        df = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    df = df if number is None else df.where(F.col("generation") == number)
+    last = df.agg(F.max(F.struct("generation", "path")).alias("x")).select("x.*").first()
+    if last["path"] is None:
+        return None
+    rows = df.where((F.col("generation") == last["generation"]) & (F.col("path") == last["path"])).collect()  # a row for each product
+    return Generation(spark, last["generation"], f"{folder}/{last['path']}", {r["product"]: (r["key"], r["buckets"], r["n"]) for r in rows})
+
+
+def publish(spark: SparkSession, products: dict[str, tuple[DataFrame, str]], folder: str, buckets: int = 64) -> Generation:
+    """Writes products as a new generation. Readers see all of them or none: the manifest's one file comes last.
+
+    A run that dies before that leaves a folder that no manifest names; generations before it stay as they are."""
+    before = generation(spark, folder)
+    number = before.number + 1 if before else 1
+    path = f"generations/{number}-{uuid.uuid4().hex}"
+    n = write_products(products, f"{folder}/{path}", buckets)
+    rows = [(number, path, name, key, buckets, n[name]) for name, (_, key) in products.items()]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
+    return Generation(spark, number, f"{folder}/{path}", {name: (key, buckets, n[name]) for name, (_, key) in products.items()})
 
 
 def write_documents(df: DataFrame, folder: str) -> None:
@@ -34,7 +101,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary one in a local session without it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pricefold-")
     return f"{base.rstrip('/')}/pricefold/{name}-{uuid.uuid4().hex}"

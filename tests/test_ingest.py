@@ -146,3 +146,25 @@ def test_products(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "docs")).count() == 50
     sinks.write_scoreboard(df, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["ccn", "n"]
+
+
+def test_generations(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    assert sinks.generation(spark, folder) is None
+    df = spark.createDataFrame([(f"{i:06d}", i) for i in range(50)] + [("000007", None)], "ccn string, n long")
+    codes = spark.createDataFrame([(5, "a"), (6, "b")], "code long, text string")
+    first = sinks.publish(spark, {"index": (df, "ccn"), "codes": (codes, "code")}, folder, 8)
+    pinned = sinks.generation(spark, folder)
+    assert (pinned.number, pinned.path, pinned.products) == (1, first.path, {"index": ("ccn", 8, 51), "codes": ("code", 8, 2)})
+    # a run that dies before its manifest leaves readers where they were
+    sinks.write_products({"index": (df.limit(1), "ccn")}, f"{folder}/generations/2-dead", 8)
+    assert sinks.generation(spark, folder).path == first.path
+    sinks.publish(spark, {"index": (df.where("ccn <> '000007'"), "ccn")}, folder, 4)
+    assert sinks.generation(spark, folder).number == 2 and sinks.generation(spark, folder).products == {"index": ("ccn", 4, 49)}
+    assert pinned.read("index", "000007").count() == 2 and sinks.generation(spark, folder).read("index", "000007").count() == 0
+    assert sinks.generation(spark, folder, 1).read("index").count() == 51 and sinks.generation(spark, folder, 9) is None
+    assert [r.text for r in pinned.read("codes", 6).collect()] == ["b"]
+    plan = pinned.read("index", "000007")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    empty = sinks.publish(spark, {"index": (df.where("false"), "ccn")}, folder)
+    assert empty.products["index"][2] == 0

@@ -103,11 +103,46 @@ def test_submissions(spark):
     got = {r.submission_id: r.verdict for r in quality.identity_verdicts(sub, reg).collect()}
     assert got == {"a": "VERIFIED", "b": "MISMATCH", "c": "MISMATCH", "d": "UNVERIFIABLE", "e": "UNVERIFIABLE", "f": "UNVERIFIABLE", "g": "VERIFIED"}
     assert {(r.submission_id, r.named) for r in quality.misassigned(sub, reg).collect()} == {("b", "000002"), ("f", "000001")}
+    seeds = spark.createDataFrame([("000001", "Northern Valley Health"), ("000001", None), ("000001", "Northern Valley Health")], "ccn string, name string")
+    cells = spark.createDataFrame([
+        ("a", "000001", "Northern Valley Health", "OR", None, None, None), ("b", "000001", None, None, None, "9", ["version", None, "Mercy North Hospital"]), ("c", "000001", "", "OR", None, None, ["Other House"]),
+        ("d", "000001", "Grace South", "OR", None, None, ["Mercy North Hospital"]), ("e", None, "Mercy North", "OR", None, None, []), ("f", "000001", " ", "WA", None, None, ["Valley Northern Health"]),
+    ], "submission_id string, ccn_claimed string, hospital_name string, state string, city string, license string, meta_cells array<string>")
+    got = {r.submission_id: r.verdict for r in quality.identity_verdicts(cells, reg, seeds).collect()}
+    assert got == {"a": "VERIFIED", "b": "VERIFIED", "c": "UNVERIFIABLE", "d": "MISMATCH", "e": "UNVERIFIABLE", "f": "MISMATCH"}
+    assert {r.submission_id: r.verdict for r in quality.identity_verdicts(cells, reg).collect()}["a"] == "MISMATCH"
     heads = spark.createDataFrame([("a", "3.0.0", "M", "c", "s", "1", "2025-01-01"), ("b", "2.0", "", None, "s", None, "x")], "submission_id string, version string, hospital_name string, city string, state string, license string, last_updated_on string")
     found = {(r.submission_id, r.rule) for r in quality.header_findings(heads).collect()}
     assert found == {("b", x) for x in ("version-not-current", "hospital-name-missing", "hospital-address-missing", "license-missing", "last-updated-invalid")}
 
 
+def test_submission_findings(spark):
+    paid = "array<struct<payer: string, rate_dollar: double, methodology: string>>"
+    items = spark.createDataFrame([
+        ("1", i, f"c{i}", t, "out", f"item {i}" if i != 2 else None, None, None, None, None, []) for i, t in enumerate(["CPT", "x", "x", "y", "z", "q", "r", None])
+    ] + [("1", 9, "c9", "cpt", "out", "same", 1.0, 2.0, None, None, [("A", 1.0, " "), ("A", 2.0, None), ("B", 3.0, "fee")]), ("1", 10, "c9", "cpt", "out", "same", 0.0, None, None, None, None), ("9", 1, "c", "CPT", "out", "of no file", None, None, None, None, [])],
+        f"ccn string, seq long, code string, code_type string, setting string, description string, gross double, cash double, min_rate double, max_rate double, payers {paid}")
+    heads = spark.createDataFrame([("1", "csv", None, None, None, None, None, None, 11), ("2", "json", "3.0.0", "M", "c", "s", "1", "2025-01-01", None), ("3", "json", "2.0", "M", "c", "s", "1", "2025-01-01", 0)], "ccn string, format string, version string, hospital_name string, city string, state string, license string, last_updated_on string, source_count long")
+    got = {tuple(r) for r in quality.submission_findings(heads, items).collect()}
+    assert got == {
+        ("1", "error", "completeness-mismatch", "11", 10), ("1", "info", "coverage", "1 priced, 2 payers", 10), ("1", "error", "items-without-prices", "item 0; item 1; c2; item 3; item 4", 9),
+        ("1", "warning", "gross-charge-missing", None, 9), ("1", "warning", "discounted-cash-missing", None, 9), ("1", "warning", "payer-rates-missing", None, 9), ("1", "warning", "methodology-missing", None, 2),
+        ("1", "warning", "duplicate-items", None, 1), ("1", "warning", "code-type-unrecognized", "X", 2), *[("1", "warning", "code-type-unrecognized", t, 1) for t in ("", "Q", "R", "Y")],
+        ("2", "error", "no-items", None, None), ("3", "error", "version-not-current", None, None), ("3", "error", "no-items", None, None),
+    }
+    assert quality.submission_findings(heads.limit(0), items.limit(0)).count() == 0
+
+
+def test_procedure_pages(spark):
+    rows = spark.createDataFrame([("c", "1", "b", "s", 5.0, 3.0, 9.0), ("c", "2", "b", "s", None, None, None), ("c", "3", "b", "s", 4.0, 2.0, 30.0), ("d", "1", "b", "s", 1.0, None, None)], "code string, ccn string, bc string, s string, gross double, payer_min double, payer_max double")
+    facilities = spark.createDataFrame([("1", "n", "OR")], "ccn string, name string, state string")
+    assert [(r.ccn, r.total) for r in search.procedure_prices(rows, facilities, " c", 2).collect()] == [(None, 0)] and [(r.ccn, r.total) for r in search.procedure_prices(rows.withColumn("code", F.upper("code")), facilities, " c", 2).collect()] == [("3", 3), ("1", 3)]
+    beyond = search.procedure_prices(rows.withColumn("code", F.upper("code")), facilities, "c", 2, 50).collect()
+    assert [(r.ccn, r.total) for r in beyond] == [(None, 3)]
+    assert {(r.code, r.ccn, r.place) for r in search.first_of_procedures(rows, "payer", 2).collect()} == {("c", "3", 1), ("c", "1", 2), ("d", "1", 1)}
+    assert [r.ccn for r in search.ordered_procedure(rows, "payer").collect()] == ["3", "1", "2", "1"]
+
+
 def test_registry_and_search(spark):
     probes = spark.createDataFrame([("1", "u", 1, 5, 200, True), ("1", "u", 2, 6, 404, False), ("2", "v", 1, 7, -1, False)], "ccn string, mrf_url string, probed_at long, event_id long, http_status int, alive boolean")
     assert {(r.ccn, r.http_status) for r in registry.latest_probes(probes).collect()} == {("1", 404), ("2", -1)}
