@@ -43,19 +43,42 @@ def upserted(old: DataFrame, new: DataFrame, keys: DataFrame | None = None) -> D
     return df.select("ccn", F.coalesce("b", "a").alias("r"), diff.alias("diff")).select("ccn", "r.*", "diff")
 
 
+def _disjoint(owners: DataFrame, wave: str) -> DataFrame:
+    """One row without columns of note; an error when it is computed, if several waves have one facility."""
+    twice = owners.groupBy("ccn").agg((F.min(wave) < F.max(wave)).alias("twice")).agg(F.count_if("twice").alias("k"))
+    return twice.select(F.when(F.col("k") > 0, F.raise_error(F.concat("k", F.lit(" facilities are in several shards")))).cast("boolean").alias("__error"))
+
+
 def merged_waves(shards: list[DataFrame], k_codes: int = 5000, k_entries: int = 25) -> DataFrame:
     """Code entries of all shards, grouped anew: ranked codes with their packed top entries.
 
     A facility that several shards have is an error, raised when the result is computed."""
     entries = reduce(DataFrame.unionByName, [x.withColumn("__shard", F.lit(i)) for i, x in enumerate(shards)])
-    owners = entries.groupBy("ccn").agg((F.min("__shard") < F.max("__shard")).alias("twice"))
-    twice = owners.agg(F.count_if("twice").alias("k")).select(F.when(F.col("k") > 0, F.raise_error(F.concat("k", F.lit(" facilities are in several shards")))).cast("boolean").alias("__error"))
+    twice = _disjoint(entries, "__shard")
     entries = entries.drop("__shard")
     ranked = ranked_codes(code_coverage(entries), k_codes)
     merged = ranked.join(packed_entries(top_entries(entries.join(ranked.select("code"), "code", "left_semi"), k_entries)), "code")
     return merged.crossJoin(twice).where("__error IS NULL").drop("__error")  # one row
 
 
+def wave_state(entries: DataFrame, k_entries: int = 25) -> tuple[DataFrame, DataFrame]:
+    """What a wave hands on to later merges in place of its entries: each code's counts and first ``k_entries``, and the facilities.
+
+    Its size goes with codes and facilities, not with entries."""
+    return code_coverage(entries).join(packed_entries(top_entries(entries, k_entries)), "code"), entries.select("ccn").distinct()
+
+
+def merged_states(codes: DataFrame, owners: DataFrame, k_codes: int = 5000, k_entries: int = 25, wave: str = "wave") -> DataFrame:
+    """The result of :func:`merged_waves` from the states of all waves, each row with its wave; no entry is read again.
+
+    The states' lists need ``k_entries`` at least. Facilities of a code add up, as no facility is in two waves, which is
+    checked as there."""
+    ranked = ranked_codes(codes.groupBy("code").agg(F.sum("n_entries").alias("n_entries"), F.sum("facilities").alias("facilities")), k_codes)
+    listed = codes.join(ranked.select("code"), "code", "left_semi").select("code", F.explode("entries").alias("e")).select("code", "e.*")
+    merged = ranked.join(packed_entries(top_entries(listed, k_entries)), "code")
+    return merged.crossJoin(_disjoint(owners, wave)).where("__error IS NULL").drop("__error")  # one row
+
+
 def overlaid(old: DataFrame, fresh: DataFrame, dropped: list[str]) -> DataFrame:
     """The one-row summary with fresh fields over preserved ones; cohort fields go, as they must be counted again."""
     kept = [c for c in old.columns if c not in fresh.columns and c not in dropped]

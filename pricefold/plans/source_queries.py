@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.functions import expressions as X
-from pricefold.operators import indexes, quality, registry, standardize
+from pricefold.operators import indexes, merges, quality, registry, standardize
 from pricefold.plans import tables as T
-from pricefold.plans.queries import index, query, slim, submissions
+from pricefold.plans.queries import SQL, index, query, slim, submissions
 from pricefold.sources import files, layout, sinks, web
 from pricefold.streaming import changes, stateful
 
@@ -367,3 +367,28 @@ def s18_generations(s, d):
             one = g.read(name, wanted).select(F.expr(value).cast("long").alias("value"), F.input_file_name().alias("file"))
             parts.append(one.agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"), F.count_distinct("file").alias("n_files")).select(F.lit(g.number).cast("int").alias("generation"), F.lit(name).alias("product"), "*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+@query(None)
+def u7_merged_states(s, d):
+    """Three waves that each leave their state behind, merged from the states alone."""
+    folder = sinks.scratch_path(s, "waves")
+    indexes.code_entries(slim(s, d)).withColumn("wave", F.pmod(F.xxhash64("ccn"), F.lit(3)).cast("int")).write.partitionBy("wave").parquet(f"{folder}/entries")
+    x = s.read.parquet(f"{folder}/entries")
+    for i in range(3):
+        codes, owners = merges.wave_state(x.where(F.col("wave") == i).drop("wave"), 5)
+        codes.write.parquet(f"{folder}/codes/wave={i}")
+        owners.write.parquet(f"{folder}/owners/wave={i}")
+    merged = merges.merged_states(s.read.parquet(f"{folder}/codes"), s.read.parquet(f"{folder}/owners"), 40, 5)
+    return merged.select("code", "n_entries", "facilities", F.array_join("entries.ccn", ",").alias("ccns"))
+
+
+SQL["u7_merged_states"] = SQL["u7_merged_waves"]
+
+
+@query("SELECT strlen(ccn || ' ' || name) + 1 AS bytes, sha256(ccn || ' ' || name || chr(10)) AS sha256, count(*) AS n FROM registry GROUP BY ALL", "registry")
+def s20_manifest(s, d):
+    """Bytes and hashes of files that are written first, one for each facility."""
+    folder = sinks.scratch_path(s, "outputs")
+    T.registry(s, d).select(F.concat_ws(" ", "ccn", "name").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return sinks.build_manifest(s, folder, "*.txt").groupBy("bytes", "sha256").agg(F.count("*").alias("n"))

@@ -35,7 +35,7 @@ def test_entry(spark):
     assert entry.entry(spark).limit(5).count() == 5
 
 
-@pytest.mark.parametrize("name", ["a2_deduplicated_items", "a3_history_conflicts", "a7_payer_rollup", "a13_procedure_stats", "q4_procedure_page", "a18_price_cohorts", "w6_best_sources", "w7_ranked_candidates", "j7_best_matches", "j9_consistent_names", "u6_index_upsert", "d13_file_findings", "s1_ingest_tall", "t1_latest_states"])
+@pytest.mark.parametrize("name", ["a2_deduplicated_items", "a3_history_conflicts", "a7_payer_rollup", "a13_procedure_stats", "q4_procedure_page", "a18_price_cohorts", "w6_best_sources", "w7_ranked_candidates", "j7_best_matches", "j9_consistent_names", "u6_index_upsert", "d13_file_findings", "d13_submission_findings", "d14_identity_candidates", "d8_regression_gate", "o2_first_by_lowest_rate", "q3_prices_with_total", "s18_generations", "u7_merged_states", "f8_money", "f11_prefixed_codes", "f18_url_flags", "f23_failure_reasons", "p3_directory_filters", "s1_ingest_tall", "t1_latest_states"])
 def test_against_sql(spark, duck, name):
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pytest
 from pyspark.sql import functions as F
 
 from pricefold.operators import indexes, matching, merges, quality, registry, search, standardize
@@ -116,6 +119,19 @@ def test_submissions(spark):
     assert found == {("b", x) for x in ("version-not-current", "hospital-name-missing", "hospital-address-missing", "license-missing", "last-updated-invalid")}
 
 
+def test_wave_states(spark):
+    """Merged from states alone: as merged from all entries, with ties, equal rows and no charges; a facility twice is an error."""
+    rows = [(f"c{i % 4}", f"f{i % 7}", None if i % 5 == 0 else float(i % 3), float(i % 2), "b", "s") for i in range(80)]
+    x = spark.createDataFrame(rows, "code string, ccn string, gross double, cash double, bc string, s string")
+    shards = [x.where(F.col("ccn").isin(*ids)) for ids in (["f0", "f3"], ["f1", "f2", "f6"], ["f4", "f5"], ["none"])]
+    states = [merges.wave_state(df, 6) for df in shards]
+    codes, owners = (reduce(lambda a, b: a.unionByName(b), [st[j].withColumn("wave", F.lit(i)) for i, st in enumerate(states)]) for j in (0, 1))
+    packed = lambda df: {(r.code, r.n_entries, r.facilities, str(r.entries)) for r in df.collect()}
+    assert packed(merges.merged_states(codes, owners, 3, 6)) == packed(merges.merged_waves(shards, 3, 6)) and len(packed(merges.merged_states(codes, owners, 3, 6))) == 3
+    with pytest.raises(Exception, match="in several shards"):
+        merges.merged_states(codes, owners.unionByName(spark.createDataFrame([("f1", 0)], "ccn string, wave int")), 3, 6).collect()
+
+
 def test_submission_findings(spark):
     paid = "array<struct<payer: string, rate_dollar: double, methodology: string>>"
     items = spark.createDataFrame([
