@@ -75,6 +75,14 @@ def reuse_freed_memory() -> None:
         pass
 
 
+def give_back_freed_memory() -> None:
+    """Tells the C library to hand freed memory back: Spark keeps a worker, and what it holds, from one stage to the next."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def words_in_steps(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words of a text, in lists of those within about ``size`` bytes; bytes.split knows just the six white characters."""
     at = 0
@@ -331,6 +339,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     if len(learnt) + len(held) > COUNTED:
                         yield counted(learnt, held)
                         learnt, held = Counter(), Counter()
+            give_back_freed_memory()
         yield counted(learnt, held)
 
     with small_batches(docs.sparkSession, 100):
@@ -369,6 +378,7 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
                     ids.append(encoding.encode_to_numpy(" " + b" ".join(words).decode("utf-8", "replace"), disallowed_special=()))
                 ids = np.concatenate([*ids, end]).astype(np.uint32)
                 out.append((n, n_known, score, rare, len(ids), ids.tobytes()))
+            give_back_freed_memory()
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=names[1:])], axis=1)[schema.names]
 
     with small_batches(docs.sparkSession, 100):
