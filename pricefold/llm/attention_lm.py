@@ -433,6 +433,8 @@ def averaged(part: DataFrame, model: Attention, rate: float) -> np.ndarray:
             starts = range(0, len(flat), PART)
             weighted = trainer.model.flat.astype(np.float64) * trainer.ids
             yield pd.DataFrame({"task": TaskContext.get().partitionId() // FAN, "at": list(starts), "ids": trainer.ids, "part": [weighted[i : i + PART].tobytes() for i in starts]})
+        del trainer
+        give_back_freed_memory()
 
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x) for x in pdf["part"])
@@ -461,8 +463,9 @@ def with_model_score(tokens: DataFrame, model: Attention) -> DataFrame:
         for pdf in batches:
             ids = [voc.place[np.frombuffer(x, np.uint32)] for x in pdf.pop("ids")]
             yield pdf.assign(score=text_scores(own, ids))
+            give_back_freed_memory()
 
-    with small_batches(tokens.sparkSession, 250):
+    with small_batches(tokens.sparkSession, 100):
         return tokens.select(*rest.columns, "ids").mapInPandas(work, schema)
 
 
