@@ -180,7 +180,8 @@ def ingest_vendor_rows(rows: DataFrame, keys: Sequence[str] = (), row: str | Non
 def sniff_format(content: Column, name: Column) -> Column:
     """Format of a file by its first bytes, else by its name."""
     head = F.hex(F.substring(content, 1, 4))
-    text = F.regexp_replace(F.decode(F.substring(content, 1, 2048), "UTF-8"), r"^﻿?\s*", "")
+    # the cut may split a character, and files of other encodings aren't UTF-8: neither is an error
+    text = F.regexp_replace(F.make_valid_utf8(F.substring(content, 1, 2048).cast("string")), r"^﻿?\s*", "")
     low = F.lower(text)
     by_name = choose([(F.lower(name).rlike(rf"\.{e}(\.gz)?([?#]|$)"), e) for e in ("csv", "json", "xml", "xlsx", "xls", "zip")], "unknown")
     return choose([

@@ -168,3 +168,11 @@ def test_generations(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan
     empty = sinks.publish(spark, {"index": (df.where("false"), "ccn")}, folder)
     assert empty.products["index"][2] == 0
+
+
+def test_formats_of_bytes_that_are_not_utf8(spark):
+    """Other encodings, binary content and a character that the sniffed part splits."""
+    cases = [("latin", "größe;b;c\n1;2;3".encode("latin-1"), "csv"), ("packed", bytes.fromhex("1F8B0800FF"), "gzip"), ("noise", b"\x80\x81\xff", "unknown"), ("split", b'{"a": "' + b"x" * 2040 + "é".encode() + b'"}', "json")]
+    df = spark.createDataFrame([(n, bytearray(c), w) for n, c, w in cases], "name string, content binary, want string").repartition(2)
+    got = df.select("name", "want", files.sniff_format(F.col("content"), F.col("name")).alias("format")).collect()
+    assert {r.name: r.format for r in got} == {r.name: r.want for r in got}
