@@ -209,3 +209,34 @@ def test_prefix_filtered_joins_against_all_pairs(spark):
         assert {r.l_id: (r.r_id, r.common, r.total) for r in matching.jaccard_matches(*sides, percent).collect()} == want
     got = {(r.l_id, r.r_id) for r in matching.consistent_names(*sides).collect()}
     assert got == {(i, j) for i, a in sets[0].items() for j, b in sets[1].items() if min(len(a), len(b)) >= 2 and (a <= b or b <= a)}
+
+
+def test_copies_of_names_are_joined_as_one(spark, monkeypatch):
+    """Names that compare alike make one row of the join, whatever their number; results name every copy."""
+    from pricefold.operators import matching
+
+    joined = []
+    pairs = matching._prefix_pairs
+    monkeypatch.setattr(matching, "_prefix_pairs", lambda a, b, *how: joined.append((a.count(), b.count())) or pairs(a, b, *how))
+    left = spark.range(300).selectExpr("id", "if(id % 2 = 0, 'Mercy North Clinic', 'Clinic north mercy') AS name")
+    right = spark.range(1000, 1400).selectExpr("id", "'Mercy North Pavilion' AS name")
+    got = matching.jaccard_matches(left, right).collect()
+    assert sorted(r.l_id for r in got) == list(range(300)) and {(r.r_id, r.common, r.total) for r in got} == {(1000, 2, 4)}
+    cases = left.selectExpr("id AS case_id", "'OR' AS block", "name", "if(id % 3 = 0, NULL, 'Salem') AS city")
+    got = {r.case_id: (r.ccn, r.strength) for r in matching.best_matches(cases, right.selectExpr("id AS ccn", "'OR' AS block", "name", "'salem' AS city")).collect()}
+    assert got == {i: (1000, 55 if i % 3 else 40) for i in range(300)}
+    assert joined == [(1, 1), (4, 1)]
+
+
+def test_consistent_groups(spark):
+    """Links by classes stand for the same pairs of names as the expanded ones."""
+    from pricefold.operators import matching
+
+    left = spark.createDataFrame([(1, "Mercy North"), (2, "north mercy"), (3, "Mercy North Clinic"), (4, "Grace South"), (5, "Mercy")], "id long, name string")
+    right = spark.createDataFrame([(11, "Mercy North Pavilion"), (12, "North Mercy"), (13, "Mercy north"), (14, None)], "id long, name string")
+    got = {tuple(r) for r in matching.consistent_groups(left, right).collect()}
+    assert got == {
+        ("pair", 1, 11, 2), ("pair", 1, 12, 4), ("pair", 3, 12, 2), ("left", 1, 1, 3), ("left", 2, 1, 3), ("left", 3, 3, 2), ("left", 4, 4, 0), ("left", 5, None, 0),
+        ("right", 11, 11, 2), ("right", 12, 12, 3), ("right", 13, 12, 3), ("right", 14, None, 0),
+    }
+    assert sum(r[3] for r in got if r[0] == "pair") == matching.consistent_names(left, right).count() == 8
