@@ -41,3 +41,15 @@ def test_against_sql(spark, duck, name):
     columns = sorted(df.columns)
     want = duck.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM ({queries.SQL[name]})").fetchall()
     assert cells(df.select(*columns).collect()) == cells(want)
+
+
+def test_payer_page_by_grade_has_every_facility(spark, tmp_path):
+    """More facilities of a payer than a page of the largest ones shows."""
+    money, day = "100.0D + id AS l_extendedprice", "timestamp'2024-01-01' AS l_shipdate"
+    items = spark.range(700).selectExpr("8 * id AS l_orderkey", "11 * id + 4 AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", money, "0.1D AS l_discount", "'N' AS l_returnflag", "'O' AS l_linestatus", day)
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries.QUERIES["o8_payer_page_by_grade"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = con.execute(f"SELECT slug, ccn, place FROM ({queries.SQL['o8_payer_page_by_grade']})").fetchall()
+    assert len(want) > 500 and cells(got) == cells(want)
