@@ -240,3 +240,41 @@ def test_consistent_groups(spark):
         ("right", 11, 11, 2), ("right", 12, 12, 3), ("right", 13, 12, 3), ("right", 14, None, 0),
     }
     assert sum(r[3] for r in got if r[0] == "pair") == matching.consistent_names(left, right).count() == 8
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_priced_code_types(spark):
+    """The short form gives what the full one gives, for every label, shape and text."""
+    from itertools import product
+
+    from pricefold.functions import expressions as X
+
+    codes = ["", " ", None, "99213", "J0001", "470", "1-22", "X1", " 00004 "]
+    types = ["", None, "cpt", "MS_DRG", "ms drg", "LOCAL", "code", "CPT_HCPCS", "rc", "CDM", "_"]
+    df = spark.createDataFrame(list(product(codes, types, ["", None, " Item 1 "])), "code string, code_type string, description string")
+    full = X.display_code_type(F.col("code"), F.col("code_type"), F.col("description"), F.lit(True))
+    df = df.select("*", full.alias("full"), X.priced_code_type(F.col("code"), F.col("code_type"), F.col("description")).alias("short"))
+    named = df.where("trim(coalesce(code, '')) <> '' OR trim(coalesce(description, '')) <> ''")
+    assert named.count() > 200 and named.where("NOT full <=> short").count() == 0
+
+
+def test_items_are_standardized_once(spark):
+    """One sort for ranks and conflicts, one shuffle for a document's two levels, and no second pass for names or medians."""
+    from pricefold.operators import indexes, standardize
+
+    schema = "ccn string, seq long, code string, code_type string, description string, setting string, billing_class string, gross double, cash double, min_rate double, max_rate double, history boolean, payers array<struct<payer:string,rate_dollar:double>>"
+    row = lambda i, gross, n: ("000001", i, "99213", "CPT", "Visit", "O", "N", gross, 100.0 + i, None, None, False, [("Aetna PPO", 5.0 + k) for k in range(n)])
+    items = spark.createDataFrame([row(1, 7.0, 1), row(2, 7.0, 2), row(3, 9.0, 2)], schema)
+    slim = standardize.slim(items)
+    plan = plan_of(slim)
+    assert plan.count(" Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert [(r.gross, r.pc) for r in slim.collect()] == [(7.0, 2)]
+    document = standardize.normalized_document(items)
+    assert plan_of(document).count("Exchange hashpartitioning") == 1 and [len(r.charges) for r in document.collect()] == [3]
+    stats = indexes.with_canonical(indexes.payer_stats(slim))
+    assert plan_of(stats).count("Window [row_number") == 1 and [r.slug for r in stats.collect()] == ["aetna"]
+    for df in (indexes.with_outliers(indexes.code_entries(slim)), indexes.hot_code_stats(indexes.code_entries(slim))):
+        assert "Window [row_number" not in plan_of(df) and df.count() == 1
