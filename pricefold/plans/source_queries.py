@@ -17,6 +17,17 @@ from pricefold.streaming import changes, stateful
 # ---- readers -------------------------------------------------------------------------------------------------------
 
 
+def spread(df):
+    """A small table dealt over as many tasks as shuffles have: each of its rows becomes a file, and files are what takes time."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def one_each(df):
+    """A writer of one file for each row. Tasks move their files into place themselves; by default the driver moves them one by one."""
+    return df.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
+
 @query("SELECT ccn, code, gross, count(*) AS n FROM items WHERE gross IS NOT NULL AND code <> '' GROUP BY ALL", "items")
 def s5_ingest_xml(s, d):
     tag = lambda name, *inner: F.concat(F.lit(f"<{name}>"), *inner, F.lit(f"</{name}>"))
@@ -25,7 +36,7 @@ def s5_ingest_xml(s, d):
     folder = sinks.scratch_path(s, "xml")
     docs = T.items(s, d).where("gross IS NOT NULL AND code <> ''").select("ccn", tag("hospital", tag("hospital_name", F.col("ccn")), entry).alias("doc"))
     files_ = docs.groupBy("ccn").agg(tag("root", F.array_join(F.sort_array(F.collect_list("doc")), "")).alias("value"))  # a file for each facility
-    files_.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    one_each(files_.select("value")).text(folder)
     return files.ingest_documents(files.read_xml(s, folder)).groupBy(F.col("hospital_name").alias("ccn"), "code", "gross").agg(F.count("*").alias("n"))
 
 
@@ -41,9 +52,9 @@ def s6_formats(s, d):
 @query("SELECT ccn, CASE WHEN ccn::INT % 3 = 0 THEN name ELSE upper(name) END AS name FROM registry", "registry")
 def s7_corpus(s, d):
     """One file for each facility: packed ones of all, plain ones of a third."""
-    folder, r = sinks.scratch_path(s, "corpus"), T.registry(s, d).select("ccn", "name")
-    r.where("cast(ccn AS int) % 3 = 0").write.option("maxRecordsPerFile", 1).json(f"{folder}/plain")
-    r.withColumn("name", F.upper("name")).write.option("maxRecordsPerFile", 1).option("compression", "gzip").json(f"{folder}/packed")
+    folder, r = sinks.scratch_path(s, "corpus"), spread(T.registry(s, d).select("ccn", "name"))
+    one_each(r.where("cast(ccn AS int) % 3 = 0")).json(f"{folder}/plain")
+    one_each(r.withColumn("name", F.upper("name"))).option("compression", "gzip").json(f"{folder}/packed")
     return files.read_corpus(s, f"{folder}/*", "name string")
 
 
@@ -390,5 +401,5 @@ SQL["u7_merged_states"] = SQL["u7_merged_waves"]
 def s20_manifest(s, d):
     """Bytes and hashes of files that are written first, one for each facility."""
     folder = sinks.scratch_path(s, "outputs")
-    T.registry(s, d).select(F.concat_ws(" ", "ccn", "name").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    one_each(spread(T.registry(s, d)).select(F.concat_ws(" ", "ccn", "name").alias("value"))).text(folder)
     return sinks.build_manifest(s, folder, "*.txt").groupBy("bytes", "sha256").agg(F.count("*").alias("n"))

@@ -176,3 +176,10 @@ def test_formats_of_bytes_that_are_not_utf8(spark):
     df = spark.createDataFrame([(n, bytearray(c), w) for n, c, w in cases], "name string, content binary, want string").repartition(2)
     got = df.select("name", "want", files.sniff_format(F.col("content"), F.col("name")).alias("format")).collect()
     assert {r.name: r.format for r in got} == {r.name: r.want for r in got}
+
+
+def test_rows_that_become_files_are_dealt_over_tasks(spark):
+    """A small table is one partition as read; its files are written by as many tasks as shuffles have."""
+    from pricefold.plans.source_queries import spread
+
+    assert spread(spark.range(40).coalesce(1)).rdd.getNumPartitions() == 4
