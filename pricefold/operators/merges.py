@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from pricefold.functions import expressions as X
 from pricefold.operators.indexes import code_coverage, packed_entries, ranked_codes, top_entries
+from pricefold.sources.sinks import stored
 
 
 def gap_sets(target: DataFrame, parsed: DataFrame, preview: DataFrame) -> DataFrame:
-    """(gap, ccn) of target - parsed, parsed - preview, preview - parsed and target - preview."""
+    """(gap, ccn) of target - parsed, parsed - preview, preview - parsed and target - preview.
+
+    The sets' ids are written once, as each set takes part in two or three differences and is dear to make."""
+    target, parsed, preview = (stored(x.select("ccn").distinct(), "ids") for x in (target, parsed, preview))
     pairs = {"target - parsed": (target, parsed), "parsed - preview": (parsed, preview), "preview - parsed": (preview, parsed), "target - preview": (target, preview)}
-    parts = [a.select("ccn").distinct().join(b.select("ccn"), "ccn", "left_anti").select(F.lit(k).alias("gap"), "ccn") for k, (a, b) in pairs.items()]
+    parts = [a.join(b, "ccn", "left_anti").select(F.lit(k).alias("gap"), "ccn") for k, (a, b) in pairs.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
