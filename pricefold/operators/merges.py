@@ -56,11 +56,12 @@ def _disjoint(owners: DataFrame, wave: str) -> DataFrame:
 def merged_waves(shards: list[DataFrame], k_codes: int = 5000, k_entries: int = 25) -> DataFrame:
     """Code entries of all shards, grouped anew: ranked codes with their packed top entries.
 
-    A facility that several shards have is an error, raised when the result is computed."""
-    entries = reduce(DataFrame.unionByName, [x.withColumn("__shard", F.lit(i)) for i, x in enumerate(shards)])
+    A facility that several shards have is an error, raised when the result is computed. Entries and ranked codes are
+    written once, as coverage, lists and the check would each make the shards' entries anew."""
+    entries = stored(reduce(DataFrame.unionByName, [x.withColumn("__shard", F.lit(i)) for i, x in enumerate(shards)]), "entries")
     twice = _disjoint(entries, "__shard")
     entries = entries.drop("__shard")
-    ranked = ranked_codes(code_coverage(entries), k_codes)
+    ranked = stored(ranked_codes(code_coverage(entries), k_codes), "ranked")
     merged = ranked.join(packed_entries(top_entries(entries.join(ranked.select("code"), "code", "left_semi"), k_entries)), "code")
     return merged.crossJoin(twice).where("__error IS NULL").drop("__error")  # one row
 
