@@ -93,8 +93,10 @@ def ingest_wide(raw: DataFrame, layout: Layout | None = None) -> DataFrame:
     layout = layout or resolve_file(raw)
     cells = [F.struct(F.lit(c[:100]).alias("payer"), F.lit(None).cast("string").alias("plan"), to_money(F.col(f"`{c}`")).alias("rate_dollar")) for c in layout.payers]
     rates = F.filter(F.array(*cells), lambda x: x["rate_dollar"] > 0) if cells else F.array()
-    df = _scalars(raw, layout).select(*[_named(a, b) for a, b in _ITEM], rates.cast(RATES).alias("payers"))
-    return df.where(((F.col("code") != "") | (F.col("description") != "")) & ((F.col("code") != "") | F.col("gross").isNotNull() | (F.size("payers") > 0)))
+    # the filter asks the raw cells: one on the items would be pushed below with all that they are made of written out in it
+    coded, priced = layout.get("code") != "", gross_charge(layout)[0].isNotNull()
+    raw = raw.where((coded | (layout.get("desc") != "")) & (coded | priced | (F.size(rates) > 0)))
+    return _scalars(raw, layout).select(*[_named(a, b) for a, b in _ITEM], rates.cast(RATES).alias("payers"))
 
 
 _DOCUMENT = """hospital_name string, last_updated_on string, version string, hospital_location string, hospital_address string,
