@@ -171,7 +171,7 @@ def s1_many_layouts(s, d):
     heads = [["Charge Code,Description,Gross Charge,Payer Name,Negotiated Dollar"], ["made,by", "", '"hand,\nonce",twice', "Negotiated Dollar,Payer Name,Description,Gross Charge,Charge Code"], ["Description,Aetna,Cigna PPO,Medicare Plan,cdm_code,Gross"]]
     tops = x.select("ccn").distinct().select("ccn", F.posexplode(X.choose([(k == i, F.array(*map(F.lit, h))) for i, h in enumerate(heads)])).alias("seq", "value")).select("ccn", F.col("seq") - 10, F.lit(0), "value")
     folder = sinks.scratch_path(s, "layouts")
-    tall.unionByName(wide).union(tops).repartition("ccn").sortWithinPartitions("ccn", "seq", "at").select("ccn", "value").write.partitionBy("ccn").text(folder)
+    tall.unionByName(wide).union(tops).repartition("ccn").sortWithinPartitions("ccn", "seq", "at").select("ccn", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("ccn").text(folder)
     out = files.ingest_files(s, folder).withColumn("ccn", F.regexp_extract("file", "ccn=([^/]*)/", 1))
     return out.groupBy("ccn", "code", "description", "gross", F.size("payers").cast("long").alias("n")).agg(F.count("*").alias("copies"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricefold.functions.expressions import header_fingerprint, keyword_match, norm_header, normalize_code, to_money
+from pricefold.functions.expressions import header_fingerprint, is_money, keyword_match, norm_header, normalize_code, to_money
 from pricefold.sources import layout as L
 from pricefold.sources.sinks import scratch_path
 
@@ -140,9 +140,10 @@ def column_profiles(rows: DataFrame) -> DataFrame:
     """file and, by position, the share of rows with a value and the share of those that are prices (struct array ``profile``)."""
     cells = rows.select("file", F.posexplode("cells").alias("at", "cell"))
     text = F.trim("cell")
-    of = cells.groupBy("file", "at").agg(F.count_if(text != "").alias("filled"), F.count_if((text != "") & to_money(F.col("cell")).isNotNull()).alias("prices"))
-    many = rows.groupBy("file").agg(F.count("*").alias("many"))
-    return of.join(many, "file").groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", (F.col("filled") / F.col("many")).alias("filled"), F.coalesce(F.try_divide("prices", "filled"), F.lit(0.0)).alias("prices")))).alias("profile"))
+    of = cells.groupBy("file", "at").agg(F.count_if(text != "").alias("filled"), F.count_if((text != "") & is_money(F.col("cell"))).alias("prices"), F.count("*").alias("many"))
+    one = F.sort_array(F.collect_list(F.struct("at", "filled", F.coalesce(F.try_divide("prices", "filled"), F.lit(0.0)).alias("prices"))))
+    df = of.groupBy("file").agg(one.alias("profile"), F.max("many").alias("many"))  # every row has a first cell: the file's rows aren't counted anew
+    return df.select("file", F.transform("profile", lambda x: F.struct(x["at"].alias("at"), (x["filled"] / F.col("many")).alias("filled"), x["prices"].alias("prices"))).alias("profile"))
 
 
 ROLES = ("code", "code_type", "desc", "gross", "cash", "min", "max", "setting", "billing", "payer", "plan")
@@ -187,7 +188,7 @@ def ingest_delimited(spark: SparkSession, path: str, delimiter: str = ",", heade
     lines = staged_lines(spark, path, delimiter)
     recs = records(lines)
     heads = _stored(headers(lines, recs, delimiter, header_row), "headers")
-    rows = data_rows(recs, heads, delimiter)
+    rows = _stored(data_rows(recs, heads, delimiter), "rows")  # split once, for profiles and for items
     layouts = _stored(resolved_layouts(heads, column_profiles(rows), learned), "layouts")
     return items_of(rows, layouts)
 
