@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -76,13 +77,19 @@ def reuse_freed_memory() -> None:
 
 
 def give_back_freed_memory() -> None:
-    """Tells the C library to hand freed memory back: Spark keeps a worker, and what it holds, from one stage to the next."""
+    """Tells the C library and Arrow to hand freed memory back: Spark keeps a worker, and what it holds, from one stage to the next."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass
 
 
+def id_type(size: int) -> type[np.unsignedinteger]:
+    """Of stored subword ids; those of the public rank files fit 2 bytes."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
 def words_in_steps(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words of a text, in lists of those within about ``size`` bytes; bytes.split knows just the six white characters."""
     at = 0
@@ -362,7 +369,8 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoding, known = subwords(rank_file), shared.value
-        end = np.array([encoding.n_vocab], np.uint32)
+        kind = id_type(encoding.n_vocab + 1)
+        end = np.array([encoding.n_vocab], kind)
         for pdf in batches:
             out = []
             for text in pdf.pop("__text"):
@@ -375,8 +383,8 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
                     score += float(found.sum())
                     n_known += int((found > unknown).sum())
                     n += len(words)
-                    ids.append(encoding.encode_to_numpy(" " + b" ".join(words).decode("utf-8", "replace"), disallowed_special=()))
-                ids = np.concatenate([*ids, end]).astype(np.uint32)
+                    ids.append(encoding.encode_to_numpy(" " + b" ".join(words).decode("utf-8", "replace"), disallowed_special=()).astype(kind))
+                ids = np.concatenate([*ids, end])
                 out.append((n, n_known, score, rare, len(ids), ids.tobytes()))
             give_back_freed_memory()
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=names[1:])], axis=1)[schema.names]
@@ -386,16 +394,19 @@ def tokenised(docs: DataFrame, rank_file: str, common: dict[bytes, float], unkno
 
 
 def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
-    """How often each subword id occurs in learnable texts."""
+    """How often each subword id occurs in learnable texts. Ids travel in small batches: with Spark's 10,000 rows they took hundreds of MB in a task."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, np.int64)
+        total, kind = np.zeros(size, np.int64), id_type(size)
         for pdf in batches:
-            total += np.bincount(np.frombuffer(b"".join(pdf["ids"]), np.uint32), minlength=size)
+            for x in pdf["ids"]:
+                total += np.bincount(np.frombuffer(x, kind), minlength=size)
         at = np.flatnonzero(total)
+        give_back_freed_memory()
         yield pd.DataFrame({"i": at, "n": total[at]})
 
-    rows = tokens.where("NOT held_out").select("ids").mapInPandas(work, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()  # size rows at most
+    with small_batches(tokens.sparkSession, 100):
+        rows = tokens.where("NOT held_out").select("ids").mapInPandas(work, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()  # size rows at most
     out = np.zeros(size, np.int64)
     out[rows["i"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out
@@ -428,7 +439,7 @@ def averaged(part: DataFrame, model: Attention, rate: float) -> np.ndarray:
         voc, flat = shared.value
         trainer = Trainer(Attention(voc, flat.copy()), rate)
         for pdf in batches:
-            trainer.learn([voc.place[np.frombuffer(x, np.uint32)] for x in pdf["ids"]])
+            trainer.learn([voc.place[np.frombuffer(x, id_type(voc.size))] for x in pdf["ids"]])
         if trainer.ids:
             starts = range(0, len(flat), PART)
             weighted = trainer.model.flat.astype(np.float64) * trainer.ids
@@ -461,7 +472,7 @@ def with_model_score(tokens: DataFrame, model: Attention) -> DataFrame:
         voc, flat = shared.value
         own = Attention(voc, flat)
         for pdf in batches:
-            ids = [voc.place[np.frombuffer(x, np.uint32)] for x in pdf.pop("ids")]
+            ids = [voc.place[np.frombuffer(x, id_type(voc.size))] for x in pdf.pop("ids")]
             yield pdf.assign(score=text_scores(own, ids))
             give_back_freed_memory()
 

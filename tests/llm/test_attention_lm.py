@@ -121,3 +121,16 @@ def test_nothing_learnable(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = lm.scored(spark.createDataFrame([(held, "one two")], "doc_id long, text string"), FILE).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0) and abs(r.score + 3 * math.log10(50257)) < 1e-6
+
+
+def test_ids_travel_in_small_batches(spark, monkeypatch):
+    """Every Python task gets few rows at once, that which counts ids too, and ids take 2 bytes each."""
+    taken, stores, store, frame = [], [], lm.stored, type(spark.range(1))
+    plain = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, *a, **b: (taken.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))), plain(self, *a, **b))[1])
+    monkeypatch.setattr(lm, "stored", lambda df, name: (stores.append(store(df, name)), stores[-1])[1])
+    monkeypatch.setattr(lm, "MORE", 0)
+    lm.scored(spark.createDataFrame([(i, f"some words of text {i}") for i in range(20)], "doc_id long, text string"), FILE).count()
+    assert len(taken) >= 4 and max(taken) <= 500
+    assert [r for r in stores[-1].collect() if len(r.ids) != 2 * r.n_ids] == []
+    assert lm.id_type(1 << 16) is np.uint16 and lm.id_type((1 << 16) + 1) is np.uint32
