@@ -4,7 +4,7 @@
 2. Sequences get dense numbers (the task's offset plus that place). A keyed Feistel network over the next power of four,
    with cycle-walking, permutes [0, N): every sequence has a global slot, computed without any sort or state.
 3. A shard is a range of ``RECORDS`` slots. Slots are range partitioned: each task gets neighbouring shards, in order, as
-   compressed blocks. The ranges are known beforehand, as slots are dense, so no sample of the rows is taken. A task fills
+   blocks compressed against a few rows' ids, as blocks are small. The ranges are known beforehand, as slots are dense, so no sample of the rows is taken. A task fills
    one shard at a time, which has a fixed size, and writes it in one piece (under another name first, then renamed, so a
    repeated task does no harm). Record i of shard s is slot ``s * RECORDS + i``: reading can start at any slot.
 
@@ -38,6 +38,8 @@ ROUNDS = 6
 #: Ranges of slots that are written at once, at most.
 RANGES = 20_000
 NO_ID = -(1 << 63)
+#: Bytes of stored ids that are compressed together; bytes of ids that blocks are compressed against, and from how many rows.
+PAGE, SAMPLE, SAMPLE_ROWS = 1 << 23, 1 << 17, 32
 
 
 def record_type(length: int = LENGTH) -> np.dtype:
@@ -96,7 +98,8 @@ def encode(docs: DataFrame, path: str, pattern: str, length: int = LENGTH) -> Da
 
     folder = new_path(docs.sparkSession, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(work, "doc_id long, ids binary, task int, first long")
-    rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "10").parquet(folder)
+    packed = {"compression": "zstd", "parquet.compression.codec.zstd.level": "10", "parquet.page.size": str(PAGE)}
+    rows.write.options(**packed).parquet(folder)
     return docs.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
@@ -115,6 +118,16 @@ def offsets(tokens: DataFrame, length: int = LENGTH) -> tuple[DataFrame, int]:
     return F.broadcast(starts) if len(rows) <= BROADCAST_TASKS else starts, total
 
 
+def sample_of(tokens: DataFrame) -> bytes:
+    """The begins of some rows' ids, ``SAMPLE`` bytes at most: what blocks are compressed against. They only save space."""
+    rows = tokens.where("octet_length(ids) > 0").select(F.substring("ids", 1, SAMPLE // SAMPLE_ROWS).alias("ids")).limit(SAMPLE_ROWS).collect()
+    return b"".join(r.ids for r in rows)
+
+
+def against(sample: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
+
+
 def records_of(doc_ids: list, ids: list[bytes], length: int, pad: int) -> np.ndarray:
     """The records of documents that have tokens, in order."""
     sizes = np.array([len(x) // 2 for x in ids])
@@ -135,10 +148,10 @@ def records_of(doc_ids: list, ids: list[bytes], length: int, pad: int) -> np.nda
 def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGTH, records: int = RECORDS, pad: int = PAD) -> DataFrame:
     """Writes the shards of :func:`encode`'s rows below ``folder``; gives (shard, path, records) of each."""
     starts, total = offsets(tokens, length)
-    kind, order = record_type(length), Feistel(total, key)
+    kind, order, sample = record_type(length), Feistel(total, key), sample_of(tokens)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=9)
+        press = zstandard.ZstdCompressor(level=9, dict_data=against(sample))
         waiting: list[tuple] = []
         held = 0
 
@@ -167,7 +180,7 @@ def write_shards(tokens: DataFrame, folder: str, key: bytes, length: int = LENGT
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = fs.FileSystem.from_uri(folder)
-        press, current, rows = zstandard.ZstdDecompressor(), -1, np.zeros(0, kind)
+        press, current, rows = zstandard.ZstdDecompressor(dict_data=against(sample)), -1, np.zeros(0, kind)
 
         def finished() -> Iterator[pd.DataFrame]:
             if current < 0:

@@ -63,6 +63,26 @@ def test_long_text_and_clashing_columns(spark):
     assert t._encoding(PATH, P.PATTERN).decode(ids) == text and len({r.shard for r in rows}) > 3
 
 
+def test_small_blocks_take_little_space(spark, monkeypatch):
+    """Blocks of a few records are compressed against other rows' ids, so many small shards cost little more than a large one."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 400))) for i in range(120)], "doc_id long, text string").repartition(2)
+    tokens = t.encode(docs, PATH, P.PATTERN)
+    sizes, plain = [], type(docs).mapInPandas
+    monkeypatch.setattr(type(docs), "mapInPandas", lambda self, work, schema: (sizes.append(plain(self, work, schema)), sizes[-1])[1])
+    manifest = stored(t.write_shards(tokens, new_path(spark, "shards"), b"k", records=16), "manifest")
+    taken = sizes[0].agg(F.sum(F.octet_length("block")), F.count("*")).first()
+    monkeypatch.setattr(t, "sample_of", lambda tokens: b"")
+    t.write_shards(tokens, new_path(spark, "shards"), b"k", records=16)
+    alone = sizes[-2].agg(F.sum(F.octet_length("block")), F.count("*")).first()
+    assert taken[1] == alone[1] > 10 and taken[0] < 0.85 * alone[0]
+    rows = t.read_shards(spark, manifest, records=16).collect()
+    want = {r.doc_id: r.ids for r in tokens.collect()}
+    got = {d: b"".join(r.ids for r in sorted((r for r in rows if r.doc_id == d), key=lambda r: r.part)) for d in want}
+    assert got == want
+
+
 def test_no_documents(spark):
     tokens = t.encode(spark.createDataFrame([(1, None)], "doc_id long, text string"), PATH, P.PATTERN)
     assert t.write_shards(tokens, new_path(spark, "shards"), b"k").count() == 0
