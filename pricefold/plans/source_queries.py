@@ -361,19 +361,19 @@ SELECT 1 AS generation, * FROM one UNION ALL SELECT 2, product, CASE WHEN produc
 def s18_generations(s, d):
     """Six products published together, twice; one key of each read from the generation pinned before the second, and from that.
 
-    The second lacks the facility in its index. Files: those that the read of the key found rows in."""
-    folder = sinks.scratch_path(s, "products")
-    x = slim(s, d)
-    x.write.parquet(f"{folder}-slim")
-    x, r = s.read.parquet(f"{folder}-slim"), T.registry(s, d)
-    e, scores = indexes.code_entries(x), standardize.compliance(x)
-    idx = indexes.facility_index(x, scores, r).select("ccn", "n", "cpt_indexed")
-    products = {"items": (x, "ccn"), "entries": (e, "code"), "index": (idx, "ccn"), "coverage": (e.groupBy("code").agg(F.count("*").alias("n")), "code"), "registry": (r, "ccn"), "scores": (scores, "ccn")}
-    sinks.publish(s, products, f"{folder}/published", 16)
-    pinned = sinks.generation(s, f"{folder}/published")
-    sinks.publish(s, products | {"index": (idx.where("ccn <> '000007'"), "ccn")}, f"{folder}/published", 16)
+    The second lacks the facility in its index and names the other products where they lie. All but the registry are made
+    from the published items. Files: those that the read of the key found rows in."""
+    folder, r = f"{sinks.scratch_path(s, 'products')}/published", T.registry(s, d)
+    products = {
+        "items": (slim(s, d), "ccn"), "entries": (lambda p: indexes.code_entries(p["items"]), "code"), "scores": (lambda p: standardize.compliance(p["items"]), "ccn"),
+        "index": (lambda p: indexes.facility_index(p["items"], p["scores"], r).select("ccn", "n", "cpt_indexed"), "ccn"),
+        "coverage": (lambda p: p["entries"].groupBy("code").agg(F.count("*").alias("n")), "code"), "registry": (r, "ccn"),
+    }
+    pinned = sinks.publish(s, products, folder, 16)
+    fewer = pinned.read("index").where("ccn <> '000007'")
+    sinks.publish(s, {"index": (fewer, "ccn")}, folder, 16, [name for name in products if name != "index"])
     parts = []
-    for g in (pinned, sinks.generation(s, f"{folder}/published")):
+    for g in (pinned, sinks.generation(s, folder)):
         for name, (_, _, wanted, value) in _KEYED.items():
             one = g.read(name, wanted).select(F.expr(value).cast("long").alias("value"), F.input_file_name().alias("file"))
             parts.append(one.agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"), F.count_distinct("file").alias("n_files")).select(F.lit(g.number).cast("int").alias("generation"), F.lit(name).alias("product"), "*"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricefold.sources import delimited, files, layout, sinks, web
@@ -170,6 +171,21 @@ def test_generations(spark, tmp_path):
     assert empty.products["index"][2] == 0
 
 
+def test_unchanged_products_are_not_written_again(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    df = spark.createDataFrame([(f"{i:06d}", i) for i in range(50)], "ccn string, n long")
+    products = {"index": (df, "ccn"), "sums": (lambda p: p["index"].selectExpr("ccn", "n + 1 AS n"), "ccn")}
+    first = sinks.publish(spark, products, folder, 8)
+    for k in (2, 3):  # one carried over twice lies where it was written
+        g = sinks.publish(spark, {"index": (first.read("index").where(f"n >= {k}"), "ccn")}, folder, 4, ["sums"])
+        assert g == sinks.generation(spark, folder) and g.products == {"index": ("ccn", 4, 50 - k), "sums": ("ccn", 8, 50)}
+        assert [r.n for r in g.read("sums", "000007").collect()] == [8] and g.read("index").count() == 50 - k
+    assert len(list(tmp_path.glob("out/generations/*/index"))) == 3 and len(list(tmp_path.glob("out/generations/*/sums"))) == 1
+    for name in ("index", "other"):
+        with pytest.raises(ValueError):
+            sinks.publish(spark, {"index": (df, "ccn")}, folder, 4, [name])
+
+
 def test_formats_of_bytes_that_are_not_utf8(spark):
     """Other encodings, binary content and a character that the sniffed part splits."""
     cases = [("latin", "größe;b;c\n1;2;3".encode("latin-1"), "csv"), ("packed", bytes.fromhex("1F8B0800FF"), "gzip"), ("noise", b"\x80\x81\xff", "unknown"), ("split", b'{"a": "' + b"x" * 2040 + "é".encode() + b'"}', "json")]
