@@ -173,6 +173,18 @@ def test_empty(spark):
     assert g.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_component_rounds_have_small_plans(spark, monkeypatch):
+    from pricefold.llm import components
+
+    leaves, write = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name: (leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size()), write(df, name))[1])
+    links = spark.createDataFrame([(1, 2), (2, 3), (5, 9)], "a long, b long")
+    assert sorted(map(tuple, connected_components(links).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5), (9, 5)]
+    assert max(leaves) <= 4  # the driver holds and compiles each round's plan
+    del leaves[:]
+    assert connected_components(links.limit(0)).collect() == [] and len(leaves) == 1
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7), (300, 200), (300, 250)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
