@@ -161,18 +161,19 @@ SELECT ccn, code, description, gross, n, count(*) AS copies FROM a GROUP BY ALL"
 def s1_many_layouts(s, d):
     """A file for each facility in one of three layouts: plain, with a preamble, a blank line and line breaks in cells, and wide."""
     x, k = T.items(s, d).where("code <> ''"), F.col("ccn").cast("int") % 3
-    money, quoted = F.coalesce(F.format_string("%.2f", "gross"), F.lit("")), F.concat(F.lit('"'), "description", F.lit(', ""big""\nsize"'))
+    text = lambda c: F.coalesce(c.cast("decimal(20,2)").cast("string"), F.lit(""))
+    money, quoted = text(F.col("gross")), F.concat(F.lit('"'), "description", F.lit(', ""big""\nsize"'))
     line = lambda *cells: F.concat_ws(",", *cells)
-    tall = x.where(k < 2).select("ccn", "seq", "code", "description", "gross", F.posexplode("payers").alias("at", "p"))
-    rate, payer = F.coalesce(F.format_string("%.2f", "p.rate_dollar"), F.lit("")), F.col("p.payer")
-    tall = tall.select("ccn", "seq", "at", F.when(k == 0, line("code", "description", money, payer, rate)).otherwise(line(rate, payer, quoted, money, "code")).alias("value"))
-    cell = lambda i: F.coalesce(F.format_string("%.2f", F.try_element_at("payers", F.lit(i))["rate_dollar"]), F.lit(""))
-    wide = x.where(k == 2).select("ccn", "seq", F.lit(0).alias("at"), line("description", cell(1), cell(2), cell(3), "code", money).alias("value"))
-    heads = [["Charge Code,Description,Gross Charge,Payer Name,Negotiated Dollar"], ["made,by", "", '"hand,\nonce",twice', "Negotiated Dollar,Payer Name,Description,Gross Charge,Charge Code"], ["Description,Aetna,Cigna PPO,Medicare Plan,cdm_code,Gross"]]
-    tops = x.select("ccn").distinct().select("ccn", F.posexplode(X.choose([(k == i, F.array(*map(F.lit, h))) for i, h in enumerate(heads)])).alias("seq", "value")).select("ccn", F.col("seq") - 10, F.lit(0), "value")
+    rows = F.when(k < 2, F.col("payers")).otherwise(F.array(F.lit(None).cast(x.schema["payers"].dataType.elementType)))  # a line for each payer, or for the item
+    lines = x.select("ccn", "seq", "code", "description", "gross", "payers", F.posexplode(rows).alias("at", "p"))
+    rate, payer = text(F.col("p.rate_dollar")), F.col("p.payer")
+    cell = lambda i: text(F.try_element_at("payers", F.lit(i))["rate_dollar"])
+    value = X.choose([(k == 0, line("code", "description", money, payer, rate)), (k == 1, line(rate, payer, quoted, money, "code"))], line("description", cell(1), cell(2), cell(3), "code", money))
+    heads = ["Charge Code,Description,Gross Charge,Payer Name,Negotiated Dollar\n", 'made,by\n\n"hand,\nonce",twice\nNegotiated Dollar,Payer Name,Description,Gross Charge,Charge Code\n', "Description,Aetna,Cigna PPO,Medicare Plan,cdm_code,Gross\n"]
     folder = sinks.scratch_path(s, "layouts")
-    tall.unionByName(wide).union(tops).repartition("ccn").sortWithinPartitions("ccn", "seq", "at").select("ccn", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("ccn").text(folder)
-    out = files.ingest_files(s, folder).withColumn("ccn", F.regexp_extract("file", "ccn=([^/]*)/", 1))
+    lines = lines.select("ccn", "seq", "at", value.alias("value")).repartition("ccn").sortWithinPartitions("ccn", "seq", "at")
+    sinks.write_texts(lines, "ccn", folder, lambda ccn: heads[int(ccn) % 3])
+    out = files.ingest_files(s, folder).withColumn("ccn", F.substring_index(F.substring_index("file", "/", -1), ".", 1))
     return out.groupBy("ccn", "code", "description", "gross", F.size("payers").cast("long").alias("n")).agg(F.count("*").alias("copies"))
 
 

@@ -11,6 +11,7 @@ and its lines as records of their own."""
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -33,9 +34,9 @@ RATES = "array<struct<payer:string,plan:string,rate_dollar:double>>"
 # ---- lines and records ---------------------------------------------------------------------------------------------
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def _stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,55 +46,101 @@ def quote_steps(value: Column, delimiter: str) -> tuple[Column, Column]:
     rest = r'[^"]*+(?:""[^"]*+)*+'
     open_end = rf'(?:(?:"{rest}"[^{d}]*+|(?!")[^{d}]*+){d})*+"{rest}$'
     quoted = value.contains('"')
-    return F.when(quoted, value.rlike(f"^{open_end}")).otherwise(False), F.when(quoted, value.rlike(rf'^{rest}(?:$|"[^{d}]*+{d}{open_end})')).otherwise(True)
+    one = F.length(F.replace(value, F.lit('"'), F.lit(""))) == F.length(value) - 1  # it opens a cell or closes one
+    opens = value.startswith('"') | value.contains(f'{delimiter}"')
+    return F.when(~quoted, False).when(one, opens).otherwise(value.rlike(f"^{open_end}")), F.when(~quoted, True).when(one, False).otherwise(value.rlike(rf'^{rest}(?:$|"[^{d}]*+{d}{open_end})'))
 
 
 def staged_lines(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """file, block, id, value and the two quote steps of each line, written once: the texts themselves are read once."""
-    df = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "^﻿", "").alias("value"))
+    """file, block, id, value, the two quote steps of each line, and whether its file is one block, written once: the texts themselves are read once."""
+    value = F.when(F.col("value").startswith("﻿"), F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))
+    whole = F.col("_metadata.file_block_length") == F.col("_metadata.file_size")
+    df = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), value.alias("value"), whole.alias("whole"))
     outside, inside = quote_steps(F.col("value"), delimiter)
-    return _stored(df.withColumns({"from_outside": outside, "from_inside": inside}), "lines")
+    return _stored(df.withColumns({"from_outside": outside, "from_inside": inside}), "lines", **{"parquet.enable.dictionary#value": "false"})  # most lines differ
+
+
+def by_file_of(lines: DataFrame, *more: str) -> DataFrame:
+    """A row for each file: its first line's id, whether lines break within quotes, and whether it has several blocks."""
+    return lines.groupBy("file", *more).agg(F.min(F.when(F.col("block") == 0, F.col("id"))).alias("first"), F.max("from_outside").alias("breaks"), F.max(~F.col("whole")).alias("several"))
+
+
+def numbered(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines with a number of 64 bits in place of their file's path, and a row for each file with its ``path``.
+
+    Paths are longer than most lines, and begin alike: as numbers they are cheap to send, to sort and to look up. Another
+    seed is taken if two paths should have one number."""
+    for seed in itertools.count():
+        of = lines.withColumnRenamed("file", "path").withColumn("file", F.xxhash64("path", F.lit(seed)))
+        by_file = _stored(by_file_of(of, "path"), "files")
+        if by_file.groupBy("file").count().where("count > 1").isEmpty():
+            return of.drop("path"), by_file
 
 
 def _composed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Adds what the steps up to each row make of a state: ``flips`` so far, and ``fixed``, the value set last with the flips by then."""
+    """Adds what the steps up to each row make of a state: whether it ``flips``, unless it is ``fixed``, and then to what. ``before``
+    has the same for the steps before the row."""
     upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("flips", F.sum((F.col("from_outside") & ~F.col("from_inside")).cast("int")).over(upto))
-    sets = F.when(F.col("from_outside") == F.col("from_inside"), F.struct(F.col("from_outside").alias("value"), F.col("flips").alias("at")))
-    return df.withColumn("fixed", F.last(sets, ignorenulls=True).over(upto))
+    past = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    flip = (F.col("from_outside") & ~F.col("from_inside")).cast("int")
+    df = df.withColumn("n_flips", F.sum(flip).over(upto))
+    flips, flipped = F.col("n_flips") % 2 == 1, (F.col("n_flips") - flip) % 2 == 1
+    fixed = F.when(F.col("from_outside") == F.col("from_inside"), F.col("from_outside") != flips)  # turned back by the flips up to there
+    df = df.withColumns({"fixed": F.last(fixed, ignorenulls=True).over(upto) != flips, "fixed_before": F.last(fixed, ignorenulls=True).over(past) != flipped})
+    return df.withColumns({"flips": flips, "before": F.struct(flipped.alias("flips"), F.col("fixed_before").alias("fixed"))}).drop("n_flips", "fixed_before")
 
 
-def _after(start: Column) -> Column:
+def _after(start: Column, steps: str = "") -> Column:
     """The state after composed steps that begin with ``start``."""
-    return F.coalesce("fixed.value", start) != ((F.col("flips") - F.coalesce("fixed.at", F.lit(0))) % 2 == 1)
+    return F.coalesce(F.col(f"{steps}fixed"), start != F.col(f"{steps}flips"))
+
+
+def _begins(inner: DataFrame, start: Column) -> DataFrame:
+    """For composed lines of blocks that begin with ``start``: the id of the line in its block on which its record begins (``own``),
+    null for a record of an earlier block."""
+    upto = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return inner.withColumn("own", F.last(F.when(~_after(start, "before."), F.col("id")), ignorenulls=True).over(upto))
 
 
-def records(lines: DataFrame) -> DataFrame:
+def _joined(told: DataFrame, *begin: str) -> DataFrame:
+    """Records of lines that know the place on which theirs begins; one of more than ``MOST_LINES`` lines falls into its lines."""
+    many = F.count("*").over(Window.partitionBy("file", *begin))
+    told = told.withColumn("stray", many > MOST_LINES)
+    told = told.select("file", *PLACE, "value", *[F.when(F.col("stray"), F.col(p)).otherwise(F.col(b)).alias(f"at_{p}") for p, b in zip(PLACE, begin)])
+    # its lines from each one on: few, and only the first one's are kept
+    rest = Window.partitionBy("file", *[f"at_{p}" for p in PLACE]).orderBy(*PLACE).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    told = told.withColumn("texts", F.collect_list("value").over(rest)).where("block = at_block AND id = at_id")
+    return told.select("file", *PLACE, F.array_join("texts", "\n").alias("value"))
+
+
+def records(lines: DataFrame, by_file: DataFrame | None = None) -> DataFrame:
     """file, block, id and value of each record: a line, or several where a quoted cell has line breaks. The place is the first line's.
 
-    Files with such cells are put right once and written; the others' lines are records as they are."""
-    broken = lines.groupBy("file").agg(F.max("from_outside").alias("breaks"))  # a row for each file
-    lines = lines.join(broken, "file")
-    plain = lines.where("NOT breaks").select("file", *PLACE, "value")
-    inner = _composed(lines.where("breaks"), ["file", "block"], "id")
+    Files with such cells are put right once and written; the others' lines are records as they are. What a file of one block
+    needs is in that block, so its lines are dealt out and sorted once."""
+    by_file = _stored(by_file_of(lines), "files") if by_file is None else by_file  # its size is known to what joins it
+    plain = lines.join(by_file.where("NOT breaks").select("file"), "file", "left_semi").select("file", *PLACE, "value")
+    broken = lines.join(by_file.where("breaks").select("file"), "file", "left_semi")
+    composed = lambda df: _composed(df, ["file", "block"], "id")
+    mended = _joined(_begins(composed(broken.where("whole")), F.lit(False)), "block", "own")
+    if not by_file.where("breaks AND several").isEmpty():
+        mended = mended.unionByName(_over_blocks(composed(broken.where("NOT whole"))))
+    return plain.unionByName(_stored(mended, "mended"))
+
+
+def _over_blocks(inner: DataFrame) -> DataFrame:
+    """Records of files of several blocks: the state in which a block begins comes from all blocks before it."""
+    inner = _stored(inner.select("file", *PLACE, "value", "flips", "fixed", "before"), "composed")
+    by_file = Window.partitionBy("file").orderBy("block")
     blocks = inner.groupBy("file", "block").agg(F.max_by(F.struct("flips", "fixed"), "id").alias("s")).select("file", "block", "s.*")
     blocks = _composed(blocks.select("file", "block", _after(F.lit(False)).alias("from_outside"), _after(F.lit(True)).alias("from_inside")), ["file"], "block")
-    by_file, by_block = Window.partitionBy("file").orderBy("block"), Window.partitionBy("file", "block").orderBy("id")
     starts = blocks.select("file", "block", F.lag(_after(F.lit(False)), 1, False).over(by_file).alias("start"))
-    told = inner.join(starts, ["file", "block"]).withColumn("within", _after(F.col("start")))
-    told = told.withColumn("before", F.coalesce(F.lag("within").over(by_block), "start"))
-    begins = F.when(~F.col("before"), F.struct(*PLACE))
-    told = told.withColumn("own", F.last(begins, ignorenulls=True).over(by_block)).select("file", *PLACE, "value", "within", "before", "own")
+    told = _stored(_begins(inner.join(_stored(starts, "starts"), ["file", "block"]), F.col("start")).select("file", *PLACE, "value", "own"), "told")
     # a record that began in a block before this one: the last one that began in any of them
-    carried = told.groupBy("file", "block").agg(F.max("own").alias("last_begin"))
-    carried = carried.select("file", "block", F.last("last_begin", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    single = told.where("NOT within AND NOT before").select("file", *PLACE, "value")
-    several = told.where("within OR before").join(carried, ["file", "block"]).withColumn("begin", F.coalesce("own", "carried"))
-    several = several.withColumn("many", F.count("*").over(Window.partitionBy("file", "begin")))
-    joined = several.where(F.col("many") <= MOST_LINES).groupBy("file", "begin").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*PLACE, "value"))), lambda x: x["value"]), "\n").alias("value"))
-    stray = several.where(F.col("many") > MOST_LINES).select("file", *PLACE, "value")
-    mended = single.unionByName(joined.select("file", "begin.*", "value")).unionByName(stray)
-    return plain.unionByName(_stored(mended, "mended"))
+    last = told.groupBy("file", "block").agg(F.max("own").alias("own")).select("file", "block", F.when(F.col("own").isNotNull(), F.struct("block", "own")).alias("last"))
+    carried = last.select("file", "block", F.last("last", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    told = told.join(_stored(carried, "carried"), ["file", "block"])
+    return _joined(told.select("file", *PLACE, "value", F.when(F.col("own").isNotNull(), F.col("block")).otherwise(F.col("carried.block")).alias("in"), F.coalesce("own", "carried.own").alias("own")), "in", "own")
 
 
 def split_cells(value: Column, delimiter: str = ",") -> Column:
@@ -112,22 +159,28 @@ SIGNALS = [L.CODE_HINTS, L.DESC_HINTS, L.GROSS_HINTS, L.CASH_HINTS, L.PAYER_HINT
 TALL_NAMES = ("payer", "payer_name")
 
 
-def headers(lines: DataFrame, recs: DataFrame, delimiter: str = ",", header_row: int | None = None) -> DataFrame:
+def headers(lines: DataFrame, recs: DataFrame, delimiter: str = ",", header_row: int | None = None, by_file: DataFrame | None = None) -> DataFrame:
     """file, header (its cells), layout and the header's place: the record of that number, blank ones counted too, or else the
     first of those with most signals (two at least) and then most cells, or else the first one."""
-    first = lines.where("block = 0").groupBy("file").agg(F.min("id").alias("first"))
-    head = recs.where("block = 0").join(first, "file").where(F.col("id") < F.col("first") + HEAD_LINES)
-    cells = F.transform(split_cells(F.col("value"), delimiter), lambda c: F.trim(c))
-    row = F.struct("id", cells.alias("cells"))
-    rows = head.groupBy("file").agg(F.slice(F.sort_array(F.collect_list(row)), 1, max(HEAD_RECORDS, (header_row or 0) + 1)).alias("rows"))  # HEAD_LINES at most
+    by_file = _stored(by_file_of(lines), "files") if by_file is None else by_file
+    most = max(HEAD_RECORDS, (header_row or 0) + 1)
+    near = F.when(F.col("breaks"), HEAD_LINES).otherwise(min(HEAD_LINES, most))  # lines of other files are records
+    head = recs.where("block = 0").join(by_file.select("file", "first", "breaks"), "file").where(F.col("id") < F.col("first") + near)
+    texts = head.groupBy("file").agg(F.slice(F.sort_array(F.collect_list(F.struct("id", "value"))), 1, most).alias("rows"))  # HEAD_LINES at most
+    cells = lambda value: F.transform(split_cells(value, delimiter), lambda c: F.trim(c))
+    found = lambda h: [h["id"].alias("id"), h["cells"].alias("header"), header_fingerprint(h["cells"]).alias("layout")]
     if header_row is not None:
-        return rows.select("file", F.try_element_at("rows", F.lit(header_row + 1)).alias("h")).where("h IS NOT NULL").select("file", "h.id", F.col("h.cells").alias("header"), header_fingerprint(F.col("h.cells")).alias("layout"))
-    signals = lambda cs: sum((F.exists(cs, lambda c: keyword_match(c, words)).cast("int") for words in SIGNALS), F.lit(0))
+        own = texts.select("file", F.try_element_at("rows", F.lit(header_row + 1)).alias("r")).where("r IS NOT NULL")
+        return own.select("file", F.struct("r.id", cells(F.col("r.value")).alias("cells")).alias("h")).select("file", *found(F.col("h")))
+    rows = texts.select("file", F.transform("rows", lambda r: F.struct(r["id"].alias("id"), cells(r["value"]).alias("cells"))).alias("rows"))
+    # one text of a row's names for each row: no word has the line break that parts them
+    names = rows.select("file", "rows", F.transform("rows", lambda r: F.struct(r["id"].alias("id"), r["cells"].alias("cells"), F.regexp_replace(F.lower(F.array_join(r["cells"], "\n")), r"[ \-]", "_").alias("names"))).alias("named"))
+    signals = lambda names: sum((names.rlike("|".join(re.escape(w.replace(" ", "_")) for w in words)).cast("int") for words in SIGNALS), F.lit(0))
     filled = lambda cs: F.size(F.filter(cs, lambda c: c != ""))
-    scored = F.transform("rows", lambda r: F.struct(F.when((filled(r["cells"]) >= 2) & (signals(r["cells"]) >= 2), signals(r["cells"])).otherwise(0).alias("signals"), filled(r["cells"]).alias("filled"), (-r["id"]).alias("early"), r["cells"].alias("cells")))
-    best = F.array_max(F.filter(scored, lambda r: r["signals"] > 0))
-    chosen = F.struct((-best["early"]).alias("id"), best["cells"].alias("cells"))
-    return rows.select("file", F.when(best.isNotNull(), chosen).otherwise(F.col("rows")[0]).alias("h")).select("file", "h.id", F.col("h.cells").alias("header"), header_fingerprint(F.col("h.cells")).alias("layout"))
+    scored = names.select("file", "rows", F.transform("named", lambda r: F.struct(signals(r["names"]).alias("signals"), filled(r["cells"]).alias("filled"), (-r["id"]).alias("early"), r["cells"].alias("cells"))).alias("scored"))
+    best = scored.select("file", "rows", F.array_max(F.filter("scored", lambda r: (r["filled"] >= 2) & (r["signals"] >= 2))).alias("best"))
+    chosen = F.when(F.col("best").isNotNull(), F.struct((-F.col("best.early")).alias("id"), F.col("best.cells").alias("cells"))).otherwise(F.col("rows")[0])
+    return best.select("file", chosen.alias("h")).select("file", *found(F.col("h")))
 
 
 def data_rows(recs: DataFrame, heads: DataFrame, delimiter: str = ",") -> DataFrame:
@@ -147,7 +200,7 @@ def column_profiles(rows: DataFrame) -> DataFrame:
 
 
 ROLES = ("code", "code_type", "desc", "gross", "cash", "min", "max", "setting", "billing", "payer", "plan")
-RESOLVED = f"file string, layout string, tall boolean, mnemonic boolean, roles struct<{', '.join(f'`{r}`:int' for r in ROLES)}>, rate int, payers array<struct<at:int,name:string>>, dated array<struct<at:int,header:string,day:date>>, notes array<string>"
+RESOLVED = f"layout string, tall boolean, mnemonic boolean, roles struct<{', '.join(f'`{r}`:int' for r in ROLES)}>, rate int, payers array<struct<at:int,name:string>>, dated array<struct<at:int,header:string,day:date>>, notes array<string>"
 
 
 def resolved_layouts(heads: DataFrame, profiles: DataFrame, learned: DataFrame | None = None) -> DataFrame:
@@ -174,7 +227,9 @@ def resolved_layouts(heads: DataFrame, profiles: DataFrame, learned: DataFrame |
                 out.append((r.file, r.layout, tall, mnemonic, {k: at(found.roles.get(k)) for k in ROLES}, at(found.rate), [{"at": at(h), "name": h} for h in found.payers], dated, found.notes))
             yield pd.DataFrame(out, columns=["file", "layout", "tall", "mnemonic", "roles", "rate", "payers", "dated", "notes"]).astype({"rate": "Int32"})
 
-    return df.select("file", "layout", "header", "profile", "known").mapInPandas(work, RESOLVED)
+    # dealt by a fixed number: a row is small, but its rules take time, and few bytes would be put into one task
+    dealt = df.select("file", "layout", "header", "profile", "known").repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.mapInPandas(work, f"file {heads.schema['file'].dataType.simpleString()}, {RESOLVED}")
 
 
 # ---- items ---------------------------------------------------------------------------------------------------------
@@ -185,32 +240,37 @@ def ingest_delimited(spark: SparkSession, path: str, delimiter: str = ",", heade
 
     Rows of a tall file fold to (code, description), with scalars of the first; a wide file's rows stay items of their own,
     if they have a code or description and a code, a gross charge or a rate."""
-    lines = staged_lines(spark, path, delimiter)
-    recs = records(lines)
-    heads = _stored(headers(lines, recs, delimiter, header_row), "headers")
+    lines, by_file = numbered(staged_lines(spark, path, delimiter))
+    recs = records(lines, by_file)
+    heads = _stored(headers(lines, recs, delimiter, header_row, by_file), "headers")
     rows = _stored(data_rows(recs, heads, delimiter), "rows")  # split once, for profiles and for items
     layouts = _stored(resolved_layouts(heads, column_profiles(rows), learned), "layouts")
-    return items_of(rows, layouts)
+    items = items_of(rows, layouts)
+    return items.join(by_file.select("file", "path"), "file").select(F.col("path").alias("file"), *[c for c in items.columns if c != "file"])
 
 
 def items_of(rows: DataFrame, layouts: DataFrame) -> DataFrame:
-    """Items of rows by their files' resolved layouts."""
-    df = rows.join(layouts.drop("notes"), "file")
+    """Items of rows by their files' resolved layouts. Scalars are worked out once an item: folding takes codes and rates, and keeps the first row's cells."""
+    layouts, place = layouts.drop("notes"), F.struct(*PLACE).alias("place")
     cell = lambda at: F.trim(F.coalesce(F.try_element_at("cells", at + 1), F.lit("")))
     role = lambda name: F.when(F.col(f"roles.{name}").isNotNull(), cell(F.col(f"roles.{name}"))).otherwise("")
     cut = lambda c, n: F.substring(c, 1, n)
     dated = F.filter(F.transform("dated", lambda d: F.struct(to_money(cell(d["at"])).alias("amount"), F.struct(d["header"].alias("header"), d["day"].alias("effective_date")).alias("source"))), lambda x: x["amount"] >= 0)
     newest, is_dated = F.try_element_at(dated, F.lit(1)), F.size("dated") > 0
-    code = F.when(F.col("mnemonic"), F.struct(role("code").alias("code"), F.lit("CDM").alias("code_type"))).otherwise(normalize_code(role("code"), role("code_type")))
-    rate = F.struct(cut(role("payer"), 100).alias("payer"), cut(role("plan"), 100).alias("plan"), to_money(F.when(F.col("rate").isNotNull(), cell(F.col("rate")))).alias("rate_dollar"))
-    own = F.filter(F.array(rate), lambda x: (x["payer"] != "") & (x["rate_dollar"] > 0))
-    wide = F.filter(F.transform("payers", lambda p: F.struct(cut(p["name"], 100).alias("payer"), F.lit(None).cast("string").alias("plan"), to_money(cell(p["at"])).alias("rate_dollar"))), lambda x: x["rate_dollar"] > 0)
-    df = df.select("file", "layout", "tall", *PLACE, code.alias("c"), role("desc").alias("desc"), F.when(F.col("tall"), own).otherwise(wide).cast(RATES).alias("rates"), *[role(x).alias(x) for x in ("setting", "billing")],
-        F.when(is_dated, newest["amount"]).otherwise(to_money(role("gross"))).alias("gross"), F.when(is_dated, newest["source"]).alias("source"), *[to_money(role(x)).alias(x) for x in ("cash", "min", "max")])
-    has = (F.col("c.code") != "") | F.col("gross").isNotNull() | (F.size("rates") > 0)
-    df = df.where(F.col("tall") | (((F.col("c.code") != "") | (F.col("desc") != "")) & has))
-    place = F.struct(*PLACE)
-    key = F.when(~F.col("tall"), place)  # a wide file's row is a group of its own
-    scalars = F.struct("c.code", "c.code_type", cut(F.col("desc"), 300).alias("description"), "setting", F.col("billing").alias("billing_class"), "gross", F.col("source").alias("gross_charge_source"), "cash", F.col("min").alias("min_rate"), F.col("max").alias("max_rate"), place.alias("place"))
-    out = df.withColumns({"key": key, "place": place}).groupBy("file", "layout", F.col("c.code").alias("k1"), F.col("desc").alias("k2"), "key").agg(F.min_by(scalars, "place").alias("i"), F.sort_array(F.collect_list(F.struct("place", "rates"))).alias("cells"))
-    return out.select("file", "layout", "i.*", F.flatten(F.transform("cells", lambda x: x["rates"])).alias("payers"))
+    gross = F.when(is_dated, newest["amount"]).otherwise(to_money(role("gross")))
+    coded = normalize_code(role("code"), role("code_type"))
+    code, code_type = F.when(F.col("mnemonic"), role("code")).otherwise(coded["code"]), F.when(F.col("mnemonic"), "CDM").otherwise(coded["code_type"])
+    scalars = [code.alias("code"), code_type.alias("code_type"), cut(role("desc"), 300).alias("description"), role("setting").alias("setting"), role("billing").alias("billing_class"), gross.alias("gross"), F.when(is_dated, newest["source"]).alias("gross_charge_source"), *[to_money(role(x)).alias(y) for x, y in (("cash", "cash"), ("min", "min_rate"), ("max", "max_rate"))]]
+    of_all = lambda df: df.select("file", "layout", *scalars, "place", F.col("payers").cast(RATES).alias("payers"))
+
+    tall = rows.join(layouts.where("tall"), "file")
+    tall = tall.select("file", place, "cells", code.alias("k1"), role("desc").alias("k2"), cut(role("payer"), 100).alias("payer"), cut(role("plan"), 100).alias("plan"), to_money(F.when(F.col("rate").isNotNull(), cell(F.col("rate")))).alias("rate_dollar"))
+    rate = F.when((F.col("payer") != "") & (F.col("rate_dollar") > 0), F.struct("place", "payer", "plan", "rate_dollar"))
+    folded = tall.groupBy("file", "k1", "k2").agg(F.min(F.struct("place", "cells")).alias("first"), F.sort_array(F.collect_list(rate)).alias("rates"))
+    folded = folded.select("file", "first.*", F.transform("rates", lambda x: F.struct(x["payer"].alias("payer"), x["plan"].alias("plan"), x["rate_dollar"].alias("rate_dollar"))).alias("payers"))
+
+    wide = rows.join(layouts.where("NOT tall"), "file").withColumnRenamed("payers", "columns")
+    rates = F.filter(F.transform("columns", lambda p: F.struct(cut(p["name"], 100).alias("payer"), F.lit(None).cast("string").alias("plan"), to_money(cell(p["at"])).alias("rate_dollar"))), lambda x: x["rate_dollar"] > 0)
+    given = role("code") != ""  # the filter asks the cells: a code that is given is not blank in its normal form either
+    wide = wide.where((given | (role("desc") != "")) & (given | gross.isNotNull() | (F.size(rates) > 0)))
+    return of_all(folded.join(layouts.drop("payers"), "file")).unionByName(of_all(wide.select("*", place, rates.alias("payers"))))

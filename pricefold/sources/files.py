@@ -22,8 +22,9 @@ def read_csv(spark: SparkSession, path: str, header_row: int = 0, delimiter: str
     cells may have line breaks; blank lines are left out. ``file`` and ``row`` name columns to add: the path, and the number
     of the line on which the record begins, counted from the header."""
     lines = delimited.staged_lines(spark, path, delimiter)
-    recs = delimited.records(lines)
-    heads = delimited._stored(delimited.headers(lines, recs, delimiter, header_row), "headers")
+    by_file = delimited._stored(delimited.by_file_of(lines), "files")
+    recs = delimited.records(lines, by_file)
+    heads = delimited._stored(delimited.headers(lines, recs, delimiter, header_row, by_file), "headers")
     layouts = heads.groupBy("layout").agg(F.min_by("header", "file").alias("header"), F.min("file").alias("first")).orderBy("first").collect()  # a row for each layout
     names = list(dict.fromkeys(n for r in layouts for n in r.header))
     rows = delimited.data_rows(recs, heads, delimiter).join(heads.select("file", "header", F.col("id").alias("header_id")), "file")
