@@ -160,18 +160,18 @@ a AS (SELECT ccn, code, description, CASE WHEN gross >= 0 THEN gross END AS gros
 SELECT ccn, code, description, gross, n, count(*) AS copies FROM a GROUP BY ALL""", "items")
 def s1_many_layouts(s, d):
     """A file for each facility in one of three layouts: plain, with a preamble, a blank line and line breaks in cells, and wide."""
-    x, k = T.items(s, d).where("code <> ''"), F.col("ccn").cast("int") % 3
+    x, k = T.items(s, d, "l_orderkey", "l_linenumber", "l_extendedprice").where("code <> ''"), F.col("ccn").cast("int") % 3
     text = lambda c: F.coalesce(c.cast("decimal(20,2)").cast("string"), F.lit(""))
     money, quoted = text(F.col("gross")), F.concat(F.lit('"'), "description", F.lit(', ""big""\nsize"'))
     line = lambda *cells: F.concat_ws(",", *cells)
-    rows = F.when(k < 2, F.col("payers")).otherwise(F.array(F.lit(None).cast(x.schema["payers"].dataType.elementType)))  # a line for each payer, or for the item
-    lines = x.select("ccn", "seq", "code", "description", "gross", "payers", F.posexplode(rows).alias("at", "p"))
-    rate, payer = text(F.col("p.rate_dollar")), F.col("p.payer")
-    cell = lambda i: text(F.try_element_at("payers", F.lit(i))["rate_dollar"])
+    # a line for each payer, or for the item; payers are made where they are written, as arrays of them are made without generated code
+    lines = x.withColumn("at", F.explode(F.when(k < 2, T.payer_places()).otherwise(F.array(F.lit(0)))))
+    rate, payer = text(T.payer_at(F.col("at"))["rate_dollar"]), T.payer_at(F.col("at"))["payer"]
+    cell = lambda i: text(F.when(F.size(T.payer_places()) >= i, T.payer_at(F.lit(i - 1))["rate_dollar"]))
     value = X.choose([(k == 0, line("code", "description", money, payer, rate)), (k == 1, line(rate, payer, quoted, money, "code"))], line("description", cell(1), cell(2), cell(3), "code", money))
     heads = ["Charge Code,Description,Gross Charge,Payer Name,Negotiated Dollar\n", 'made,by\n\n"hand,\nonce",twice\nNegotiated Dollar,Payer Name,Description,Gross Charge,Charge Code\n', "Description,Aetna,Cigna PPO,Medicare Plan,cdm_code,Gross\n"]
     folder = sinks.scratch_path(s, "layouts")
-    lines = lines.select("ccn", "seq", "at", value.alias("value")).repartition("ccn").sortWithinPartitions("ccn", "seq", "at")
+    lines = lines.select("ccn", "seq", "at", value.alias("value")).repartition("ccn").sortWithinPartitions(F.col("ccn").cast("int"), "seq", "at")
     sinks.write_texts(lines, "ccn", folder, lambda ccn: heads[int(ccn) % 3])
     out = files.ingest_files(s, folder).withColumn("ccn", F.substring_index(F.substring_index("file", "/", -1), ".", 1))
     return out.groupBy("ccn", "code", "description", "gross", F.size("payers").cast("long").alias("n")).agg(F.count("*").alias("copies"))
